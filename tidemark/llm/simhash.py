@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, documents
@@ -25,6 +25,11 @@ from tidemark.llm.components import components
 WORDS, BITS, RADIUS, HASH_SEED = 4, 64, 4, 42
 #: Shingles hashed at a time, and fingerprints compared at a time.
 SHINGLES, BLOCK = 1 << 20, 1024
+#: For documents that are alike: words in a shingle, least similarity, bits and radius of the
+#: fingerprint of the distinct words, farthest candidates, and hashes kept of the shingles.
+ALIKE_WORDS, ALIKE, ALIKE_BITS, ALIKE_RADIUS, ALIKE_REACH, SKETCH = 5, 0.8, 128, 11, 16, 256
+#: Rows of a bucket in which the nearest of all earlier rows is found.
+FULL = 4096
 
 
 def _halves(buffer: bytes, n_words: int) -> Iterator[bytes]:
@@ -205,11 +210,12 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np
         yield tuple(np.concatenate(x) for x in zip(*rest, strict=True))  # type: ignore[misc]
 
 
-def links_of(classes: DataFrame, bits: int = BITS, radius: int = RADIUS, nearest: bool = False) -> DataFrame:
+def links_of(classes: DataFrame, bits: int = BITS, radius: int = RADIUS, reach: int | None = None) -> DataFrame:
     """Links u, v between classes (node, f0, ...) whose fingerprints differ in ``radius`` bits or fewer.
 
     Within each bucket the links form a spanning forest, so the components are those of all pairs.
-    With ``nearest``, each class proposes instead its nearest class of smaller id in each bucket.
+    With ``reach``, each class proposes instead its nearest class of smaller id in each bucket, up
+    to ``reach`` bits away; these are candidates for a check.
     """
     lanes = [f"f{k}" for k in range(bits // 64)]
 
@@ -231,10 +237,10 @@ def links_of(classes: DataFrame, bits: int = BITS, radius: int = RADIUS, nearest
             v: list[int] = []
             pairs = starts[many == 2]
             if len(pairs):  # most buckets that link anything
-                hit = pairs[_popcount(f[pairs] ^ f[pairs + 1]).sum(1, dtype=np.int64) <= radius]
+                hit = pairs[_popcount(f[pairs] ^ f[pairs + 1]).sum(1, dtype=np.int64) <= (reach or radius)]
                 u, v = ids[hit].tolist(), ids[hit + 1].tolist()
             for a, b in zip(starts[many > 2].tolist(), ends[many > 2].tolist(), strict=True):
-                for i, j in (_nearest if nearest else _bucket_links)(f[a:b], radius):
+                for i, j in _nearest(f[a:b], reach) if reach else _bucket_links(f[a:b], radius):
                     u.append(int(ids[a + i]))
                     v.append(int(ids[a + j]))
             new = {(x, y) if x > y else (y, x) for x, y in zip(u, v, strict=True)} - seen
@@ -248,20 +254,41 @@ def links_of(classes: DataFrame, bits: int = BITS, radius: int = RADIUS, nearest
     return dealt.mapInArrow(compare, "u bigint, v bigint")
 
 
-def _nearest(f: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """For each row its nearest earlier row within ``radius``, in blocks."""
-    out = []
-    for at in range(1, len(f), BLOCK):
+def _nearest(f: np.ndarray, reach: int) -> list[tuple[int, int]]:
+    """For each row an earlier row at most ``reach`` bits away.
+
+    Up to ``FULL`` rows it is the nearest of all earlier ones. In larger buckets it is the nearest of
+    the block before it, and besides the nearest leader; rows without a leader in reach become leaders.
+    """
+    out: list[tuple[int, int]] = []
+
+    def propose(rows: np.ndarray, first: int, part: np.ndarray, low: int, best: np.ndarray, who: np.ndarray) -> None:
+        d = _popcount(rows[:, None, :] ^ part[None, :, :]).sum(2, dtype=np.int64)
+        d[(np.arange(len(part)) + low)[None, :] >= (np.arange(len(rows)) + first)[:, None]] = reach + 1
+        k = d.argmin(1)
+        found = d[np.arange(len(rows)), k]
+        less = found < best
+        best[less], who[less] = found[less], k[less] + low
+
+    heads = np.zeros((0, f.shape[1]), np.uint64)
+    head_at: list[int] = []
+    for at in range(0, len(f), BLOCK):
         rows = f[at : at + BLOCK]
-        best, who = np.full(len(rows), radius + 1, np.int64), np.full(len(rows), -1, np.int64)
-        for low in range(0, at + len(rows) - 1, BLOCK):
-            part = f[low : min(low + BLOCK, at + len(rows) - 1)]
-            d = _popcount(rows[:, None, :] ^ part[None, :, :]).sum(2, dtype=np.int64)
-            d[(np.arange(len(part)) + low)[None, :] >= (np.arange(len(rows)) + at)[:, None]] = radius + 1
-            k = d.argmin(1)
-            less = d[np.arange(len(rows)), k] < best
-            best[less], who[less] = d[np.arange(len(rows)), k][less], k[less] + low
+        best, who = np.full(len(rows), reach + 1, np.int64), np.full(len(rows), -1, np.int64)
+        for low in range(0 if len(f) <= FULL else max(0, at - BLOCK), at + 1, BLOCK):
+            propose(rows, at, f[low : low + BLOCK], low, best, who)
         out += [(int(who[i]), at + i) for i in np.flatnonzero(who >= 0).tolist()]
+        if len(f) > FULL:
+            for i, row in enumerate(rows):
+                d = _popcount(heads[: len(head_at)] ^ row).sum(1, dtype=np.int64)
+                k = int(d.argmin()) if len(d) else -1
+                if k >= 0 and d[k] <= reach:
+                    out.append((head_at[k], at + i))
+                else:
+                    if len(head_at) == len(heads):
+                        heads = np.concatenate([heads, np.zeros((max(16, len(heads)), f.shape[1]), np.uint64)])
+                    heads[len(head_at)] = row
+                    head_at.append(at + i)
     return out
 
 
@@ -282,6 +309,68 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return marked.join(found, lanes, "left").select(F.col("_id").alias(id_col), shown.alias("fingerprint"), "component_id")
 
 
+def _signature(text: str | None) -> tuple[list[int], bytes]:
+    """Fingerprint of the distinct words, and the least hashes of the distinct shingles (32 bits each, sorted)."""
+    lanes = []
+    for lane in range(ALIKE_BITS // 64):
+        h = np.unique(np.concatenate([*shingle_hashes(text, 1, HASH_SEED + lane), np.zeros(0, np.uint64)]))
+        lanes.append(int(np.packbits(_bit_counts(h) * 2 > len(h)).view(">u8")[0]) if len(h) else 0)
+    kept = np.zeros(0, np.uint32)
+    for h in shingle_hashes(text, ALIKE_WORDS, HASH_SEED):
+        kept = np.unique(np.concatenate([kept, (h >> np.uint64(32)).astype(np.uint32)]))[:SKETCH]
+    return lanes, kept.tobytes()
+
+
+def similarity(a: bytes, b: bytes) -> float:
+    """Share of common shingles: exact for texts of up to ``SKETCH`` shingles, estimated from the least hashes beyond."""
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    both = np.union1d(x, y)
+    if len(x) == SKETCH or len(y) == SKETCH:
+        both = both[:SKETCH]
+    if not len(both):
+        return 1.0
+    return float(np.isin(both, np.intersect1d(x, y, assume_unique=True), assume_unique=True).mean())
+
+
+def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` without near copies: one row of each group of linked texts, that of the smallest id.
+
+    Texts are linked at a similarity of ``ALIKE`` or more over the sets of ``ALIKE_WORDS``-word
+    shingles. Candidates come from the deletion-variant index over fingerprints of the distinct
+    words, in which such texts differ in few bits. Texts of equal signature are one class. Null ids
+    count as larger than all others. Texts without a word are alike. All columns pass through.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_signature(t.as_py()) for t in batch.column(2)]
+            lanes = np.array([x[0] for x in found], np.uint64).reshape(-1, ALIKE_BITS // 64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(lanes[:, k]) for k in range(lanes.shape[1])), pa.array([x[1] for x in found], pa.binary())], ["_id", "_row", "f0", "f1", "sketch"])
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alike = [similarity(a.as_py(), b.as_py()) >= ALIKE for a, b in zip(batch.column(2), batch.column(3), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(alike, pa.bool_()))
+
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.select(F.col(id_col).cast("bigint").alias("_id"), row.alias("_row"), F.col(text_col).cast("string").alias("_text"))
+    marked = cut(rows.mapInArrow(run, "_id bigint, _row bigint, f0 bigint, f1 bigint, sketch binary"))
+    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
+    classes = cut(marked.groupBy("f0", "f1", "sketch").agg(F.min(order).alias("first")).withColumn("node", F.xxhash64("first.id", "first.row")))
+    near = links_of(classes, ALIKE_BITS, ALIKE_RADIUS, ALIKE_REACH).distinct()
+    held = classes.select("node", "sketch")
+    pairs = near.join(held.toDF("u", "a"), "u").join(held.toDF("v", "b"), "v").select("u", "v", "a", "b")
+    reach = components(pairs.mapInArrow(check, "u bigint, v bigint"))
+    kept = (
+        classes.select("node", "first").join(reach, "node", "left").groupBy(F.coalesce("component", "node").alias("group"))
+        .agg(F.min("first").alias("first")).select(F.col("first.id").alias("_id"), F.col("first.row").alias("_row"))
+    )
+    mine = df.withColumns({"_kept_id": F.col(id_col).cast("bigint"), "_kept_row": row})
+    out = mine.join(kept, mine["_kept_id"].eqNullSafe(kept["_id"]) & (mine["_kept_row"] == kept["_row"]), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("_kept_id", "_kept_row").orderBy(F.lit(0)))
+    return out.withColumn("_nth", nth).filter("_nth = 1").select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir))
 
