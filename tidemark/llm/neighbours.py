@@ -3,13 +3,16 @@
 Pivots are drawn from the vectors, as many as grow with the square root of their number. A vector is
 represented by its nearest pivots in order and posted in those pivots' inverted files. A query reads
 the files of its own nearest pivots, ranks what it finds there by the footrule distance between the
-two prefixes, and the best are ranked again by the exact distance. Equal vectors are one entry that
-carries its smallest ids, so that many copies of a vector neither lengthen a file nor push others out.
+two prefixes, and the best share is ranked again by the exact distance. Every task holds the files
+of its own vectors, so vectors are not moved, and the queries come to the tasks in blocks of a fixed
+size. Equal vectors are one entry that carries its smallest ids, so that many copies of a vector
+neither lengthen a file nor push others out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +21,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, table
 
-#: Neighbours, one query in so many ids, pivots in a prefix, entries ranked again, pivots at least, per
-#: square root of the vectors, and at most; vectors that are read to draw them per pivot.
-K, EVERY, PREFIX, AGAIN, LEAST_PIVOTS, PIVOTS, MOST_PIVOTS = 10, 100, 12, 400, 64, 4.0, 8192
+#: Neighbours, and one query in so many ids.
+K, EVERY = 10, 100
+#: Pivots in a prefix, share of the entries that is ranked again, and the least number of them.
+PREFIX, AGAIN, LEAST_AGAIN = 64, 0.25, 400
+#: Pivots at least, per square root of the vectors, and at most; queries in a block, vectors in a task's files.
+LEAST_PIVOTS, PIVOTS, MOST_PIVOTS, QUERIES_AT_ONCE, ENTRIES_AT_ONCE = 96, 4.0, 8192, 2048, 16384
 SEED = 17
 
 
@@ -31,8 +37,32 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return vectors.select(F.col(id_col).cast("bigint").alias("_id"), v.alias("_vec")).filter("_id IS NOT NULL AND _vec IS NOT NULL").filter(fine)
 
 
+def prefixes(v: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
+    """The ``length`` nearest pivots of each row, nearest first."""
+    d = (pivots**2).sum(1) - 2 * v @ pivots.T
+    top = np.argpartition(d, length - 1, axis=1)[:, :length]
+    return np.take_along_axis(top, np.argsort(np.take_along_axis(d, top, 1), axis=1, kind="stable"), 1)
+
+
+class Files:
+    """Inverted files: for each pivot the entries that hold it in their prefix, and its place there."""
+
+    def __init__(self, held: np.ndarray, n_pivots: int) -> None:
+        self.n, self.length = held.shape
+        order = np.argsort(held.ravel(), kind="stable")
+        self.entry, self.place = order // self.length, order % self.length
+        self.bounds = np.searchsorted(held.ravel()[order], np.arange(n_pivots + 1))
+
+    def saved(self, prefix: np.ndarray) -> np.ndarray:
+        """What each entry's footrule distance to ``prefix`` falls short of that of two prefixes without a common pivot."""
+        spans = [slice(self.bounds[p], self.bounds[p + 1]) for p in prefix.tolist()]
+        at = np.repeat(np.arange(self.length), [s.stop - s.start for s in spans])
+        entry, place = np.concatenate([self.entry[s] for s in spans]), np.concatenate([self.place[s] for s in spans])
+        return np.bincount(entry, 2 * (self.length - np.maximum(at, place)), self.n)
+
+
 def nearest(
-    vectors: DataFrame, k: int = K, every: int = EVERY, prefix: int = PREFIX, again: int = AGAIN, id_col: str = "vec_id", vec_col: str = "embedding", seed: int = SEED
+    vectors: DataFrame, k: int = K, every: int = EVERY, prefix: int = PREFIX, again: float = AGAIN, id_col: str = "vec_id", vec_col: str = "embedding", seed: int = SEED
 ) -> DataFrame:
     """Per query (ids divisible by ``every``) its ``k`` nearest found: query_id, rank, vec_id, score.
 
@@ -40,62 +70,81 @@ def nearest(
     null, zero, or hold null or non-finite components, rows without an id, and vectors of another
     length than the most common one (the longest of these) take no part. A query with fewer
     candidates gets them all. Rows that repeat an id with an equal vector count once. An empty
-    table gives an empty result.
+    table gives an empty result. ``AGAIN`` of each task's entries are ranked again per query.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vec_col)
     sizes = rows.groupBy(F.size("_vec").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).limit(1).collect()
-    schema = "query_id bigint, rank int, vec_id bigint, score double"
     if not sizes:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     rows = rows.filter(F.size("_vec") == sizes[0]["d"])
-    # Per distinct vector its smallest ids, one more than are asked for; kept small on the map side too.
-    code = F.xxhash64("_vec")
+    # Per distinct vector its smallest ids, one more than are asked for; salted, as a vector may have very many copies.
     rank = F.row_number().over(Window.partitionBy("_vec", "_salt").orderBy("_id"))
     few = rows.distinct().withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(64))).withColumn("_n", rank).filter(F.col("_n") <= k + 1)
-    entries = cut(few.groupBy("_vec").agg(F.slice(F.array_sort(F.collect_list("_id")), 1, k + 1).alias("ids")).withColumn("entry", F.xxhash64("_vec", F.element_at("ids", 1))))
+    entries = cut(few.groupBy("_vec").agg(F.slice(F.array_sort(F.collect_list("_id")), 1, k + 1).alias("ids")).withColumn("entry", F.element_at("ids", 1)))
     n = entries.count()
     m = int(min(n, max(LEAST_PIVOTS, min(MOST_PIVOTS, PIVOTS * n**0.5))))
     drawn = entries.orderBy(F.xxhash64(F.lit(seed), "entry"), "entry").limit(m).select("_vec").collect()
     pivots = np.array([r["_vec"] for r in drawn], np.float64)
     length = min(prefix, len(pivots))
-
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        norms = (pivots**2).sum(1)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                v = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
-                d = norms - 2 * v @ pivots.T
-                top = np.argpartition(d, length - 1, axis=1)[:, :length]
-                top = np.take_along_axis(top, np.argsort(np.take_along_axis(d, top, 1), axis=1, kind="stable"), 1)
-                where = np.repeat(np.arange(part.num_rows), length)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(where)), pa.array(top.ravel().astype(np.int32)), pa.array(np.tile(np.arange(length, dtype=np.int32), part.num_rows))], ["entry", "pivot", "place"]
-                )
-
-    files = entries.select("entry", "_vec").mapInArrow(post, "entry bigint, pivot int, place int")
+    # Queries with equal vectors are looked up once.
     asked = rows.filter(F.pmod("_id", F.lit(every)) == 0).select(F.col("_id").alias("query_id"), "_vec").distinct()
-    # Equal query vectors are looked up once.
-    heads = asked.select("_vec").distinct().join(entries.select("_vec", F.col("entry").alias("query")), "_vec")
-    own = cut(heads.select(F.col("query").alias("entry"), "_vec")).mapInArrow(post, "entry bigint, pivot int, place int").toDF("query", "pivot", "at")
-    # A pivot that only one of the two prefixes holds counts as far as the prefix is long; shared ones save.
-    saved = F.lit(2 * length) - F.col("at") - F.col("place") - F.abs(F.col("at") - F.col("place"))
-    found = files.join(own, "pivot").groupBy("query", "entry").agg(F.sum(saved).alias("saved"))
-    best = Window.partitionBy("query").orderBy(F.desc("saved"), "entry")
-    short = found.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= again).select("query", "entry")
-    # The query's own entry holds its copies, and is found even if others tie with it.
-    near = short.unionByName(heads.select("query", F.col("query").alias("entry"))).distinct()
-    square = F.aggregate(F.zip_with("_q", "_v", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b)
-    scored = near.join(entries.select("entry", F.col("_vec").alias("_v"), "ids"), "entry").join(heads.select("query", F.col("_vec").alias("_q")), "query")
-    scored = scored.select("query", F.sqrt(square).alias("score"), F.explode("ids").alias("vec_id"))
+    asked = cut(asked.join(entries.select("_vec", F.col("entry").alias("query")), "_vec").select("query_id", "query", "_vec"))
+    heads = asked.select("query", "_vec").distinct()
+    parts = max(1, -(-heads.count() // QUERIES_AT_ONCE))
+    found = [_search(entries, heads.filter(F.pmod(F.xxhash64("query"), F.lit(parts)) == b), pivots, length, k, again) for b in range(parts)]
+    listed = found[0] if parts == 1 else reduce(DataFrame.unionByName, map(cut, found))
     nth = F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))
-    listed = scored.withColumn("_n", nth).filter(F.col("_n") <= k + 1).drop("_n")
-    pairs = asked.join(heads, "_vec").select("query_id", "query").join(listed, "query").filter("vec_id <> query_id")
+    listed = listed.withColumn("_n", nth).filter(F.col("_n") <= k + 1).drop("_n")
+    pairs = asked.select("query_id", "query").join(listed, "query").filter("vec_id <> query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return pairs.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _search(entries: DataFrame, heads: DataFrame, pivots: np.ndarray, length: int, k: int, again: float) -> DataFrame:
+    """For a block of queries the best entries of each task: query, vec_id, score."""
+    block = heads.collect()
+    query, wanted = np.array([r["query"] for r in block], np.int64), np.array([r["_vec"] for r in block], np.float64)
+
+    def look(own: np.ndarray, v: np.ndarray, ids: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        files = Files(prefixes(v, pivots, length), len(pivots))
+        most = min(len(v), max(LEAST_AGAIN, int(again * len(v))))
+        who, at, score = [], [], []
+        place = {e: i for i, e in enumerate(own.tolist())}
+        for q, (head, prefix) in enumerate(zip(wanted, prefixes(wanted, pivots, length), strict=True)):
+            near = np.argpartition(-files.saved(prefix), most - 1)[:most]
+            if (mine := place.get(int(query[q]))) is not None:  # its copies, whatever ties with them
+                near = np.union1d(near, [mine])
+            d = np.sqrt(((v[near] - head) ** 2).sum(1))
+            best = np.lexsort((own[near], d))[: k + 1]
+            who.append(np.full(len(best), q))
+            at.append(near[best])
+            score.append(d[best])
+        return np.concatenate(who), np.concatenate(score), ids.take(pa.array(np.concatenate(at)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            whole = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+            v = whole.column(1).flatten().to_numpy().reshape(whole.num_rows, -1)
+            who, score, ids = look(whole.column(0).to_numpy(), v, whole.column(2))
+            n = np.diff(ids.offsets.to_numpy())
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(query[who], n)), ids.flatten(), pa.array(np.repeat(score, n))], ["query", "vec_id", "score"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            for at in range(0, batch.num_rows, ENTRIES_AT_ONCE):
+                held.append(batch.slice(at, ENTRIES_AT_ONCE))
+                if sum(b.num_rows for b in held) >= ENTRIES_AT_ONCE:
+                    yield done(held)
+                    held = []
+        if held:
+            yield done(held)
+
+    if not block:
+        return entries.sparkSession.createDataFrame([], "query bigint, vec_id bigint, score double")
+    return entries.select("entry", "_vec", "ids").mapInArrow(run, "query bigint, vec_id bigint, score double")
+
+
 def op4_neighbours(spark, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
