@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,19 +20,27 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by a checkpoint in the shared folder.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) a temporary folder is taken.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, ``spark.checkpoint.dir``; a temporary one where that is unset, as in tests on one machine."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()  # type: ignore[return-value]
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` with its lineage cut by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def kept_as_table(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def crc_remainder(id_col: str, modulus: int):
     """crc32 of the id as text, modulo ``modulus``."""
     return F.crc32(F.col(id_col).cast("string")) % F.lit(modulus)

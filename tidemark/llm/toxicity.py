@@ -4,7 +4,7 @@ A step of the network is a word. Its input is a word embedding (common words of
 one more for all others) beside the mean of embeddings of the word's character trigrams, so that
 forms never seen still look like their relatives. Two gated recurrent units read a window in either
 direction, attention pools their states, and a logit comes out per window. All windows of a text
-are scored, each overlapping the next by half; the text's logit is the largest, calibrated.
+are scored, each overlapping the next by a quarter; the text's logit is the largest, calibrated.
 
 Texts are labelled, windows are not: training starts from the windows of toxic texts that hold the
 most telling trigrams, then the network itself picks the windows, and the most toxic windows of
@@ -13,7 +13,6 @@ clean texts are added to the negatives.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,12 +28,12 @@ from tidemark.llm.vocabulary import Remembered, blocks, words_of
 
 MODULUS, HELD, THRESHOLD = 4, 2, 0.3
 #: Labelled texts of either label that the fit takes at most.
-MOST = {0: 2400, 1: 1200}
-WINDOW, STRIDE = 24, 12
+MOST = {0: 900, 1: 500}
+WINDOW, STRIDE = 24, 18
 WORDS, TRIGRAMS, WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 4000, 4096, 8, 12, 8, 8
-SEED, BATCH, RATE, ROUNDS, NEGATIVES = 5, 256, 0.01, ((6, 4), (4, 4), (4, 3)), 6
+SEED, BATCH, RATE, DECAY, ROUNDS = 5, 256, 0.01, 0.05, ((5, 4), (3, 4), (3, 3))
 #: Windows scored at a time, and words that a worker remembers.
-AT_ONCE, LETTERS = 4096, re.compile(r"[^\w]+|_")
+AT_ONCE = 1024
 
 
 def plain(words: pa.Array) -> pa.Array:
@@ -79,7 +78,7 @@ class Network:
         d, h = WORD_DIM + CHAR_DIM, HIDDEN
         shapes = {"word": (len(vocabulary) + 1, WORD_DIM), "char": (TRIGRAMS, CHAR_DIM), "v": (ATTENTION,), "out": (2 * h,)}
         shapes |= {k + s: x for s in "fb" for k, x in {"w": (d, 3 * h), "u": (h, 3 * h)}.items()} | {"att": (2 * h, ATTENTION)}
-        scale = {"word": 0.3, "char": 0.6}
+        scale = {"word": 0.1, "char": 0.1}
         p = {k: (rng.standard_normal(s) * scale.get(k, 1 / np.sqrt(s[0]))).astype(np.float32) for k, s in shapes.items()}
         p |= {"cf": np.zeros(3 * h, np.float32), "cb": np.zeros(3 * h, np.float32), "ca": np.zeros(ATTENTION, np.float32), "bias": np.full(1, -2.0, np.float32)}
         return Network(vocabulary, p)
@@ -87,29 +86,43 @@ class Network:
     def embed(self, ids: np.ndarray, grams: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Inputs of distinct words: the word's embedding beside the mean over its trigrams."""
         counts = np.diff(offsets)
-        sums = np.concatenate([np.zeros((1, CHAR_DIM), np.float32), np.cumsum(self.p["char"][grams], axis=0, dtype=np.float64)])
-        mean = (sums[offsets[1:]] - sums[offsets[:-1]]) / np.maximum(counts, 1)[:, None]
+        padded = np.append(grams, 0)  # so that a last word without trigrams has a place to point to
+        mean = np.add.reduceat(self.p["char"][padded], offsets[:-1], axis=0) if len(counts) else np.zeros((0, CHAR_DIM))
+        mean = mean / np.maximum(counts, 1)[:, None] * (counts > 0)[:, None]
         return np.concatenate([self.p["word"][ids], mean.astype(np.float32)], axis=1)
 
     def run(self, x: np.ndarray, mask: np.ndarray | None, keep: list | None = None) -> np.ndarray:
         """Logits of windows; ``x`` holds inputs by step, window and dimension, ``mask`` is 0 beyond a window's end."""
         p, h, (steps, n, _) = self.p, HIDDEN, x.shape
         states = np.empty((steps, n, 2 * h), np.float32)
-        for side, order in (("f", range(steps)), ("b", range(steps - 1, -1, -1))):
-            inputs = (x.reshape(-1, x.shape[2]) @ p["w" + side] + p["c" + side]).reshape(steps, n, 3 * h)
-            s, u, at = np.zeros((n, h), np.float32), p["u" + side], 0 if side == "f" else h
-            for t in order:
-                g = s @ u
-                zr = _sigmoid(inputs[t, :, : 2 * h] + g[:, : 2 * h])
-                z, r = zr[:, :h], zr[:, h:]
-                c = np.tanh(inputs[t, :, 2 * h :] + r * g[:, 2 * h :])
-                new = c + z * (s - c)
-                if mask is not None:
-                    new = s + mask[t][:, None] * (new - s)
-                if keep is not None:
-                    keep.append((side, t, s, z, r, c, g[:, 2 * h :]))
-                s = new
-                states[t, :, at : at + h] = s
+        # Both directions at once: step i of the second is the text's step steps - 1 - i.
+        flat = x.reshape(-1, x.shape[2])
+        ahead = (flat @ p["wf"] + p["cf"]).reshape(steps, n, 3 * h)
+        back = (flat @ p["wb"] + p["cb"]).reshape(steps, n, 3 * h)
+        u, s = np.stack([p["uf"], p["ub"]]), np.zeros((2, n, h), np.float32)
+        for t in range(steps):
+            other = steps - 1 - t
+            g = s @ u
+            zr = np.stack([ahead[t, :, : 2 * h], back[other, :, : 2 * h]])
+            zr += g[:, :, : 2 * h]
+            zr *= 0.5
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
+            z, r = zr[:, :, :h], zr[:, :, h:]
+            c = r * g[:, :, 2 * h :]
+            c[0] += ahead[t, :, 2 * h :]
+            c[1] += back[other, :, 2 * h :]
+            np.tanh(c, out=c)
+            new = s - c
+            new *= z
+            new += c
+            if mask is not None:
+                new = s + np.stack([mask[t], mask[other]])[:, :, None] * (new - s)
+            if keep is not None:
+                keep.append((t, other, s, z, r, c, g[:, :, 2 * h :]))
+            s = new
+            states[t, :, :h], states[other, :, h:] = s[0], s[1]
         a = np.tanh(states.reshape(-1, 2 * h) @ p["att"] + p["ca"])
         e = np.exp((a @ p["v"]).reshape(steps, n))
         if mask is not None:
@@ -138,24 +151,26 @@ class Network:
         g |= {"v": a.T @ de.ravel(), "att": states.reshape(-1, 2 * h).T @ da, "ca": da.sum(0)}
         ds = ds + (da @ p["att"].T).reshape(steps, n, 2 * h)
         dx = np.zeros_like(x)
-        for side in "bf":  # the reverse of the order in which the states were made
-            at, back, u = 0 if side == "f" else h, np.zeros((n, h), np.float32), p["u" + side]
-            du, dw_, dc_ = np.zeros_like(u), np.zeros_like(p["w" + side]), np.zeros(3 * h, np.float32)
-            for _ in range(steps):
-                _, t, s, z, r, c, gn = keep.pop()
-                new = ds[t, :, at : at + h] + back
-                m = mask[t][:, None]
-                inner, straight = new * m, new * (1 - m)
-                dc = inner * (1 - z) * (1 - c * c)
-                dz, dr = inner * (s - c) * z * (1 - z), dc * gn * r * (1 - r)
-                pre = np.concatenate([dz, dr, dc], axis=1)
-                own = np.concatenate([dz, dr, dc * r], axis=1)
-                back = straight + inner * z + own @ u.T
-                du += s.T @ own
-                dw_ += x[t].T @ pre
-                dc_ += pre.sum(0)
-                dx[t] += pre @ p["w" + side].T
-            g |= {"u" + side: du, "w" + side: dw_, "c" + side: dc_}
+        back = np.zeros((2, n, h), np.float32)
+        u, w2 = np.stack([p["uf"], p["ub"]]), np.stack([p["wf"], p["wb"]])
+        du, dw2, dc2 = np.zeros_like(u), np.zeros_like(w2), np.zeros((2, 3 * h), np.float32)
+        for _ in range(steps):
+            t, other, s, z, r, c, gn = keep.pop()
+            new = back + np.stack([ds[t, :, :h], ds[other, :, h:]])
+            m = np.stack([mask[t], mask[other]])[:, :, None]
+            inner, straight = new * m, new * (1 - m)
+            dc = inner * (1 - z) * (1 - c * c)
+            dz, dr = inner * (s - c) * z * (1 - z), dc * gn * r * (1 - r)
+            pre = np.concatenate([dz, dr, dc], axis=2)
+            own = np.concatenate([dz, dr, dc * r], axis=2)
+            back = straight + inner * z + own @ u.transpose(0, 2, 1)
+            du += s.transpose(0, 2, 1) @ own
+            dw2[0] += x[t].T @ pre[0]
+            dw2[1] += x[other].T @ pre[1]
+            dc2 += pre.sum(1)
+            dx[t] += pre[0] @ w2[0].T
+            dx[other] += pre[1] @ w2[1].T
+        g |= {"uf": du[0], "ub": du[1], "wf": dw2[0], "wb": dw2[1], "cf": dc2[0], "cb": dc2[1]}
         return g, dx, loss
 
 
@@ -231,15 +246,19 @@ def train(rows: list[tuple[str, int]], seed: int = SEED) -> Network | float:
     mask = (steps < many[:, None]).astype(np.float32)
     # Log odds of words and trigrams over texts; a window starts with the best mean of a word's.
     toxic = y_text == 1
-    odds = lambda n1, n0: np.log((n1 + 0.3) / (toxic.sum() + 0.6)) - np.log((n0 + 0.3) / ((~toxic).sum() + 0.6))
+    share = toxic.mean()
+    odds = lambda n1, n0: np.log((n1 + share) / (n0 + 1 - share)) - np.log(share / (1 - share))
     hot = toxic[pairs % len(rows)]
     by_word = odds(np.bincount(pairs[hot] // len(rows), minlength=len(distinct)), np.bincount(pairs[~hot] // len(rows), minlength=len(distinct)))
-    seen = np.unique(np.repeat(np.arange(len(distinct)), np.diff(gram_at)) * TRIGRAMS + grams)
-    gram_pairs = np.unique(np.concatenate([(pairs[i : i + 1_000_000] % len(rows)).repeat(np.diff(gram_at)[pairs[i : i + 1_000_000] // len(rows)]) * TRIGRAMS + _ragged(grams, gram_at, pairs[i : i + 1_000_000] // len(rows)) for i in range(0, len(pairs), 1_000_000)]))
-    del seen
+    # Pairs of text and trigram, in parts, as texts hold many.
+    parts = (pairs[i : i + 1_000_000] for i in range(0, len(pairs), 1_000_000))
+    gram_pairs = np.unique(np.concatenate([np.unique((k % len(rows)).repeat(np.diff(gram_at)[k // len(rows)]) * TRIGRAMS + _ragged(grams, gram_at, k // len(rows))) for k in parts]))
     hot = toxic[gram_pairs // TRIGRAMS]
     by_gram = odds(np.bincount(gram_pairs[hot] % TRIGRAMS, minlength=TRIGRAMS), np.bincount(gram_pairs[~hot] % TRIGRAMS, minlength=TRIGRAMS))
     sums = np.concatenate([[0], np.cumsum(by_gram[grams])])
+    # What is known from the counts is where the embeddings start.
+    network.p["word"][:-1, 0], network.p["word"][-1, 0] = by_word[common] / 2, 0
+    network.p["char"][:, 0] = by_gram
     telling = np.where(texts_with >= 3, by_word, 0) + (sums[gram_at[1:]] - sums[gram_at[:-1]]) / np.maximum(np.diff(gram_at), 1)
     value = np.where(mask > 0, telling[code[where]], -9.0).max(1)
     held = rng.random(len(rows)) < 0.25 if toxic.sum() >= 24 else np.zeros(len(rows), bool)
@@ -273,12 +292,17 @@ def _all_logits(network: Network, words: np.ndarray, mask: np.ndarray, ids: np.n
     return np.concatenate([network.run(x[words[i : i + AT_ONCE].T], mask[i : i + AT_ONCE].T) for i in range(0, len(words), AT_ONCE)]).astype(np.float64)
 
 
+def _summed(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of ``values`` that share a number."""
+    return np.column_stack([np.bincount(rows, values[:, k], n) for k in range(values.shape[1])])
+
+
 def _fit(network: Network, some: np.ndarray, label: np.ndarray, words: np.ndarray, mask: np.ndarray, ids: np.ndarray, grams: np.ndarray, gram_at: np.ndarray, epochs: int, rng: np.random.Generator, round_: int) -> None:
     """Adam over the chosen windows."""
     m = {k: np.zeros_like(v) for k, v in network.p.items()}
     v = {k: np.zeros_like(x) for k, x in network.p.items()}
     step = 0
-    epochs = max(epochs, min(60, 60 * BATCH // max(1, len(some))))
+    epochs = max(epochs, min(30, 30 * BATCH // max(1, len(some))))
     for epoch in range(epochs):
         order = rng.permutation(len(some))
         for low in range(0, len(order), BATCH):
@@ -291,17 +315,16 @@ def _fit(network: Network, some: np.ndarray, label: np.ndarray, words: np.ndarra
             x = network.embed(own_ids, own, np.concatenate([[0], np.cumsum(counts)]))
             at = at.reshape(len(k), WINDOW).T
             g, dx, _ = network.gradients(x[at], mask[some[k]].T, label[k])
-            by_word = np.zeros((len(distinct), x.shape[1]), np.float32)
-            np.add.at(by_word, at.ravel(), dx.reshape(-1, x.shape[1]))
-            g["word"], g["char"] = np.zeros_like(network.p["word"]), np.zeros_like(network.p["char"])
-            np.add.at(g["word"], own_ids, by_word[:, :WORD_DIM])
-            np.add.at(g["char"], own, np.repeat(by_word[:, WORD_DIM:] / np.maximum(counts, 1)[:, None], counts, axis=0))
+            by_word = _summed(at.ravel(), dx.reshape(-1, x.shape[1]), len(distinct))
+            g["word"] = _summed(own_ids, by_word[:, :WORD_DIM], len(network.p["word"]))
+            g["char"] = _summed(own, np.repeat(by_word[:, WORD_DIM:] / np.maximum(counts, 1)[:, None], counts, axis=0), TRIGRAMS)
             step += 1
             rate = RATE * (1.0 if round_ == 0 else 0.5) * (1 - 0.7 * epoch / epochs) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
             for name, grad in g.items():
                 m[name] += 0.1 * (grad - m[name])
                 v[name] += 0.001 * (grad * grad - v[name])
-                network.p[name] -= (rate * m[name] / (np.sqrt(v[name]) + 1e-8)).astype(np.float32)
+                decay = DECAY * network.p[name] if network.p[name].ndim > 1 else 0.0
+                network.p[name] -= (rate * (m[name] / (np.sqrt(v[name]) + 1e-8) + decay)).astype(np.float32)
 
 
 def score_toxicity(df: DataFrame, network: Network | float, id_col: str = "doc_id", text_col: str = "text", others: bool = False) -> DataFrame:
