@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from tidemark.plans import merging  # noqa: F401
+from tidemark.plans.base import QUERIES, SQL
+
 FLAGSHIP = "gap_clusters"
+
+__all__ = ["FLAGSHIP", "QUERIES", "SQL"]
