@@ -39,11 +39,13 @@ def leading_date(c: Column) -> Column:
 
 def month_number(c: Column) -> Column:
     """The month that a name of three letters or more begins, or null."""
-    name = F.regexp_replace(F.lower(clean(c)), r"^\.+|\.+$", "")
-    out = F.lit(None).cast("int")
-    for i in range(12, 0, -1):
-        out = F.when((F.length(name) >= 3) & F.startswith(F.lit(MONTHS[i - 1]), name), F.lit(i)).otherwise(out)
-    return out
+    names = F.array(*map(F.lit, MONTHS))
+
+    def found(name: Column) -> Column:
+        at = F.filter(F.transform(names, lambda m, i: F.when(F.startswith(m, name), i + 1)), lambda i: i.isNotNull())
+        return F.when(F.length(name) >= 3, F.get(at, F.lit(0)))
+
+    return F.get(F.transform(F.array(F.regexp_replace(F.lower(clean(c)), r"^\.+|\.+$", "")), found), F.lit(0))
 
 
 def date_range(c: Column) -> Column:
@@ -53,16 +55,28 @@ def date_range(c: Column) -> Column:
     before the start belongs to the next year.
     """
     text = F.regexp_replace(clean(c), "[–—−]", "-")
-    group = lambda k: F.regexp_extract(text, RANGE, k)
-    first, second = month_number(group(1)), month_number(F.when(group(3) != "", group(3)).otherwise(group(1)))
-    year = group(5).cast("int")
-    made = lambda y, m, d: F.try_to_date(F.format_string("%04d-%02d-%02d", y, m, d.cast("int")))
-    start = made(year, first, group(2))
-    day = F.when(group(4) != "", group(4)).otherwise(group(2))
-    end = F.when(group(4) == "", start).otherwise(made(year, second, day))
-    end = F.when(end < start, made(year + 1, second, day)).otherwise(end)
-    fine = text.rlike(RANGE) & first.isNotNull() & second.isNotNull() & start.isNotNull() & end.isNotNull()
-    return F.when(fine, F.struct(start.alias("start"), end.alias("end")))
+    # Each step is bound once by a lambda; as plain expressions they would be computed at every use.
+    once = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
+    made = lambda y, m, d: F.try_to_date(F.format_string("%04d-%02d-%02d", y, m, d))
+
+    def read(t: Column) -> Column:
+        group = lambda k: F.regexp_extract(t, RANGE, k)
+        other = F.when(group(3) != "", group(3)).otherwise(group(1))
+        return F.struct(
+            group(5).try_cast("int").alias("year"), month_number(group(1)).alias("first"), month_number(other).alias("second"),
+            group(2).try_cast("int").alias("day"), group(4).try_cast("int").alias("last"),
+        )
+
+    def placed(p: Column) -> Column:
+        end = F.when(p["last"].isNull(), made(p["year"], p["first"], p["day"])).otherwise(made(p["year"], p["second"], p["last"]))
+        return F.struct(p.alias("p"), made(p["year"], p["first"], p["day"]).alias("start"), end.alias("end"))
+
+    def turned(x: Column) -> Column:
+        later = made(x["p"]["year"] + 1, x["p"]["second"], x["p"]["last"])
+        return F.struct(x["start"].alias("start"), F.when(x["end"] < x["start"], later).otherwise(x["end"]).alias("end"))
+
+    found = once(text, lambda t: F.when(t.rlike(RANGE), once(once(read(t), placed), turned)))
+    return F.when(found["start"].isNotNull() & found["end"].isNotNull(), found)
 
 
 def canonical_zone(c: Column) -> Column:

@@ -9,6 +9,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: What stands for a value that isn't known yet.
 PLACEHOLDERS = ("TBA", "TBD")
@@ -66,7 +67,7 @@ def strip_markup(c: Column) -> Column:
     return F.regexp_replace(out, r"<[^>]+>", " ")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape_html(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
@@ -76,7 +77,7 @@ def fold_text(text: str) -> str:
     return unicodedata.normalize("NFKC", text).casefold()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold(texts: pd.Series) -> pd.Series:
     return texts.map(fold_text, na_action="ignore")
 
