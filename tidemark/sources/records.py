@@ -63,11 +63,11 @@ def several_editions(df: DataFrame, key: str, entries: str, min_year: int, max_y
 
 def single_edition(df: DataFrame, key: str, name: str, locators: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Records that a locator (key, name, description_contains or null) finds alone, and the keys that find none or several."""
-    found = locators.join(df, locators["name"] == df[name], "left")
+    wanted = locators.withColumnRenamed(name, "_wanted")
+    rows = wanted.join(df, F.col("_wanted") == F.col(name), "left")
     fits = F.col("description_contains").isNull() | F.contains(F.coalesce(F.col("description"), F.lit("")), F.col("description_contains"))
-    hit = F.count_if(fits & df[name].isNotNull()).over(Window.partitionBy(locators[key]))
-    rows = found.withColumn("_hits", hit)
-    return rows.filter((F.col("_hits") == 1) & fits).drop("_hits"), rows.filter("_hits <> 1").select(locators[key], F.col("_hits").alias("hits")).distinct()
+    rows = rows.withColumn("_fits", fits & F.col(name).isNotNull()).withColumn("_hits", F.count_if("_fits").over(Window.partitionBy(key)))
+    return rows.filter("_hits = 1 AND _fits").drop("_hits", "_fits", "_wanted"), rows.filter("_hits <> 1").select(key, F.col("_hits").alias("hits")).distinct()
 
 
 def expand_year(value: Column, year: Column) -> Column:
