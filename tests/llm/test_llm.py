@@ -353,7 +353,7 @@ def test_toxicity(spark, odd, empty):
 
 
 def test_all_windows_are_scored():
-    for n in (1, 5, 24, 25, 42, 43, 200):
+    for n in (1, 5, 12, 13, 21, 22, 200):
         text, first, many = toxicity.windows(np.array([n, 3]))
         mine = text == 0
         covered = np.zeros(n, int)

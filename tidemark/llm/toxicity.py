@@ -28,10 +28,10 @@ from tidemark.llm.vocabulary import Remembered, blocks, words_of
 
 MODULUS, HELD, THRESHOLD = 4, 2, 0.3
 #: Labelled texts of either label that the fit takes at most.
-MOST = {0: 900, 1: 500}
-WINDOW, STRIDE = 24, 18
-WORDS, TRIGRAMS, WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 4000, 4096, 8, 12, 8, 8
-SEED, BATCH, RATE, DECAY, ROUNDS = 5, 256, 0.01, 0.05, ((5, 4), (3, 4), (3, 3))
+MOST = {0: 1800, 1: 900}
+WINDOW, STRIDE = 12, 9
+WORDS, TRIGRAMS, WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 4000, 4096, 8, 12, 12, 8
+SEED, BATCH, RATE, DECAY, ROUNDS = 5, 256, 0.01, 0.05, ((6, 4), (4, 4), (4, 4), (4, 4))
 #: Windows scored at a time, and words that a worker remembers.
 AT_ONCE = 1024
 
@@ -276,7 +276,7 @@ def train(rows: list[tuple[str, int]], seed: int = SEED) -> Network | float:
     best = np.full(len(rows), -np.inf)
     np.maximum.at(best, text, value)
     some = held if held.any() and len(set(y_text[held].tolist())) == 2 else np.ones(len(rows), bool)
-    w = logistic(best[some][:, None], y_text[some].astype(float), 1e-3)
+    w = logistic(best[some][:, None], y_text[some].astype(float), 1e-5)
     network.calibration = (max(float(w[0]), 1e-3), float(w[1]))
     return network
 
