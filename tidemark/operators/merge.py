@@ -126,3 +126,13 @@ def obsolete(set_fields: Column, pairs: dict[str, tuple[Column, Column]]) -> Col
         some = some | own[f]
         fine = fine & (~own[f] | F.coalesce(clean(mine) == clean(theirs), F.lit(False)) & mine.isNotNull())
     return some & fine
+
+
+def date_change(old: Column, new: Column) -> Column:
+    """Whether two date ranges, both understood, differ."""
+    return F.coalesce(old.isNotNull() & new.isNotNull() & ~old.eqNullSafe(new), F.lit(False))
+
+
+def kept_range(old: Column, parsed: Column, same_text: Column) -> Column:
+    """Start and end beside a new date text: what it says, else the old ones only if the text hasn't changed."""
+    return F.coalesce(parsed, F.when(same_text, old))

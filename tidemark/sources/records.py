@@ -116,3 +116,18 @@ def write_if_changed(df: DataFrame, path: str, partitions: list[str]) -> list[tu
         rows = df.join(F.broadcast(spark.createDataFrame(values, df.select(*partitions).schema)), partitions, "left_semi")
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
     return values
+
+
+def checked_overrides(df: DataFrame, titles: DataFrame, title: str, year: str, order: str) -> DataFrame:
+    """Overrides with a reason: unknown title, no year, or repeated key; the first of a key has none."""
+    known = titles.select(F.col(title).alias("_title")).distinct()
+    rows = df.join(known, F.col(title) == F.col("_title"), "left")
+    nth = F.row_number().over(Window.partitionBy(title, year).orderBy(order))
+    reason = F.when(F.col("_title").isNull(), "unknown title").when(F.col(year).isNull(), "no year").when(nth > 1, "repeated")
+    return rows.withColumn("reason", reason).drop("_title")
+
+
+def search_index(df: DataFrame, keys: list[str], order: str, fields: list[str]) -> DataFrame:
+    """One JSON array per key with the rows' fields in order."""
+    rows = F.transform(F.array_sort(F.collect_list(F.struct(order, F.struct(*fields).alias("_row")))), lambda s: s["_row"])
+    return df.groupBy(*keys).agg(F.to_json(rows).alias("content"))
