@@ -251,7 +251,7 @@ def train(rows: list[tuple[str, int]], seed: int = SEED) -> Network | float:
     hot = toxic[pairs % len(rows)]
     by_word = odds(np.bincount(pairs[hot] // len(rows), minlength=len(distinct)), np.bincount(pairs[~hot] // len(rows), minlength=len(distinct)))
     # Pairs of text and trigram, in parts, as texts hold many.
-    parts = (pairs[i : i + 1_000_000] for i in range(0, len(pairs), 1_000_000))
+    parts = (pairs[i : i + 200_000] for i in range(0, len(pairs), 200_000))
     gram_pairs = np.unique(np.concatenate([np.unique((k % len(rows)).repeat(np.diff(gram_at)[k // len(rows)]) * TRIGRAMS + _ragged(grams, gram_at, k // len(rows))) for k in parts]))
     hot = toxic[gram_pairs // TRIGRAMS]
     by_gram = odds(np.bincount(gram_pairs[hot] % TRIGRAMS, minlength=TRIGRAMS), np.bincount(gram_pairs[~hot] % TRIGRAMS, minlength=TRIGRAMS))
