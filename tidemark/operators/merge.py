@@ -36,10 +36,14 @@ def layered_merge(existing: DataFrame, candidates: DataFrame, overrides: DataFra
     ``existing`` and ``candidates`` hold the fields, ``overrides`` the fields and ``set_fields``.
     Keys must be unique per layer. Rows that only an override has take its values.
     """
-    named = lambda df, tag: df.select(*keys, *[F.col(f).alias(f"_{tag}_{f}") for f in fields], F.lit(True).alias(f"_{tag}"))
-    both = named(existing, "e").join(named(candidates, "c"), keys, "full")
-    third = overrides.select(*keys, *[F.col(f).alias(f"_o_{f}") for f in fields], F.col("set_fields").alias("_set"), F.lit(True).alias("_o"))
-    rows = both.join(third, keys, "full")
+    # The layers are stacked and grouped, so that each row is shuffled once; two full joins would
+    # shuffle the result of the first again.
+    none = F.lit(None).cast("array<string>")
+    stacked = [df.select(*keys, *fields, (F.col("set_fields") if tag == "o" else none).alias("_set"), F.lit(tag).alias("_layer")) for tag, df in (("e", existing), ("c", candidates), ("o", overrides))]
+    at = lambda tag, c: F.max(F.when(F.col("_layer") == tag, F.col(c)))
+    layered = [at(tag, f).alias(f"_{tag}_{f}") for tag in "eco" for f in fields]
+    there_ = [F.max(F.when(F.col("_layer") == tag, F.lit(True))).alias(f"_{tag}") for tag in "eco"]
+    rows = stacked[0].unionByName(stacked[1]).unionByName(stacked[2]).groupBy(*keys).agg(*layered, F.max("_set").alias("_set"), *there_)
     own = {f: owned(F.col("_set"), f) for f in fields}
     before = {f: upstream_first(F.col(f"_e_{f}"), F.col(f"_c_{f}"), own[f]) for f in fields}
     after = {f: overridden(before[f], F.col(f"_o_{f}"), own[f]) for f in fields}
