@@ -50,7 +50,11 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     rows = _rows(df, id_col, text_col)
     same = F.row_number().over(Window.partitionBy("_id", "_row", "_h").orderBy("_sha"))
-    out = rows.select("_id", "_row", "_h", "_sha").withColumn("_nth", same).join(_figures(rows), ["_h", "_sha"], "left")
+    # The figures are joined by one digest made of both, so that either side is dealt out for the join
+    # and Spark can split the partition of a class that holds very many rows.
+    key = F.concat("_h", "_sha").alias("_key")
+    figures = _figures(rows).select(key, "keep_id", "_keep_row", "group_size")
+    out = rows.select("_id", "_row", "_h", "_sha", key).withColumn("_nth", same).join(figures, "_key", "left")
     kept = F.col("_id").eqNullSafe(F.col("keep_id")) & (F.col("_row") == F.col("_keep_row")) & (F.col("_nth") == 1)
     return out.select(F.col("_id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("_sha")).alias("text_sha256"))
 
