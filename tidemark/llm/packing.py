@@ -101,6 +101,7 @@ def pieces_of(df: DataFrame, path: str, ranks_path: str, capacity: int = CAPACIT
                         out.append((at + i, k, start, n, zlib.crc32(own[start : start + n].astype("<u4").tobytes()), int(seen[n])))
                         seen[n] += 1
                         start += n
+                del ids, bounds
                 columns = [pa.array(np.array(c, np.int64)) for c in zip(*out, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(columns[0]), columns[1].cast(pa.int32()), *columns[2:], pa.array(np.full(len(out), part, np.int64))], ["_id", *names[1:], "_part"])
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct strings that a worker remembers, and bytes of text in a block.
-REMEMBERED, BLOCK_BYTES = 1_500_000, 6 << 20
+REMEMBERED, BLOCK_BYTES = 400_000, 3 << 20
 SPECIAL = "<|endoftext|>"
 
 
@@ -130,6 +130,7 @@ class PieceCounter(Remembered):
                 words, offsets = words_of(part.take(pa.array(plain)))
                 codes = self.codes_of(words)
                 out[at + plain] = np.add.reduceat(self.sizes[codes], offsets[:-1])
+        pa.default_memory_pool().release_unused()
         return out
 
 
@@ -137,7 +138,7 @@ class ByteEncoder(Remembered):
     """Token ids of a byte-level vocabulary; remembers the ids of each string with a space before it."""
 
     def __init__(self, path: str, ranks_path: str) -> None:
-        self.model = byte_bpe(path)
+        self.path = path
         self.fast, self.bytes = ranks(ranks_path)
         super().__init__()
 
@@ -148,7 +149,7 @@ class ByteEncoder(Remembered):
     def whole(self, text: str) -> np.ndarray:
         """Ids of one text."""
         if SPECIAL in text:
-            return np.array(self.model.encode(text, add_special_tokens=False).ids, np.uint32)
+            return np.array(byte_bpe(self.path).encode(text, add_special_tokens=False).ids, np.uint32)  # loaded only for these
         return np.asarray(self.fast.encode_to_numpy(text), np.uint32) if text else np.zeros(0, np.uint32)
 
     def learn(self, new: pa.Array) -> None:
@@ -193,3 +194,5 @@ class ByteEncoder(Remembered):
             where += np.arange(total)
             bounds = np.concatenate([[0], ends[offsets[1:] - 1]])
             yield at, pool[where], bounds
+            del pool, where
+        pa.default_memory_pool().release_unused()  # workers live on, next to those of other stages
