@@ -222,6 +222,41 @@ def test_near_copies(spark, empty):
     assert simhash.without_near_copies(empty).count() == 0
 
 
+def brute_alike(texts):
+    """Similarity of every pair of texts over five-word shingles, by id."""
+    held = {}
+    for i, t in texts.items():
+        w = t.lower().split()
+        held[i] = {" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+    return {(a, b): len(held[a] & held[b]) / len(held[a] | held[b]) for a in held for b in held if a < b}
+
+
+def near_left(spark, texts):
+    """Ids that stay."""
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    return sorted(r["doc_id"] for r in simhash.without_near_copies(df).collect())
+
+
+@pytest.mark.parametrize("kind", ["appended", "cut", "substituted"])
+def test_near_copies_of_every_kind(spark, kind):
+    rng, texts = random.Random(9), {}
+    for k in range(48):
+        base = [f"w{rng.randint(0, 3000)}" for _ in range(rng.randint(150, 900))]
+        copy, n = list(base), round(len(base) * rng.uniform(0.04, 0.32))
+        if kind == "appended":
+            copy += [f"v{rng.randint(0, 3000)}" for _ in range(n)]
+        elif kind == "cut":
+            at = rng.randrange(len(base) - n)
+            copy = base[:at] + base[at + n :]
+        else:
+            for _ in range(n // 7):
+                copy[rng.randrange(len(copy))] = f"v{rng.randint(0, 3000)}"
+        texts |= {2 * k: " ".join(base), 2 * k + 1: " ".join(copy)}
+    links = [p for p, s in brute_alike(texts).items() if s >= 0.8]
+    assert 10 < len(links) < 48
+    assert near_left(spark, texts) == sorted(set(grouped(links, texts).values()))
+
+
 # ---------------------------------------------------------------- tokens
 
 
