@@ -257,6 +257,19 @@ def test_near_copies_of_every_kind(spark, kind):
     assert near_left(spark, texts) == sorted(set(grouped(links, texts).values()))
 
 
+def test_near_copies_beside_reordered_texts(spark):
+    """The same sentences in another order are no near copy, but have the same words as one."""
+    rng, texts = random.Random(12), {}
+    for k in range(12):
+        sentences = [" ".join(f"w{rng.randint(0, 3000)}" for _ in range(6)) for _ in range(50)]
+        other = " ".join(sentences).split()
+        other[rng.randrange(len(other))] = "changed"
+        texts |= dict(zip(rng.sample(range(3 * k, 3 * k + 3), 3), (" ".join(sentences), " ".join(rng.sample(sentences, 50)), " ".join(other)), strict=True))
+    links = [p for p, s in brute_alike(texts).items() if s >= 0.8]
+    assert len(links) == 12
+    assert near_left(spark, texts) == sorted(set(grouped(links, texts).values()))
+
+
 # ---------------------------------------------------------------- tokens
 
 

@@ -327,177 +327,6 @@ def star_pairs(nodes: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, np.ndarr
             yield i, np.flatnonzero(near)
 
 
-def _pairs(found: Iterator[tuple[np.ndarray, Iterator[tuple[int, np.ndarray]]]]) -> Iterator[pa.RecordBatch]:
-    """Distinct pairs of nodes as batches of u > v; repeats are spared only as far as is remembered."""
-    seen: set[tuple[int, int]] = set()
-    out: list[tuple[int, int]] = []
-
-    def flushed() -> pa.RecordBatch:
-        u, v = zip(*out, strict=True)
-        out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
-
-    for nodes, pairs in found:
-        for i, others in pairs:
-            a, b = nodes[i], nodes[others]
-            for pair in zip(np.maximum(a, b).tolist(), np.minimum(a, b).tolist(), strict=True):
-                if pair not in seen:
-                    if len(seen) >= 200_000:
-                        seen.clear()
-                    seen.add(pair)
-                    out.append(pair)
-            if len(out) >= 10_000:
-                yield flushed()
-    if out:
-        yield flushed()
-
-
-def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` without near copies: one row of each group of linked texts, that of the smallest id.
-
-    Texts are linked at a similarity of ``ALIKE`` or more over the sets of ``ALIKE_WORDS``-word
-    shingles. Texts of equal sets are one class. Each class is indexed under its first shingles in an
-    order of all shingles (see ``prefix``), so that every linked pair shares a bucket; common shingles
-    come last in that order, which is read from a sample and changes the size of buckets only. In each
-    bucket all are compared with a few leaders. Null ids count as larger than all others. Texts
-    without a word are alike. All columns pass through.
-    """
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    rows = df.select(F.col(id_col).cast("bigint").alias("_id"), row.alias("_row"), F.col(text_col).cast("string").alias("_text"))
-
-    def node_of(h: np.ndarray) -> int:
-        return int(np.uint64(xxhash.xxh3_64_intdigest(h.tobytes())).view(np.int64))
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes = [node_of(shingle_set(t.as_py())) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64())], ["_id", "_row", "node"])
-
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in batch.column(2):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t.as_py()).view(np.int64))], ["key"])
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], ["node", "held"])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sure = [alike(np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)) for a, b in zip(batch.column(2), batch.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(sure, pa.bool_()))
-
-    sample = rows.filter(F.pmod(F.xxhash64("_id", "_row"), F.lit(SAMPLED)) == 0).mapInArrow(hashes, "key bigint")
-    often = sample.groupBy("key").count().filter(F.col("count") >= COMMON).orderBy(F.desc("count"), "key").limit(MOST_COMMON).collect()
-    common, rank = np.array([r["key"] for r in often], np.int64).view(np.uint64), np.array([r["count"] for r in often], np.int64)
-    common, rank = common[np.argsort(common)], rank[np.argsort(common)]
-
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                held = [shingle_set(t.as_py()) for t in batch.column(2).slice(at, 256)]
-                keys = [prefix(h, common, rank) for h in held]
-                many = [len(k) for k in keys]
-                nodes, sizes = np.repeat([node_of(h) for h in held], many), np.repeat([len(h) for h in held], many)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())], ["key", "node", "n"])
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
-        for key, ids, n in _buckets(batches):
-            new = np.concatenate([[True], (np.diff(key) != 0) | (np.diff(ids) != 0)])  # copies of a class are next to each other
-            key, ids, n = key[new], ids[new], n[new, 0].view(np.int64)
-            edges = np.flatnonzero(np.diff(key)) + 1
-            starts, ends = np.concatenate([[0], edges]), np.concatenate([edges, [len(key)]])
-            out = []
-            for a, b in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
-                mark = xxhash.xxh3_128_digest(ids[a:b].tobytes())
-                if mark not in seen:
-                    if len(seen) < 100_000:
-                        seen.add(mark)
-                    out.append((ids[a:b], n[a:b]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.list_(pa.int64())), pa.array([x for _, x in out], pa.list_(pa.int64()))], ["nodes", "sizes"])
-
-    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = ((x.values.to_numpy(), y.values.to_numpy()) for b in batches for x, y in zip(b.column(0), b.column(1), strict=True))
-        return _pairs((x, star_pairs(x, y)) for x, y in lists)
-
-    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
-    classes = cut(rows.mapInArrow(mark, "_id bigint, _row bigint, node bigint").groupBy("node").agg(F.min(order).alias("first")))
-    dealt = rows.mapInArrow(index, "key bigint, node bigint, n bigint").repartition("key").sortWithinPartitions("key", "node")
-    buckets = cut(dealt.mapInArrow(gather, "nodes array<bigint>, sizes array<bigint>").dropDuplicates(["nodes"]))
-    # The whole sets of the classes that share a bucket, from one row of each.
-    wanted = kept_as_table(buckets.select(F.explode("nodes").alias("node")).distinct().join(classes, "node").select("node", F.col("first.id").alias("_id"), F.col("first.row").alias("_row")))
-    mine = rows.join(wanted, rows["_id"].eqNullSafe(wanted["_id"]) & (rows["_row"] == wanted["_row"])).select("node", "_text")
-    held = cut(mine.mapInArrow(whole, "node bigint, held binary").dropDuplicates(["node"]))
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(held.toDF("u", "a"), "u").join(held.toDF("v", "b"), "v").select("u", "v", "a", "b")
-        return both.mapInArrow(compare, "u bigint, v bigint")
-
-    tried = cut(buckets.mapInArrow(stars, "u bigint, v bigint").distinct())
-    links = cut(linked(tried))
-    reach = components(links_of(classes, bits, radius))
-    found = classes.join(reach, "node", "left").select(*lanes, F.coalesce("component", "node").alias("component_id"))
-    shown = F.lower(F.concat(*[F.lpad(F.hex(x), 16, "0") for x in lanes]))
-    return marked.join(found, lanes, "left").select(F.col("_id").alias(id_col), shown.alias("fingerprint"), "component_id")
-
-
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct ``ALIKE_WORDS``-word shingles; of all words where there are fewer; none without a word."""
-    split = words_of(text).split()
-    if not split:
-        return np.zeros(0, np.uint64)
-    digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(w, HASH_SEED) for w in split), np.uint64, len(split))
-    n = min(ALIKE_WORDS, len(h))
-    out = np.zeros(len(h) - n + 1, np.uint64)
-    for k in range(n):
-        out += h[k : len(out) + k] * PLACES[k]
-    for m in MIX:
-        out ^= out >> np.uint64(33)
-        out *= m
-    return np.unique(out ^ (out >> np.uint64(33)))
-
-
-def alike(x: np.ndarray, y: np.ndarray) -> bool:
-    """Whether two sets of shingles share ``ALIKE`` of their union or more; estimated from the 256 least hashes of larger sets."""
-    both = np.union1d(x, y)[:256]
-    common = int(np.isin(both, np.intersect1d(x, y, assume_unique=True), assume_unique=True).sum())
-    return common * ALIKE[1] >= len(both) * ALIKE[0]
-
-
-def prefix(h: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The first shingles of a set, as many as make every set that is alike hold one of them among its own first.
-
-    ``common`` are shingles in ascending order, which come last and by their ``rank``; the others come
-    by hash. Sets that are alike share ``ALIKE`` of either, so each leaves out at most the rest.
-    """
-    n = len(h) - -(-len(h) * ALIKE[0] // ALIKE[1]) + 1 if len(h) else 0
-    late = np.zeros(len(h), np.int64)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, h), len(common) - 1)
-        late = np.where(common[at] == h, rank[at], 0)
-    return h[np.argsort(late, kind="stable")[:n]]
-
-
-def _near_in_size(n: np.ndarray, i: int) -> np.ndarray:
-    """Which of the sets of sizes ``n`` are large and small enough to be alike to set ``i``."""
-    return np.minimum(n, n[i]) * ALIKE[1] >= np.maximum(n, n[i]) * ALIKE[0]
-
-
-def star_pairs(nodes: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Leaders of a bucket, each with others near in size; every row has a leader in each of the orders."""
-    for order in LEADERS:
-        key, left = nodes.view(np.uint64) * order, np.ones(len(nodes), bool)
-        while left.any():
-            i = int(np.flatnonzero(left)[key[left].argmin()])
-            near = left & _near_in_size(n, i)
-            left &= ~near
-            near[i] = False
-            yield i, np.flatnonzero(near)
-
-
 def open_pairs(group: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each row of a bucket with the later ones near in size that are not of its group yet."""
     for i in range(len(n) - 1):
@@ -538,7 +367,8 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     shingles. Texts of equal sets are one class. Each class is indexed under its first shingles in an
     order of all shingles (see ``prefix``), so that every linked pair shares a bucket; common shingles
     come last in that order, which is read from a sample and changes the size of buckets only. In each
-    bucket all are compared with a few leaders. Null ids count as larger than all others. Texts
+    bucket all are compared with a few leaders, then all pairs that the groups found so far leave
+    open. Null ids count as larger than all others. Texts
     without a word are alike. All columns pass through.
     """
     row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
@@ -620,11 +450,12 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     tried = cut(buckets.mapInArrow(stars, "u bigint, v bigint").distinct())
     links = cut(linked(tried))
+    groups = components(links)
     # Buckets of two are settled; in the others the pairs that no group joins are still open.
     of = buckets.filter(F.size("nodes") > 2).select(F.xxhash64("nodes").alias("bucket"), F.explode(F.arrays_zip("nodes", "sizes")).alias("x")).select("bucket", F.col("x.nodes").alias("node"), F.col("x.sizes").alias("n"))
     of = of.join(groups, "node", "left").groupBy("bucket").agg(F.collect_list(F.struct(F.coalesce("component", "node").alias("group"), "node", "n")).alias("x"))
     left = of.filter(F.size(F.array_distinct("x.group")) > 1).select("x").mapInArrow(rest, "u bigint, v bigint").distinct().join(tried, ["u", "v"], "left_anti")
-    reach = components(links)
+    reach = components(links.unionByName(linked(left)))
     kept = (
         classes.select("node", "first").join(reach, "node", "left").groupBy(F.coalesce("component", "node").alias("group"))
         .agg(F.min("first").alias("first")).select(F.col("first.id").alias("_id"), F.col("first.row").alias("_row"))
