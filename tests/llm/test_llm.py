@@ -270,6 +270,18 @@ def test_near_copies_beside_reordered_texts(spark):
     assert near_left(spark, texts) == sorted(set(grouped(links, texts).values()))
 
 
+def test_near_copies_by_whole_texts(spark):
+    """Similarities between 0.78 and 0.82 in texts of many shingles."""
+    rng, texts = random.Random(15), {}
+    for k in range(40):
+        base = [f"w{rng.randint(0, 9000)}" for _ in range(1000)]
+        more = [f"w{rng.randint(0, 9000)}" for _ in range(rng.randint(215, 285))]
+        texts |= {2 * k: " ".join(base), 2 * k + 1: " ".join(base + more)}
+    links = [p for p, s in brute_alike(texts).items() if s >= 0.8]
+    assert 10 < len(links) < 30
+    assert near_left(spark, texts) == sorted(set(grouped(links, texts).values()))
+
+
 # ---------------------------------------------------------------- tokens
 
 

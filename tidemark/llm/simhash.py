@@ -290,10 +290,9 @@ def shingle_set(text: str | None) -> np.ndarray:
 
 
 def alike(x: np.ndarray, y: np.ndarray) -> bool:
-    """Whether two sets of shingles share ``ALIKE`` of their union or more; estimated from the 256 least hashes of larger sets."""
-    both = np.union1d(x, y)[:256]
-    common = int(np.isin(both, np.intersect1d(x, y, assume_unique=True), assume_unique=True).sum())
-    return common * ALIKE[1] >= len(both) * ALIKE[0]
+    """Whether two sets of shingles share ``ALIKE`` of their union or more; two empty sets do."""
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return common * ALIKE[1] >= (len(x) + len(y) - common) * ALIKE[0]
 
 
 def prefix(h: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -368,7 +367,7 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     order of all shingles (see ``prefix``), so that every linked pair shares a bucket; common shingles
     come last in that order, which is read from a sample and changes the size of buckets only. In each
     bucket all are compared with a few leaders, then all pairs that the groups found so far leave
-    open. Null ids count as larger than all others. Texts
+    open. Every decision is made on the whole sets. Null ids count as larger than all others. Texts
     without a word are alike. All columns pass through.
     """
     row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
