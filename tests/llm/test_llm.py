@@ -464,6 +464,18 @@ def test_licenses(spark, odd, empty):
     assert licenses.license_scan(empty).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    """Licence texts as they are wrapped in files; no family is named on a line of its own."""
+    mit = "Copyright (c) 2020 Someone\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n"
+    bsd = "Copyright (c) 2020, Someone\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n"
+    gpl = "A program.\n\n    This program is free software: you can redistribute it and/or modify\n    it under the terms of the GNU General Public License as published by\n    the Free Software Foundation, either version 3 of the License, or\n    (at your option) any later version.\n"
+    apache = "Copyright 2020 Someone\r\n\r\nLicensed under the Apache License,\r\nVersion 2.0 (the \"License\"); you may not use this file except\r\nin compliance with the License.\r\n"
+    closed, plain = "Copyright 2020 Someone.\nAll rights\nreserved.", "The software licence was\ndiscussed at length.\n\nApache helicopters flew\nover the town."
+    df = spark.createDataFrame(list(enumerate([mit, bsd, gpl, apache, closed, plain])), "doc_id long, text string")
+    out = {r["doc_id"]: r["licenses"] for r in licenses.license_scan(df).collect()}
+    assert out == {0: "mit", 1: "bsd", 2: "gpl-3.0", 3: "apache-2.0", 4: "proprietary", 5: ""}
+
+
 def test_license_scores_are_the_models(spark):
     names, weights, intercept = licenses.model()
     texts = ["Licensed under the Apache License, Version 2.0.", "All rights reserved.", "a license of the public"]

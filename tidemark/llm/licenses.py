@@ -1,6 +1,7 @@
 r"""Licence scans: a trained paragraph classifier over sparse word n-grams, confirmed by templates.
 
-A paragraph is a line. Its features are its distinct word 1- and 2-grams. A multinomial logistic
+A paragraph is what stands between blank lines, its lines joined by a space; each of its lines is a
+candidate besides. Its features are its distinct word 1- and 2-grams. A multinomial logistic
 regression, trained here on the driver from the notices below (a fixed, small set), gives each
 licence family and the class ``unknown`` a weight per n-gram; a temperature fitted on held-out
 notices calibrates the probabilities. A prediction counts when the paragraph also covers enough of
@@ -57,9 +58,11 @@ OTHER = (
     "The general public was invited.", "The public may use the library.", "Creative people meet in the commons.", "A copy of the letter is attached.", "copyright law is old", "They were licensed to sell fish.",
     "the terms of the treaty", "This work is hard.", "released under pressure", "under the bridge", "The GNU is a large antelope.", "a source of income", "foundation of the house",
 )
-ANCHORS = r"(?i)(?<![a-z0-9])(?:licen[cs]e[ds]?|copyright|spdx|apache|a?gpl(?:v[23])?|lgpl|gnu|bsd|mozilla|mpl|creative commons|cc0|cc.by|rights reserved|permission|redistribution|redistribute|proprietary|public domain)(?![a-z0-9])"
+ANCHORS = r"(?i)(?<![a-z0-9])(?:licen[cs]e[ds]?|copyright|spdx|apache|a?gpl(?:v[23])?|lgpl|gnu|bsd|mozilla|mpl|creative\s+commons|cc0|cc(?:.|\s)by|rights\s+reserved|permission|redistribution|redistribute|proprietary|public\s+domain)(?![a-z0-9])"
 WORDS = r"[a-z0-9]+"
 UNKNOWN = "unknown"
+#: A bare reservation of rights also opens many open licences; with these words it is more than that.
+RESERVED, CLOSED = r"(?i)rights\s+reserved", r"(?i)confidential|proprietary|unauthorized|no part|written permission"
 SEED, EPOCHS, RATE, PENALTY = 7, 400, 0.5, 2e-4
 #: Least share of a template's n-grams that the paragraph has to hold, and least probability.
 COVERAGE, LEAST = 0.7, 0.5
@@ -152,29 +155,37 @@ def classify_paragraphs(paragraphs: DataFrame, col: str = "paragraph") -> DataFr
 
 
 def anchored(text: Column) -> Column:
-    """The paragraphs that hold an anchor word."""
-    return F.when(text.rlike(ANCHORS), F.filter(F.split(text, r"\n+"), lambda p: p.rlike(ANCHORS))).otherwise(F.array().cast("array<string>"))
+    """The lines, and the paragraphs of several lines, that hold an anchor word; as structs of paragraph and ``line``, whether it is one line."""
+    blocks = F.split(text, r"\r?\n(?:[\x20\x09-\x0D]*\n)+")
+    joined = F.transform(F.filter(blocks, lambda b: F.trim(b).contains("\n")), lambda b: F.struct(F.regexp_replace(F.trim(b), r"[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*", " ").alias("paragraph"), F.lit(False).alias("line")))
+    lines = F.transform(F.split(text, r"\n+"), lambda p: F.struct(p.alias("paragraph"), F.lit(True).alias("line")))
+    held = F.filter(F.concat(lines, joined), lambda x: x["paragraph"].rlike(ANCHORS))
+    return F.when(text.rlike(ANCHORS), held).otherwise(F.array().cast("array<struct<paragraph:string,line:boolean>>"))
 
 
 def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per id: licenses (confirmed families, sorted, comma-joined), n_paragraphs, n_confirmed, score.
 
-    n_paragraphs counts the paragraphs with an anchor word, score is the highest probability of a
-    confirmed family (0 without one). Null and empty texts have none. Rows that share an id,
+    n_paragraphs counts the lines with an anchor word, n_confirmed the confirmed lines and paragraphs of
+    several lines, score is the highest probability of a confirmed family (0 without one). A bare
+    "All rights reserved" is proprietary only where no other family is confirmed. Null and empty texts have none. Rows that share an id,
     null included, share one result row. An empty table gives an empty result.
     """
-    rows = df.select(F.col(id_col).alias("_id"), F.explode_outer(anchored(text_or_empty(text_col))).alias("paragraph"))
+    rows = df.select(F.col(id_col).alias("_id"), F.explode_outer(anchored(text_or_empty(text_col))).alias("_found")).select("_id", "_found.paragraph", "_found.line")
     rows = rows.withColumn("_key", F.coalesce("paragraph", F.concat(F.lit("\n"), F.coalesce(F.col("_id").cast("string"), F.lit("")))))
     found = classify_paragraphs(rows.filter(F.col("paragraph").isNotNull())).withColumnRenamed("paragraph", "_key")
-    sure = F.col("confirmed")
+    bare = (F.col("family") == "proprietary") & F.col("paragraph").rlike(RESERVED) & ~F.col("paragraph").rlike(CLOSED)
+    sure, kept = F.col("confirmed") & ~bare, F.col("confirmed") & bare
+    none = F.count(F.when(sure, F.lit(1))) == 0
+    families = F.collect_set(F.when(sure, F.col("family")))
     return (
         rows.join(found, "_key", "left")
         .groupBy(F.col("_id").alias(id_col))
         .agg(
-            F.array_join(F.array_sort(F.collect_set(F.when(sure, F.col("family")))), ",").alias("licenses"),
-            F.count("paragraph").alias("n_paragraphs"),
-            F.count(F.when(sure, F.lit(1))).alias("n_confirmed"),
-            F.coalesce(F.max(F.when(sure, F.col("probability"))), F.lit(0.0)).alias("score"),
+            F.array_join(F.array_sort(F.when(none, F.collect_set(F.when(kept, F.col("family")))).otherwise(families)), ",").alias("licenses"),
+            F.count(F.when(F.col("line"), F.lit(1))).alias("n_paragraphs"),
+            F.when(none, F.count(F.when(kept, F.lit(1)))).otherwise(F.count(F.when(sure, F.lit(1)))).alias("n_confirmed"),
+            F.coalesce(F.when(none, F.max(F.when(kept, F.col("probability")))).otherwise(F.max(F.when(sure, F.col("probability")))), F.lit(0.0)).alias("score"),
         )
     )
 
