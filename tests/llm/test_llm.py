@@ -476,6 +476,17 @@ def test_wrapped_licenses(spark):
     assert out == {0: "mit", 1: "bsd", 2: "gpl-3.0", 3: "apache-2.0", 4: "proprietary", 5: ""}
 
 
+def test_every_short_notice_is_confirmed(spark):
+    said = [(f.format(n), k) for k, (names, _) in licenses.FAMILIES.items() for n in names for f in licenses.FRAMES if (f, n) != ("{}", "MIT")]
+    said += [(t, k) for k, (_, own) in licenses.FAMILIES.items() for t in own]
+    said += [("SPDX-License-Identifier: GPL-3.0-only", "gpl-3.0"), ("License: MIT", "mit"), ("Released under the MIT.", "mit"), ("// SPDX-License-Identifier: MIT", "mit")]
+    said += [(t, "") for t in ("MIT", "Er fuhr mit der Bahn unter Lizenz.", "Mit der Lizenz kam er.", "Studied at MIT, licensed to teach.")]
+    said += [("Licensed under the Apache License, Version 2.0.\nMan kommt mit der Bahn und mit dem Rad,\nmit der Hand und mit dem Fahrer.", "apache-2.0")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(said)], "doc_id long, text string")
+    out = {r["doc_id"]: r["licenses"] for r in licenses.license_scan(df).collect()}
+    assert [(t, out[i], k) for i, (t, k) in enumerate(said) if out[i] != k] == []
+
+
 def test_license_scores_are_the_models(spark):
     names, weights, intercept = licenses.model()
     texts = ["Licensed under the Apache License, Version 2.0.", "All rights reserved.", "a license of the public"]

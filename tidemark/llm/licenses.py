@@ -32,9 +32,9 @@ FAMILIES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
         ("MIT License", "The MIT Licence", "MIT", "Expat License"),
         ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
     ),
-    "gpl-2.0": (("GNU General Public License, version 2", "GPLv2", "GPL-2.0-only", "GNU GPL version 2"), ()),
+    "gpl-2.0": (("GNU General Public License, version 2", "GPLv2", "GPL-2.0-only", "GPL-2.0-or-later", "GNU GPL version 2"), ()),
     "gpl-3.0": (
-        ("GNU General Public License, version 3", "GPLv3", "GPL-3.0-or-later", "GNU GPL version 3", "GNU General Public License v3.0"),
+        ("GNU General Public License, version 3", "GPLv3", "GPL-3.0-only", "GPL-3.0-or-later", "GNU GPL version 3", "GNU General Public License v3.0"),
         ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version",),
     ),
     "lgpl": (("GNU Lesser General Public License", "LGPL", "LGPL-2.1", "LGPL-3.0", "GNU Lesser General Public License, version 2.1"), ()),
@@ -58,7 +58,7 @@ OTHER = (
     "The general public was invited.", "The public may use the library.", "Creative people meet in the commons.", "A copy of the letter is attached.", "copyright law is old", "They were licensed to sell fish.",
     "the terms of the treaty", "This work is hard.", "released under pressure", "under the bridge", "The GNU is a large antelope.", "a source of income", "foundation of the house",
 )
-ANCHORS = r"(?i)(?<![a-z0-9])(?:licen[cs]e[ds]?|copyright|spdx|apache|a?gpl(?:v[23])?|lgpl|gnu|bsd|mozilla|mpl|creative\s+commons|cc0|cc(?:.|\s)by|rights\s+reserved|permission|redistribution|redistribute|proprietary|public\s+domain)(?![a-z0-9])"
+ANCHORS = r"(?i)(?<![a-z0-9])(?:under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?(?:mit|expat)|licen[cs]e[ds]?|copyright|spdx|apache|a?gpl(?:v[23])?|lgpl|gnu|bsd|mozilla|mpl|creative\s+commons|cc0|cc(?:.|\s)by|rights\s+reserved|permission|redistribution|redistribute|proprietary|public\s+domain)(?![a-z0-9])"
 WORDS = r"[a-z0-9]+"
 UNKNOWN = "unknown"
 #: A bare reservation of rights also opens many open licences; with these words it is more than that.
@@ -68,10 +68,14 @@ SEED, EPOCHS, RATE, PENALTY = 7, 400, 0.5, 2e-4
 COVERAGE, LEAST = 0.7, 0.5
 
 
-def _ngrams(text: str) -> set[str]:
+def _words(text: str) -> list[str]:
     import re
 
-    words = re.findall(WORDS, text.lower())
+    return re.findall(WORDS, text.lower())
+
+
+def _ngrams(text: str) -> set[str]:
+    words = _words(text)
     return {*words, *(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))}
 
 
@@ -116,8 +120,17 @@ def model() -> tuple[list[str], dict[str, np.ndarray], np.ndarray]:
 
 
 def templates() -> list[tuple[str, set[str]]]:
-    """Families with the n-grams of their names and sentences; one common word alone confirms nothing."""
-    return [(k, _ngrams(t)) for k, (names, own) in FAMILIES.items() for t in (*names, *own) if t != "MIT"]
+    """Families with the n-grams of their names and sentences; one common word alone confirms nothing.
+
+    The word "MIT" is confirmed by the words of a frame that lead to it: all pairs of the last four.
+    """
+    held = [(k, _ngrams(t)) for k, (names, own) in FAMILIES.items() for t in (*names, *own) if t != "MIT"]
+    for frame in FRAMES:
+        words = _words(frame.format("MIT"))
+        lead = words[: words.index("mit") + 1][-4:]
+        if len(lead) > 1:
+            held.append(("mit", {f"{a} {b}" for a, b in zip(lead, lead[1:], strict=False)}))
+    return held
 
 
 def _weights(spark: SparkSession) -> DataFrame:
