@@ -423,6 +423,13 @@ def test_all_windows_are_scored():
         assert n <= toxicity.WINDOW or covered.max() == 2
 
 
+def test_lines_and_tabs_end_words():
+    words_ = [f"word{i}" for i in range(40)]
+    network = toxicity.Network.new(["word3", "word20"], np.random.default_rng(1))
+    logits = toxicity.text_logits(toxicity.Inputs(network), pa.array([s.join(words_) for s in (" ", "\n", "\t", "\r\n", " \n\n ")]))
+    assert np.allclose(logits, logits[0], atol=1e-6)
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     net = toxicity.Network.new(["a"], rng)

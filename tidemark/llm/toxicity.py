@@ -36,6 +36,11 @@ SEED, BATCH, RATE, DECAY, ROUNDS = 5, 256, 0.01, 0.05, ((6, 4), (4, 4), (4, 4),
 AT_ONCE = 1024
 
 
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Like ``words_of``, at all white space; white space with a tab or line break in it is one space."""
+    return words_of(pc.replace_substring_regex(texts, r"[\x20\x09-\x0D]*[\x09-\x0D][\x20\x09-\x0D]*", " "))
+
+
 def plain(words: pa.Array) -> pa.Array:
     """Words in lower case, letters and digits only."""
     return pc.replace_substring_regex(pc.utf8_lower(words), r"[^\p{L}\p{N}]+", "")
@@ -204,7 +209,7 @@ def text_logits(inputs: Inputs, texts: pa.Array) -> np.ndarray:
     """The largest logit over all windows of each text."""
     out = np.zeros(len(texts))
     for at, part in blocks(texts):
-        words, offsets = words_of(part)
+        words, offsets = split(part)
         codes, sizes = inputs.codes_of(words), np.diff(offsets)
         text, first, many = windows(sizes)
         order = np.argsort(many, kind="stable")[::-1]
@@ -227,7 +232,7 @@ def train(rows: list[tuple[str, int]], seed: int = SEED) -> Network | float:
         return float((y_text.sum() + 1) / (len(y_text) + 2)) if len(rows) else 0.0
     rng = np.random.default_rng(seed)
     texts = pa.array([t for t, _ in rows], pa.string())
-    words, offsets = words_of(texts)
+    words, offsets = split(texts)
     coded = plain(words).dictionary_encode()
     code, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
     word_text = np.repeat(np.arange(len(rows)), np.diff(offsets))
