@@ -423,6 +423,12 @@ def test_all_windows_are_scored():
         assert n <= toxicity.WINDOW or covered.max() == 2
 
 
+def test_half_a_window_is_never_cut():
+    for n in (12, 13, 17, 18, 50):
+        _, first, many = toxicity.windows(np.array([n]))
+        assert all(((first <= a) & (a + toxicity.WINDOW // 2 <= first + many)).any() for a in range(n - toxicity.WINDOW // 2 + 1))
+
+
 def test_lines_and_tabs_end_words():
     words_ = [f"word{i}" for i in range(40)]
     network = toxicity.Network.new(["word3", "word20"], np.random.default_rng(1))

@@ -29,7 +29,7 @@ from tidemark.llm.vocabulary import Remembered, blocks, words_of
 MODULUS, HELD, THRESHOLD = 4, 2, 0.3
 #: Labelled texts of either label that the fit takes at most.
 MOST = {0: 1800, 1: 900}
-WINDOW, STRIDE = 12, 9
+WINDOW, STRIDE = 12, 6
 WORDS, TRIGRAMS, WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 4000, 4096, 8, 12, 12, 8
 SEED, BATCH, RATE, DECAY, ROUNDS = 5, 256, 0.01, 0.05, ((6, 4), (4, 4), (4, 4), (4, 4))
 #: Windows scored at a time, and words that a worker remembers.
