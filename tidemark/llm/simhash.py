@@ -32,6 +32,8 @@ SAMPLED, COMMON, MOST_COMMON = 16, 3, 1 << 16
 #: Odd multipliers: of the words of a shingle by place, of its mixing, and of the orders that give a bucket's leaders.
 PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
+#: Bits of the sketch that rules out pairs before their sets are fetched.
+ODD = 1024
 LEADERS = np.array([1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
@@ -289,6 +291,11 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(out ^ (out >> np.uint64(33)))
 
 
+def odd_sketch(h: np.ndarray) -> bytes:
+    """For each of ``ODD`` bits whether an odd number of shingles fall on it; two sets differ in at least as many shingles as their sketches in bits."""
+    return np.packbits((np.bincount((h % np.uint64(ODD)).astype(np.int64), minlength=ODD) & 1).astype(np.uint8)).tobytes()
+
+
 def alike(x: np.ndarray, y: np.ndarray) -> bool:
     """Whether two sets of shingles share ``ALIKE`` of their union or more; two empty sets do."""
     common = len(np.intersect1d(x, y, assume_unique=True))
@@ -367,7 +374,7 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     order of all shingles (see ``prefix``), so that every linked pair shares a bucket; common shingles
     come last in that order, which is read from a sample and changes the size of buckets only. In each
     bucket all are compared with a few leaders, then all pairs that the groups found so far leave
-    open. Every decision is made on the whole sets. Null ids count as larger than all others. Texts
+    open. Every decision is made on the whole sets, but for pairs that a bound rules out. Null ids count as larger than all others. Texts
     without a word are alike. All columns pass through.
     """
     row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
@@ -378,8 +385,16 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes = [node_of(shingle_set(t.as_py())) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64())], ["_id", "_row", "node"])
+            found = [(node_of(h), len(h), odd_sketch(h)) for h in (shingle_set(t.as_py()) for t in batch.column(2))]
+            nodes, n, odd = zip(*found, strict=True) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(n, pa.int64()), pa.array(odd, pa.binary())], ["_id", "_row", "node", "n", "odd"])
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(-1, ODD // 64) for k in (3, 5))
+            # Sets that are alike differ in at most this share of their sizes' sum, so no link is lost.
+            most = (batch.column(2).to_numpy() + batch.column(4).to_numpy()) * (ALIKE[1] - ALIKE[0]) // (ALIKE[1] + ALIKE[0])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(_popcount(a ^ b).sum(1, dtype=np.int64) <= most))
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -435,20 +450,22 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         return _pairs((nodes, open_pairs(group, n)) for group, nodes, n in lists)
 
     order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
-    classes = cut(rows.mapInArrow(mark, "_id bigint, _row bigint, node bigint").groupBy("node").agg(F.min(order).alias("first")))
+    classes = cut(rows.mapInArrow(mark, "_id bigint, _row bigint, node bigint, n bigint, odd binary").groupBy("node").agg(F.min(order).alias("first"), F.first("n").alias("n"), F.first("odd").alias("odd")))
     dealt = rows.mapInArrow(index, "key bigint, node bigint, n bigint").repartition("key").sortWithinPartitions("key", "node")
     buckets = cut(dealt.mapInArrow(gather, "nodes array<bigint>, sizes array<bigint>").dropDuplicates(["nodes"]))
-    # The whole sets of the classes that share a bucket, from one row of each.
-    wanted = kept_as_table(buckets.select(F.explode("nodes").alias("node")).distinct().join(classes, "node").select("node", F.col("first.id").alias("_id"), F.col("first.row").alias("_row")))
-    mine = rows.join(wanted, rows["_id"].eqNullSafe(wanted["_id"]) & (rows["_row"] == wanted["_row"])).select("node", "_text")
-    held = cut(mine.mapInArrow(whole, "node bigint, held binary").dropDuplicates(["node"]))
 
     def linked(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(held.toDF("u", "a"), "u").join(held.toDF("v", "b"), "v").select("u", "v", "a", "b")
-        return both.mapInArrow(compare, "u bigint, v bigint")
+        brief = classes.select("node", "n", "odd")
+        near = cut(pairs.join(brief.toDF("u", "na", "a"), "u").join(brief.toDF("v", "nb", "b"), "v").select("u", "v", "na", "a", "nb", "b").mapInArrow(sift, "u bigint, v bigint"))
+        # The whole sets, from one row of each class.
+        wanted = kept_as_table(near.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(classes, "node").select("node", F.col("first.id").alias("_id"), F.col("first.row").alias("_row")))
+        mine = rows.join(wanted, rows["_id"].eqNullSafe(wanted["_id"]) & (rows["_row"] == wanted["_row"])).select("node", "_text")
+        held = cut(mine.mapInArrow(whole, "node bigint, held binary").dropDuplicates(["node"]))
+        both = near.join(held.toDF("u", "a"), "u").join(held.toDF("v", "b"), "v").select("u", "v", "a", "b")
+        return cut(both.mapInArrow(compare, "u bigint, v bigint"))
 
     tried = cut(buckets.mapInArrow(stars, "u bigint, v bigint").distinct())
-    links = cut(linked(tried))
+    links = linked(tried)
     groups = components(links)
     # Buckets of two are settled; in the others the pairs that no group joins are still open.
     of = buckets.filter(F.size("nodes") > 2).select(F.xxhash64("nodes").alias("bucket"), F.explode(F.arrays_zip("nodes", "sizes")).alias("x")).select("bucket", F.col("x.nodes").alias("node"), F.col("x.sizes").alias("n"))
