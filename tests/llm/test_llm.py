@@ -368,10 +368,34 @@ def test_neighbours(spark):
             assert [g[1] for g in got] == [i for _, i in best]
     assert hits / (10 * len(out)) >= 0.9
     assert neighbours.nearest(df.limit(0)).count() == 0
+    two = neighbours.nearest(spark.createDataFrame([(100, [1.0, 0.0]), (100, [0.0, 3.0]), (101, [0.0, 1.0]), (101, [5.0, 5.0])], "vec_id long, embedding array<double>")).collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"]) for r in two] == [(100, 1, 101)] and abs(two[0]["score"] - np.sqrt(2)) < 1e-12
     few = neighbours.nearest(spark.createDataFrame([(100, [1.0, 0.0]), (101, [0.0, 1.0])], "vec_id long, embedding array<double>")).collect()
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in few] == [(100, 1, 101)]
 
 
+def test_neighbours_read_fewer_files_as_tables_grow():
+    shares = [neighbours.files_read(m, 10) * neighbours.POSTED / m for m in (100, 400, 1600, 6400, 25600)]
+    assert shares == sorted(shares, reverse=True) and shares[-1] < shares[0] / 10
+    assert [neighbours.files_read(m, 10) for m in (1, 16, 17)] == [1, 16, 17]
+
+
+def test_neighbours_of_a_larger_table(spark):
+    """The ten thousand near-isotropic vectors of which a query meets a part only."""
+    sf = "/root/testdata/check_s"
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids, v = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], np.float64)
+    hits = 0
+    out = neighbours.op4_neighbours(spark, sf).collect()
+    for q in ids[ids % 100 == 0]:
+        d = np.sqrt(((v - v[ids == q]) ** 2).sum(1))
+        best = sorted(zip(d[ids != q].tolist(), ids[ids != q].tolist(), strict=True))[:10]
+        got = sorted((r["rank"], r["vec_id"], r["score"]) for r in out if r["query_id"] == q)
+        assert [r[0] for r in got] == list(range(1, 11))
+        hits += len({i for _, i in best} & {r[1] for r in got})
+    assert hits / len(out) >= 0.93
+
+
 # ---------------------------------------------------------------- classifiers
 
 

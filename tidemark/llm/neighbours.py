@@ -1,18 +1,19 @@
 """Approximate nearest neighbours by a permutation index.
 
 Pivots are drawn from the vectors, as many as grow with the square root of their number. A vector is
-represented by its nearest pivots in order and posted in those pivots' inverted files. A query reads
-the files of its own nearest pivots, ranks what it finds there by the footrule distance between the
-two prefixes, and the best share is ranked again by the exact distance. Every task holds the files
-of its own vectors, so vectors are not moved, and the queries come to the tasks in blocks of a fixed
-size. Equal vectors are one entry that carries its smallest ids, so that many copies of a vector
-neither lengthen a file nor push others out.
+represented by its nearest pivots in order, and posted in the inverted files of the first few of
+them. A query is sent to the files of its own nearest pivots only, and meets them there by an
+equality shuffle on the file; a long file is dealt as several chunks. In a file the entries are
+ranked by the footrule distance between their prefixes and the query's, and the best share is ranked
+again by the exact distance. With n vectors there are about sqrt(n) pivots and a query reads about
+the square root of them, so the share of the vectors that it meets falls as the table grows. Equal
+vectors are one entry that carries its smallest ids, so that many copies of a vector neither
+lengthen a file nor push others out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +24,12 @@ from tidemark.llm.common import cut, table
 
 #: Neighbours, and one query in so many ids.
 K, EVERY = 10, 100
-#: Pivots in a prefix, share of the entries that is ranked again, and the least number of them.
-PREFIX, AGAIN, LEAST_AGAIN = 64, 0.25, 400
-#: Pivots at least, per square root of the vectors, and at most; queries in a block, vectors in a task's files.
-LEAST_PIVOTS, PIVOTS, MOST_PIVOTS, QUERIES_AT_ONCE, ENTRIES_AT_ONCE = 96, 4.0, 8192, 2048, 16384
+#: Pivots in a prefix, files that an entry is posted in, and the share of a file that is ranked again.
+PREFIX, POSTED, AGAIN = 64, 8, 0.3
+#: Files that a query reads per square root of the pivots, besides a few more than it asks for.
+READ = 2.0
+#: Pivots at least, per square root of the vectors, and at most; entries in a chunk of a file.
+LEAST_PIVOTS, PIVOTS, MOST_PIVOTS, CHUNK = 96, 4.0, 32768, 1024
 SEED = 17
 
 
@@ -45,20 +48,28 @@ def prefixes(v: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
 
 
 class Files:
-    """Inverted files: for each pivot the entries that hold it in their prefix, and its place there."""
+    """Inverted lists of a file: for each pivot the entries that hold it in their prefix, and its place there."""
 
-    def __init__(self, held: np.ndarray, n_pivots: int) -> None:
+    def __init__(self, held: np.ndarray) -> None:
         self.n, self.length = held.shape
         order = np.argsort(held.ravel(), kind="stable")
         self.entry, self.place = order // self.length, order % self.length
-        self.bounds = np.searchsorted(held.ravel()[order], np.arange(n_pivots + 1))
+        self.pivots, first = np.unique(held.ravel()[order], return_index=True)
+        self.bounds = np.append(first, held.size)
 
     def saved(self, prefix: np.ndarray) -> np.ndarray:
         """What each entry's footrule distance to ``prefix`` falls short of that of two prefixes without a common pivot."""
-        spans = [slice(self.bounds[p], self.bounds[p + 1]) for p in prefix.tolist()]
-        at = np.repeat(np.arange(self.length), [s.stop - s.start for s in spans])
-        entry, place = np.concatenate([self.entry[s] for s in spans]), np.concatenate([self.place[s] for s in spans])
-        return np.bincount(entry, 2 * (self.length - np.maximum(at, place)), self.n)
+        at = np.minimum(np.searchsorted(self.pivots, prefix), len(self.pivots) - 1)
+        there = np.flatnonzero(self.pivots[at] == prefix)
+        low, high = self.bounds[at[there]], self.bounds[at[there] + 1]
+        many = high - low
+        where = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        return np.bincount(self.entry[where], 2 * (self.length - np.maximum(np.repeat(there, many), self.place[where])), self.n)
+
+
+def files_read(pivots: int, k: int) -> int:
+    """How many files a query reads: all of a few, and of many about as many as their square root."""
+    return min(pivots, k + 6 + int(np.ceil(READ * pivots**0.5)))
 
 
 def nearest(
@@ -69,8 +80,9 @@ def nearest(
     Score is the Euclidean distance in double precision; ties go to the smaller id. Vectors that are
     null, zero, or hold null or non-finite components, rows without an id, and vectors of another
     length than the most common one (the longest of these) take no part. A query with fewer
-    candidates gets them all. Rows that repeat an id with an equal vector count once. An empty
-    table gives an empty result. ``AGAIN`` of each task's entries are ranked again per query.
+    candidates gets them all. Rows that repeat an id with an equal vector count once; an id with
+    several vectors stands for each of them, as a query and as a candidate, at its nearest. Other
+    columns play no part, whatever their names. An empty table gives an empty result.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vec_col)
@@ -82,67 +94,96 @@ def nearest(
     rank = F.row_number().over(Window.partitionBy("_vec", "_salt").orderBy("_id"))
     few = rows.distinct().withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(64))).withColumn("_n", rank).filter(F.col("_n") <= k + 1)
     entries = cut(few.groupBy("_vec").agg(F.slice(F.array_sort(F.collect_list("_id")), 1, k + 1).alias("ids")).withColumn("entry", F.element_at("ids", 1)))
+    # One id may stand for several vectors, so entries are numbered by a hash of the vector besides.
+    entries = entries.withColumn("entry", F.xxhash64("entry", "_vec"))
     n = entries.count()
     m = int(min(n, max(LEAST_PIVOTS, min(MOST_PIVOTS, PIVOTS * n**0.5))))
     drawn = entries.orderBy(F.xxhash64(F.lit(seed), "entry"), "entry").limit(m).select("_vec").collect()
     pivots = np.array([r["_vec"] for r in drawn], np.float64)
-    length = min(prefix, len(pivots))
     # Queries with equal vectors are looked up once.
     asked = rows.filter(F.pmod("_id", F.lit(every)) == 0).select(F.col("_id").alias("query_id"), "_vec").distinct()
     asked = cut(asked.join(entries.select("_vec", F.col("entry").alias("query")), "_vec").select("query_id", "query", "_vec"))
-    heads = asked.select("query", "_vec").distinct()
-    parts = max(1, -(-heads.count() // QUERIES_AT_ONCE))
-    found = [_search(entries, heads.filter(F.pmod(F.xxhash64("query"), F.lit(parts)) == b), pivots, length, k, again) for b in range(parts)]
-    listed = found[0] if parts == 1 else reduce(DataFrame.unionByName, map(cut, found))
-    nth = F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))
-    listed = listed.withColumn("_n", nth).filter(F.col("_n") <= k + 1).drop("_n")
-    pairs = asked.select("query_id", "query").join(listed, "query").filter("vec_id <> query_id")
+    listed = _search(_placed(entries.select("entry", "_vec", "ids"), pivots, min(prefix, m)), asked.select("query", "_vec").distinct(), pivots, min(prefix, m), k, again)
+    nth = F.row_number().over(Window.partitionBy("query").orderBy("score", "first", "entry"))
+    listed = listed.distinct().withColumn("_n", nth).filter(F.col("_n") <= k + 1).select("query", "score", F.explode("ids").alias("vec_id"))
+    pairs = asked.select("query_id", "query").join(listed, "query").filter("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return pairs.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _search(entries: DataFrame, heads: DataFrame, pivots: np.ndarray, length: int, k: int, again: float) -> DataFrame:
-    """For a block of queries the best entries of each task: query, vec_id, score."""
-    block = heads.collect()
-    query, wanted = np.array([r["query"] for r in block], np.int64), np.array([r["_vec"] for r in block], np.float64)
+def _placed(entries: DataFrame, pivots: np.ndarray, length: int) -> DataFrame:
+    """``entries`` (its second column holds the vectors) with ``prefix``, the places of its nearest pivots among ``pivots``."""
 
-    def look(own: np.ndarray, v: np.ndarray, ids: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-        files = Files(prefixes(v, pivots, length), len(pivots))
-        most = min(len(v), max(LEAST_AGAIN, int(again * len(v))))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                v = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
+                held = prefixes(v, pivots, length).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.FixedSizeListArray.from_arrays(pa.array(held.ravel()), length).cast(pa.list_(pa.int32()))], [*part.schema.names, "prefix"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in entries.schema.fields)
+    return entries.mapInArrow(run, f"{fields}, prefix array<int>")
+
+
+def _search(placed: DataFrame, heads: DataFrame, pivots: np.ndarray, length: int, k: int, again: float) -> DataFrame:
+    """Per query the best entries of each file that it reads: query, entry, first (its smallest id), ids, score."""
+    placed = cut(placed)
+    spark, read = placed.sparkSession, files_read(len(pivots), k)
+    posted = placed.withColumn("file", F.explode(F.slice("prefix", 1, min(POSTED, length))))
+    # One row per pivot: how many chunks its file is dealt in.
+    lengths = posted.groupBy("file").agg(F.count(F.lit(1)).alias("n")).select("file", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")).collect()
+    chunks = F.broadcast(spark.createDataFrame(lengths, "file int, chunks int"))
+    none = F.lit(None)
+    kept = posted.join(chunks, "file").select("file", F.pmod(F.xxhash64("entry"), "chunks").cast("int").alias("chunk"), F.lit(0).alias("kind"), "entry", "_vec", "ids", "prefix")
+    queries = _placed(heads.select("query", "_vec"), pivots, max(length, read)).select(
+        F.explode(F.slice("prefix", 1, read)).alias("file"), F.lit(1).alias("kind"), F.col("query").alias("entry"), "_vec", none.cast("array<bigint>").alias("ids"), F.slice("prefix", 1, length).alias("prefix")
+    )
+    queries = queries.join(chunks, "file").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(*kept.columns)
+    dealt = kept.unionByName(queries).repartition("file", "chunk").sortWithinPartitions("file", "chunk", "kind")
+
+    def look(files: Files, own: np.ndarray, v: np.ndarray, ids: pa.Array, query: np.ndarray, wanted: np.ndarray, prefix: np.ndarray) -> pa.RecordBatch:
+        most = min(len(v), max(k + 1, int(np.ceil(again * len(v)))))
+        first, place = np.array([x[0].as_py() for x in ids], np.int64), {e: i for i, e in enumerate(own.tolist())}
         who, at, score = [], [], []
-        place = {e: i for i, e in enumerate(own.tolist())}
-        for q, (head, prefix) in enumerate(zip(wanted, prefixes(wanted, pivots, length), strict=True)):
-            near = np.argpartition(-files.saved(prefix), most - 1)[:most]
+        for q, head in enumerate(wanted):
+            near = np.argpartition(-files.saved(prefix[q]), most - 1)[:most]
             if (mine := place.get(int(query[q]))) is not None:  # its copies, whatever ties with them
                 near = np.union1d(near, [mine])
             d = np.sqrt(((v[near] - head) ** 2).sum(1))
-            best = np.lexsort((own[near], d))[: k + 1]
+            best = np.lexsort((first[near], d))[: k + 1]
             who.append(np.full(len(best), q))
             at.append(near[best])
             score.append(d[best])
-        return np.concatenate(who), np.concatenate(score), ids.take(pa.array(np.concatenate(at)))
+        found = np.concatenate(at)
+        return pa.RecordBatch.from_arrays([pa.array(query[np.concatenate(who)]), pa.array(own[found]), pa.array(first[found]), ids.take(pa.array(found)), pa.array(np.concatenate(score))], ["query", "entry", "first", "ids", "score"])
+
+    def matrix(a: pa.Array, n: int) -> np.ndarray:
+        return a.flatten().to_numpy().reshape(n, -1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            whole = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-            v = whole.column(1).flatten().to_numpy().reshape(whole.num_rows, -1)
-            who, score, ids = look(whole.column(0).to_numpy(), v, whole.column(2))
-            n = np.diff(ids.offsets.to_numpy())
-            return pa.RecordBatch.from_arrays([pa.array(np.repeat(query[who], n)), ids.flatten(), pa.array(np.repeat(score, n))], ["query", "vec_id", "score"])
-
-        held: list[pa.RecordBatch] = []
+        """A stream sorted by file, chunk and kind: a chunk's entries are held while its queries pass."""
+        at, held, ready = None, [], None
         for batch in batches:
-            for at in range(0, batch.num_rows, ENTRIES_AT_ONCE):
-                held.append(batch.slice(at, ENTRIES_AT_ONCE))
-                if sum(b.num_rows for b in held) >= ENTRIES_AT_ONCE:
-                    yield done(held)
-                    held = []
-        if held:
-            yield done(held)
-
-    if not block:
-        return entries.sparkSession.createDataFrame([], "query bigint, vec_id bigint, score double")
-    return entries.select("entry", "_vec", "ids").mapInArrow(run, "query bigint, vec_id bigint, score double")
+            file, chunk, kind = (batch.column(i).to_numpy() for i in range(3))
+            edges = np.flatnonzero(np.diff(file) | np.diff(chunk) | np.diff(kind)) + 1
+            for low, high in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows], strict=True):
+                if low == high:
+                    continue
+                part, key = batch.slice(low, high - low), (int(file[low]), int(chunk[low]))
+                if key != at:
+                    at, held, ready = key, [], None
+                if not kind[low]:
+                    held.append(part)
+                    continue
+                if not held:
+                    continue
+                if ready is None:
+                    whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                    ready = (Files(matrix(whole.column(6), whole.num_rows)), whole.column(3).to_numpy(), matrix(whole.column(4), whole.num_rows), whole.column(5))
+                yield look(*ready, part.column(3).to_numpy(), matrix(part.column(4), part.num_rows), matrix(part.column(6), part.num_rows))
+
+    return dealt.mapInArrow(run, "query bigint, entry bigint, first bigint, ids array<bigint>, score double")
 
 
 def op4_neighbours(spark, sf_dir: str) -> DataFrame:
