@@ -190,11 +190,17 @@ def test_variants_and_spanning(spark, radius):
     df = spark.createDataFrame([(i, int(x)) for i, x in enumerate(f[:, 0].view(np.int64))], "node long, f0 long")
     found = [(r["u"], r["v"]) for r in simhash.links_of(df, 64, radius).collect()]
     assert grouped(found, range(len(f))) == want
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:  # nearly all buckets of several are too large, and indexed again
+        found = [(r["u"], r["v"]) for r in simhash.links_of(df, 64, radius, heavy=5).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert grouped(found, range(len(f))) == want
 
 
 def test_components(spark):
     rng = random.Random(2)
-    links = [(i, i + 1) for i in range(100, 160)] + [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(40)] + [(200, 200 + i) for i in range(1, 90)]
+    links = [(700, 701 + i) for i in range(5000)] + [(i, i + 1) for i in range(100, 160)] + [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(40)] + [(200, 200 + i) for i in range(1, 90)]
     df = spark.createDataFrame(links + [(500, 500)], "u long, v long")
     got = {r["node"]: r["component"] for r in components(df).collect()}
     want = grouped(links, {n for e in links for n in e})

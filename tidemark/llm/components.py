@@ -1,7 +1,8 @@
 """Connected components of a graph by alternating large-star and small-star steps.
 
-Every step is a join and an aggregation on node ids that combines on the map side, so a node with
-very many links is not gathered in one task. Lineage is cut by checkpoint() in each round; the
+Every step is an aggregation on node ids that combines on the map side, and a join in which both sides
+are dealt for the join itself, so that Spark can split the partition of a node with very many links
+(see ``dealt_join``). Lineage is cut by checkpoint() in each round; the
 number of rounds grows with the logarithm of the longest chain.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, dealt_join
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -29,10 +30,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # Large star: each node's larger neighbours link to the least of its neighbourhood.
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        links = both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
+        links = dealt_join(both, _least(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
         # Small star: each node's smaller neighbours, and itself, link to the least of them.
         low = links.groupBy("u").agg(F.min("v").alias("m"))
-        links = links.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").filter("u > v").distinct()
+        links = dealt_join(links, low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").filter("u > v").distinct()
         links = cut(links)
         seen = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == before:

@@ -1,18 +1,19 @@
 """Exact duplicates by 128-bit content hash, with the bytes compared inside each group.
 
-Only DataFrame functions. A text is normalised, hashed to 128 bits (MD5) and grouped by the hash
-together with the normalised bytes themselves, so two texts that only share a hash never meet in a
-group. The grouping combines on the map side: a group that holds a third of all rows sends one row
-per task. What goes back to the rows is the 128-bit hash, a SHA-256 digest and the group's figures;
-should two different texts ever share both digests, the query stops instead of answering wrongly.
+Only DataFrame functions. A text is normalised and hashed to 128 bits (MD5). Classes are counted on
+the hash and a SHA-256 digest alone, so no text is shuffled for a class of one. The texts of larger
+classes are grouped by hash, digest and bytes; tasks combine what they hold first, so a class that
+holds a third of all rows sends one row per task. Texts that only share the 128-bit hash are
+different classes by their SHA-256; should two texts ever share both digests, the comparison of
+bytes stops the query instead of answering wrongly.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, text_or_empty
+from tidemark.llm.common import MOST_BROADCAST, as_often, copied, cut, dealt_join, documents, row_hash, text_or_empty
 
 #: White-space runs that are not already one space.
 LONG_RUN = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -24,20 +25,30 @@ def normalised(text_col: str) -> Column:
 
 
 def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    rows = df.select(F.col(id_col).alias("_id"), F.xxhash64(*[F.col(c) for c in df.columns]).alias("_row"), normalised(text_col).alias("_norm"))
-    return rows.select("*", F.unhex(F.md5("_norm")).alias("_h"), F.unhex(F.sha2("_norm", 256)).alias("_sha"))
+    """Per row: _id, _row, _norm and _key, its two digests."""
+    rows = df.select(F.col(f"`{id_col}`").alias("_id"), row_hash(df).alias("_row"), normalised(text_col).alias("_norm"))
+    return rows.select("*", F.concat(F.unhex(F.md5("_norm")), F.unhex(F.sha2("_norm", 256))).alias("_key"))
 
 
-def _figures(rows: DataFrame) -> DataFrame:
-    """Per class of equal texts: its digests, the row that stays (smallest id, nulls last, then row hash) and its size."""
-    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
-    classes = rows.groupBy("_h", "_sha", "_norm").agg(F.min(order).alias("_keep"), F.count(F.lit(1)).alias("group_size"))
-    one = F.when(F.col("_texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts share MD5 and SHA-256")).cast("bigint"))
-    return (
-        classes.groupBy("_h", "_sha")
-        .agg(F.min("_keep").alias("_keep"), F.sum("group_size").alias("group_size"), F.count(F.lit(1)).alias("_texts"))
-        .select("_h", "_sha", F.col("_keep.id").alias("keep_id"), F.col("_keep.row").alias("_keep_row"), one.alias("group_size"))
-    )
+def _order() -> Column:
+    return F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
+
+
+def _classes(rows: DataFrame, brief: DataFrame) -> DataFrame:
+    """Per class of equal texts: _key, the row that stays (smallest id, nulls last, then row hash) and its size."""
+    classes = cut(brief.groupBy("_key").agg(F.min(_order()).alias("_keep"), F.sum("n").alias("group_size")))
+    several = classes.filter("group_size > 1").select(F.col("_key").alias("_of"))
+    wanted = F.broadcast(several) if several.count() <= MOST_BROADCAST else several
+    held = rows.join(wanted, F.col("_key") == F.col("_of"), "left_semi")
+    # Two texts with both digests in common would be two rows here.
+    texts = held.groupBy("_key", "_norm").agg(F.count(F.lit(1)).alias("n")).groupBy(F.col("_key").alias("_of")).agg(F.count(F.lit(1)).alias("_texts"))
+    one = F.when(F.coalesce("_texts", F.lit(1)) == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts share MD5 and SHA-256")).cast("bigint"))
+    checked = classes.join(texts, F.col("_key") == F.col("_of"), "left")
+    return checked.select("_key", F.col("_keep.id").alias("keep_id"), F.col("_keep.row").alias("_keep_row"), one.alias("group_size"))
+
+
+def _stays() -> Column:
+    return F.col("_id").eqNullSafe(F.col("keep_id")) & (F.col("_row") == F.col("_keep_row"))
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -45,27 +56,28 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     Of equal texts the smallest id stays. Null text counts as empty. Null ids lose to any other id;
     in a class of null ids keep_id is null and one row stays. Of rows that share the kept id the
-    one with the smallest hash of the whole row stays, and of wholly equal rows any one. Other
-    columns play no part, whatever their names. An empty table gives an empty result.
+    one with the smallest hash of the whole row stays, and of wholly equal rows any one. Texts of
+    any length are hashed whole. Other columns play no part, whatever their names and kinds. An
+    empty table gives an empty result.
     """
     rows = _rows(df, id_col, text_col)
-    same = F.row_number().over(Window.partitionBy("_id", "_row", "_h").orderBy("_sha"))
-    # The figures are joined by one digest made of both, so that either side is dealt out for the join
-    # and Spark can split the partition of a class that holds very many rows.
-    key = F.concat("_h", "_sha").alias("_key")
-    figures = _figures(rows).select(key, "keep_id", "_keep_row", "group_size")
-    out = rows.select("_id", "_row", "_h", "_sha", key).withColumn("_nth", same).join(figures, "_key", "left")
-    kept = F.col("_id").eqNullSafe(F.col("keep_id")) & (F.col("_row") == F.col("_keep_row")) & (F.col("_nth") == 1)
-    return out.select(F.col("_id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("_sha")).alias("text_sha256"))
+    # Wholly equal rows are one here, with their number.
+    brief = cut(rows.groupBy("_key", "_id", "_row").agg(F.count(F.lit(1)).alias("n")))
+    figures = _classes(rows, brief)
+    out = copied(dealt_join(brief, figures, "_key"), "n")
+    return out.select(F.col("_id").alias(id_col), "keep_id", "group_size", (_stays() & (F.col("_copy") == 1)).alias("kept"), F.lower(F.hex(F.substring("_key", 17, 32))).alias("text_sha256"))
 
 
 def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that :func:`exact_dedup` keeps, with all their columns."""
-    kept = _figures(_rows(df, id_col, text_col)).select(F.col("keep_id").alias("_id"), F.col("_keep_row").alias("_row"))
-    rows = df.withColumns({"_kept_id": F.col(id_col), "_kept_row": F.xxhash64(*[F.col(c) for c in df.columns])})
-    on = rows["_kept_id"].eqNullSafe(kept["_id"]) & (rows["_kept_row"] == kept["_row"])
-    nth = F.row_number().over(Window.partitionBy("_kept_id", "_kept_row").orderBy(F.lit(0)))
-    return rows.join(kept, on, "left_semi").withColumn("_nth", nth).filter("_nth = 1").select(*[F.col(f"`{c}`") for c in df.columns])
+    """The rows of ``df`` that :func:`exact_dedup` keeps, with all their columns; the same holds for odd rows.
+
+    Only the rows that go, or that are there several times, are joined to the table again.
+    """
+    rows = _rows(df, id_col, text_col)
+    brief = cut(rows.groupBy("_key", "_id", "_row").agg(F.count(F.lit(1)).alias("n")))
+    figures = _classes(rows, brief).filter("group_size > 1")
+    out = dealt_join(brief, figures, "_key").withColumn("times", _stays().cast("int")).filter("times <> n")
+    return as_often(df, id_col, out.select("_id", "_row", "times"))
 
 
 def op8_exact_dedup(spark, sf_dir: str) -> DataFrame:

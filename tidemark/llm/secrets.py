@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, text_or_empty
+from tidemark.llm.common import documents, text_or_empty, whole_row
 
 #: Fixed values of the contract: kind, pattern, the group whose length counts, and the least length.
 PATTERNS = (
@@ -132,18 +132,20 @@ def secret_spans(df: DataFrame, text_col: str = "text") -> DataFrame:
 
     Kinds are numbered as in ``PATTERNS`` and then ``CLASSES``. Base spans are kept whole; an added
     span inside a base span, or inside an added span of an earlier class, is left out. Null and
-    empty texts have no spans. Other columns pass through, but for columns of those two names.
+    empty texts have no spans; texts of any length count whole. Other columns pass through, whatever
+    their names and kinds; only columns of those two names give way. An empty table gives an empty result.
     """
     text = F.col("_text")
-    out = df.withColumn("_text", text_or_empty(text_col))
+    out = df.select(whole_row(df).alias("_all"), text_or_empty(text_col).alias("_text"))
     ordered = lambda a: F.array_sort(F.transform(a, lambda s: F.struct(s["start"], s["kind"], s["end"])))
     base = ordered(F.concat(*[pattern_spans(text, k) for k in range(len(PATTERNS))]))
     added = ordered(F.concat(*[entropy_spans(text, k) for k in range(len(CLASSES))]))
     inside = lambda s, b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])
     new = lambda b, a: F.filter(a, lambda s: ~F.exists(b, lambda x: inside(s, x)) & ~F.exists(a, lambda x: (x["kind"] < s["kind"]) & inside(s, x)))
     both = _let(base, lambda b: _let(added, lambda a: F.struct(b.alias("base"), new(b, a).alias("added"))))
-    out = out.withColumn("_both", both).drop("_text")
-    return out.withColumn("secret_base", F.col("_both.base")).withColumn("secret_added", F.col("_both.added")).drop("_both")
+    kept = [c for c in df.columns if c not in ("secret_base", "secret_added")]
+    out = out.select("_all", both.alias("_both"))
+    return out.select(*[F.col(f"_all.`{c}`") for c in kept], F.col("_both.base").alias("secret_base"), F.col("_both.added").alias("secret_added"))
 
 
 def _joined(spans: Column) -> Column:
@@ -152,8 +154,12 @@ def _joined(spans: Column) -> Column:
 
 
 def secret_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_assign, n_access, n_hex, base_sha256, spans, n_added."""
-    found = secret_spans(df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_in")), "_in")
+    """Per row: id, n_assign, n_access, n_hex, base_sha256, spans, n_added.
+
+    Null and empty texts have no spans and the digest of the empty string. One row comes out per row,
+    null and repeated ids included; other columns play no part. An empty table gives an empty result.
+    """
+    found = secret_spans(df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_in")), "_in")
     count = lambda k: F.size(F.filter("secret_base", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{PATTERNS[k][0]}")
     counts = [count(k) for k in range(len(PATTERNS))]
     every = F.array_sort(F.concat("secret_base", "secret_added"))

@@ -5,7 +5,9 @@ segments of two linked fingerprints differs by at most one bit. Each segment is
 bit position with that bit wiped out; two segments that differ by at most one bit share such a
 variant. Equal fingerprints are one class from the start, variants of distinct fingerprints meet by
 an equality shuffle, and each bucket is read as a sorted stream, compared in blocks and reduced to a
-spanning forest, so a bucket of n fingerprints gives fewer than n links and never all its pairs.
+spanning forest, so a bucket of n fingerprints gives fewer than n links and never all its pairs. A
+bucket of very many fingerprints isn't held: its rows go on to a second index over the bits outside
+the bucket's segment, cut and wiped in the same way, which loses no link either.
 """
 
 from __future__ import annotations
@@ -15,16 +17,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, documents, kept_as_table
+from tidemark.llm.common import as_often, cut, dealt_join, documents, drop_table, kept_as_table, row_hash
 from tidemark.llm.components import components
 
 #: The contract's fixed values.
 WORDS, BITS, RADIUS, HASH_SEED = 4, 64, 4, 42
 #: Shingles hashed at a time, and fingerprints compared at a time.
 SHINGLES, BLOCK = 1 << 20, 1024
+#: Fingerprints of a bucket that a task holds; larger buckets are indexed again.
+HEAVY = 1 << 15
 #: For documents that are alike: words in a shingle, and the least similarity as a fraction.
 ALIKE_WORDS, ALIKE = 5, (4, 5)
 #: One text in so many is read for the common shingles, which are those of so many sampled texts, and the most that are kept.
@@ -97,7 +101,7 @@ def with_fingerprint(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             found = np.array([fingerprint(t.as_py(), n_words, bits) for t in batch.column(1)], np.uint64).reshape(-1, lanes).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[:, k]) for k in range(lanes))], ["_id", *(f"f{k}" for k in range(lanes))])
 
-    rows = df.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
     return rows.mapInArrow(run, ", ".join(["_id bigint", *(f"f{k} bigint" for k in range(lanes))]))
 
 
@@ -108,18 +112,27 @@ def segments(bits: int, radius: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _variants(f: np.ndarray, bits: int, radius: int) -> Iterator[np.ndarray]:
-    """For each segment and wiped bit, a key per fingerprint: the segment's place, the bit's, and what is left."""
+def _variants(f: np.ndarray, places: list[int], radius: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each segment of the bits at ``places`` and each wiped bit, a number and what is left of each fingerprint's segment."""
     number = 0
-    for first, width in segments(bits, radius):
+    for first, width in segments(len(places), radius):
         part = np.zeros(len(f), np.uint64)
-        for i in range(first, first + width):
+        for i in places[first : first + width]:
             part = (part << np.uint64(1)) | ((f[:, i // 64] >> np.uint64(63 - i % 64)) & np.uint64(1))
         for i in range(width):
-            yield (part & ~np.uint64(1 << i)) | np.uint64(number << 40)
+            yield number, part & ~np.uint64(1 << i)
             number += 1
 
 
+def _outside(number: int, bits: int, radius: int) -> list[int]:
+    """The bits outside the segment of variant ``number``."""
+    for first, width in segments(bits, radius):
+        if number < width:
+            return [i for i in range(bits) if not first <= i < first + width]
+        number -= width
+    raise ValueError(number)
+
+
 def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 
@@ -195,66 +208,113 @@ def _bucket_links(f: np.ndarray, radius: int) -> list[tuple[int, int]]:
     return [(i, j) for i, j in zip(a.tolist(), b.tolist(), strict=True) if forest.join(i, j)]
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Keys, ids and fingerprints of whole buckets from a stream sorted by key; the last bucket of a batch waits for the next."""
+def _buckets(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
+    """Keys, ids and fingerprints of whole buckets from a stream sorted by key; the last bucket of a batch waits for the next.
+
+    With ``most``, a bucket that spans batches and grows beyond it comes in parts, which are marked.
+    """
     rest: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    heavy = None
+
+    def joined(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))  # type: ignore[return-value]
+
     for batch in batches:
         key, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         f = np.column_stack([batch.column(k).to_numpy() for k in range(2, batch.num_columns)]).view(np.uint64)
+        if heavy is not None and len(key):
+            n = int(np.searchsorted(key, heavy, "right"))
+            if n:
+                yield key[:n], ids[:n], f[:n], True
+            key, ids, f = key[n:], ids[n:], f[n:]
+            heavy = None if len(key) else heavy
         if not len(key):
             continue
         last = int(np.searchsorted(key, key[-1]))
         if last or (rest and rest[-1][0][-1] != key[0]):
-            parts = [*rest, (key[:last], ids[:last], f[:last])]
+            whole = joined([*rest, (key[:last], ids[:last], f[:last])])
             rest = []
-            whole = tuple(np.concatenate(x) for x in zip(*parts, strict=True))
             if len(whole[0]):
-                yield whole  # type: ignore[misc]
+                yield *whole, False
         rest.append((key[last:], ids[last:], f[last:]))
+        if most is not None and sum(len(x[0]) for x in rest) > most:
+            heavy = int(key[-1])
+            yield *joined(rest), True
+            rest = []
     if rest:
-        yield tuple(np.concatenate(x) for x in zip(*rest, strict=True))  # type: ignore[misc]
+        yield *joined(rest), False
 
 
-def links_of(classes: DataFrame, bits: int = BITS, radius: int = RADIUS) -> DataFrame:
+def links_of(classes: DataFrame, bits: int = BITS, radius: int = RADIUS, heavy: int = HEAVY) -> DataFrame:
     """Links u, v between classes (node, f0, ...) whose fingerprints differ in ``radius`` bits or fewer.
 
     Within each bucket the links form a spanning forest, so the components are those of all pairs.
+    Buckets of more than ``heavy`` fingerprints are indexed again by the bits that their fingerprints
+    need not share; whatever is linked in the bucket shares one of the smaller buckets.
     """
     lanes = [f"f{k}" for k in range(bits // 64)]
+    longs = ", ".join(f"{x} bigint" for x in lanes)
+
+    def lanes_of(part: pa.RecordBatch, first: int) -> np.ndarray:
+        return np.column_stack([part.column(first + k).to_numpy() for k in range(len(lanes))]).view(np.uint64)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                f = np.column_stack([part.column(1 + k).to_numpy() for k in range(len(lanes))]).view(np.uint64)
-                for key in _variants(f, bits, radius):
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *part.columns], ["key", "node", *lanes])
+                for number, left in _variants(lanes_of(part, 1), list(range(bits)), radius):
+                    yield pa.RecordBatch.from_arrays([pa.array((left | np.uint64(number << 40)).view(np.int64)), *part.columns], ["key", "node", *lanes])
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
-        for key, ids, f in _buckets(batches):
-            edges = np.flatnonzero(np.diff(key)) + 1
-            starts, ends = np.concatenate([[0], edges]), np.concatenate([edges, [len(key)]])
-            many = ends - starts
-            u: list[int] = []
-            v: list[int] = []
-            pairs = starts[many == 2]
-            if len(pairs):  # most buckets that link anything
-                hit = pairs[_popcount(f[pairs] ^ f[pairs + 1]).sum(1, dtype=np.int64) <= radius]
-                u, v = ids[hit].tolist(), ids[hit + 1].tolist()
-            for a, b in zip(starts[many > 2].tolist(), ends[many > 2].tolist(), strict=True):
-                for i, j in _bucket_links(f[a:b], radius):
-                    u.append(int(ids[a + i]))
-                    v.append(int(ids[a + j]))
-            new = {(x, y) if x > y else (y, x) for x, y in zip(u, v, strict=True)} - seen
-            seen = seen | new if len(seen) < 100_000 else new  # spares most repeats, no more
-            if new:
-                a, b = zip(*new, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["u", "v"])
-
-    keys = classes.select("node", *lanes).mapInArrow(index, ", ".join(["key bigint", "node bigint", *(f"{x} bigint" for x in lanes)]))
-    dealt = keys.repartition("key").sortWithinPartitions("key", "node")
-    return dealt.mapInArrow(compare, "u bigint, v bigint")
+    def index_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column(0).to_numpy()
+            for number in np.unique(key >> 40).tolist():
+                part = batch.filter(pa.array(key >> 40 == number))
+                own = part.column(0).to_numpy().view(np.uint64) * PLACES[0]
+                for again, left in _variants(lanes_of(part, 2), _outside(number, bits, radius), radius):
+                    # A hash of both buckets; a clash of two only makes a bucket larger.
+                    mixed = (own ^ (left | np.uint64(again << 48)) * PLACES[1]) * MIX[0]
+                    yield pa.RecordBatch.from_arrays([pa.array((mixed ^ (mixed >> np.uint64(31))).view(np.int64)), *part.columns[1:]], ["key", "node", *lanes])
+
+    def compare(most: int | None):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Links as (u, v, null ...); rows of buckets that are too large as (node, key, fingerprint)."""
+            seen: set[tuple[int, int]] = set()
+            for key, ids, f, large in _buckets(batches, most):
+                if large:
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(key), *(pa.array(f[:, k].view(np.int64)) for k in range(len(lanes)))], ["u", "v", *lanes])
+                    continue
+                edges = np.flatnonzero(np.diff(key)) + 1
+                starts, ends = np.concatenate([[0], edges]), np.concatenate([edges, [len(key)]])
+                many = ends - starts
+                u: list[int] = []
+                v: list[int] = []
+                pairs = starts[many == 2]
+                if len(pairs):  # most buckets that link anything
+                    hit = pairs[_popcount(f[pairs] ^ f[pairs + 1]).sum(1, dtype=np.int64) <= radius]
+                    u, v = ids[hit].tolist(), ids[hit + 1].tolist()
+                for a, b in zip(starts[many > 2].tolist(), ends[many > 2].tolist(), strict=True):
+                    for i, j in _bucket_links(f[a:b], radius):
+                        u.append(int(ids[a + i]))
+                        v.append(int(ids[a + j]))
+                new = {(x, y) if x > y else (y, x) for x, y in zip(u, v, strict=True)} - seen
+                seen = seen | new if len(seen) < 100_000 else new  # spares most repeats, no more
+                if new:
+                    a, b = zip(*new, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), *(pa.nulls(len(a), pa.int64()) for _ in lanes)], ["u", "v", *lanes])
+
+        return run
+
+    def dealt(keys: DataFrame) -> DataFrame:
+        return keys.repartition("key").sortWithinPartitions("key", "node")
+
+    keys = classes.select("node", *lanes).mapInArrow(index, f"key bigint, node bigint, {longs}")
+    found = cut(dealt(keys).mapInArrow(compare(heavy), f"u bigint, v bigint, {longs}"))
+    links, large = found.filter("f0 IS NULL").select("u", "v"), found.filter("f0 IS NOT NULL").select(F.col("v").alias("key"), F.col("u").alias("node"), *lanes)
+    if large.isEmpty():
+        return links
+    again = dealt(large.mapInArrow(index_again, f"key bigint, node bigint, {longs}")).mapInArrow(compare(None), f"u bigint, v bigint, {longs}")
+    return links.unionByName(again.select("u", "v"))
 
 
 def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = WORDS, bits: int = BITS, radius: int = RADIUS) -> DataFrame:
@@ -374,20 +434,24 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     order of all shingles (see ``prefix``), so that every linked pair shares a bucket; common shingles
     come last in that order, which is read from a sample and changes the size of buckets only. In each
     bucket all are compared with a few leaders, then all pairs that the groups found so far leave
-    open. Every decision is made on the whole sets, but for pairs that a bound rules out. Null ids count as larger than all others. Texts
-    without a word are alike. All columns pass through.
+    open. Every decision is made on the whole sets, but for pairs that a bound rules out. Null ids count
+    as larger than all others; of rows with the id that stays the one with the smallest hash of the whole
+    row stays, and of wholly equal rows any one. Null, empty and blank texts are alike. Texts of any
+    length count whole. All columns pass through, whatever their names and kinds. An empty table gives
+    an empty result. Two sets of shingles that share their 64-bit number stop the query.
     """
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    rows = df.select(F.col(id_col).cast("bigint").alias("_id"), row.alias("_row"), F.col(text_col).cast("string").alias("_text"))
+    kind = df.schema[id_col].dataType.simpleString()
+    rows = df.select(F.col(f"`{id_col}`").alias("_id"), row_hash(df).alias("_row"), F.col(f"`{text_col}`").cast("string").alias("_text"))
 
     def node_of(h: np.ndarray) -> int:
         return int(np.uint64(xxhash.xxh3_64_intdigest(h.tobytes())).view(np.int64))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(node_of(h), len(h), odd_sketch(h)) for h in (shingle_set(t.as_py()) for t in batch.column(2))]
-            nodes, n, odd = zip(*found, strict=True) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(n, pa.int64()), pa.array(odd, pa.binary())], ["_id", "_row", "node", "n", "odd"])
+            found = [(node_of(h), int(np.bitwise_xor.reduce(h * PLACES[0])) if len(h) else 0, len(h), odd_sketch(h)) for h in (shingle_set(t.as_py()) for t in batch.column(2))]
+            nodes, proof, n, odd = zip(*found, strict=True) if found else ((), (), (), ())
+            proof_ = pa.array(np.array(proof, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), proof_, pa.array(n, pa.int64()), pa.array(odd, pa.binary())], ["_id", "_row", "node", "proof", "n", "odd"])
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -426,7 +490,7 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        for key, ids, n in _buckets(batches):
+        for key, ids, n, _ in _buckets(batches):
             new = np.concatenate([[True], (np.diff(key) != 0) | (np.diff(ids) != 0)])  # copies of a class are next to each other
             key, ids, n = key[new], ids[new], n[new, 0].view(np.int64)
             edges = np.flatnonzero(np.diff(key)) + 1
@@ -450,7 +514,9 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         return _pairs((nodes, open_pairs(group, n)) for group, nodes, n in lists)
 
     order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
-    classes = cut(rows.mapInArrow(mark, "_id bigint, _row bigint, node bigint, n bigint, odd binary").groupBy("node").agg(F.min(order).alias("first"), F.first("n").alias("n"), F.first("odd").alias("odd")))
+    marks = cut(rows.mapInArrow(mark, f"_id {kind}, _row bigint, node bigint, proof bigint, n bigint, odd binary"))
+    one = F.when((F.min("proof") == F.max("proof")) & (F.min("n") == F.max("n")), F.first("n")).otherwise(F.raise_error(F.lit("two sets of shingles share their number")).cast("bigint"))
+    classes = cut(marks.groupBy("node").agg(F.min(order).alias("first"), one.alias("n"), F.first("odd").alias("odd")))
     dealt = rows.mapInArrow(index, "key bigint, node bigint, n bigint").repartition("key").sortWithinPartitions("key", "node")
     buckets = cut(dealt.mapInArrow(gather, "nodes array<bigint>, sizes array<bigint>").dropDuplicates(["nodes"]))
 
@@ -461,6 +527,7 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         wanted = kept_as_table(near.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(classes, "node").select("node", F.col("first.id").alias("_id"), F.col("first.row").alias("_row")))
         mine = rows.join(wanted, rows["_id"].eqNullSafe(wanted["_id"]) & (rows["_row"] == wanted["_row"])).select("node", "_text")
         held = cut(mine.mapInArrow(whole, "node bigint, held binary").dropDuplicates(["node"]))
+        drop_table(wanted)
         both = near.join(held.toDF("u", "a"), "u").join(held.toDF("v", "b"), "v").select("u", "v", "a", "b")
         return cut(both.mapInArrow(compare, "u bigint, v bigint"))
 
@@ -472,14 +539,13 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     of = of.join(groups, "node", "left").groupBy("bucket").agg(F.collect_list(F.struct(F.coalesce("component", "node").alias("group"), "node", "n")).alias("x"))
     left = of.filter(F.size(F.array_distinct("x.group")) > 1).select("x").mapInArrow(rest, "u bigint, v bigint").distinct().join(tried, ["u", "v"], "left_anti")
     reach = components(links.unionByName(linked(left)))
-    kept = (
-        classes.select("node", "first").join(reach, "node", "left").groupBy(F.coalesce("component", "node").alias("group"))
-        .agg(F.min("first").alias("first")).select(F.col("first.id").alias("_id"), F.col("first.row").alias("_row"))
-    )
-    mine = df.withColumns({"_kept_id": F.col(id_col).cast("bigint"), "_kept_row": row})
-    out = mine.join(kept, mine["_kept_id"].eqNullSafe(kept["_id"]) & (mine["_kept_row"] == kept["_row"]), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("_kept_id", "_kept_row").orderBy(F.lit(0)))
-    return out.withColumn("_nth", nth).filter("_nth = 1").select(*[F.col(f"`{c}`") for c in df.columns])
+    group = F.coalesce("component", "node").alias("group")
+    stays = classes.join(reach, "node", "left").groupBy(group).agg(F.min("first").alias("kept"))
+    kept = classes.select("node").join(reach, "node", "left").select("node", group).join(stays, "group").select("node", "kept")
+    # Of the rows only those that go, or that are there several times, are joined to the table again.
+    out = dealt_join(marks.groupBy("node", "_id", "_row").agg(F.count(F.lit(1)).alias("copies")), kept, "node")
+    times = (F.col("_id").eqNullSafe(F.col("kept.id")) & (F.col("_row") == F.col("kept.row"))).cast("int")
+    return as_often(df, id_col, out.withColumn("times", times).filter("times <> copies").select("_id", "_row", "times"))
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
