@@ -584,6 +584,70 @@ def test_mix(spark, odd, empty, monkeypatch):
     assert mixing.mix(empty).count() == 0
 
 
+def brute_mix(df, share, max_epochs):
+    """The chosen rows by sorting every leaf whole; budgets by one token at a time would be the same, so they are the operator's own."""
+    from tidemark.llm.common import row_hash
+
+    hashed = df.select("*", row_hash(df).alias("_h"), *[F.xxhash64(F.lit(mixing.SEED), F.lit(e), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), row_hash(df)).alias(f"_o{e}") for e in range(max_epochs)], mixing.domain_of().alias("_d")).collect()
+    leaves: dict[tuple, list] = {}
+    for r in hashed:
+        leaves.setdefault((r["_d"], r["lang"] or "", r["source"] or ""), []).append((r, len(re.findall(r"[^\x20\x09-\x0d]+", r["text"] or ""))))
+    there = {k: sum(n for _, n in rows) for k, rows in leaves.items()}
+    plan = mixing.budgets(there, int(share * sum(there.values())), max_epochs, mixing.WEIGHTS, ("domain", "lang", "source"))
+    out = []
+    for k, rows in leaves.items():
+        for e in range(max_epochs):
+            rest, before = plan[k] - e * there[k], 0
+            for r, n in sorted(rows, key=lambda x: (x[0][f"_o{e}"], -1 if x[0]["doc_id"] is None else x[0]["doc_id"], x[0]["_h"])):
+                if before < rest or rest >= there[k] and (e == 0 or rest > 0) and plan[k] > 0:
+                    out.append((str(r["doc_id"]), *k, e, n, plan[k], before))
+                before += n
+    return sorted(out)
+
+
+@pytest.mark.parametrize(("share", "epochs"), [(0.3, 1), (0.8, 2), (2.5, 3)])
+def test_mix_against_brute_force(spark, share, epochs):
+    rng = random.Random(8)
+    rows = [(rng.choice((None, 7, i)), words(rng, rng.randint(0, 30)), rng.choice(("en", "de", None)), rng.choice(("src0", "src1", "src2"))) for i in range(300)]
+    rows += [(5, "one two three four", "en", "src1")] * 200 + [(None, None, None, None)] * 20 + [(9, "x y", "en", "src0")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    want = brute_mix(df, share, epochs)
+    for parts in (1, 7):
+        out = mixing.mix(df.repartition(parts), share=share, max_epochs=epochs).collect()
+        assert sorted((str(r["doc_id"]), r["domain"], r["lang"], r["source"], r["epoch"], r["n_tokens"], r["leaf_budget"], r["tokens_before"]) for r in out) == want
+        carried = mixing.mix(df.repartition(parts), share=share, max_epochs=epochs, carry=True).collect()
+        assert sorted((str(r["doc_id"]), r["lang"] or "", r["source"] or "") for r in carried) == sorted((w[0], w[2], w[3]) for w in want)
+
+
+# ---------------------------------------------------------------- columns of other kinds and names
+
+
+def test_no_name_or_kind_of_column_clashes(spark):
+    """Every operator that carries rows gives back each row's own values under the names that operators use inside, dots, and maps."""
+    names = ["_id", "_row", "_all", "_kept_id", "_kept_row", "_nth", "_text", "_both", "_key", "_norm", "node", "n", "times", "_of", "_copies", "score", "group", "file", "a.b", "entry", "query"]
+    texts = [(1, "a b"), (2, "a  b"), (3, "x y z"), (3, "x y z"), (None, None), (4, "")]
+    rows = [(i, t, "en", "src1", {"k": str(n)} if t != "x y z" else {"k": "0"}, *([f"v{n}" if t != "x y z" else "same"] * len(names))) for n, (i, t) in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, m map<string,string>, " + ", ".join(f"`{c}` string" for c in names))
+    given = {str(r) for r in df.collect()}
+    labels = spark.createDataFrame([], "doc_id long, toxic int, quality int")
+    carried = {
+        "copies": exact_dedup.without_copies(df), "near": simhash.without_near_copies(df), "toxic": toxicity.without_toxic(df, labels), "mix": mixing.mix(df, share=1.0, max_epochs=1, carry=True),
+    }
+    for name, out in carried.items():
+        assert out.columns == df.columns, name
+        assert {str(r) for r in out.collect()} <= given, name
+    assert [carried[k].count() for k in ("copies", "near", "toxic", "mix")] == [3, 3, 6, 6]
+    spans = secrets.secret_spans(df)
+    assert spans.columns == [*df.columns, "secret_base", "secret_added"]
+    assert {str(r) for r in spans.select(*[f"`{c}`" for c in df.columns]).collect()} == given
+    counts = {
+        "dedup": exact_dedup.exact_dedup(df), "simhash": simhash.simhash_groups(df), "secrets": secrets.secret_report(df), "tokens": token_counts.token_counts(df, tokenizer_path(PIECES)),
+        "pack": packing.pack(df, tokenizer_path(BYTE), tokenizer_path(RANKS)), "quality": quality.quality(df, labels), "toxicity": toxicity.toxicity(df, labels), "mixed": mixing.mix(df, share=1.0, max_epochs=1),
+    }
+    assert {k: v.count() for k, v in counts.items()} == dict.fromkeys(counts, 6)
+    assert licenses.license_scan(df).count() == 5
+
+
 # ---------------------------------------------------------------- pipeline
 
 

@@ -4,9 +4,10 @@ The leaves' token counts are gathered (one row per leaf, refused beyond ``MAX_LE
 is split on the driver by weight from the root down. A node that can't use its share leaves a
 shortage, which its siblings take up first, then the siblings of its parent, and so on. Each leaf
 then gets its token budget as whole epochs plus a prefix of one more, in an order drawn from the
-seed and the epoch. The prefix is found without sorting a leaf in one task: rows fall into buckets
-by their seeded hash, the buckets' token sums are accumulated first, and only the bucket in which
-the budget ends is sorted.
+seed, the epoch, the id and the whole row. The prefix is found without sorting a leaf in one task:
+rows fall into buckets by their place in that order, the buckets' token sums are accumulated first,
+and only inside a bucket rows are sorted. Wholly equal rows are one row with a number from the start,
+so copies of a row fill no bucket, and the result is the same under any partitioning.
 """
 
 from __future__ import annotations
@@ -14,12 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, text_or_empty
+from tidemark.llm.common import as_often, copied, cut, documents, row_hash, text_or_empty
 
 #: A mix has this many leaves at most; more means that the source column is no source.
 MAX_LEAVES = 100_000
 #: Rows that one bucket of a leaf holds on average.
-BUCKET_ROWS = 2000
+BUCKET_ROWS = 500
 SEED = 20240607
 #: Production weights: domains by a rule on the source, languages and sources by name; others weigh 1.
 WEIGHTS = {"domain": {"web": 5.0, "books": 2.0, "code": 1.0, "forums": 2.0}, "lang": {"en": 4.0, "de": 2.0, "fr": 2.0, "es": 2.0}, "source": {"src0": 2.0}}
@@ -99,18 +100,22 @@ def mix(
     ``share`` of all tokens is the budget. A document is chosen in an epoch while the tokens before
     it in the leaf's order are fewer than what the budget leaves for that epoch, so the last one may
     run over. Documents of no token come with each whole epoch, and with a prefix that they are in.
-    Null lang and source count as the empty string; null text has no tokens. Equal hashes are
-    ordered by id, nulls first. With ``carry``, the columns of ``df`` are returned instead.
+    Null lang and source count as the empty string; null and empty texts have no tokens, texts of any
+    length count whole. Rows that share an id, null included, are ordered by a hash of the whole row;
+    wholly equal rows stand next to each other. Other columns decide no more than that order,
+    whatever their names. An empty table gives an empty result. With ``carry``, the columns of ``df``
+    are returned instead, each row as often as it was chosen.
     """
     weights = WEIGHTS if weights is None else weights
-    clear = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    clear = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
     levels = ("domain", "lang", "source")
     rows = df.select(
-        F.col(id_col).alias("_id"), domain_of(source_col).alias("domain"), clear(lang_col).alias("lang"), clear(source_col).alias("source"),
-        (F.coalesce(F.col(token_col).cast("bigint"), F.lit(0)) if token_col else tokens(text_col)).alias("n_tokens"),
-        *([F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_all")] if carry else []),
+        F.col(f"`{id_col}`").alias("_id"), row_hash(df).alias("_row"), domain_of(f"`{source_col}`").alias("domain"), clear(lang_col).alias("lang"), clear(source_col).alias("source"),
+        (F.coalesce(F.col(f"`{token_col}`").cast("bigint"), F.lit(0)) if token_col else tokens(text_col)).alias("n_tokens"),
     )
-    stats = rows.groupBy(*levels).agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("rows")).limit(MAX_LEAVES + 1).collect()
+    # The texts are read once; from here on there are only ids and numbers.
+    rows = cut(rows.groupBy(*levels, "_id", "_row", "n_tokens").agg(F.count(F.lit(1)).alias("_copies")))
+    stats = rows.groupBy(*levels).agg(F.sum(F.col("n_tokens") * F.col("_copies")).alias("n"), F.count(F.lit(1)).alias("rows")).limit(MAX_LEAVES + 1).collect()
     if len(stats) > MAX_LEAVES:
         raise ValueError(f"more than {MAX_LEAVES} leaves")
     leaves = {(r["domain"], r["lang"], r["source"]): int(r["n"]) for r in stats}
@@ -119,22 +124,27 @@ def mix(
     spark = df.sparkSession
     given = F.broadcast(spark.createDataFrame(table, "domain string, lang string, source string, leaf_budget bigint, _there bigint, _buckets int"))
     epochs = F.when(F.col("_there") > 0, F.ceil(F.col("leaf_budget") / F.col("_there"))).otherwise(F.lit(0)).cast("int")
-    placed = rows.join(given, list(levels)).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.greatest(epochs - 1, F.lit(0)))))
-    placed = placed.filter(F.col("leaf_budget") > 0).withColumn("_order", F.xxhash64(F.lit(seed), "epoch", F.coalesce(F.col("_id").cast("string"), F.lit(""))))
+    placed = rows.join(given, list(levels)).filter(F.col("leaf_budget") > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.greatest(epochs - 1, F.lit(0)))))
+    placed = placed.withColumn("_order", F.xxhash64(F.lit(seed), "epoch", F.coalesce(F.col("_id").cast("string"), F.lit("")), "_row"))
     placed = placed.withColumn("_budget", F.col("leaf_budget") - F.col("epoch") * F.col("_there"))
     # Bucket numbers follow the order of the hashes.
     placed = placed.withColumn("_bucket", F.least(F.floor((F.col("_order") / 2.0**64 + 0.5) * F.col("_buckets")).cast("int"), F.col("_buckets") - 1))
-    leaf = [*levels, "epoch"]
-    sums = placed.groupBy(*leaf, "_bucket").agg(F.sum("n_tokens").alias("_sum"))
-    sums = sums.withColumn("_before", F.sum("_sum").over(Window.partitionBy(*leaf).orderBy("_bucket")) - F.col("_sum")).withColumnRenamed("_sum", "_in_bucket")
+    leaf, mine = [*levels, "epoch"], F.col("n_tokens") * F.col("_copies")
+    sums = placed.groupBy(*leaf, "_bucket").agg(F.sum(mine).alias("_sum"))
+    sums = sums.withColumn("_before", F.sum("_sum").over(Window.partitionBy(*leaf).orderBy("_bucket")) - F.col("_sum")).drop("_sum")
     placed = placed.join(sums, [*leaf, "_bucket"])
     whole = F.col("_budget") >= F.col("_there")
     inside = placed.filter((F.col("_before") < F.col("_budget")) | whole)
-    order = Window.partitionBy(*leaf, "_bucket").orderBy("_order", "_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at = inside.withColumn("tokens_before", F.col("_before") + F.sum("n_tokens").over(order) - F.col("n_tokens")).filter((F.col("tokens_before") < F.col("_budget")) | whole)
+    order = Window.partitionBy(*leaf, "_bucket").orderBy("_order", "_id", "_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = inside.withColumn("_start", F.col("_before") + F.sum(mine).over(order) - mine)
+    # Of equal rows as many are chosen as begin before the budget ends.
+    begin = F.when(F.col("_start") >= F.col("_budget"), 0).when(F.col("n_tokens") == 0, F.col("_copies")).otherwise(F.least("_copies", F.ceil((F.col("_budget") - F.col("_start")) / F.greatest("n_tokens", F.lit(1)))))
+    at = at.withColumn("_taken", F.when(whole, F.col("_copies")).otherwise(begin).cast("bigint"))
     if carry:
-        return at.select(*[F.col(f"_all.`{c}`") for c in df.columns])
-    return at.select(F.col("_id").alias(id_col), *levels, "epoch", "n_tokens", "leaf_budget", "tokens_before")
+        taken = at.groupBy(F.col("_id").alias("_of"), F.col("_row").alias("_of_row")).agg(F.sum("_taken").alias("_times"))
+        others = rows.select("_id", "_row", "_copies").join(taken, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_row") == F.col("_of_row")), "left")
+        return as_often(df, id_col, others.withColumn("times", F.coalesce("_times", F.lit(0))).filter("times <> _copies").select("_id", "_row", "times"))
+    return copied(at, "_taken").select(F.col("_id").alias(id_col), *levels, "epoch", "n_tokens", "leaf_budget", (F.col("_start") + (F.col("_copy") - 1) * F.col("n_tokens")).alias("tokens_before"))
 
 
 def op10_mix(spark, sf_dir: str) -> DataFrame:

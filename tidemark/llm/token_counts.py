@@ -1,7 +1,10 @@
 """Token counts: pieces are counted once per distinct pre-token and joined to the texts' pre-tokens.
 
-The join is made by dictionary codes inside each block of texts, and no ids are kept. A join of all
-documents' pre-token frequencies by a shuffle would move more bytes than the documents have.
+A block of texts is cut into pre-tokens; each text's distinct pre-tokens with their frequencies are
+joined, by dictionary code, to the table of counts that a worker has made so far, and the products
+are summed. No ids are kept. A pre-token is counted once per worker, not once for the whole table:
+that would take a shuffle of all documents' frequencies (see the README for its size), and the
+counting itself is a small part of the work.
 """
 
 from __future__ import annotations

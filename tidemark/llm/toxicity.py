@@ -4,7 +4,7 @@ A step of the network is a word. Its input is a word embedding (common words of
 one more for all others) beside the mean of embeddings of the word's character trigrams, so that
 forms never seen still look like their relatives. Two gated recurrent units read a window in either
 direction, attention pools their states, and a logit comes out per window. All windows of a text
-are scored, each overlapping the next by a quarter; the text's logit is the largest, calibrated.
+are scored, each overlapping the next by half; the text's logit is the largest, calibrated.
 
 Texts are labelled, windows are not: training starts from the windows of toxic texts that hold the
 most telling trigrams, then the network itself picks the windows, and the most toxic windows of
@@ -21,8 +21,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import crc_remainder, documents, table
+from tidemark.llm.common import crc_remainder, documents, table, unpacked, whole_row
 from tidemark.llm.training import labelled, logistic, sigmoid
 from tidemark.llm.vocabulary import Remembered, blocks, words_of
 
@@ -200,7 +201,7 @@ class Inputs(Remembered):
         self.x = np.concatenate([self.x, self.network.embed(ids, *trigrams(words))])
 
     def codes_of(self, strings: pa.Array) -> np.ndarray:
-        if len(self.known) > 300_000:
+        if len(self.known) > 300_000:  # an input is larger than a number of tokens
             self.clear()
         return super().codes_of(strings)
 
@@ -345,9 +346,9 @@ def score_toxicity(df: DataFrame, network: Network | float, id_col: str = "doc_i
                 score = sigmoid(a * text_logits(inputs, batch.column(1)) + b)
             yield pa.RecordBatch.from_arrays([*batch.columns[:1], *batch.columns[2:], pa.array(score, pa.float64())], [*batch.schema.names[:1], *batch.schema.names[2:], "score"])
 
-    rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), *([F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_all")] if others else []))
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_text")
-    return rows.mapInArrow(run, f"{fields}, score double")
+    rows = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"), *([whole_row(df).alias("_all")] if others else []))
+    fields = [f for f in rows.schema.fields if f.name != "_text"]
+    return rows.mapInArrow(run, T.StructType([*fields, T.StructField("score", T.DoubleType())]))
 
 
 def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Network | float:
@@ -357,7 +358,10 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fits on the labelled rows whose crc32 remainder is not held out and scores all: id, held_out, score, predicted.
 
-    A null id is not held out. An empty table gives an empty result.
+    A null id is not held out. Null, empty and blank texts are one window of one empty word. Texts of any
+    length are scored whole, window by window. Rows that repeat, or share an id, are scored each for
+    itself; an id with both labels counts with both. Other columns play no part, whatever their names.
+    Without labels of both kinds the score is the same for all. An empty table gives an empty result.
     """
     out = score_toxicity(docs, fitted(docs, labels, id_col, text_col), id_col, text_col)
     held = F.coalesce(crc_remainder("_id", MODULUS) == HELD, F.lit(False))
@@ -365,9 +369,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
+    """The rows of ``docs`` that are not predicted toxic, with all their columns, whatever their names and kinds.
+
+    Odd rows are scored as in :func:`toxicity`; without labels of both kinds, or of toxic ones, all rows stay
+    if the share of toxic labels is below the threshold.
+    """
     out = score_toxicity(docs, fitted(docs, labels, id_col, text_col), id_col, text_col, others=True)
-    return out.filter(F.col("score") < THRESHOLD).select(*[F.col(f"_all.`{c}`") for c in docs.columns])
+    return unpacked(out.filter(F.col("score") < THRESHOLD), docs.columns)
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:

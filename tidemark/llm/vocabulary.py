@@ -3,7 +3,7 @@
 Both vocabularies merge symbols inside such a string only, so a text can be cut at its spaces, the
 distinct strings of a block of texts encoded once, and the results joined back to the texts'
 strings by dictionary codes. What has been encoded is kept per Python worker, up to a fixed number
-of strings; then it starts anew. Texts in which the cut could matter (runs of white space, literal
+of strings and of bytes; then it starts anew. Texts in which the cut could matter (runs of white space, literal
 marks, special strings) are encoded whole.
 """
 
@@ -18,8 +18,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Distinct strings that a worker remembers, and bytes of text in a block.
-REMEMBERED, BLOCK_BYTES = 400_000, 3 << 20
+#: Distinct strings that a worker remembers, bytes that they may have together, and bytes of text in a block.
+REMEMBERED, REMEMBERED_BYTES, BLOCK_BYTES = 400_000, 16 << 20, 3 << 20
 SPECIAL = "<|endoftext|>"
 
 
@@ -83,7 +83,7 @@ class Remembered:
     def codes_of(self, strings: pa.Array) -> np.ndarray:
         """A code for each string; valid until the next call."""
         coded = strings.dictionary_encode()
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or self.known.nbytes > REMEMBERED_BYTES:
             self.clear()
         found = pc.index_in(coded.dictionary, value_set=self.known)
         missing = pc.is_null(found).to_numpy(zero_copy_only=False)
@@ -103,6 +103,14 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return lists.flatten(), offsets - offsets[0]
 
 
+def frequencies(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How often each text holds each of its distinct strings: texts, codes and numbers, sorted by text."""
+    most = int(codes.max(initial=0)) + 1
+    texts = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    pairs, times = np.unique(texts * most + codes, return_counts=True)
+    return pairs // most, pairs % most, times
+
+
 class PieceCounter(Remembered):
     """Numbers of SentencePiece tokens, for a vocabulary whose pieces have a space mark at their start only."""
 
@@ -128,8 +136,8 @@ class PieceCounter(Remembered):
             plain = np.flatnonzero(~odd)
             if len(plain):
                 words, offsets = words_of(part.take(pa.array(plain)))
-                codes = self.codes_of(words)
-                out[at + plain] = np.add.reduceat(self.sizes[codes], offsets[:-1])
+                text, code, times = frequencies(self.codes_of(words), offsets)
+                out[at + plain] = np.bincount(text, times * self.sizes[code], len(plain)).astype(np.int64)
         pa.default_memory_pool().release_unused()
         return out
 
