@@ -418,7 +418,7 @@ def held_out(spark, query, label):
 
 
 def test_quality(spark, odd, empty):
-    assert held_out(spark, quality.op1_quality, "quality") > 0.97
+    assert held_out(spark, quality.op1_quality, "quality") > 0.99
     labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(20, 50)] + [(6, None), (None, 1), (7, 2)], "doc_id long, quality int")
     out = quality.quality(odd, labels).collect()
     assert len(out) == odd.count()
@@ -429,6 +429,24 @@ def test_quality(spark, odd, empty):
     assert quality.quality(odd, labels.limit(0)).count() == odd.count()
 
 
+def test_quality_is_the_calibrated_difference(spark):
+    """The scores recomputed with plain compressors, and that a share of bad text moves them one way."""
+    import zstandard
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(quality.labelled(docs, labels, "quality", quality.MODULUS, quality.HELD, quality.MOST))
+    own = [zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_dict_id=False, write_checksum=False) for d in (model.bad, model.good)]
+    texts = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.limit(150).collect()] + [(-1, b"")]
+    want = {}
+    for i, t in texts:
+        b, g = (sum(len(c.compress(t[k : k + quality.BLOCK])) for k in range(0, len(t), quality.BLOCK)) for c in own)
+        want[i] = 1 / (1 + np.exp(-(model.slope * (b - g) / max(1, len(t)) + model.intercept)))
+    df = docs.limit(150).select("doc_id", "text").unionByName(spark.createDataFrame([(-1, None)], "doc_id long, text string"))
+    got = {r["doc_id"]: r["score"] for r in quality.score_quality(df, model).collect()}
+    assert model.slope > 0 and got.keys() == want.keys()
+    assert all(abs(got[i] - want[i]) < 1e-9 for i in got)
+
+
 def test_toxicity(spark, odd, empty):
     assert held_out(spark, toxicity.op2_toxicity, "toxic") > 0.93
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(20, 50)] + [(6, None), (None, 1)], "doc_id long, toxic int")

@@ -1,9 +1,8 @@
 """Quality by compression: how much better does a dictionary of good text compress it than one of bad text?
 
 Two zstandard dictionaries are trained on texts of either label. A text is compressed in blocks, all
-of it, without a dictionary and with each; the difference of the two sizes over the plain size,
-with the sizes per byte beside it, goes through a logistic calibration that was fitted on texts
-the dictionaries of the fit had not seen.
+of it, with each; the difference of the two sizes per byte of text is the one input of a logistic
+calibration, which was fitted on texts that the dictionaries of the fit had not seen.
 """
 
 from __future__ import annotations
@@ -17,20 +16,22 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import crc_remainder, documents, table
 from tidemark.llm.training import labelled, logistic, sigmoid
 
 MODULUS, HELD, THRESHOLD = 5, 0, 0.3
 #: Labelled texts of either label that the fit takes at most, bytes of a dictionary and of a block, and the level.
-MOST, DICTIONARY, BLOCK, LEVEL = {0: 1500, 1: 2500}, 65536, 2048, 3
+MOST, DICTIONARY, BLOCK, LEVEL = {0: 1500, 1: 2500}, 65536, 512, 3
 
 
 @dataclass(frozen=True)
 class Model:
     bad: bytes
     good: bytes
-    weights: tuple[float, ...]
+    slope: float
+    intercept: float
 
 
 def dictionary(texts: list[bytes]) -> bytes:
@@ -50,24 +51,20 @@ def _compressors(bad: bytes, good: bytes) -> tuple[zstandard.ZstdCompressor, ...
             own.precompute_compress(level=LEVEL)
         return zstandard.ZstdCompressor(level=LEVEL, dict_data=own, write_content_size=False, write_dict_id=False, write_checksum=False)
 
-    return one(b""), one(bad), one(good)
+    return one(bad), one(good)
 
 
-def sizes(text: bytes, bad: bytes, good: bytes) -> tuple[int, int, int]:
-    """Compressed sizes of the whole text, block by block: plain, with the bad and with the good dictionary."""
+def sizes(text: bytes, bad: bytes, good: bytes) -> tuple[int, int]:
+    """Compressed sizes of the whole text, block by block, with the bad and with the good dictionary."""
     blocks = [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)]
-    plain, b, g = (sum(len(c.compress(x)) for x in blocks) for c in _compressors(bad, good))
-    return plain, b, g
+    b, g = (sum(len(c.compress(x)) for x in blocks) for c in _compressors(bad, good))
+    return b, g
 
 
-def features(text: bytes, bad: bytes, good: bytes) -> list[float]:
-    """The normalised difference first; a text without bytes has none and looks like plain text."""
-    if not text:
-        return [0.0, 0.5, 0.0, 0.25, 0.0, 0.0]
-    plain, b, g = sizes(text, bad, good)
-    d, rate = (b - g) / plain, min(plain / len(text), 2.0)
-    small = min(1.0, 100 / len(text))
-    return [d, rate, d * d, rate * rate, d * rate, small * d]
+def difference(text: bytes, bad: bytes, good: bytes) -> float:
+    """By how much the good dictionary does better, per byte of text; 0 for a text without bytes."""
+    b, g = sizes(text, bad, good) if text else (0, 0)
+    return (b - g) / max(1, len(text))
 
 
 def fit(rows: list[tuple[str, int]]) -> Model:
@@ -75,34 +72,36 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     data = [(t.encode("utf-8", "surrogatepass"), y) for t, y in rows]
     y = np.array([k for _, k in data], float)
     if len(set(y.tolist())) < 2:
-        return Model(b"", b"", (0.0,) * 6 + (float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))),))
+        return Model(b"", b"", 0.0, float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))))
     by = lambda part, k: dictionary([t for t, label in part if label == k])
     halves = [[r for i, r in enumerate(data) if i % 4 // 2 == h] for h in (0, 1)]
     dictionaries = [(by(h, 0), by(h, 1)) for h in halves]
-    f = np.array([features(t, *dictionaries[1 - i % 4 // 2]) for i, (t, _) in enumerate(data)])
-    scale = f.std(0) + 1e-9
-    w = logistic(f / scale, y, 1e-3)
-    return Model(by(data, 0), by(data, 1), tuple(float(v) for v in np.append(w[:-1] / scale, w[-1])))
+    d = np.array([difference(t, *dictionaries[1 - i % 4 // 2]) for i, (t, _) in enumerate(data)])
+    scale = float(d.std()) + 1e-9
+    w = logistic(d[:, None] / scale, y, 1e-4)
+    return Model(by(data, 0), by(data, 1), float(w[0]) / scale, float(w[1]))
 
 
 def score_quality(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, score (0 to 1, higher is better). Null counts as empty; both get a score. Other columns play no part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = np.array(model.weights)
         for batch in batches:
-            f = np.array([features((t.as_py() or "").encode("utf-8", "surrogatepass"), model.bad, model.good) for t in batch.column(1)]).reshape(-1, len(weights) - 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigmoid(f @ weights[:-1] + weights[-1]))], ["_id", "score"])
+            d = np.array([difference((t.as_py() or "").encode("utf-8", "surrogatepass"), model.bad, model.good) for t in batch.column(1)], np.float64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigmoid(d * model.slope + model.intercept))], ["_id", "score"])
 
-    kind = df.schema[id_col].dataType.simpleString()
-    rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return rows.mapInArrow(run, f"_id {kind}, score double").withColumnRenamed("_id", id_col)
+    rows = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
+    return rows.mapInArrow(run, T.StructType([rows.schema["_id"], T.StructField("score", T.DoubleType())])).withColumnRenamed("_id", id_col)
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fits on the labelled rows whose crc32 remainder is not held out and scores all: id, held_out, score, predicted.
 
-    A null id is not held out. An empty table gives an empty result.
+    A null id is not held out. Null and empty texts are scored by the calibration alone, as texts on
+    which the dictionaries do not differ. Texts of any length are compressed whole. Rows that repeat,
+    or share an id, are scored each for itself; an id with both labels counts with both. Other columns
+    play no part, whatever their names. Without labels of both kinds the score is the same for all. An
+    empty table gives an empty result.
     """
     model = fit(labelled(docs, labels, "quality", MODULUS, HELD, MOST, id_col, text_col))
     out = score_quality(docs, model, id_col, text_col)

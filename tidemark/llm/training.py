@@ -9,20 +9,24 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import crc_remainder
 
 SEED = 11
+#: Characters of a labelled text that a fit takes; longer ones are not among its rows.
+LONGEST = 30_000
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, most: dict[int, int], id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
+def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, most: dict[int, int], id_col: str = "doc_id", text_col: str = "text", longest: int = LONGEST) -> list[tuple[str, int]]:
     """At most ``most[y]`` texts with label y, out of the rows that are not held out; the same ones each time.
 
     The rows are chosen by a hash of the id, on the labels alone, so that the texts of no more than
-    the chosen rows reach the driver.
+    the chosen rows reach the driver, and of these only texts of at most ``longest`` characters, which
+    bounds its memory. An id with both labels counts with each.
     """
     marks = labels.select(F.col(id_col).cast("bigint").alias("_id"), F.col(label).cast("int").alias("_y")).filter("_id IS NOT NULL AND _y IN (0, 1)").distinct()
     marks = marks.filter(crc_remainder("_id", modulus) != held)
     order = [F.xxhash64(F.lit(SEED), "_id"), "_id"]
     parts = [marks.filter(F.col("_y") == y).orderBy(*order).limit(n) for y, n in sorted(most.items())]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_text")).join(chosen, "_id")
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"), text.alias("_text")).filter(F.coalesce(F.length("_text"), F.lit(0)) <= longest).join(chosen, "_id")
     found = rows.limit(4 * sum(most.values())).collect()
     return [(r["_text"] or "", int(r["_y"])) for r in sorted(found, key=lambda r: (r["_id"], r["_y"], r["_text"] or ""))]
 
