@@ -35,7 +35,12 @@ def test_same_as_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.SQL)))
 def test_runs(spark, name):
-    assert registry.QUERIES[name](spark, SF).count() >= 0
+    """No SQL can express these: every row of their table comes out once (see test_operators for what is in them)."""
+    rows = registry.QUERIES[name](spark, SF)
+    if "page_id" in rows.columns:
+        assert sorted(r["page_id"] for r in rows.collect()) == sorted(r["page_id"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect())
+    else:
+        assert rows.select(*rows.columns[:2]).distinct().count() == rows.count()
 
 
 def test_flagship(spark):

@@ -3,25 +3,36 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import clean, known
+from tidemark.functions.text import clean
 
-#: Month names in order.
+#: Month names in order, the forms of a date and time, of a date range and of an offset, and what a note says of an abstract.
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 #: Offset of a deadline without a usable zone: anywhere on earth.
 ANYWHERE = "-12:00"
 STAMP = r"^(\d{4})-(\d{1,2})-(\d{1,2})[ T](\d{1,2}):(\d{2})(?::\d{2})?$"
 RANGE = r"^([A-Za-z.]+)\s*(\d{1,2})\s*(?:-\s*([A-Za-z.]+)?\s*(\d{1,2}))?\s*,?\s*(\d{4})\.?$"
+OFFSET = r"(?i)^UTC([+-])(\d{1,2})(?::?(\d{2}))?$"
+WEEK_BEFORE = r"(?i)abstract.*1 week before|1 week before.*abstract"
+#: Where the board shows its times.
+DISPLAY = "Asia/Seoul"
+
+
+def _once(value: Column, body) -> Column:
+    """``body`` of a value that is computed once; a plain expression would be computed at every use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def norm_stamp(c: Column) -> Column:
     """``YYYY-MM-DD HH:MM`` from many forms of date and time; null for placeholders, dates alone and anything else."""
-    text = F.trim(known(c))
-    part = lambda k, n: F.lpad(F.regexp_extract(text, STAMP, k), n, "0")
-    return F.when(text.rlike(STAMP), F.concat(part(1, 4), F.lit("-"), part(2, 2), F.lit("-"), part(3, 2), F.lit(" "), part(4, 2), F.lit(":"), part(5, 2)))
+    two = lambda p, i: F.lpad(F.get(p, F.lit(i)), 2, "0")
+    shown = lambda p: F.concat(F.get(p, F.lit(0)), F.lit("-"), two(p, 1), F.lit("-"), two(p, 2), F.lit(" "), two(p, 3), F.lit(":"), two(p, 4))
+    # Placeholders don't have the form.
+    return _once(clean(c), lambda t: F.when(t.rlike(STAMP), _once(F.split(t, "[-T :]"), shown)))
 
 
 def kept_stamp(c: Column) -> Column:
@@ -39,13 +50,13 @@ def leading_date(c: Column) -> Column:
 
 def month_number(c: Column) -> Column:
     """The month that a name of three letters or more begins, or null."""
-    names = F.array(*map(F.lit, MONTHS))
+    names, short = F.array(*map(F.lit, MONTHS)), F.array(*[F.lit(m[:3]) for m in MONTHS])
 
     def found(name: Column) -> Column:
-        at = F.filter(F.transform(names, lambda m, i: F.when(F.startswith(m, name), i + 1)), lambda i: i.isNotNull())
-        return F.when(F.length(name) >= 3, F.get(at, F.lit(0)))
+        at = F.array_position(short, F.left(name, F.lit(3))).cast("int")  # no two begin alike
+        return F.when((F.length(name) >= 3) & F.startswith(F.get(names, at - 1), name), at)
 
-    return F.get(F.transform(F.array(F.regexp_replace(F.lower(clean(c)), r"^\.+|\.+$", "")), found), F.lit(0))
+    return _once(F.regexp_replace(F.lower(clean(c)), r"^\.+|\.+$", ""), found)
 
 
 def date_range(c: Column) -> Column:
@@ -54,17 +65,15 @@ def date_range(c: Column) -> Column:
     Any dash will do; the second month defaults to the first, the end to the start, and an end
     before the start belongs to the next year.
     """
-    text = F.regexp_replace(clean(c), "[–—−]", "-")
-    # Each step is bound once by a lambda; as plain expressions they would be computed at every use.
-    once = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
+    text = F.translate(clean(c), "–—−", "---")
     made = lambda y, m, d: F.try_to_date(F.format_string("%04d-%02d-%02d", y, m, d))
 
-    def read(t: Column) -> Column:
-        group = lambda k: F.regexp_extract(t, RANGE, k)
-        other = F.when(group(3) != "", group(3)).otherwise(group(1))
+    def read(g: Column) -> Column:
+        part = lambda k: F.get(g, F.lit(k))
+        first = month_number(part(0))
         return F.struct(
-            group(5).try_cast("int").alias("year"), month_number(group(1)).alias("first"), month_number(other).alias("second"),
-            group(2).try_cast("int").alias("day"), group(4).try_cast("int").alias("last"),
+            part(4).try_cast("int").alias("year"), first.alias("first"), F.when(part(2) != "", month_number(part(2))).otherwise(first).alias("second"),
+            part(1).try_cast("int").alias("day"), part(3).try_cast("int").alias("last"),
         )
 
     def placed(p: Column) -> Column:
@@ -75,14 +84,17 @@ def date_range(c: Column) -> Column:
         later = made(x["p"]["year"] + 1, x["p"]["second"], x["p"]["last"])
         return F.struct(x["start"].alias("start"), F.when(x["end"] < x["start"], later).otherwise(x["end"]).alias("end"))
 
-    found = once(text, lambda t: F.when(t.rlike(RANGE), once(once(read(t), placed), turned)))
-    return F.when(found["start"].isNotNull() & found["end"].isNotNull(), found)
+    def whole(r: Column) -> Column:
+        return F.when(r["start"].isNotNull() & r["end"].isNotNull(), r)
+
+    # The pattern is matched once and its groups are taken apart at a mark that it can't hold.
+    groups = lambda t: F.split(F.regexp_replace(t, RANGE, "$1|$2|$3|$4|$5"), r"\|")
+    return _once(text, lambda t: F.when(t.rlike(RANGE), _once(_once(_once(_once(groups(t), read), placed), turned), whole)))
 
 
 def canonical_zone(c: Column) -> Column:
     """The comparison form of a zone name."""
-    text = clean(c)
-    return F.when(text == "AoE", "UTC-12").when(text.isin("UTC", "UTC+0"), "UTC+0").otherwise(text)
+    return _once(clean(c), lambda t: F.when(t == "AoE", "UTC-12").when(t.isin("UTC", "UTC+0"), "UTC+0").otherwise(t))
 
 
 def zone_of_fixed_feed(c: Column) -> Column:
@@ -98,23 +110,39 @@ def zone_of_named_feed(c: Column) -> Column:
     return F.when(text == "", "AoE").when(text.rlike(etc), turned).when(text.isin("Etc/GMT", "Etc/UTC", "UTC"), "UTC+0").otherwise(text)
 
 
-def zone_id(c: Column, named: tuple[str, ...] = ("America/Los_Angeles", "America/New_York", "Europe/Berlin", "Europe/London", "Asia/Seoul")) -> Column:
-    """A zone that Spark can resolve: a fixed offset, one of the known names, or the fallback offset.
+@lru_cache(maxsize=1)
+def zone_names() -> tuple[str, ...]:
+    """The zone names that Spark can resolve, as its Java runtime lists them."""
+    jvm = SparkSession.active()._jvm  # type: ignore[attr-defined]
+    return tuple(sorted(jvm.java.time.ZoneId.getAvailableZoneIds()))
+
+
+def zone_known(c: Column, names: tuple[str, ...] | None = None) -> Column:
+    """False only for a name with a slash that is no zone; offsets and short names are not looked up."""
+    return _once(clean(c), lambda t: ~F.contains(t, F.lit("/")) | t.isin(*(names or zone_names())))
+
+
+def zone_id(c: Column, names: tuple[str, ...] | None = None) -> Column:
+    """A zone that Spark can resolve: a fixed offset, a known name, or the fallback offset.
 
-    PST and PDT are fixed offsets, not zones with a summer time. ``named`` are the names that may
-    pass; an unknown one must not reach a function that fails the whole query on it.
+    PST and PDT are fixed offsets, not zones with a summer time; offsets go up to 18 hours. An unknown
+    name must not reach a function that fails the whole query on it, so the names, a set of fixed
+    size, are part of the expression.
     """
-    text, offset = clean(c), r"(?i)^UTC([+-])(\d{1,2})(?::?(\d{2}))?$"
-    part = lambda k: F.lpad(F.regexp_extract(text, offset, k), 2, "0")
-    fixed = F.concat(F.regexp_extract(text, offset, 1), part(2), F.lit(":"), part(3))
-    return (
-        F.when(F.upper(text).isin("AOE", "UTC-12"), ANYWHERE)
-        .when(text.rlike(offset) & part(2).between("00", "18") & part(3).between("00", "59"), fixed)
-        .when(F.upper(text) == "PST", "-08:00")
-        .when(F.upper(text) == "PDT", "-07:00")
-        .when(text.isin(*named), text)
-        .otherwise(ANYWHERE)
-    )
+    part = lambda t, k: F.lpad(F.regexp_extract(t, OFFSET, k), 2, "0")
+
+    def fixed(t: Column) -> Column:
+        at = F.struct(F.regexp_extract(t, OFFSET, 1).alias("sign"), part(t, 2).alias("h"), part(t, 3).alias("m"))
+        fits = lambda x: F.when((F.concat(x["h"], x["m"]) <= "1800") & (x["m"] <= "59"), F.concat(x["sign"], x["h"], F.lit(":"), x["m"])).otherwise(ANYWHERE)
+        return _once(at, fits)
+
+    def resolved(t: Column) -> Column:
+        return (
+            F.when(F.upper(t).isin("AOE", "UTC-12"), ANYWHERE).when(t.isin("UTC", "UTC+0"), "+00:00").when(t.rlike(OFFSET), fixed(t))
+            .when(F.upper(t) == "PST", "-08:00").when(F.upper(t) == "PDT", "-07:00").when(t.isin(*(names or zone_names())), t).otherwise(ANYWHERE)
+        )
+
+    return _once(clean(c), resolved)
 
 
 def instant(stamp: Column, zone: Column) -> Column:
@@ -122,10 +150,14 @@ def instant(stamp: Column, zone: Column) -> Column:
     return F.to_utc_timestamp(F.try_to_timestamp(norm_stamp(stamp), F.lit("yyyy-MM-dd HH:mm")), zone_id(zone))
 
 
+def displayed(at: Column, zone: str = DISPLAY) -> Column:
+    """The wall clock of a UTC instant in the zone of the board, as ``YYYY-MM-DD HH:MM``."""
+    return F.date_format(F.from_utc_timestamp(at, zone), "yyyy-MM-dd HH:mm")
+
+
 def derived_abstract(paper: Column, note: Column) -> Column:
     """Seven days before the paper where the note says that the abstract is due a week before."""
-    says = F.coalesce(note, F.lit("")).rlike(r"(?i)abstract.*1 week before|1 week before.*abstract")
-    return F.when(says, paper - F.expr("INTERVAL 7 DAYS"))
+    return F.when(F.coalesce(note, F.lit("")).rlike(WEEK_BEFORE), paper - F.expr("INTERVAL 7 DAYS"))
 
 
 def days_left(c: Column, as_of: date) -> Column:

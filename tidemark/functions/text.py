@@ -13,10 +13,12 @@ from pyspark.sql import types as T
 
 #: What stands for a value that isn't known yet.
 PLACEHOLDERS = ("TBA", "TBD")
-#: Elements whose content is no text, elements that strike text out, and how tags split lines.
+#: Elements whose content is no text, elements that strike text out, styles that do, and how tags split lines.
 SILENT = ("script", "style", "svg", "noscript", "template")
 STRUCK = ("s", "del", "strike")
+STRUCK_STYLE = r"(?is)<(\w+)[^>]*(?:line-through|strikethrough)[^>]*>.*?</\1>"
 LINE_ENDS = r"(?i)</(p|div|li|tr|td|th|h[1-6]|section|article|table|dd|dt)\s*>"
+BREAKS = r"(?i)<(br|hr)\s*/?>"
 INLINE = r"(?i)</?(b|i|em|strong|span|u|a|sup|sub|small|mark|code|abbr|time|font)\b[^>]*>"
 
 
@@ -36,9 +38,28 @@ def is_placeholder(c: Column) -> Column:
     return F.upper(clean(c)).isin("", *PLACEHOLDERS)
 
 
-def as_array(c: Column) -> Column:
-    """A scalar as an array of one; null as an empty array."""
-    return F.when(c.isNull(), F.array().cast("array<string>")).otherwise(F.array(c.cast("string")))
+def as_array(c: Column, kind: str = "string") -> Column:
+    """Null and empty text as an empty array, any other text as an array of one; an array (``kind`` "array") less its nulls and blanks."""
+    none = F.array().cast("array<string>")
+    if kind == "array":
+        return F.coalesce(F.filter(c, lambda x: F.coalesce(x, F.lit("")) != ""), none)
+    return F.when(F.coalesce(c.cast("string"), F.lit("")) == "", none).otherwise(F.array(c.cast("string")))
+
+
+def scalarised(c: Column) -> Column:
+    """An array as it is written: nothing for none, the value of one as it is, several in brackets."""
+    return F.when(F.size(c) == 1, F.get(c, F.lit(0))).when(F.size(c) > 1, F.concat(F.lit("["), F.array_join(c, ", "), F.lit("]")))
+
+
+def shown(c: Column, not_yet: str = "To appear") -> Column:
+    """The cleaned text of a field that is to be shown, null where it is empty or not there yet."""
+    return F.nullif(F.nullif(clean(c), F.lit("")), F.lit(not_yet))
+
+
+def name_and_place(c: Column, mark: str = " (") -> tuple[Column, Column]:
+    """A name and the affiliation in brackets behind it, empty where there is none."""
+    text = clean(c)
+    return F.split_part(text, F.lit(mark), F.lit(1)), F.replace(F.when(F.contains(text, F.lit(mark)), F.split_part(text, F.lit(mark), F.lit(2))).otherwise(""), F.lit(")"), F.lit(""))
 
 
 def escape_html(c: Column) -> Column:
@@ -55,38 +76,53 @@ def strip_markup(c: Column) -> Column:
     all they hold, struck by style too. Block ends and breaks become line ends, inline tags vanish,
     every other tag becomes a space.
     """
-    out = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?s)<!--.*?-->", " ")
-    for tag in SILENT:
-        out = F.regexp_replace(out, rf"(?is)<{tag}\b.*?</{tag}>", " ")
-    for tag in STRUCK:
-        out = F.regexp_replace(out, rf"(?is)<{tag}\b[^>]*>.*?</{tag}>", " ")
-    out = F.regexp_replace(out, r"(?is)<(\w+)[^>]*(?:line-through|strikethrough)[^>]*>.*?</\1>", " ")
-    out = F.regexp_replace(out, r"(?i)<(br|hr)\s*/?>", "\n")
-    out = F.regexp_replace(out, LINE_ENDS, "\n")
-    out = F.regexp_replace(out, INLINE, "")
-    return F.regexp_replace(out, r"<[^>]+>", " ")
+    pair = lambda tags, rest: rf"(?is)<({'|'.join(tags)})\b{rest}.*?</\1>"
+    # A pattern with a search for an end runs only over texts that hold a beginning.
+    guarded = [("(?s)<!--", r"(?s)<!--.*?-->"), (rf"(?i)<({'|'.join(SILENT)})\b", pair(SILENT, "")), (rf"(?i)<({'|'.join(STRUCK)})\b", pair(STRUCK, "[^>]*>")), ("(?i)line-through|strikethrough", STRUCK_STYLE)]
+    out = F.coalesce(c, F.lit(""))
+    without = lambda begins, pattern: lambda t: F.when(t.rlike(begins), F.regexp_replace(t, pattern, " ")).otherwise(t)
+    for begins, pattern in guarded:
+        out = F.get(F.transform(F.array(out), without(begins, pattern)), F.lit(0))
+    for pattern, new in ((BREAKS, "\n"), (LINE_ENDS, "\n"), (INLINE, ""), (r"<[^>]+>", " ")):
+        out = F.regexp_replace(out, pattern, new)
+    return out
+
+
+#: Characters of no width, dashes, and quotes with their plain forms.
+NO_WIDTH, DASHES, QUOTES = "\u200b\u200c\u200d\ufeff\u00ad", "[\u2010-\u2015\u2212]", ("\u2018\u2019\u201b\u201c\u201d", "\'\'\'\"\"")
 
 
 @F.pandas_udf(T.StringType())
-def unescape_html(texts: pd.Series) -> pd.Series:
+def _unescaped(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
+def unescape_html(c: Column) -> Column:
+    """Entities decoded; only texts that hold one go through Python."""
+    return F.coalesce(_unescaped(F.when(F.contains(c, F.lit("&")), c)), c)
+
+
 def fold_text(text: str) -> str:
     """NFKC and case folding of one text."""
     return unicodedata.normalize("NFKC", text).casefold()
 
 
 @F.pandas_udf(T.StringType())
-def fold(texts: pd.Series) -> pd.Series:
+def _folded(texts: pd.Series) -> pd.Series:
     return texts.map(fold_text, na_action="ignore")
 
 
+def fold(c: Column) -> Column:
+    """NFKC and case folding; ASCII texts only need lower case, and no other goes through Python."""
+    plain = c.rlike(r"\A\p{ASCII}*\z")
+    return F.when(plain, F.lower(c)).otherwise(_folded(F.when(~plain, c)))
+
+
 def normalise(c: Column) -> Column:
     """Folded text with plain spaces, dashes and quotes, and no zero-width characters."""
-    out = F.translate(fold(F.coalesce(c, F.lit(""))), "​‌‍﻿­", "")
-    out = F.regexp_replace(out, "[‐-―−]", "-")
-    out = F.translate(out, "‘’‛“”", "'''\"\"")
+    out = F.translate(fold(F.coalesce(c, F.lit(""))), NO_WIDTH, "")
+    out = F.regexp_replace(out, DASHES, "-")
+    out = F.translate(out, *QUOTES)
     return F.trim(F.regexp_replace(out, r"(?U)\s+", " "))
 
 

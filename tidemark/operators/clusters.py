@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import derived_abstract, instant
 from tidemark.functions.text import clean
 
 
@@ -36,12 +39,53 @@ def cycle_of(*texts: Column) -> Column:
     return F.when(number != "", F.concat(F.lit("cycle "), number)).otherwise(out)
 
 
-def track_of(text: Column, rules: list[tuple[str, str]]) -> Column:
-    """The label of the first pattern that the lower-case text matches, or empty."""
+#: The venues whose tracks are told apart, and the tracks with the words that tell them, in order.
+TRACK_VENUES = ("ICSE", "FSE", "ASE", "ISSTA")
+TRACKS = (
+    (r"\bseip\b", "SEIP"), (r"\bjf\b|journal[- ]first|journal first", "Journal First"), (r"\bnier\b|new ideas", "NIER"), (r"\bsrc\b|student research", "SRC"), (r"\bdemo(s)?\b|demonstration", "Demo"),
+    (r"doctoral|\bdoctoral symposium\b", "Doctoral Symposium"), (r"artifact|artefact", "Artifact"), (r"industry|practice", "Industry"), (r"education|\bseet\b", "Education"), (r"workshop|companion|tutorial|poster", "Companion"),
+)
+
+
+def track_of(text: Column, rules: tuple[tuple[str, str], ...] = TRACKS, venue: Column | None = None, venues: tuple[str, ...] = TRACK_VENUES) -> Column:
+    """The label of the first pattern that the lower-case text matches, or empty; with ``venue``, for ``venues`` alone."""
     out = F.lit("")
     for pattern, label in reversed(rules):
         out = F.when(F.lower(text).rlike(pattern), F.lit(label)).otherwise(out)
-    return out
+    return out if venue is None else F.when(venue.isin(*venues), out).otherwise("")
+
+
+def display_rows(df: DataFrame, paper: str, abstract: str, year: str, zone: str, note: str, as_of: date, prefix: str = "cycle") -> DataFrame:
+    """``expand_cycles`` for the board: years of the window only, and the cycle's instants in UTC.
+
+    Adds paper_at, abstract_at (seven days before the paper where there is none and the note says so),
+    abstract_shown and effective_at, the abstract's instant or else the paper's.
+    """
+    kept = df.filter(F.col(year).between(as_of.year - 2, as_of.year + 1))
+    rows = expand_cycles(kept, paper, abstract, prefix).withColumn("paper_at", instant(F.col("paper_raw"), F.col(zone)))
+    said = instant(F.col("abstract_raw"), F.col(zone))
+    rows = rows.withColumn("abstract_at", F.coalesce(said, derived_abstract(F.col("paper_at"), F.col(note))))
+    shown = F.coalesce("abstract_raw", F.when(F.col("abstract_at").isNotNull(), "derived: paper - 7 days"), F.lit(""))
+    return rows.withColumn("abstract_shown", shown).withColumn("effective_at", F.coalesce("abstract_at", "paper_at"))
+
+
+def dedupe(df: DataFrame, keys: list[str], cycle: str, track: str, abstract: str, paper: str, priority: str, tie: str, describe: list[str], source: list[str], days: int = 14) -> DataFrame:
+    """One row per venue, year and part: the rows of a cycle, else of a track, are one; the others are clustered by their gaps.
+
+    ``cycle`` and ``track`` are empty where a row has none. Adds part and cluster to the keys. The gaps are
+    those of the rows' effective time, the abstract's or else the paper's.
+    """
+    part = F.when(F.col(cycle) != "", F.lower(F.col(cycle))).when(F.col(track) != "", F.concat(F.lit("track:"), F.lower(F.col(track)))).otherwise("main")
+    rows = df.withColumn("part", part).withColumn("_at", F.least(abstract, paper))
+    apart = gap_clusters(rows, [*keys, "part"], "_at", days * 86_400, tie)
+    # Both kinds pass the same window; only the rows of no cycle and track use its number.
+    apart = apart.withColumn("cluster", F.when(F.col("part") == "main", F.col("cluster")).otherwise(F.lit(1).cast("bigint"))).drop("_at")
+    return merge_clusters(apart, [*keys, "part", "cluster"], abstract, paper, priority, tie, describe, days, source)
+
+
+def in_first_seen_order(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
+    """One row per key: ``first_seen``, the least ordinal, and n; in the order in which the keys come up first."""
+    return df.groupBy(*keys).agg(F.min(ordinal).alias("first_seen"), F.count(F.lit(1)).alias("n")).orderBy("first_seen")
 
 
 def gap_clusters(df: DataFrame, keys: list[str], time: str, seconds: int, tie: str, name: str = "cluster") -> DataFrame:
@@ -62,9 +106,11 @@ def first_known(value: str, priority: str, tie: str) -> Column:
     return F.min(kept)[value]
 
 
-def merge_clusters(df: DataFrame, keys: list[str], abstract: str, paper: str, priority: str, tie: str, describe: list[str], days: int = 14) -> DataFrame:
+def merge_clusters(df: DataFrame, keys: list[str], abstract: str, paper: str, priority: str, tie: str, describe: list[str], days: int = 14, source: list[str] | None = None) -> DataFrame:
     """One row per key: abstract, paper, effective, n_merged, sources and the described fields.
 
+    ``sources`` is an array of structs, each distinct priority with the ``source`` columns once, by priority.
+
     Dates are the earliest abstract and the latest paper over all rows, whatever their priority;
     fields are the best priority's first value that isn't blank. Without an abstract, two different
     papers at most ``days`` apart are taken as abstract and paper. Equal dates leave the paper alone,
@@ -72,7 +118,7 @@ def merge_clusters(df: DataFrame, keys: list[str], abstract: str, paper: str, pr
     """
     grouped = df.groupBy(*keys).agg(
         F.min(abstract).alias("_a"), F.max(paper).alias("_p"), F.min(paper).alias("_first"), F.min(F.least(abstract, paper)).alias("_any"),
-        F.count(F.lit(1)).alias("n_merged"), F.array_join(F.array_sort(F.collect_set(F.col(priority).cast("string"))), ",").alias("sources"),
+        F.count(F.lit(1)).alias("n_merged"), F.array_sort(F.collect_set(F.struct(priority, *(source or [])))).alias("sources"),
         *[F.coalesce(first_known(c, priority, tie), F.lit("")).alias(c) for c in describe],
     )
     apart = F.unix_micros("_p") - F.unix_micros("_first")

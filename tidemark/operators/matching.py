@@ -9,23 +9,34 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import clean
 
-#: Aliases that the match accepts; they are sent to every task.
-MOST_ALIASES = 10_000
+#: Aliases that are sent to every task inside the expression; more are joined by their words.
+MOST_ALIASES = 2_000
 
 
-def alias_match(df: DataFrame, id_col: str, title: str, aliases: list[tuple[str, str]]) -> DataFrame:
+def alias_match(df: DataFrame, id_col: str, title: str, aliases: list[tuple[str, str]], most: int = MOST_ALIASES) -> DataFrame:
     """``df`` with ``target``: the first alias, in list order, that the title is, starts or ends with, or holds as words.
 
-    Case and white space don't count. Null where nothing matches. The titles are compared inside
-    the row with the aliases as an array of a checked size, so there is no join to plan.
+    Case and white space don't count. Null where nothing matches. A few aliases are compared inside the
+    row as an array. More than ``most`` are joined by equality with the runs of words of the title that
+    are as long as an alias is.
     """
-    if len(aliases) > MOST_ALIASES:
-        raise ValueError(f"more than {MOST_ALIASES} aliases")
-    # A title with a space at either end holds exactly the aliases that stand between spaces in it.
-    padded = F.concat(F.lit(" "), F.lower(clean(F.col(title))), F.lit(" "))
-    listed = F.array(*[F.struct(F.lit(f" {' '.join(a.lower().split())} ").alias("alias"), F.lit(t).alias("target")) for a, t in aliases])
-    hits = F.filter(listed, lambda x: F.contains(padded, x["alias"]))
-    return df.withColumn("target", F.get(hits, F.lit(0))["target"])
+    listed = [(" ".join(a.lower().split()), t) for a, t in aliases]
+    words = F.lower(clean(F.col(title)))
+    if len(aliases) <= most:
+        # A title with a space at either end holds exactly the aliases that stand between spaces in it.
+        padded = F.concat(F.lit(" "), words, F.lit(" "))
+        table = F.array(*[F.struct(F.lit(f" {a} ").alias("alias"), F.lit(t).alias("target")) for a, t in listed])
+        hits = F.filter(table, lambda x: F.contains(padded, x["alias"]))
+        return df.withColumn("target", F.get(hits, F.lit(0))["target"])
+    by = df.sparkSession.createDataFrame([(a, i, t) for i, (a, t) in enumerate(listed)], "_alias string, _ordinal int, _target string")
+    by = by.groupBy("_alias").agg(F.min(F.struct("_ordinal", "_target")).alias("_hit"))
+    parts = F.split("_words", " ")
+    runs = lambda n: F.transform(F.sequence(F.lit(1), F.size(parts) - n + 1), lambda i: F.array_join(F.slice(parts, i, n), " "))
+    every = F.array_distinct(F.concat(*[F.when(F.size(parts) >= n, runs(n)).otherwise(F.array().cast("array<string>")) for n in sorted({len(a.split(" ")) for a, _ in listed})]))
+    # Titles are matched once each.
+    titles = df.select(words.alias("_words")).distinct()
+    found = titles.select("_words", F.explode(every).alias("_alias")).join(by, "_alias").groupBy("_words").agg(F.min("_hit")["_target"].alias("target"))
+    return df.withColumn("_words", words).join(found, "_words", "left").select(*df.columns, "target")
 
 
 def literal_hit(fields: list[Column], query: str) -> Column:
@@ -66,10 +77,6 @@ def search(df: DataFrame, fields: list[str], query: str, ordinal: str, limit: in
     return df.filter(hit & not_excluded(columns, exclude or [])).orderBy(ordinal).limit(limit)
 
 
-def count_matches(df: DataFrame, by: str) -> DataFrame:
-    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-
-
 def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The first row per key."""
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).filter("_n = 1").drop("_n")

@@ -1,7 +1,8 @@
 """Layered merge of existing, upstream and override records, and the checks around it.
 
 Overrides are tri-state: a field that isn't in ``set_fields`` has no say, one that is there with a
-value wins, one that is there with null deletes.
+value wins, one that is there with null deletes. Upstream only ever gives real values: an empty text
+or a placeholder says nothing.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import clean
+from tidemark.functions.dates import canonical_zone, kept_stamp, leading_date
+from tidemark.functions.text import clean, is_placeholder
 
 RAIL_DAYS = 90
 
@@ -30,31 +32,59 @@ def overridden(value: Column, override: Column, owned_: Column) -> Column:
     return F.when(owned_, override).otherwise(value)
 
 
-def layered_merge(existing: DataFrame, candidates: DataFrame, overrides: DataFrame, keys: list[str], fields: list[str], origin: str = "origin") -> DataFrame:
-    """One row per key of any layer: the merged fields, which fields the override changed, and the origin.
+def real(value: Column, listed: bool = False) -> Column:
+    """A value that says something: the text unless it is blank or a placeholder; a list less such items, null if none is left."""
+    if not listed:
+        return F.when(~is_placeholder(value), value)
+    kept = F.filter(value, lambda x: ~is_placeholder(x))
+    return F.when(F.size(kept) > 0, kept)
 
-    ``existing`` and ``candidates`` hold the fields, ``overrides`` the fields and ``set_fields``.
-    Keys must be unique per layer. Rows that only an override has take its values.
+
+def future_days(stamps: Column) -> Column:
+    """The days of a list of dates and times; what is no date is left out."""
+    return F.filter(F.transform(stamps, leading_date), lambda d: d.isNotNull())
+
+
+def layered_merge(
+    existing: DataFrame, candidates: DataFrame, overrides: DataFrame, keys: list[str], fields: list[str], origin: str = "origin", deadlines: str | None = None, as_of: date | None = None
+) -> DataFrame:
+    """One row per key of any layer: the merged fields, which fields the override changed, the origin and the change.
+
+    ``existing`` and ``candidates`` hold the fields, ``overrides`` the fields and ``set_fields``. Rows that
+    only an override has take its values. A field may be a text or an array of texts; of a candidate only
+    :func:`real` values count. With ``deadlines``, a field of dates, and ``as_of``, the safety rail holds:
+    a candidate that would move a date still to come too far gives no field at all, unless the override
+    owns the dates; ``railed`` says so, and so does ``change``. Rows without a whole key take no part; a
+    key that repeats in a layer fails the query.
     """
     # The layers are stacked and grouped, so that each row is shuffled once; two full joins would
-    # shuffle the result of the first again.
+    # shuffle the result of the first again. A layer's row stays whole.
+    listed = {f.name for f in existing.schema.fields if f.name in fields and f.dataType.typeName() == "array"}
     none = F.lit(None).cast("array<string>")
-    stacked = [df.select(*keys, *fields, (F.col("set_fields") if tag == "o" else none).alias("_set"), F.lit(tag).alias("_layer")) for tag, df in (("e", existing), ("c", candidates), ("o", overrides))]
-    at = lambda tag, c: F.max(F.when(F.col("_layer") == tag, F.col(c)))
-    layered = [at(tag, f).alias(f"_{tag}_{f}") for tag in "eco" for f in fields]
-    there_ = [F.max(F.when(F.col("_layer") == tag, F.lit(True))).alias(f"_{tag}") for tag in "eco"]
-    rows = stacked[0].unionByName(stacked[1]).unionByName(stacked[2]).groupBy(*keys).agg(*layered, F.max("_set").alias("_set"), *there_)
-    own = {f: owned(F.col("_set"), f) for f in fields}
-    before = {f: upstream_first(F.col(f"_e_{f}"), F.col(f"_c_{f}"), own[f]) for f in fields}
-    after = {f: overridden(before[f], F.col(f"_o_{f}"), own[f]) for f in fields}
+    stacked = [
+        df.select(*keys, F.struct(*fields, (F.col("set_fields") if tag == "o" else none).alias("set_fields")).alias("_row"), F.lit(tag).alias("_layer"))
+        for tag, df in (("e", existing), ("c", candidates), ("o", overrides))
+    ]
+    rows = stacked[0].unionByName(stacked[1]).unionByName(stacked[2]).dropna(subset=keys)
+    one = [F.first(F.when(F.col("_layer") == tag, F.col("_row")), ignorenulls=True).alias(f"_{tag}") for tag in "eco"]
+    most = F.greatest(*[F.count_if(F.col("_layer") == tag) for tag in "eco"])
+    rows = rows.groupBy(*keys).agg(*one, F.when(most > 1, F.raise_error(F.lit("a key repeats in a layer")).cast("boolean")).otherwise(True).alias("_fine")).filter("_fine")
+    own = {f: owned(F.col("_o.set_fields"), f) for f in fields}
+    given = {f: real(F.col(f"_c.{f}"), f in listed) for f in fields}
+    railed = F.lit(False)
+    if deadlines and as_of:
+        railed = ~own[deadlines] & F.coalesce(rail(future_days(F.col(f"_e.{deadlines}")), future_days(given[deadlines]), as_of), F.lit(False))
+    rows = rows.withColumn("railed", railed)
+    before = {f: upstream_first(F.col(f"_e.{f}"), given[f], own[f] | F.col("railed")) for f in fields}
+    after = {f: overridden(before[f], F.col(f"_o.{f}"), own[f]) for f in fields}
     changed = F.array_compact(F.array(*[F.when(own[f] & ~after[f].eqNullSafe(before[f]), F.lit(f)) for f in fields]))
     there = lambda tag: F.col(f"_{tag}").isNotNull()
     kind = F.when(there("e") & there("c"), "both").when(there("e"), "existing").when(there("c"), "upstream").otherwise("override")
     same = F.lit(True)
     for f in fields:
-        same = same & after[f].eqNullSafe(F.col(f"_e_{f}"))
-    change = F.when(~there("e"), "created").when(same, "kept").otherwise("updated")
-    return rows.select(*keys, *[after[f].alias(f) for f in fields], F.array_join(changed, ",").alias("overridden"), kind.alias(origin), change.alias("change"))
+        same = same & after[f].eqNullSafe(F.col(f"_e.{f}"))
+    change = F.when(~there("e"), "created").when(F.col("railed"), "railed").when(same, "kept").otherwise("updated")
+    return rows.select(*keys, *[after[f].alias(f) for f in fields], F.array_join(changed, ",").alias("overridden"), kind.alias(origin), change.alias("change"), *(["railed"] if deadlines else []))
 
 
 def changed_fields(pairs: dict[str, tuple[Column, Column]]) -> Column:
@@ -78,6 +108,22 @@ def largest_move(old: Column, new: Column) -> Column:
     return F.when((F.size(old) > 0) & (F.size(new) > 0), F.array_max(distance_days(old, new)))
 
 
+def canonical_record(fields: dict[str, tuple[Column, str]]) -> Column:
+    """The comparison form of a record: a struct in which different writings of the same value are equal.
+
+    Each field comes with its kind: "stamps" (an array of dates and times, normal forms where there are
+    any, less nulls at its end), "zone", or "text". Null and absent are the same.
+    """
+
+    def stamps(c: Column) -> Column:
+        kept = F.transform(F.coalesce(c, F.array().cast("array<string>")), kept_stamp)
+        last = F.array_max(F.transform(kept, lambda x, i: F.when(x.isNotNull(), i)))
+        return F.when(last.isNotNull(), F.slice(kept, 1, last + 1))
+
+    forms = {"stamps": stamps, "zone": lambda c: F.when(c.isNotNull(), canonical_zone(c)), "text": lambda c: c.cast("string")}
+    return F.struct(*[forms[kind](c).alias(name) for name, (c, kind) in fields.items()])
+
+
 def disagree(a: Column, b: Column, tolerance: int = 1) -> Column:
     """Whether two sources differ in the number of dates, or in a sorted pair by more than the tolerance."""
     apart = F.zip_with(F.array_sort(a), F.array_sort(b), lambda x, y: F.coalesce(F.abs(F.datediff(x, y)) > tolerance, F.lit(True)))

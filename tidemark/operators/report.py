@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import any_contains, clean
+
 
 def board(df: DataFrame, year: str, days: str, category: str, name: str, categories: list[str], filters: list[Column]) -> DataFrame:
     """Rows that pass all filters, with the year's number of rows, in the board's order.
@@ -16,7 +18,9 @@ def board(df: DataFrame, year: str, days: str, category: str, name: str, categor
         rows = rows.filter(f)
     place = F.array_position(F.array(*map(F.lit, categories)), F.col(category)).cast("int")
     rows = rows.withColumn("category_order", F.when(place > 0, place).otherwise(len(categories) + 1))
-    rows = rows.withColumn("n_in_year", F.count(F.lit(1)).over(Window.partitionBy(year)))
+    # Counted in the tasks first and joined, so that no year's rows meet in one task; Spark sends the few counts to all.
+    counts = rows.groupBy(F.col(year).alias("_year")).agg(F.count(F.lit(1)).alias("n_in_year"))
+    rows = rows.join(counts, F.col(year).eqNullSafe(F.col("_year"))).drop("_year")
     return rows.orderBy(year, F.col(days).asc_nulls_last(), "category_order", name)
 
 
@@ -83,3 +87,42 @@ def adjacent_comments(df: DataFrame, keys: list[str], line_no: str, text: str) -
     above = Window.partitionBy(*keys, "_block").orderBy(line_no)
     rows = rows.withColumn("comments", F.sum("_comment").over(above).cast("bigint"))
     return rows.filter(~blank & ~comment).drop("_block", "_comment")
+
+
+def publication_search(df: DataFrame, title: str, authors: str, venue: str, type_: str, query: str, kind: str = "all") -> DataFrame:
+    """Rows in whose title, authors or venue the query occurs, case aside, and whose type holds ``kind``."""
+    rows = df.filter(any_contains([F.col(title), F.col(authors), F.col(venue)], query))
+    return rows if kind == "all" else rows.filter(F.contains(F.col(type_), F.lit(kind)))
+
+
+def section(highlight: Column, kind: Column, wanted: str = "all") -> Column:
+    """Whether a row shows in the section ``wanted``: featured ones have a place of their own under "all" only."""
+    return F.lit(True) if wanted == "all" else (F.coalesce(highlight, F.lit(0)) != 1) & F.contains(kind, F.lit(wanted))
+
+
+def note_badge(note: Column, type_: Column, rules: list[tuple[str, str]], of_type: dict[str, str], otherwise: str) -> Column:
+    """The badge of a note: by the type where it has one of its own, none for an empty note, else by the first word that it holds."""
+    out = F.lit(otherwise)
+    for word, label in reversed(rules):
+        out = F.when(F.contains(note, F.lit(word)), F.lit(label)).otherwise(out)
+    out = F.when(clean(note) == "", "").otherwise(out)
+    for name, label in of_type.items():
+        out = F.when(type_ == name, F.lit(label)).otherwise(out)
+    return out
+
+
+def tabs(df: DataFrame, text: list[str], query: str, year: str, chosen: str = "all") -> DataFrame:
+    """Rows of the chosen year's tab; a query looks through all tabs."""
+    if query:
+        return df.filter(any_contains([F.col(c) for c in text], query))
+    return df if chosen == "all" else df.filter(F.col(year).cast("string") == chosen)
+
+
+def by_number(df: DataFrame, key: str) -> DataFrame:
+    """``df`` in the order of a text key's number; keys that are none come last, by their text."""
+    return df.orderBy(F.col(key).try_cast("bigint").asc_nulls_last(), key)
+
+
+def changed_paths(path: Column, allowed: str, litter: str) -> Column:
+    """What kind of change a path is: allowed, litter, or changed."""
+    return F.when(path.rlike(allowed), "allowed").when(path.rlike(litter), "litter").otherwise("changed")

@@ -33,18 +33,18 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     return add
 
 
-#: Orders as edition records: strings to merge, a day, and three layers by the key.
+#: Orders as edition records: strings to merge, a day, and three layers that differ by what the columns say.
 ORDERS_SQL = """o AS (
     SELECT o_orderkey AS k, o_orderstatus AS status, o_orderpriority AS place, CAST(o_custkey % 50 AS VARCHAR) AS link,
            CAST(o_orderdate AS DATE) AS day, o_custkey AS cust
     FROM orders)"""
 LAYERS_SQL = (
     ORDERS_SQL
-    + """, e AS (SELECT k, status, place, link FROM o WHERE k % 5 <> 0),
-    c AS (SELECT k, CASE WHEN k % 4 = 0 THEN NULL ELSE status || '-up' END AS status, CASE WHEN k % 6 < 3 THEN place END AS place, link FROM o WHERE k % 3 <> 0),
-    m AS (SELECT k, CASE WHEN k % 2 = 0 THEN 'fixed' END AS status, 'hall ' || link AS place, CAST(NULL AS VARCHAR) AS link,
-                 CASE k % 3 WHEN 0 THEN ['status'] WHEN 1 THEN ['status', 'place'] ELSE ['place', 'link'] END AS set_fields
-          FROM o WHERE k % 7 = 0)"""
+    + """, e AS (SELECT k, status, place, link FROM o WHERE place <> '5-LOW'),
+    c AS (SELECT k, CASE WHEN place = '1-URGENT' THEN NULL ELSE status || '-up' END AS status, CASE WHEN month(day) <= 4 THEN ' tba ' WHEN month(day) <= 8 THEN place || '!' END AS place, link FROM o WHERE status <> 'P'),
+    m AS (SELECT k, CASE status WHEN 'O' THEN 'fixed' WHEN 'F' THEN 'F-up' END AS status, CASE WHEN status = 'F' THEN place || '!' ELSE 'hall ' || link END AS place, CAST(NULL AS VARCHAR) AS link,
+                 CASE WHEN month(day) <= 4 THEN ['status'] WHEN month(day) <= 8 THEN ['status', 'place'] ELSE ['place', 'link'] END AS set_fields
+          FROM o WHERE day(day) <= 5)"""
 )
 
 
@@ -58,14 +58,16 @@ def editions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Existing, upstream and override records."""
-    o, k = editions(spark, sf_dir), F.col("k")
-    fields = ["k", "status", "place", "link"]
-    upstream = o.filter(k % 3 != 0).select("k", F.when(k % 4 != 0, F.concat("status", F.lit("-up"))).alias("status"), F.when(k % 6 < 3, F.col("place")).alias("place"), "link")
-    sets = F.when(k % 3 == 0, F.array(F.lit("status"))).when(k % 3 == 1, F.array(F.lit("status"), F.lit("place"))).otherwise(F.array(F.lit("place"), F.lit("link")))
-    override = o.filter(k % 7 == 0).select(
-        "k", F.when(k % 2 == 0, "fixed").alias("status"), F.concat(F.lit("hall "), "link").alias("place"), F.lit(None).cast("string").alias("link"), sets.alias("set_fields")
+    o, month, lit = editions(spark, sf_dir), F.month("day"), F.lit
+    upstream = o.filter("status <> 'P'").select(
+        "k", F.when(F.col("place") != "1-URGENT", F.concat("status", lit("-up"))).alias("status"), F.when(month <= 4, " tba ").when(month <= 8, F.concat("place", lit("!"))).alias("place"), "link"
     )
-    return o.filter(k % 5 != 0).select(*fields), upstream, override
+    sets = F.when(month <= 4, F.array(lit("status"))).when(month <= 8, F.array(lit("status"), lit("place"))).otherwise(F.array(lit("place"), lit("link")))
+    override = o.filter(F.dayofmonth("day") <= 5).select(
+        "k", F.when(F.col("status") == "O", "fixed").when(F.col("status") == "F", "F-up").alias("status"),
+        F.when(F.col("status") == "F", F.concat("place", lit("!"))).otherwise(F.concat(lit("hall "), "link")).alias("place"), lit(None).cast("string").alias("link"), sets.alias("set_fields"),
+    )
+    return o.filter("place <> '5-LOW'").select("k", "status", "place", "link"), upstream, override
 
 
 #: Line items as sources of an order, numbered by priority.

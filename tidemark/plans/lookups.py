@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import dates, text
+from tidemark.functions import dates
 from tidemark.operators import evidence, merge
 from tidemark.plans.base import LAYERS_SQL, ORDERS_SQL, editions, layers, query, table
 from tidemark.plans.texts import ZONE_SQL, _zone
@@ -13,33 +13,28 @@ from tidemark.sources import records
 
 @query(
     """
-    WITH l AS (SELECT CASE WHEN page_id % 2 = 0 THEN sha1(url) END AS name, 'p' || page_id AS body FROM pages WHERE page_id % 2 = 0
-               UNION ALL SELECT lower(regexp_extract(url, '^https?://([^/?]+)', 1)), 'h' || min(page_id) FROM pages WHERE page_id % 3 = 0 GROUP BY 1),
-    w AS (SELECT page_id, url, lower(regexp_extract(url, '^https?://([^/?]+)', 1)) AS host FROM pages)
+    WITH w AS (SELECT page_id, url, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS host FROM pages),
+    l AS (SELECT sha1(url) AS name, 'p' || page_id AS body FROM w WHERE url LIKE 'https:%' UNION ALL SELECT host, 'h' || min(page_id) FROM w WHERE host LIKE '%.net' GROUP BY 1)
     SELECT page_id, coalesce(min(a.body), min(b.body)) AS page FROM w LEFT JOIN l a ON a.name = sha1(w.url) LEFT JOIN l b ON b.name = w.host GROUP BY page_id
     """
 )
 def landed_page(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").select("page_id", "url")
-    host = F.lower(F.try_parse_url("url", F.lit("HOST")))
-    exact = p.filter("page_id % 2 = 0").select(F.sha1("url").alias("name"), F.concat(F.lit("p"), "page_id").alias("body"))
-    other = p.filter("page_id % 3 = 0").groupBy(host.alias("name")).agg(F.concat(F.lit("h"), F.min("page_id")).alias("body"))
+    p = table(spark, sf_dir, "pages").select("page_id", "url", F.lower(F.try_parse_url("url", F.lit("HOST"))).alias("host"))
+    exact = p.filter("url LIKE 'https:%'").select(F.sha1("url").alias("name"), F.concat(F.lit("p"), "page_id").alias("body"))
+    other = p.filter("host LIKE '%.net'").groupBy(F.col("host").alias("name")).agg(F.concat(F.lit("h"), F.min("page_id")).alias("body"))
     return evidence.landed_page(p, exact.unionByName(other), "url", "name", "body").groupBy("page_id").agg(F.min("page").alias("page"))
 
 
-@query(f"WITH {ORDERS_SQL}, z AS (SELECT k, CASE WHEN trim(coalesce({ZONE_SQL}, '')) = 'AoE' THEN 'UTC-12' ELSE trim(coalesce({ZONE_SQL}, '')) END AS c FROM o) SELECT k, CASE WHEN c = 'UTC-12' THEN 'aoe|anywhere on earth|utc-12|gmt-12' ELSE lower(c) END AS forms FROM z")
+@query(
+    f"""
+    WITH {ORDERS_SQL}, z AS (SELECT k, trim(coalesce({ZONE_SQL}, '')) AS c FROM o)
+    SELECT k, CASE WHEN c = 'AoE' THEN 'aoe|anywhere on earth|utc-12|gmt-12' WHEN c IN ('UTC', 'UTC+0') THEN 'utc|gmt|utc+0|zulu' WHEN c = 'America/Los_Angeles' THEN 'pst|pdt|pacific time|america/los_angeles' ELSE lower(c) END AS forms FROM z
+    """
+)
 def zone_surface_forms(spark, sf_dir):
     return editions(spark, sf_dir).select("k", F.array_join(evidence.zone_forms(dates.canonical_zone(_zone())), "|").alias("forms"))
 
 
-@query()
-def absence_check(spark, sf_dir):
-    """Whether the first forty words of a page, cited whole, hold no word of a field's vocabulary."""
-    rows = table(spark, sf_dir, "pages").select("page_id", text.tokens(text.flat(text.normalise(text.strip_markup(F.col("html"))))).alias("page"))
-    rows = rows.withColumn("block", F.slice("page", 1, 40)).withColumn("field", F.when(F.col("page_id") % 2 == 0, "abstract_deadline").otherwise("timezone"))
-    return evidence.absences(rows, "page", "block", "field").select("page_id", "absent", "absence_reason")
-
-
 @query(
     f"""
     WITH {ORDERS_SQL}, r AS (SELECT k, place AS title, CASE WHEN k % 10 <> 0 THEN CAST(year(day) AS INTEGER) END AS year FROM o WHERE status <> 'P')

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import day_label, days_left, urgency
-from tidemark.operators import clusters, merge, report
+from tidemark.functions.dates import day_label, days_left, displayed, urgency
+from tidemark.operators import clusters, merge, quality, report
 from tidemark.plans.base import LAYERS_SQL, ORDERS_SQL, SOURCES_SQL, TODAY, TODAY_SQL, editions, layers, query, sources, table
 
 DAY = 86_400
@@ -61,12 +61,12 @@ def year_window_board(spark, sf_dir):
 
 MERGED_SQL = (
     LAYERS_SQL
-    + """, j AS (SELECT coalesce(e.k, c.k, m.k) AS k, e.k IS NOT NULL AS he, c.k IS NOT NULL AS hc, coalesce(m.set_fields, []) AS sets,
+    + """, g AS (SELECT k, status, link, CASE WHEN upper(trim(place)) NOT IN ('', 'TBA', 'TBD') THEN place END AS place FROM c), j AS (SELECT coalesce(e.k, g.k, m.k) AS k, e.k IS NOT NULL AS he, g.k IS NOT NULL AS hc, coalesce(m.set_fields, []) AS sets,
                  e.status AS es, e.place AS ep, e.link AS el, m.status AS ms, m.place AS mp, m.link AS ml,
-                 CASE WHEN NOT list_contains(coalesce(m.set_fields, []), 'status') AND c.status IS NOT NULL THEN c.status ELSE e.status END AS bs,
-                 CASE WHEN NOT list_contains(coalesce(m.set_fields, []), 'place') AND c.place IS NOT NULL THEN c.place ELSE e.place END AS bp,
-                 CASE WHEN NOT list_contains(coalesce(m.set_fields, []), 'link') AND c.link IS NOT NULL THEN c.link ELSE e.link END AS bl
-          FROM e FULL JOIN c ON e.k = c.k FULL JOIN m ON coalesce(e.k, c.k) = m.k),
+                 CASE WHEN NOT list_contains(coalesce(m.set_fields, []), 'status') AND g.status IS NOT NULL THEN g.status ELSE e.status END AS bs,
+                 CASE WHEN NOT list_contains(coalesce(m.set_fields, []), 'place') AND g.place IS NOT NULL THEN g.place ELSE e.place END AS bp,
+                 CASE WHEN NOT list_contains(coalesce(m.set_fields, []), 'link') AND g.link IS NOT NULL THEN g.link ELSE e.link END AS bl
+          FROM e FULL JOIN g ON e.k = g.k FULL JOIN m ON coalesce(e.k, g.k) = m.k),
     r AS (SELECT *, CASE WHEN list_contains(sets, 'status') THEN ms ELSE bs END AS status, CASE WHEN list_contains(sets, 'place') THEN mp ELSE bp END AS place,
                  CASE WHEN list_contains(sets, 'link') THEN ml ELSE bl END AS link FROM j),
     f AS (SELECT k, status, place, link,
@@ -208,17 +208,18 @@ def enforce_dimension(spark, sf_dir):
 
 @query(
     f"""
-    WITH {LAYERS_SQL}, n AS (SELECT e.k, CASE e.k % 3 WHEN 0 THEN 'CFP not announced yet' WHEN 1 THEN 'bring a poster' END AS note, e.status <> 'P' AS had,
-                                    coalesce(c.status, e.status) <> 'P' AS has FROM e LEFT JOIN c ON e.k = c.k)
-    SELECT k, CASE WHEN NOT had AND has AND regexp_matches(coalesce(note, ''), 'not (yet |publicly )?(available|announced)|announced yet', 'i') THEN NULL ELSE note END AS note FROM n
+    WITH {LAYERS_SQL}, n AS (SELECT e.k, CASE e.place WHEN '1-URGENT' THEN 'CFP not announced yet' WHEN '2-HIGH' THEN 'bring a poster' WHEN '3-MEDIUM' THEN 'dates not yet available' END AS note, e.status <> 'P' AS had,
+                                    coalesce(d.status, e.status) <> 'P' AS has FROM e LEFT JOIN (SELECT k, 'O' AS status FROM o WHERE month(day) <= 6) d ON e.k = d.k)
+    SELECT k, CASE WHEN NOT had AND has AND regexp_matches(coalesce(note, ''), 'not (yet |publicly )?(available|announced)|announced yet|not yet available', 'i') THEN NULL ELSE note END AS note FROM n
     """
 )
 def stale_note(spark, sf_dir):
-    e, c, _ = layers(spark, sf_dir)
-    rows = e.alias("e").join(c.alias("c"), "k", "left")
-    note = F.when(F.col("k") % 3 == 0, "CFP not announced yet").when(F.col("k") % 3 == 1, "bring a poster")
-    had, has = F.col("e.status") != "P", F.coalesce("c.status", "e.status") != "P"
-    return rows.select("k", merge.without_stale_note(note, had, has, r"(?i)not (yet |publicly )?(available|announced)|announced yet").alias("note"))
+    e, _, _ = layers(spark, sf_dir)
+    dated = editions(spark, sf_dir).filter(F.month("day") <= 6).select("k", F.lit("O").alias("status"))
+    rows = e.alias("e").join(dated.alias("d"), "k", "left")
+    note = F.when(F.col("place") == "1-URGENT", "CFP not announced yet").when(F.col("place") == "2-HIGH", "bring a poster").when(F.col("place") == "3-MEDIUM", "dates not yet available")
+    had, has = F.col("e.status") != "P", F.coalesce("d.status", "e.status") != "P"
+    return rows.select("k", merge.without_stale_note(note, had, has, quality.STALE).alias("note"))
 
 
 @query(
@@ -237,15 +238,15 @@ def obsolete_override(spark, sf_dir):
 
 
 def _cycles(spark, sf_dir):
-    """Orders with up to three line item days as papers, and the first one's day less a week as an abstract."""
-    s = sources(spark, sf_dir).filter("pos <= 3").groupBy("k").agg(F.array_sort(F.collect_list(F.struct("pos", F.col("ship").cast("string").alias("d")))).alias("x"))
-    s = s.select("k", F.transform("x", lambda v: v["d"]).alias("papers"))
-    return s.withColumn("abstracts", F.when(F.col("k") % 2 == 0, F.slice("papers", 1, 1)).otherwise(F.array().cast("array<string>")))
+    """Orders with the days of their line items as papers, and the first one's day as an abstract where that line is finished."""
+    s = sources(spark, sf_dir).groupBy("k").agg(F.array_sort(F.collect_list(F.struct("pos", F.col("ship").cast("string").alias("d"), "line"))).alias("x"))
+    s = s.select("k", F.transform("x", lambda v: v["d"]).alias("papers"), F.get("x", F.lit(0))["line"].alias("line"))
+    return s.select("k", "papers", F.when(F.col("line") == "F", F.slice("papers", 1, 1)).otherwise(F.array().cast("array<string>")).alias("abstracts"))
 
 
-CYCLES_SQL = f"""{SOURCES_SQL}, z AS (SELECT k, pos, CAST(ship AS VARCHAR) AS paper, count(*) OVER (PARTITION BY k) AS n FROM s WHERE pos <= 3),
+CYCLES_SQL = f"""{SOURCES_SQL}, z AS (SELECT k, pos, CAST(ship AS VARCHAR) AS paper, count(*) OVER (PARTITION BY k) AS n, line FROM s),
     y AS (SELECT k, CAST(pos - 1 AS BIGINT) AS i, n AS n_cycles, CASE WHEN n > 1 THEN 'cycle ' || pos ELSE '' END AS label, paper AS paper_raw,
-                 CASE WHEN k % 2 = 0 AND pos = 1 THEN paper END AS abstract_raw FROM z)"""
+                 CASE WHEN line = 'F' AND pos = 1 THEN paper END AS abstract_raw FROM z)"""
 
 
 @query(f"WITH {CYCLES_SQL} SELECT * FROM y")
@@ -260,7 +261,7 @@ def expand_cycles(spark, sf_dir):
     t AS (SELECT k, pos, CAST(ship AS TIMESTAMP) AS p, CASE WHEN line = 'F' THEN CAST(ship - INTERVAL 5 DAY AS TIMESTAMP) END AS a, CASE WHEN flag = 'N' THEN '' ELSE flag END AS note FROM s),
     g AS (SELECT *, CASE WHEN lag(p) OVER w IS NULL OR epoch_us(p) - epoch_us(lag(p) OVER w) > 14 * 86400000000 THEN 1 ELSE 0 END AS fresh FROM t WINDOW w AS (PARTITION BY k ORDER BY p, pos)),
     c AS (SELECT *, CAST(sum(fresh) OVER (PARTITION BY k ORDER BY p, pos) AS BIGINT) AS cluster FROM g),
-    m AS (SELECT k, cluster, min(a) AS a0, max(p) AS p0, min(p) AS f0, count(*) AS n_merged, string_agg(DISTINCT CAST(pos AS VARCHAR), ',' ORDER BY CAST(pos AS VARCHAR)) AS sources,
+    m AS (SELECT k, cluster, min(a) AS a0, max(p) AS p0, min(p) AS f0, count(*) AS n_merged, array_to_string(list_sort(list(DISTINCT pos)), ',') AS sources,
                  coalesce(arg_min(note, pos) FILTER (WHERE note <> ''), '') AS note FROM c GROUP BY k, cluster),
     x AS (SELECT *, CASE WHEN a0 IS NULL AND epoch_us(p0) > epoch_us(f0) AND epoch_us(p0) - epoch_us(f0) <= 14 * 86400000000 THEN f0 ELSE a0 END AS a1 FROM m)
     SELECT k, cluster, CAST(CASE WHEN a1 = p0 THEN NULL WHEN a1 > p0 THEN p0 ELSE a1 END AS DATE) AS abstract, CAST(CASE WHEN a1 > p0 THEN a1 ELSE p0 END AS DATE) AS paper, n_merged, sources, note FROM x
@@ -272,4 +273,100 @@ def dedupe_cycles(spark, sf_dir):
     )
     grouped = clusters.gap_clusters(rows, ["k"], "p", 14 * DAY, "pos")
     out = clusters.merge_clusters(grouped, ["k", "cluster"], "a", "p", "pos", "pos", ["note"])
-    return out.select("k", "cluster", F.to_date("abstract").alias("abstract"), F.to_date("paper").alias("paper"), "n_merged", "sources", "note")
+    return out.select("k", "cluster", F.to_date("abstract").alias("abstract"), F.to_date("paper").alias("paper"), "n_merged", F.array_join(F.transform("sources", lambda x: x["pos"].cast("string")), ",").alias("sources"), "note")
+
+
+RAILED_SQL = f"""{ORDERS_SQL}, {SOURCES_SQL},
+    e AS (SELECT k, status, [CAST(day AS VARCHAR) || ' 23:59', CAST(CAST(day + INTERVAL 200 DAY AS DATE) AS VARCHAR) || ' 23:59'] AS deadline FROM o WHERE place <> '5-LOW'),
+    c AS (SELECT k, 'up' AS status, list(CAST(ship AS VARCHAR) || ' 12:00' ORDER BY pos) AS deadline FROM s GROUP BY k),
+    m AS (SELECT k, CAST(NULL AS VARCHAR) AS status, [CAST(day AS VARCHAR) || ' 00:00'] AS deadline, ['deadline'] AS set_fields FROM o WHERE day(day) <= 3),
+    x AS (SELECT e.k, d.d FROM e, unnest([e.deadline[1], e.deadline[2]]) AS d(d)),
+    near AS (SELECT x.k, CAST(left(x.d, 10) AS DATE) AS d, min(abs(date_diff('day', s.ship, CAST(left(x.d, 10) AS DATE)))) AS apart FROM x JOIN s ON s.k = x.k GROUP BY x.k, x.d),
+    rail AS (SELECT k, bool_or(apart > 90) AS hit FROM near WHERE d >= {TODAY_SQL} GROUP BY k),
+    j AS (SELECT coalesce(e.k, c.k, m.k) AS k, e.k IS NOT NULL AS he, c.k IS NOT NULL AS hc, m.k IS NOT NULL AS hm, coalesce(rail.hit, FALSE) AND m.k IS NULL AND c.k IS NOT NULL AS railed,
+                 e.status AS es, e.deadline AS ed, c.status AS cs, c.deadline AS cd, m.deadline AS md
+          FROM e FULL JOIN c ON e.k = c.k FULL JOIN m ON coalesce(e.k, c.k) = m.k LEFT JOIN rail ON rail.k = coalesce(e.k, c.k)),
+    r AS (SELECT *, CASE WHEN hc AND NOT railed THEN cs ELSE es END AS status, CASE WHEN hm THEN md WHEN hc AND NOT railed THEN cd ELSE ed END AS deadline FROM j)"""
+
+
+@query(
+    f"""
+    WITH {RAILED_SQL}
+    SELECT k, status, array_to_string(deadline, ',') AS deadline, railed,
+           CASE WHEN NOT he THEN 'created' WHEN railed THEN 'railed' WHEN status IS NOT DISTINCT FROM es AND deadline IS NOT DISTINCT FROM ed THEN 'kept' ELSE 'updated' END AS change
+    FROM r
+    """
+)
+def railed_merge(spark, sf_dir):
+    """The merge under the safety rail: dates as lists, candidates from the line items."""
+    o, s = editions(spark, sf_dir), sources(spark, sf_dir)
+    at = lambda d, t: F.concat(d.cast("string"), F.lit(f" {t}"))
+    e = o.filter("place <> '5-LOW'").select("k", "status", F.array(at(F.col("day"), "23:59"), at(F.date_add("day", 200), "23:59")).alias("deadline"))
+    c = s.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("pos", at(F.col("ship"), "12:00").alias("d")))).alias("x")).select("k", F.lit("up").alias("status"), F.transform("x", lambda v: v["d"]).alias("deadline"))
+    m = o.filter(F.dayofmonth("day") <= 3).select("k", F.lit(None).cast("string").alias("status"), F.array(at(F.col("day"), "00:00")).alias("deadline"), F.array(F.lit("deadline")).alias("set_fields"))
+    rows = merge.layered_merge(e, c, m, ["k"], ["status", "deadline"], deadlines="deadline", as_of=TODAY)
+    return rows.select("k", "status", F.array_join("deadline", ",").alias("deadline"), "railed", "change")
+
+
+@query(
+    f"""
+    WITH {ORDERS_SQL}, z AS (SELECT k, year(day) AS year, CAST(CASE status WHEN 'F' THEN 0 WHEN 'O' THEN 540 ELSE -720 END AS INTEGER) AS minutes, CAST(day AS TIMESTAMP) + INTERVAL 23 HOUR + INTERVAL 59 MINUTE AS t0, place FROM o WHERE year(day) BETWEEN 1996 AND 1999),
+    t AS (SELECT k, CAST(0 AS BIGINT) AS i, t0 - to_minutes(minutes) AS p, CASE WHEN place = '1-URGENT' THEN t0 - to_minutes(minutes) - INTERVAL 3 DAY WHEN place = '2-HIGH' THEN t0 - to_minutes(minutes) - INTERVAL 7 DAY END AS a FROM z)
+    SELECT k, i, strftime(p, '%Y-%m-%d %H:%M') AS paper, strftime(a, '%Y-%m-%d %H:%M') AS abstract, strftime(coalesce(a, p) + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M') AS shown FROM t
+    """
+)
+def display_rows(spark, sf_dir):
+    """Cycle rows of the board: the year window, zones, and an abstract that the note alone tells of."""
+    o = editions(spark, sf_dir)
+    at = lambda d: F.array(F.concat(d.cast("string"), F.lit(" 23:59")))
+    rows = o.select(
+        "k", F.year("day").alias("year"), at(F.col("day")).alias("papers"), F.when(F.col("place") == "1-URGENT", at(F.date_sub("day", 3))).otherwise(F.array().cast("array<string>")).alias("abstracts"),
+        F.when(F.col("status") == "F", "UTC").when(F.col("status") == "O", "Asia/Seoul").alias("zone"), F.when(F.col("place") == "2-HIGH", "Abstracts are due 1 week before the papers").alias("note"),
+    )
+    out = clusters.display_rows(rows, "papers", "abstracts", "year", "zone", "note", TODAY)
+    shown = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm")
+    return out.select("k", F.col("i").cast("bigint"), shown("paper_at").alias("paper"), shown("abstract_at").alias("abstract"), displayed(F.col("effective_at")).alias("shown"))
+
+
+@query(
+    f"""
+    WITH {SOURCES_SQL}, p AS (SELECT p_partkey, p_type, p_name FROM part),
+    t AS (SELECT s.k, s.pos, CAST(s.ship AS TIMESTAMP) AS paper, CASE WHEN s.line = 'F' THEN CAST(s.ship - INTERVAL 5 DAY AS TIMESTAMP) END AS abstract,
+                 CASE WHEN s.flag = 'R' THEN 'cycle 1' WHEN s.flag = 'A' THEN '' ELSE '' END AS cycle, CASE WHEN s.flag = 'A' AND p.p_type = 'PROMO' THEN 'Demo' ELSE '' END AS track
+          FROM s JOIN p ON p.p_partkey = s.part),
+    u AS (SELECT *, CASE WHEN cycle <> '' THEN cycle WHEN track <> '' THEN 'track:demo' ELSE 'main' END AS part, least(coalesce(abstract, paper), paper) AS t0 FROM t),
+    g AS (SELECT *, CASE WHEN lag(t0) OVER w IS NULL OR epoch_us(t0) - epoch_us(lag(t0) OVER w) > 14 * 86400000000 THEN 1 ELSE 0 END AS fresh FROM u WINDOW w AS (PARTITION BY k, part ORDER BY t0, pos)),
+    c AS (SELECT *, CASE WHEN part = 'main' THEN CAST(sum(fresh) OVER (PARTITION BY k, part ORDER BY t0, pos) AS BIGINT) ELSE 1 END AS cluster FROM g),
+    m AS (SELECT k, part, cluster, min(abstract) AS a0, max(paper) AS p0, min(paper) AS f0, count(*) AS n_merged FROM c GROUP BY ALL),
+    x AS (SELECT *, CASE WHEN a0 IS NULL AND epoch_us(p0) > epoch_us(f0) AND epoch_us(p0) - epoch_us(f0) <= 14 * 86400000000 THEN f0 ELSE a0 END AS a1 FROM m)
+    SELECT k, part, cluster, CAST(CASE WHEN a1 = p0 THEN NULL WHEN a1 > p0 THEN p0 ELSE a1 END AS DATE) AS abstract, CAST(CASE WHEN a1 > p0 THEN a1 ELSE p0 END AS DATE) AS paper, n_merged FROM x
+    """
+)
+def dedupe_parts(spark, sf_dir):
+    """Rows of a cycle or track are one, the others are clustered; tracks of a few venues only."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), "p_type")
+    rows = sources(spark, sf_dir).join(p, "part").withColumn("venue", F.when(F.col("flag") == "A", "ICSE").otherwise("CCS"))
+    said = F.when(F.col("flag") == "R", "the first cycle")
+    track = clusters.track_of(F.concat_ws(" ", F.when(F.col("p_type") == "PROMO", "Demonstrations"), said), venue=F.col("venue"))
+    rows = rows.select("k", "pos", F.col("ship").cast("timestamp").alias("p"), F.when(F.col("line") == "F", F.date_sub("ship", 5).cast("timestamp")).alias("a"), F.coalesce(clusters.cycle_of(said), F.lit("")).alias("cycle"), track.alias("track"))
+    out = clusters.dedupe(rows, ["k"], "cycle", "track", "a", "p", "pos", "pos", [], [])
+    return out.select("k", "part", "cluster", F.to_date("abstract").alias("abstract"), F.to_date("paper").alias("paper"), "n_merged")
+
+
+@query("SELECT event_type, min(event_id) AS first_seen, count(*) AS n FROM events GROUP BY event_type")
+def first_seen_groups(spark, sf_dir):
+    return clusters.in_first_seen_order(table(spark, sf_dir, "events"), ["event_type"], "event_id")
+
+
+@query(
+    """
+    WITH h AS (SELECT l_orderkey AS k, l_linenumber AS src, list(CAST(l_shipdate AS DATE) ORDER BY CAST(l_shipdate AS DATE)) AS days, min(CASE WHEN l_linestatus = 'F' THEN l_quantity END) AS a FROM lineitem GROUP BY 1, 2),
+    w AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY src) AS n, first_value(days) OVER (PARTITION BY k ORDER BY src) AS wanted FROM h)
+    SELECT k, max(CASE WHEN n = 1 THEN len(days) END) AS n_days, coalesce(max(CASE WHEN n = 1 THEN a END), arg_min(a, src) FILTER (WHERE n > 1 AND days = wanted AND a IS NOT NULL)) AS filled FROM w GROUP BY k
+    """
+)
+def cross_fill_cycles(spark, sf_dir):
+    """Cross-filling over sources that list several days each."""
+    l = table(spark, sf_dir, "lineitem")  # noqa: E741
+    rows = l.groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("src")).agg(F.array_sort(F.collect_list(F.to_date("l_shipdate"))).alias("days"), F.min(F.when(F.col("l_linestatus") == "F", F.col("l_quantity"))).alias("a"))
+    return merge.cross_fill(rows, ["k"], "src", "days", "a").select("k", F.size("days").cast("bigint").alias("n_days"), "filled")

@@ -6,35 +6,37 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import dates, text
 from tidemark.operators import clusters, evidence, matching, quality
-from tidemark.plans.base import ORDERS_SQL, TODAY_SQL, TODAY, editions, query, table
+from tidemark.plans.base import ORDERS_SQL, SOURCES_SQL, TODAY, TODAY_SQL, editions, query, sources, table
 
-ZONES = ["AoE", "PST", "PDT", "UTC+9", "UTC-05:30", "Asia/Seoul", "Mars/Base", None, " utc-12 "]
-ZONE_SQL = "CASE k % 9 WHEN 0 THEN 'AoE' WHEN 1 THEN 'PST' WHEN 2 THEN 'PDT' WHEN 3 THEN 'UTC+9' WHEN 4 THEN 'UTC-05:30' WHEN 5 THEN 'Asia/Seoul' WHEN 6 THEN 'Mars/Base' WHEN 8 THEN ' utc-12 ' END"
+#: Zones by the order's priority and status, each with its offset in SQL; names come with what DuckDB's own zone table says.
+ZONES = (
+    ("AoE", "-12:00"), ("PST", "-08:00"), ("PDT", "-07:00"), ("UTC+9", "+09:00"), ("UTC-05:30", "-05:30"), ("UTC", "+00:00"), ("UTC+18:30", "-12:00"), ("Mars/Base", "-12:00"), (None, "-12:00"), (" utc-12 ", "-12:00"), ("UTC+0", "+00:00"), ("utc+5:45", "+05:45"),
+    *((z, z) for z in ("Asia/Seoul", "Europe/Paris", "Asia/Tokyo", "America/Chicago", "America/Los_Angeles", "Europe/London", "Australia/Sydney", "Asia/Kolkata", "America/Bogota", "Africa/Johannesburg", "Pacific/Auckland", "America/New_York")),
+)
+ZONE_SQL = f"[{', '.join('NULL' if z is None else repr(z) for z, _ in ZONES)}][1 + CAST(k % {len(ZONES)} AS INTEGER)]"
+RESOLVED_SQL = f"[{', '.join(repr(r) for _, r in ZONES)}][1 + CAST(k % {len(ZONES)} AS INTEGER)]"
 
 
 def _zone():
-    out = F.lit(None).cast("string")
-    for i, z in enumerate(ZONES):
-        if z:
-            out = F.when(F.col("k") % len(ZONES) == i, F.lit(z)).otherwise(out)
-    return out
+    return F.get(F.array(*[F.lit(z).cast("string") for z, _ in ZONES]), (F.col("k") % len(ZONES)).cast("int"))
 
 
 @query(
     f"""
-    WITH {ORDERS_SQL}, z AS (SELECT k, day, {ZONE_SQL} AS zone FROM o)
-    SELECT k, CASE k % 9 WHEN 1 THEN '-08:00' WHEN 2 THEN '-07:00' WHEN 3 THEN '+09:00' WHEN 4 THEN '-05:30' WHEN 5 THEN 'Asia/Seoul' ELSE '-12:00' END AS resolved,
-           strftime(CAST(day AS TIMESTAMP) + INTERVAL 23 HOUR + INTERVAL 59 MINUTE
-             + CASE k % 9 WHEN 1 THEN INTERVAL 480 MINUTE WHEN 2 THEN INTERVAL 420 MINUTE WHEN 3 THEN INTERVAL (-540) MINUTE WHEN 4 THEN INTERVAL 330 MINUTE WHEN 5 THEN INTERVAL (-540) MINUTE ELSE INTERVAL 720 MINUTE END,
-             '%Y-%m-%d %H:%M') AS utc,
-           CASE WHEN trim(coalesce(zone, '')) = 'AoE' THEN 'UTC-12' ELSE trim(coalesce(zone, '')) END AS canonical
-    FROM z
+    WITH {ORDERS_SQL}, z AS (SELECT k, CAST(day AS TIMESTAMP) + INTERVAL 23 HOUR + INTERVAL 59 MINUTE AS t0, trim(coalesce({ZONE_SQL}, '')) AS zone, {RESOLVED_SQL} AS resolved FROM o),
+    u AS (SELECT *, CASE WHEN resolved LIKE '%/%' THEN timezone('UTC', timezone(resolved, t0))
+                         ELSE t0 - to_minutes(CASE WHEN resolved LIKE '-%' THEN -1 ELSE 1 END * (60 * CAST(resolved[2:3] AS INTEGER) + CAST(resolved[5:6] AS INTEGER))) END AS utc FROM z)
+    SELECT k, resolved, strftime(utc, '%Y-%m-%d %H:%M') AS utc, strftime(utc + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M') AS shown,
+           CASE zone WHEN 'AoE' THEN 'UTC-12' WHEN 'UTC' THEN 'UTC+0' ELSE zone END AS canonical, zone <> 'Mars/Base' AS known
+    FROM u
     """
 )
 def zone_normalise(spark, sf_dir):
-    rows = editions(spark, sf_dir).select("k", _zone().alias("zone"), F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit("T23:59:00")).alias("stamp"))
-    at = dates.instant(F.col("stamp"), F.col("zone"))
-    return rows.select("k", dates.zone_id(F.col("zone")).alias("resolved"), F.date_format(at, "yyyy-MM-dd HH:mm").alias("utc"), dates.canonical_zone(F.col("zone")).alias("canonical"))
+    rows = editions(spark, sf_dir).select("k", _zone().alias("zone"), F.concat(F.col("day").cast("string"), F.lit("T23:59:00")).alias("stamp"))
+    rows = rows.select("k", "zone", dates.instant(F.col("stamp"), F.col("zone")).alias("at"))
+    return rows.select(
+        "k", dates.zone_id(F.col("zone")).alias("resolved"), F.date_format("at", "yyyy-MM-dd HH:mm").alias("utc"), dates.displayed(F.col("at")).alias("shown"), dates.canonical_zone(F.col("zone")).alias("canonical"), dates.zone_known(F.col("zone")).alias("known")
+    )
 
 
 FEED = ["AoE", "PT", "UTC", "UTC-8", "Etc/GMT+8", "Etc/UTC", "CET", ""]
@@ -55,22 +57,23 @@ def feed_zones(spark, sf_dir):
 
 @query(
     f"""
-    WITH {ORDERS_SQL}, r AS (SELECT k, day AS a, CAST(day + INTERVAL (k % 9) DAY AS DATE) AS b FROM o)
-    SELECT k, CASE WHEN k % 5 = 4 THEN NULL ELSE a END AS start,
-           CASE WHEN k % 5 = 4 THEN NULL WHEN k % 5 = 3 THEN a ELSE b END AS "end"
-    FROM r WHERE NOT (k % 5 = 0 AND month(a) <> month(b)) AND NOT (k % 5 = 2 AND year(a) = year(b) AND FALSE)
+    WITH {ORDERS_SQL}, r AS (SELECT k, day AS a, CAST(day + INTERVAL (k % 45) DAY AS DATE) AS b, place FROM o),
+    t AS (SELECT *, CASE WHEN place = '1-URGENT' THEN make_date(year(a), month(a), least(day(b), 28)) ELSE make_date(year(a), month(b), day(b)) END AS said FROM r)
+    SELECT k, CASE WHEN place <> '5-LOW' THEN a END AS start,
+           CASE place WHEN '5-LOW' THEN NULL WHEN '4-NOT SPECIFIED' THEN a ELSE CASE WHEN said < a THEN make_date(year(a) + 1, month(said), day(said)) ELSE said END END AS "end"
+    FROM t
     """
 )
 def date_range_parse(spark, sf_dir):
-    rows = editions(spark, sf_dir).withColumn("b", F.date_add("day", (F.col("k") % 9).cast("int"))).filter(~((F.col("k") % 5 == 0) & (F.month("day") != F.month("b"))))
-    a, b, k = F.col("day"), F.col("b"), F.col("k") % 5
-    year = F.date_format(a, "yyyy")
+    """Ranges within a month by days alone (an end before its start is in the next year), across months and years, single days, and none."""
+    rows = editions(spark, sf_dir).withColumn("b", F.date_add("day", (F.col("k") % 45).cast("int")))
+    a, b, year, say, lit = F.col("day"), F.col("b"), F.date_format("day", "yyyy"), F.date_format, F.lit
     said = (
-        F.when(k == 0, F.concat(F.date_format(a, "MMMM d"), F.lit("-"), F.date_format(b, "d"), F.lit(", "), year))
-        .when(k == 1, F.concat(F.date_format(a, "MMMM d"), F.lit(" – "), F.date_format(b, "MMMM d"), F.lit(", "), year))
-        .when(k == 2, F.concat(F.date_format(a, "MMM. d"), F.lit(" — "), F.date_format(b, "MMM d"), F.lit(" "), year, F.lit(".")))
-        .when(k == 3, F.concat(F.lit("  "), F.upper(F.date_format(a, "MMM")), F.lit(" "), F.date_format(a, "d"), F.lit(",  "), year))
-        .otherwise(F.concat(F.lit("early "), year))
+        F.when(F.col("place") == "1-URGENT", F.concat(say(a, "MMMM d"), lit("-"), F.least(F.dayofmonth(b), lit(28)).cast("string"), lit(", "), year))
+        .when(F.col("place") == "2-HIGH", F.concat(say(a, "MMMM d"), lit(" – "), say(b, "MMMM d"), lit(", "), year))
+        .when(F.col("place") == "3-MEDIUM", F.concat(say(a, "MMM. d"), lit(" — "), say(b, "MMM d"), lit(" "), year, lit(".")))
+        .when(F.col("place") == "4-NOT SPECIFIED", F.concat(lit("  "), F.upper(say(a, "MMM")), lit(" "), say(a, "d"), lit(",  "), year))
+        .otherwise(F.concat(lit("early "), year))
     )
     return rows.select("k", dates.date_range(said).alias("r")).select("k", F.col("r.start").alias("start"), F.col("r.end").alias("end"))
 
@@ -130,7 +133,7 @@ def fuzzy_search(spark, sf_dir):
     return matching.search(table(spark, sf_dir, "part"), ["p_name", "p_brand"], "slwg", "p_partkey", fuzzy=True, exclude=["#1"]).select("p_partkey", "p_name")
 
 
-TRACKS = [(r"\beco", "Economy"), (r"promo", "Promo"), (r"widget", "Widget")]
+TRACKS = ((r"\beco", "Economy"), (r"promo", "Promo"), (r"widget", "Widget"))
 
 
 @query(
@@ -183,23 +186,31 @@ def source_admissible(spark, sf_dir):
 
 @query()
 def quote_grounding(spark, sf_dir):
-    """Benchmark passages as quotes, and where in the documents they stand: pairs that share three tokens at a place where the quote begins."""
-    flat = lambda df, c: df.withColumn("tokens", text.tokens(text.flat(text.normalise(F.col(c)))))
-    quotes = flat(table(spark, sf_dir, "benchmark"), "text").select("item_id", F.col("tokens").alias("quote")).filter(F.size("quote") >= evidence.LEAST_TOKENS)
-    pages = flat(table(spark, sf_dir, "documents"), "text").select("doc_id", F.col("tokens").alias("page"))
-    starts = quotes.select("item_id", F.array_join(F.slice("quote", 1, 3), " ").alias("head"))
-    triples = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("page") - 2), lambda i: F.array_join(F.slice("page", i, 3), " ")))
-    heads = pages.filter(F.size("page") >= 3).select("doc_id", F.explode(triples).alias("head"))
-    pairs = heads.join(starts, "head").select("doc_id", "item_id").distinct()
-    rows = evidence.covered(pairs.join(pages, "doc_id").join(quotes, "item_id"), "page", "quote")
-    return rows.filter(F.col("coverage") >= evidence.COVERAGE).select("item_id", "doc_id", "coverage")
+    """Benchmark passages as quotes without a value, and the documents that hold them from the quote's first three tokens on."""
+    quotes = evidence.with_tokens(table(spark, sf_dir, "benchmark"), "text", "q").filter(F.size("q_tokens") >= evidence.LEAST_TOKENS)
+    quotes = quotes.select("item_id", F.col("q_tokens").alias("quote"), F.array_join(F.slice("q_tokens", 1, 3), " ").alias("head"))
+    pages = evidence.with_tokens(table(spark, sf_dir, "documents"), "text", "p").select("doc_id", F.col("p_tokens").alias("page"))
+    # The runs of three tokens of a page meet the heads only; the page's tokens stay with them.
+    runs = F.transform(F.sequence(F.lit(1), F.size("page") - 2), lambda i: F.array_join(F.slice("page", i, 3), " "))
+    held = pages.filter(F.size("page") >= 3).select("doc_id", "page", F.posexplode(runs).alias("at", "head")).join(quotes, "head")
+    size = evidence.window_size(F.size("quote"))
+    hits = held.select("item_id", "doc_id", "at", evidence.first_window(F.col("page"), F.col("quote"), F.array("at"), size)["coverage"].alias("coverage")).filter("coverage IS NOT NULL")
+    return hits.groupBy("item_id", "doc_id").agg(F.round(F.min_by("coverage", "at"), 3).alias("coverage"))
 
 
-@query()
+@query(
+    f"""
+    WITH RECURSIVE {SOURCES_SQL}, f AS (SELECT k, list(flag ORDER BY pos) AS a FROM s GROUP BY k), p AS (SELECT x.k, x.a, y.a AS b FROM f x JOIN f y ON y.k = x.k + 1),
+    r AS (SELECT k, a, b, 1 AS i, 1 AS j, [CAST(0 AS BIGINT)] AS cur, list_transform(range(len(b) + 1), lambda x: CAST(0 AS BIGINT)) AS before FROM p
+          UNION ALL
+          SELECT k, a, b, CASE WHEN j < len(b) THEN i ELSE i + 1 END, CASE WHEN j < len(b) THEN j + 1 ELSE 1 END,
+                 CASE WHEN j < len(b) THEN list_append(cur, v) ELSE [CAST(0 AS BIGINT)] END, CASE WHEN j < len(b) THEN before ELSE list_append(cur, v) END
+          FROM (SELECT *, CASE WHEN a[i] = b[j] THEN before[j] + 1 ELSE greatest(cur[j], before[j + 1]) END AS v FROM r WHERE i <= len(a)))
+    SELECT k, before[len(b) + 1] AS common, len(a) AS n FROM r WHERE i > len(a)
+    """
+)
 def lcs_coverage(spark, sf_dir):
     """Common subsequence of each order's flags with those of the next order, without a Python function."""
-    from tidemark.plans.base import sources
-
     s = sources(spark, sf_dir).groupBy("k").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "flag"))), lambda x: x["flag"]).alias("flags"))
     other = s.select((F.col("k") - 1).alias("k"), F.col("flags").alias("after"))
     return s.join(other, "k").select("k", text.lcs_length(F.col("flags"), F.col("after")).cast("bigint").alias("common"), F.size("flags").cast("bigint").alias("n"))
@@ -207,12 +218,12 @@ def lcs_coverage(spark, sf_dir):
 
 @query(
     f"""
-    WITH {ORDERS_SQL}
-    SELECT k, strftime(day, '%Y %m %d') AS form, CAST(CASE WHEN day(day) < 10 THEN 9 WHEN day(day) <= 12 THEN 5 ELSE 9 END - CASE WHEN month(day) = 5 THEN CASE WHEN day(day) < 10 THEN 4 ELSE 2 END ELSE 0 END
-             - CASE WHEN day(day) > 12 AND month(day) >= 10 THEN 1 ELSE 0 END AS BIGINT) AS n
-    FROM o
+    WITH {ORDERS_SQL}, d AS (SELECT k, day, lower(strftime(day, '%B')) AS name, CASE WHEN month(day) = 9 THEN 'sept' ELSE lower(strftime(day, '%b')) END AS short, CAST(month(day) AS VARCHAR) AS m, strftime(day, '%m') AS mm, CAST(year(day) AS VARCHAR) AS y,
+                                    strftime(day, '%y') AS yy, unnest([CAST(day(day) AS VARCHAR), strftime(day, '%d')]) AS x FROM o),
+    f AS (SELECT k, unnest([name || ' ' || x || ' ' || y, x || ' ' || name || ' ' || y, short || ' ' || x || ' ' || y, x || ' ' || short || ' ' || y, y || ' ' || mm || ' ' || strftime(day, '%d')]
+                    || CASE WHEN day(day) > 12 THEN [m || ' ' || x || ' ' || y, mm || ' ' || x || ' ' || y, x || ' ' || m || ' ' || y, m || ' ' || x || ' ' || yy] ELSE [] END) AS form FROM d)
+    SELECT k, string_agg(DISTINCT form, '|' ORDER BY form) AS forms FROM f GROUP BY k
     """
 )
 def date_surface_forms(spark, sf_dir):
-    forms = dates.date_forms(F.col("day"))
-    return editions(spark, sf_dir).select("k", F.get(F.filter(forms, lambda f: f.rlike(r"^\d{4} ")), F.lit(0)).alias("form"), F.size(forms).cast("bigint").alias("n"))
+    return editions(spark, sf_dir).select("k", F.array_join(dates.date_forms(F.col("day")), "|").alias("forms"))

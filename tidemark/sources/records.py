@@ -8,6 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tidemark.functions.text import clean, escape_html
+
+
+#: Partitions that one write may change; each is a folder.
+MOST_PARTITIONS = 100_000
+
 
 def tagged_union(parts: list[tuple[str, int, DataFrame]]) -> DataFrame:
     """All rows of all sources, each with its source's name and priority; columns that one lacks are null."""
@@ -111,7 +117,9 @@ def write_if_changed(df: DataFrame, path: str, partitions: list[str]) -> list[tu
         changed = new.join(old, [*partitions, "_n", "_s"], "left_anti")
     except AnalysisException:
         changed = new
-    values = [tuple(r[p] for p in partitions) for r in changed.select(*partitions).collect()]
+    values = [tuple(r[p] for p in partitions) for r in changed.select(*partitions).limit(MOST_PARTITIONS + 1).collect()]
+    if len(values) > MOST_PARTITIONS:
+        raise ValueError(f"more than {MOST_PARTITIONS} partitions change")
     if values:
         rows = df.join(F.broadcast(spark.createDataFrame(values, df.select(*partitions).schema)), partitions, "left_semi")
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
@@ -131,3 +139,27 @@ def search_index(df: DataFrame, keys: list[str], order: str, fields: list[str])
     """One JSON array per key with the rows' fields in order."""
     rows = F.transform(F.array_sort(F.collect_list(F.struct(order, F.struct(*fields).alias("_row")))), lambda s: s["_row"])
     return df.groupBy(*keys).agg(F.to_json(rows).alias("content"))
+
+
+def watchlist_json(df: DataFrame, order: list[str]) -> DataFrame:
+    """A watchlist as JSON lines in its order: rank, then ``order``; null fields are left out."""
+    return json_lines(df.orderBy("rank", *order))
+
+
+def verdict_json(verdicts: DataFrame) -> DataFrame:
+    """Verdicts (id, status, ...) as JSON lines: id, whether it is accepted or rejected, the gate's own status, and the rest as detail."""
+    rest = [c for c in verdicts.columns if c not in ("id", "status", "accepted")]
+    said = F.when(F.col("status") == "VERIFIED", "accepted").otherwise("rejected")
+    return json_lines(verdicts.select("id", said.alias("status"), F.col("status").alias("gate"), F.struct(*rest).alias("detail")))
+
+
+def feed_items(df: DataFrame, title: str, body: str, at: str, link: str, words: int = 30) -> DataFrame:
+    """``item`` elements of a feed: texts escaped, the body cut to its first words, the time as in RFC 822 (UTC)."""
+    parts = F.split(clean(F.col(body)), " ")
+    short = F.concat(F.array_join(F.slice(parts, 1, words), " "), F.when(F.size(parts) > words, "...").otherwise(""))
+    when, url = F.date_format(at, "EEE, dd MMM yyyy HH:mm:ss"), escape_html(F.col(link))
+    item = F.concat(
+        F.lit("<item><title>"), escape_html(F.col(title)), F.lit("</title><description>"), escape_html(short), F.lit("</description><pubDate>"), when,
+        F.lit(" +0000</pubDate><link>"), url, F.lit('</link><guid isPermaLink="true">'), url, F.lit("</guid></item>"),
+    )
+    return df.withColumn("item", item)
