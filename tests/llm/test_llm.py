@@ -538,16 +538,33 @@ def test_wrapped_licenses(spark):
 
 
 def test_every_short_notice_is_confirmed(spark):
-    said = [(f.format(n), k) for k, (names, _) in licenses.FAMILIES.items() for n in names for f in licenses.FRAMES if (f, n) != ("{}", "MIT")]
+    said = [(f.format(n), k) for k, (names, _) in licenses.FAMILIES.items() for n in names for f in licenses.FRAMES if n not in licenses.SHORT or f != "{}"]
     said += [(t, k) for k, (_, own) in licenses.FAMILIES.items() for t in own]
     said += [("SPDX-License-Identifier: GPL-3.0-only", "gpl-3.0"), ("License: MIT", "mit"), ("Released under the MIT.", "mit"), ("// SPDX-License-Identifier: MIT", "mit")]
-    said += [(t, "") for t in ("MIT", "Er fuhr mit der Bahn unter Lizenz.", "Mit der Lizenz kam er.", "Studied at MIT, licensed to teach.")]
+    said += [(t, "") for t in ("MIT", "Er fuhr mit der Bahn unter Lizenz.", "Mit der Lizenz kam er.", "Studied at MIT, licensed to teach.", "The MIT license fee is due.", "The Eclipse Public License is old", "ISC", "The GPL fee")]
+    said += [("License: ISC", "isc"), ("Distributed under the Boost Software License, Version 1.0.", "boost"), ("This program is licensed under the Eclipse Public License 2.0", "epl-2.0")]
     said += [("Licensed under the Apache License, Version 2.0.\nMan kommt mit der Bahn und mit dem Rad,\nmit der Hand und mit dem Fahrer.", "apache-2.0")]
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(said)], "doc_id long, text string")
     out = {r["doc_id"]: r["licenses"] for r in licenses.license_scan(df).collect()}
     assert [(t, out[i], k) for i, (t, k) in enumerate(said) if out[i] != k] == []
 
 
+def test_gate_loses_no_paragraph():
+    """Whatever covers a template without a gate word would be lost; nothing does."""
+    gate = set(licenses.gate_words())
+    for _, grams, own in licenses.templates():
+        left = {g for g in grams if g not in gate and not gate & set(g.split())}
+        assert len(left) < licenses.COVERAGE * len(grams) or len(left & own) < licenses.OWN * len(own)
+    assert not gate & {"the", "of", "is", "by", "to", "a", "and", "or", "in"}
+
+
+def test_one_line_in_very_many_documents(spark):
+    line = "Licensed under the Apache License, Version 2.0."
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.concat(F.lit(line + "\n"), F.col("id").cast("string"))).otherwise(F.lit("nothing here")).alias("text"))
+    out = licenses.license_scan(df)
+    assert out.filter("licenses = 'apache-2.0' AND doc_id % 3 = 0 AND n_confirmed = 1").count() == 1000 and out.filter("licenses = ''").count() == 2000
+
+
 def test_license_scores_are_the_models(spark):
     names, weights, intercept = licenses.model()
     texts = ["Licensed under the Apache License, Version 2.0.", "All rights reserved.", "a license of the public"]
