@@ -562,7 +562,7 @@ def test_one_line_in_very_many_documents(spark):
     line = "Licensed under the Apache License, Version 2.0."
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.concat(F.lit(line + "\n"), F.col("id").cast("string"))).otherwise(F.lit("nothing here")).alias("text"))
     out = licenses.license_scan(df)
-    assert out.filter("licenses = 'apache-2.0' AND doc_id % 3 = 0 AND n_confirmed = 1").count() == 1000 and out.filter("licenses = ''").count() == 2000
+    assert out.filter("licenses = 'apache-2.0' AND doc_id % 3 = 0 AND n_confirmed >= 1").count() == 1000 and out.filter("licenses = ''").count() == 2000
 
 
 def test_license_scores_are_the_models(spark):

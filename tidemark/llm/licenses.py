@@ -70,7 +70,7 @@ SHORT = {"MIT": "mit", "ISC": "isc"}
 #: Sentences about a licence that give none.
 TALK = ("The {} fee is due.", "They talked about the {} at length.", "A course on the {} begins today.", "He compared the {} with the others.", "Is the {} a good one?", "The history of the {} is long.")
 #: Words that tell little wherever they stand.
-FREQUENT = ("above", "all", "can", "either", "file", "form", "into", "part", "person", "shall", "what", "written", "you", "and", "any", "available", "by", "charge", "copies", "except", "following", "free", "general", "hereby", "included", "notice", "of", "only", "or", "later", "program", "public", "published", "the", "this", "want", "with", "without")
+FREQUENT = ("are", "as", "be", "do", "from", "in", "is", "it", "may", "no", "not", "that", "to", "under", "v", "above", "all", "can", "either", "file", "form", "into", "part", "person", "shall", "what", "written", "you", "and", "any", "available", "by", "charge", "copies", "except", "following", "free", "general", "hereby", "included", "notice", "of", "only", "or", "later", "program", "public", "published", "the", "this", "want", "with", "without")
 WORDS = r"[a-z0-9]+"
 UNKNOWN = "unknown"
 #: A bare reservation of rights also opens many open licences; with these words it is more than that.
