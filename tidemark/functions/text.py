@@ -149,6 +149,17 @@ def shortened(c: Column, most: int = 55) -> Column:
     return F.when(F.length(c) > most, F.concat(F.left(c, F.lit(most)), F.lit("…"))).otherwise(c)
 
 
+def truncated_words(c: Column, most: int) -> Column:
+    """The first words with single spaces, dots for what is cut."""
+    words = F.split(clean(c), " ")
+    return F.concat(F.array_join(F.slice(words, 1, most), " "), F.when(F.size(words) > most, "...").otherwise(""))
+
+
+def capitalised(c: Column) -> Column:
+    """The first letter in upper case, the rest in lower case."""
+    return F.concat(F.upper(F.left(c, F.lit(1))), F.lower(F.substr(c, F.lit(2))))
+
+
 def any_contains(fields: Iterable[Column], needle: str) -> Column:
     """Whether the needle occurs in any field, case aside."""
     out = F.lit(False)

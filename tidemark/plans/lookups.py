@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import dates
-from tidemark.operators import evidence, merge
+from tidemark.functions import dates, text
+from tidemark.operators import evidence, matching, merge, proposals
 from tidemark.plans.base import LAYERS_SQL, ORDERS_SQL, editions, layers, query, table
+from tidemark.plans.reports import VERDICT_SQL, _lines
 from tidemark.plans.texts import ZONE_SQL, _zone
 from tidemark.sources import records
 
@@ -91,3 +92,109 @@ def set_operations(spark, sf_dir):
 def refiled(spark, sf_dir):
     o = editions(spark, sf_dir).select(F.year("day").alias("stored"), F.year(F.date_add("day", 30)).alias("year"), "place")
     return o.groupBy("year", "place").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("stored") != F.col("year")).alias("refiled"))
+
+
+@query("SELECT 'orders' AS name, TRUE AS ok, count(*) AS n FROM orders UNION ALL SELECT 'pages', TRUE, count(*) FROM pages UNION ALL SELECT 'nowhere', FALSE, 0")
+def scan_report(spark, sf_dir):
+    """Sources of which one can't be read: the others are used, and the failure is told."""
+    good, failed = records.read_available(spark, {name: f"{sf_dir}/{name}.parquet" for name in ("orders", "pages", "nowhere")})
+    return records.scanned(good, failed, spark)
+
+
+@query(f"WITH {ORDERS_SQL} SELECT k, 'Jan ' || (year(day) - 1) || ' / ' || year(day) || ' ' || place AS said FROM o")
+def template_years(spark, sf_dir):
+    return editions(spark, sf_dir).select("k", records.expand_year(F.concat(F.lit("Jan %Y / %y "), "place"), F.year("day")).alias("said"))
+
+
+@query(
+    """
+    SELECT c_custkey, nth, '- title: ' || c_name || chr(10) || '  part: ' || nth || chr(10) AS block FROM customer, (SELECT unnest([0, 1, 2]) AS nth) WHERE nth < CASE c_mktsegment WHEN 'BUILDING' THEN 1 WHEN 'MACHINERY' THEN 3 ELSE 2 END
+    """
+)
+def list_blocks(spark, sf_dir):
+    """Raw blocks of list files: what stands before the first is left out, line ends are kept."""
+    c = table(spark, sf_dir, "customer")
+    n = F.when(F.col("c_mktsegment") == "BUILDING", 1).when(F.col("c_mktsegment") == "MACHINERY", 3).otherwise(2)
+    part = lambda i: F.concat(F.lit("- title: "), "c_name", F.lit("\n  part: "), i.cast("string"), F.lit("\n"))
+    said = F.concat(F.lit("# a head - with a dash\n"), F.array_join(F.transform(F.sequence(F.lit(0), n - 1), part), ""))
+    return records.blocks(c.withColumn("said", said), "c_custkey", "said").select("c_custkey", "nth", "block")
+
+
+@query(
+    """
+    SELECT n_nationkey, CASE WHEN n_nationkey < 10 THEN 'b' WHEN n_nationkey < 20 THEN 'a,b' ELSE '' END AS priority FROM nation
+    """
+)
+def config_defaults(spark, sf_dir):
+    """A dimension's own priority or the default one, less the sources that it doesn't map."""
+    n, key = table(spark, sf_dir, "nation"), F.col("n_nationkey")
+    own = F.when(key < 10, F.array(F.lit("b"), F.lit("c")))
+    maps = F.when(key < 10, F.create_map(F.lit("b"), F.lit("1"))).when(key < 20, F.create_map(F.lit("b"), F.lit("1"), F.lit("a"), F.lit("2"))).otherwise(F.create_map(F.lit("x"), F.lit("3")))
+    rows = records.with_defaults(n.select("n_nationkey", own.alias("priority"), maps.alias("sources")), ["a", "b"])
+    return rows.select("n_nationkey", F.array_join("priority", ",").alias("priority"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_documents(spark, sf_dir):
+    rows = records.parsed_documents(table(spark, sf_dir, "events"), "props", "k bigint")
+    return rows.select("event_id", F.col("document.k").alias("k"))
+
+
+@query("SELECT event_id, kind FROM events JOIN (VALUES ('click', 'browse'), ('view', 'browse'), ('purchase', 'deal')) AS t(event_type, kind) USING (event_type)")
+def inline_table(spark, sf_dir):
+    kinds = spark.createDataFrame([("click", "browse"), ("view", "browse"), ("purchase", "deal")], "event_type string, kind string")
+    return table(spark, sf_dir, "events").join(kinds, "event_type").select("event_id", "kind")
+
+
+@query(
+    f"""
+    WITH {VERDICT_SQL}, d AS (SELECT cust, count(DISTINCT day) AS n FROM o GROUP BY cust) SELECT cust, n AS n_dates FROM d
+    """
+)
+def date_counts(spark, sf_dir):
+    """Different dates in the text of a customer's page; one line each, so that no line's numbers are near another's month."""
+    lines = F.array_join(F.transform("lines", lambda x: F.concat(F.lit("call of papers "), x, F.lit(" for all of us"))), " ")
+    rows = evidence.with_tokens(_lines(spark, sf_dir).select("cust", lines.alias("t")), "t", "p")
+    return rows.select("cust", evidence.n_dates(F.col("p_flat")).cast("bigint").alias("n_dates"))
+
+
+@query("SELECT p_partkey, strpos(' ' || lower(p_name) || ' ', ' bolt ') AS word, strpos(lower(p_name), 'old bo') AS phrase FROM part")
+def label_positions(spark, sf_dir):
+    at = lambda label: evidence.label_at(F.lower("p_name"), F.lit(label)).cast("bigint")
+    return table(spark, sf_dir, "part").select("p_partkey", at("bolt").alias("word"), at("old bo").alias("phrase"))
+
+
+@query(f"WITH {LAYERS_SQL}, p AS (SELECT k FROM o WHERE day(day) <= 5) SELECT 'all' AS which, count(*) <= 8 AS fits FROM p UNION ALL SELECT 'few', count(*) <= 8 FROM (SELECT k FROM p ORDER BY k LIMIT 8)")
+def change_cap(spark, sf_dir):
+    """Whether a run's changes are few enough to be made at all."""
+    _, _, m = layers(spark, sf_dir)
+    rows = m.select("k", F.lit("added").alias("change"))
+    said = [("all", proposals.within_cap(rows)), ("few", proposals.within_cap(rows.orderBy("k").limit(8)))]
+    return spark.createDataFrame(said, "which string, fits boolean")
+
+
+@query(
+    """
+    SELECT p_partkey, array_to_string(split(p_name, ' ')[1:1], ' ') || CASE WHEN len(split(p_name, ' ')) > 1 THEN '...' ELSE '' END AS short, upper(p_type[1:1]) || lower(p_type[2:]) AS title, '/x/' || p_partkey AS url,
+           array_to_string(list_reverse(list_sort(list_distinct(list_append(split(p_name, ' '), 'zz')))), ',') AS words, CAST(p_size // 2 AS INTEGER) AS half, p_brand[7:] AS tail FROM part
+    """
+)
+def template_filters(spark, sf_dir):
+    """What the site's templates do to texts and lists."""
+    words = F.sort_array(F.array_distinct(F.array_append(F.split("p_name", " "), F.lit("zz"))), False)
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", text.truncated_words(F.col("p_name"), 1).alias("short"), text.capitalised(F.col("p_type")).alias("title"), F.concat(F.lit("/x/"), "p_partkey").alias("url"),
+        F.array_join(words, ",").alias("words"), F.floor(F.col("p_size") / 2).cast("int").alias("half"), F.substr("p_brand", F.lit(7)).alias("tail"),
+    )
+
+
+@query(
+    """
+    SELECT p_partkey, CASE WHEN contains(t, ' cold ') THEN 'C' WHEN contains(t, ' large bolt ') THEN 'LB' WHEN contains(t, ' bolt ') THEN 'B' WHEN contains(t, ' widget ') THEN 'W' WHEN contains(t, ' small ') THEN 'S' END AS target
+    FROM (SELECT p_partkey, ' ' || lower(p_name) || ' ' AS t FROM part)
+    """
+)
+def alias_join(spark, sf_dir):
+    """The alias match for lists too long to be sent along: an equality join on runs of words."""
+    aliases = [("cold", "C"), ("large bolt", "LB"), ("bolt", "B"), ("widget", "W"), ("small", "S")]
+    return matching.alias_match(table(spark, sf_dir, "part"), "p_partkey", "p_name", aliases, most=0).select("p_partkey", "target")

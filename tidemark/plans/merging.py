@@ -264,7 +264,8 @@ def expand_cycles(spark, sf_dir):
     m AS (SELECT k, cluster, min(a) AS a0, max(p) AS p0, min(p) AS f0, count(*) AS n_merged, array_to_string(list_sort(list(DISTINCT pos)), ',') AS sources,
                  coalesce(arg_min(note, pos) FILTER (WHERE note <> ''), '') AS note FROM c GROUP BY k, cluster),
     x AS (SELECT *, CASE WHEN a0 IS NULL AND epoch_us(p0) > epoch_us(f0) AND epoch_us(p0) - epoch_us(f0) <= 14 * 86400000000 THEN f0 ELSE a0 END AS a1 FROM m)
-    SELECT k, cluster, CAST(CASE WHEN a1 = p0 THEN NULL WHEN a1 > p0 THEN p0 ELSE a1 END AS DATE) AS abstract, CAST(CASE WHEN a1 > p0 THEN a1 ELSE p0 END AS DATE) AS paper, n_merged, sources, note FROM x
+    SELECT k, cluster, CAST(CASE WHEN a1 = p0 THEN NULL WHEN a1 > p0 THEN p0 ELSE a1 END AS DATE) AS abstract, CAST(CASE WHEN a1 > p0 THEN a1 ELSE p0 END AS DATE) AS paper,
+           CAST(least(coalesce(a1, p0), p0) AS DATE) AS effective, n_merged, sources, note FROM x
     """
 )
 def dedupe_cycles(spark, sf_dir):
@@ -273,7 +274,7 @@ def dedupe_cycles(spark, sf_dir):
     )
     grouped = clusters.gap_clusters(rows, ["k"], "p", 14 * DAY, "pos")
     out = clusters.merge_clusters(grouped, ["k", "cluster"], "a", "p", "pos", "pos", ["note"])
-    return out.select("k", "cluster", F.to_date("abstract").alias("abstract"), F.to_date("paper").alias("paper"), "n_merged", F.array_join(F.transform("sources", lambda x: x["pos"].cast("string")), ",").alias("sources"), "note")
+    return out.select("k", "cluster", F.to_date("abstract").alias("abstract"), F.to_date("paper").alias("paper"), F.to_date("effective").alias("effective"), "n_merged", F.array_join(F.transform("sources", lambda x: x["pos"].cast("string")), ",").alias("sources"), "note")
 
 
 RAILED_SQL = f"""{ORDERS_SQL}, {SOURCES_SQL},

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tidemark.functions.text import clean, escape_html
+from tidemark.functions.text import escape_html, truncated_words
 
 
 #: Partitions that one write may change; each is a folder.
@@ -37,6 +37,18 @@ def read_json_documents(spark: SparkSession, path: str, schema: str) -> DataFram
     return spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
 
 
+def parsed_documents(df: DataFrame, c: str, schema: str) -> DataFrame:
+    """``df`` with ``document``, a JSON text by its schema; null where it isn't one."""
+    return df.withColumn("document", F.from_json(F.col(c), schema, {"mode": "PERMISSIVE"}))
+
+
+def scanned(good: dict[str, DataFrame], failed: list[tuple[str, str]], spark: SparkSession) -> DataFrame:
+    """A row per source: name, whether it could be read, and its number of rows; one that failed has none."""
+    rows = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), F.lit(True).alias("ok"), "n") for name, df in good.items()]
+    lost = spark.createDataFrame([(name, False, 0) for name, _ in failed], "name string, ok boolean, n bigint")
+    return reduce(DataFrame.unionByName, rows, lost)
+
+
 def read_partitions(spark: SparkSession, path: str) -> DataFrame:
     """A folder of partitions; files that vanish meanwhile count as empty."""
     return spark.read.option("ignoreMissingFiles", True).parquet(path)
@@ -155,8 +167,7 @@ def verdict_json(verdicts: DataFrame) -> DataFrame:
 
 def feed_items(df: DataFrame, title: str, body: str, at: str, link: str, words: int = 30) -> DataFrame:
     """``item`` elements of a feed: texts escaped, the body cut to its first words, the time as in RFC 822 (UTC)."""
-    parts = F.split(clean(F.col(body)), " ")
-    short = F.concat(F.array_join(F.slice(parts, 1, words), " "), F.when(F.size(parts) > words, "...").otherwise(""))
+    short = truncated_words(F.col(body), words)
     when, url = F.date_format(at, "EEE, dd MMM yyyy HH:mm:ss"), escape_html(F.col(link))
     item = F.concat(
         F.lit("<item><title>"), escape_html(F.col(title)), F.lit("</title><description>"), escape_html(short), F.lit("</description><pubDate>"), when,
