@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_often, cut, dealt_join, documents, drop_table, kept_as_table, row_hash
+from tidemark.llm.common import MOST_BROADCAST, as_often, cut, dealt_join, documents, drop_table, kept_as_table, row_hash
 from tidemark.llm.components import components
 
 #: The contract's fixed values.
@@ -36,8 +36,8 @@ SAMPLED, COMMON, MOST_COMMON = 16, 3, 1 << 16
 #: Odd multipliers: of the words of a shingle by place, of its mixing, and of the orders that give a bucket's leaders.
 PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
-#: Bits of the sketch that rules out pairs before their sets are fetched.
-ODD = 1024
+#: Bits of the sketch that rules out pairs before their sets are fetched: at least, per shingle (then up to a power of two), and at most.
+LEAST_ODD, ODD, MOST_ODD = 1 << 9, 4, 1 << 16
 LEADERS = np.array([1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
@@ -352,8 +352,17 @@ def shingle_set(text: str | None) -> np.ndarray:
 
 
 def odd_sketch(h: np.ndarray) -> bytes:
-    """For each of ``ODD`` bits whether an odd number of shingles fall on it; two sets differ in at least as many shingles as their sketches in bits."""
-    return np.packbits((np.bincount((h % np.uint64(ODD)).astype(np.int64), minlength=ODD) & 1).astype(np.uint8)).tobytes()
+    """For each bit whether an odd number of shingles fall on it; two sets differ in at least as many shingles as their sketches in bits."""
+    bits = min(MOST_ODD, max(LEAST_ODD, 1 << (ODD * len(h) - 1).bit_length() if len(h) else 0))
+    return np.packbits((np.bincount((h % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def odd_difference(a: bytes, b: bytes) -> int:
+    """In how many bits two sketches differ; the longer one is folded to the length of the other."""
+    x, y = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(_popcount(x ^ y).sum(dtype=np.int64))
 
 
 def alike(x: np.ndarray, y: np.ndarray) -> bool:
@@ -455,10 +464,10 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(-1, ODD // 64) for k in (3, 5))
+            apart = np.fromiter((odd_difference(a, b) for a, b in zip(batch.column(3).to_pylist(), batch.column(5).to_pylist(), strict=True)), np.int64, batch.num_rows)
             # Sets that are alike differ in at most this share of their sizes' sum, so no link is lost.
             most = (batch.column(2).to_numpy() + batch.column(4).to_numpy()) * (ALIKE[1] - ALIKE[0]) // (ALIKE[1] + ALIKE[0])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(_popcount(a ^ b).sum(1, dtype=np.int64) <= most))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(apart <= most))
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -525,7 +534,8 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         near = cut(pairs.join(brief.toDF("u", "na", "a"), "u").join(brief.toDF("v", "nb", "b"), "v").select("u", "v", "na", "a", "nb", "b").mapInArrow(sift, "u bigint, v bigint"))
         # The whole sets, from one row of each class.
         wanted = kept_as_table(near.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(classes, "node").select("node", F.col("first.id").alias("_id"), F.col("first.row").alias("_row")))
-        mine = rows.join(wanted, rows["_id"].eqNullSafe(wanted["_id"]) & (rows["_row"] == wanted["_row"])).select("node", "_text")
+        few = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
+        mine = rows.join(few, rows["_id"].eqNullSafe(wanted["_id"]) & (rows["_row"] == wanted["_row"])).select("node", "_text")
         held = cut(mine.mapInArrow(whole, "node bigint, held binary").dropDuplicates(["node"]))
         drop_table(wanted)
         both = near.join(held.toDF("u", "a"), "u").join(held.toDF("v", "b"), "v").select("u", "v", "a", "b")
