@@ -29,14 +29,15 @@ def expand_cycles(df: DataFrame, paper: str, abstract: str, prefix: str = "cycle
     )
 
 
-def cycle_of(*texts: Column) -> Column:
-    """``cycle n`` as a number or in words, or null."""
+def cycle_of(*texts: Column, own: Column | None = None) -> Column:
+    """``cycle n`` as a number or in words; else the row's own cycle, or null."""
     text = F.concat_ws(" ", *texts)
     number = F.regexp_extract(text, r"(?i)\bcycle\s*(\d+)", 1)
     out = F.lit(None).cast("string")
     for i, word in ((3, "third|3rd"), (2, "second|2nd"), (1, "first|1st")):
         out = F.when(text.rlike(rf"(?i)\b({word})\s+cycle\b"), F.lit(f"cycle {i}")).otherwise(out)
-    return F.when(number != "", F.concat(F.lit("cycle "), number)).otherwise(out)
+    found = F.when(number != "", F.concat(F.lit("cycle "), number)).otherwise(out)
+    return found if own is None else F.coalesce(found, own)
 
 
 #: The venues whose tracks are told apart, and the tracks with the words that tell them, in order.

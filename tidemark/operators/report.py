@@ -126,3 +126,22 @@ def by_number(df: DataFrame, key: str) -> DataFrame:
 def changed_paths(path: Column, allowed: str, litter: str) -> Column:
     """What kind of change a path is: allowed, litter, or changed."""
     return F.when(path.rlike(allowed), "allowed").when(path.rlike(litter), "litter").otherwise("changed")
+
+
+def awarded(display: Column, word: str = "Award") -> Column:
+    """Whether what is shown beside a record, if anything, names an award."""
+    return F.coalesce(F.contains(display, F.lit(word)), F.lit(False))
+
+
+def board_filters(text: list[Column], query: str, year: Column, chosen_year: str, category: Column, chosen: str, paper_days: Column, days: Column, upcoming: bool, track: Column, workshop: Column, workshops: bool) -> list[Column]:
+    """The board's filters; "all" chooses every year or category, and what is still to come goes by the paper's date where there is one."""
+    out = [track == ""]
+    if query.strip():
+        out.append(F.contains(F.lower(F.concat_ws(" ", *text)), F.lit(query.strip().lower())))
+    if chosen_year != "all":
+        out.append(year.cast("string") == chosen_year)
+    if chosen != "all":
+        out.append(category == chosen)
+    if upcoming:  # a date not known yet is to come
+        out.append(F.coalesce(paper_days, days, F.lit(0)) >= 0)
+    return out if workshops else [*out, ~workshop]

@@ -371,3 +371,17 @@ def cross_fill_cycles(spark, sf_dir):
     l = table(spark, sf_dir, "lineitem")  # noqa: E741
     rows = l.groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("src")).agg(F.array_sort(F.collect_list(F.to_date("l_shipdate"))).alias("days"), F.min(F.when(F.col("l_linestatus") == "F", F.col("l_quantity"))).alias("a"))
     return merge.cross_fill(rows, ["k"], "src", "days", "a").select("k", F.size("days").cast("bigint").alias("n_days"), "filled")
+
+
+@query(
+    f"""
+    WITH {ORDERS_SQL}, b AS (SELECT k, CAST(year(day) AS BIGINT) AS year, CASE WHEN status <> 'P' THEN date_diff('day', {TODAY_SQL}, day) END AS days, place, link FROM o WHERE day(day) > 3 AND status || link <> 'F7')
+    SELECT k, year, days, place, count(*) OVER (PARTITION BY year) AS n_in_year FROM b WHERE contains('venue ' || link, 'venue 1') AND year = 1998 AND place = '2-HIGH' AND coalesce(days, 0) >= 0
+    """
+)
+def filtered_board(spark, sf_dir):
+    """All of the board's filters at once: text, year, category, upcoming, tracks and workshops."""
+    o = editions(spark, sf_dir).withColumn("year", F.year("day").cast("bigint")).withColumn("days", F.when(F.col("status") != "P", days_left(F.col("day"), TODAY)).cast("bigint"))
+    track = F.when((F.col("status") == "F") & (F.col("link") == "7"), "Demo").otherwise("")
+    filters = report.board_filters([F.lit("Venue"), F.col("link")], " VENUE 1", F.col("year"), "1998", F.col("place"), "2-HIGH", F.col("days"), F.col("days"), True, track, F.dayofmonth("day") <= 3, False)
+    return report.board(o, "year", "days", "place", "k", CATEGORIES, filters).select("k", "year", "days", "place", "n_in_year")

@@ -321,7 +321,7 @@ def two_columns(spark, sf_dir):
 
 @query(
     """
-    WITH e AS (SELECT event_id, user_id, date_trunc('week', ts) AS week, ts FROM events)
+    WITH e AS (SELECT event_id, user_id, date_trunc('week', ts) AS week, ts FROM events WHERE event_type IN ('click', 'view', 'purchase'))
     SELECT event_id, row_number() OVER w = 1 AS is_first, lag(week) OVER w IS DISTINCT FROM week AS is_change, count(*) OVER (PARTITION BY user_id, week) AS n_in_week
     FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
     """
@@ -329,7 +329,7 @@ def two_columns(spark, sf_dir):
 def week_change(spark, sf_dir):
     from pyspark.sql import Window
 
-    rows = table(spark, sf_dir, "events").withColumn("week", F.date_trunc("week", F.to_date("ts")))
+    rows = table(spark, sf_dir, "events").filter(F.col("event_type").isin("click", "view", "purchase")).withColumn("week", F.date_trunc("week", F.to_date("ts")))
     rows = rows.withColumn("n_in_week", F.count(F.lit(1)).over(Window.partitionBy("user_id", "week")))
     return report.changes(rows, ["user_id"], [F.col("ts"), F.col("event_id")], "week").select("event_id", "is_first", "is_change", "n_in_week")
 
@@ -440,7 +440,7 @@ def several_editions(spark, sf_dir):
 )
 def single_edition(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    feed = part.filter(F.contains("p_brand", F.lit("#1"))).select(F.concat_ws(":", "p_name", "p_size").alias("entry"), F.col("p_brand").alias("description"), "p_partkey")
+    feed = part.select(F.concat_ws(":", "p_name", "p_size").alias("entry"), F.col("p_brand").alias("description"), "p_partkey")
     n = F.col("n_nationkey")
     name = F.when(n % 3 == 0, "cold widget").when(n % 3 == 1, "no such").otherwise("small widget")
     wanted = table(spark, sf_dir, "nation").select("n_nationkey", F.concat_ws(":", name, n + 1).alias("entry"), F.lit("#1").alias("description_contains"))
@@ -579,3 +579,12 @@ def conditional_fields(spark, sf_dir):
 def feed(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.concat("o_orderpriority", F.lit(" & "), "o_orderstatus").alias("title"), F.concat(F.lit("one  two "), "o_custkey", F.lit(" four")).alias("body"), F.col("o_orderdate").alias("at"), F.concat(F.lit("https://x.example/"), "o_orderkey").alias("link"))
     return records.feed_items(o, "title", "body", "at", "link", 3).select("k", "item")
+
+
+@query("SELECT p_partkey, contains(p_type, 'PROMO') AND p_size > 10 AS awarded FROM part WHERE p_size > 10 OR p_size <= 5")
+def award_badges(spark, sf_dir):
+    """A badge by what a nested field says, for the records that have one."""
+    p = table(spark, sf_dir, "part").filter((F.col("p_size") > 10) | (F.col("p_size") <= 5))
+    link = F.struct(F.when(F.col("p_size") > 10, F.struct(F.concat(F.lit("Best paper Award: "), "p_type").alias("display"))).alias("link2"))
+    rows = p.select("p_partkey", link.alias("paper"))
+    return rows.select("p_partkey", report.awarded(F.col("paper.link2.display"), "PROMO").alias("awarded"))

@@ -138,7 +138,7 @@ TRACKS = ((r"\beco", "Economy"), (r"promo", "Promo"), (r"widget", "Widget"))
 
 @query(
     """
-    SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'cycle 12' WHEN 1 THEN 'cycle 2' WHEN 2 THEN 'cycle 1' END AS cycle,
+    SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'cycle 12' WHEN 1 THEN 'cycle 2' WHEN 2 THEN 'cycle 1' ELSE 'size ' || p_size END AS cycle,
            CASE WHEN contains(lower(p_type), 'eco') THEN 'Economy' WHEN contains(lower(p_type), 'promo') THEN 'Promo' WHEN contains(p_name, 'widget') THEN 'Widget' ELSE '' END AS track
     FROM part
     """
@@ -146,7 +146,7 @@ TRACKS = ((r"\beco", "Economy"), (r"promo", "Promo"), (r"widget", "Widget"))
 def cycle_and_track(spark, sf_dir):
     k = F.col("p_partkey") % 4
     said = F.when(k == 0, "Review Cycle 12").when(k == 1, "the 2nd cycle").when(k == 2, "First Cycle").otherwise("recycle")
-    return table(spark, sf_dir, "part").select("p_partkey", clusters.cycle_of(F.col("p_name"), said).alias("cycle"), clusters.track_of(F.concat_ws(" ", "p_type", "p_name"), TRACKS).alias("track"))
+    return table(spark, sf_dir, "part").select("p_partkey", clusters.cycle_of(F.col("p_name"), said, own=F.concat(F.lit("size "), "p_size")).alias("cycle"), clusters.track_of(F.concat_ws(" ", "p_type", "p_name"), TRACKS).alias("track"))
 
 
 STRIP_SQL = """regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
