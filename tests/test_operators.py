@@ -320,6 +320,10 @@ def test_sources(spark, tmp_path):
     assert not good and failed[0][0] == "a"
     (tmp_path / "d.json").write_text('{"schedule": [{"week": 1}, {"week": 2}]}')
     assert records.read_json_documents(spark, str(tmp_path / "d.json"), "schedule array<struct<week:int>>").select(F.explode("schedule.week")).count() == 2
+    spark.createDataFrame([(1, "x", 2025), (2, "y", 2026)], "k int, v string, year int").write.partitionBy("year").parquet(str(tmp_path / "p"))
+    assert {(r["k"], r["year"]) for r in records.read_partitions(spark, str(tmp_path / "p")).collect()} == {(1, 2025), (2, 2026)}
+    parsed = records.parsed_documents(spark.createDataFrame([('{"week": 1}',), ("no json",)], "t string"), "t", "week int").collect()
+    assert [r["document"] and r["document"]["week"] for r in parsed] == [1, None]
     config = spark.createDataFrame([("a", None, {"x": "1"}), ("b", ["y", "x"], {"y": "2"})], "k string, priority array<string>, sources map<string,string>")
     assert {r["k"]: r["priority"] for r in records.with_defaults(config, ["x", "y"]).collect()} == {"a": ["x"], "b": ["y"]}
     assert one(spark, records.expand_year(F.lit("%Y-%y"), F.lit(2026))) == "2025-2026"
