@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, table
+from tidemark.llm.common import cut, table, trimmed
 
 #: Neighbours, and one query in so many ids.
 K, EVERY = 10, 100
@@ -123,7 +123,7 @@ def _placed(entries: DataFrame, pivots: np.ndarray, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.FixedSizeListArray.from_arrays(pa.array(held.ravel()), length).cast(pa.list_(pa.int32()))], [*part.schema.names, "prefix"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in entries.schema.fields)
-    return entries.mapInArrow(run, f"{fields}, prefix array<int>")
+    return entries.mapInArrow(trimmed(run), f"{fields}, prefix array<int>")
 
 
 def _search(placed: DataFrame, heads: DataFrame, pivots: np.ndarray, length: int, k: int, again: float) -> DataFrame:
@@ -183,7 +183,7 @@ def _search(placed: DataFrame, heads: DataFrame, pivots: np.ndarray, length: int
                     ready = (Files(matrix(whole.column(6), whole.num_rows)), whole.column(3).to_numpy(), matrix(whole.column(4), whole.num_rows), whole.column(5))
                 yield look(*ready, part.column(3).to_numpy(), matrix(part.column(4), part.num_rows), matrix(part.column(6), part.num_rows))
 
-    return dealt.mapInArrow(run, "query bigint, entry bigint, first bigint, ids array<bigint>, score double")
+    return dealt.mapInArrow(trimmed(run), "query bigint, entry bigint, first bigint, ids array<bigint>, score double")
 
 
 def op4_neighbours(spark, sf_dir: str) -> DataFrame:

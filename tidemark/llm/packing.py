@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, documents
+from tidemark.llm.common import cut, documents, trimmed
 from tidemark.llm.vocabulary import ByteEncoder, tokenizer_path
 
 CAPACITY, END = 2048, 0
@@ -107,7 +107,7 @@ def pieces_of(df: DataFrame, path: str, ranks_path: str, capacity: int = CAPACIT
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return rows.mapInArrow(run, f"_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, _nth bigint, _part bigint")
+    return rows.mapInArrow(trimmed(run), f"_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, _nth bigint, _part bigint")
 
 
 def pack(df: DataFrame, path: str, ranks_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -136,7 +136,7 @@ def pack(df: DataFrame, path: str, ranks_path: str, capacity: int = CAPACITY, id
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = ranked.select("_id", "piece", "start", "length", "ids_crc32", (F.col("_before") + F.col("_nth")).alias("_rank"))
-    out = rows.mapInArrow(run, f"_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
+    out = rows.mapInArrow(trimmed(run), f"_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
     return out.withColumnRenamed("_id", id_col)
 
 

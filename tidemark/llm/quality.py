@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import crc_remainder, documents, table
+from tidemark.llm.common import crc_remainder, documents, give_back, table, trimmed
 from tidemark.llm.training import labelled, logistic, sigmoid
 
 MODULUS, HELD, THRESHOLD = 5, 0, 0.3
@@ -91,7 +91,7 @@ def score_quality(df: DataFrame, model: Model, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigmoid(d * model.slope + model.intercept))], ["_id", "score"])
 
     rows = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
-    return rows.mapInArrow(run, T.StructType([rows.schema["_id"], T.StructField("score", T.DoubleType())])).withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(trimmed(run), T.StructType([rows.schema["_id"], T.StructField("score", T.DoubleType())])).withColumnRenamed("_id", id_col)
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -104,6 +104,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     empty table gives an empty result.
     """
     model = fit(labelled(docs, labels, "quality", MODULUS, HELD, MOST, id_col, text_col))
+    give_back()  # the driver's Python lives on beside its JVM
     out = score_quality(docs, model, id_col, text_col)
     held = F.coalesce(crc_remainder(id_col, MODULUS) == HELD, F.lit(False))
     return out.select(id_col, held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents
+from tidemark.llm.common import documents, trimmed
 from tidemark.llm.vocabulary import PieceCounter, tokenizer_path
 
 LIMIT = 4096
@@ -43,7 +43,7 @@ def token_counts(df: DataFrame, path: str, limit: int = LIMIT, id_col: str = "do
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return rows.mapInArrow(run, f"_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(trimmed(run), f"_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean").withColumnRenamed("_id", id_col)
 
 
 def op6_token_counts(spark, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct strings that a worker remembers, bytes that they may have together, and bytes of text in a block.
-REMEMBERED, REMEMBERED_BYTES, BLOCK_BYTES = 400_000, 16 << 20, 3 << 20
+REMEMBERED, REMEMBERED_BYTES, BLOCK_BYTES = 200_000, 8 << 20, 2 << 20
 SPECIAL = "<|endoftext|>"
 
 
