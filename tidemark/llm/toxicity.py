@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import crc_remainder, documents, table, unpacked, whole_row
+from tidemark.llm.common import crc_remainder, documents, give_back, table, trimmed, unpacked, whole_row
 from tidemark.llm.training import labelled, logistic, sigmoid
 from tidemark.llm.vocabulary import Remembered, blocks, words_of
 
@@ -92,8 +92,8 @@ class Network:
     def embed(self, ids: np.ndarray, grams: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Inputs of distinct words: the word's embedding beside the mean over its trigrams."""
         counts = np.diff(offsets)
-        padded = np.append(grams, 0)  # so that a last word without trigrams has a place to point to
-        mean = np.add.reduceat(self.p["char"][padded], offsets[:-1], axis=0) if len(counts) else np.zeros((0, CHAR_DIM))
+        padded = np.append(grams, 0)  # one more sum ends the last word's; it is dropped
+        mean = np.add.reduceat(self.p["char"][padded], offsets, axis=0)[:-1]
         mean = mean / np.maximum(counts, 1)[:, None] * (counts > 0)[:, None]
         return np.concatenate([self.p["word"][ids], mean.astype(np.float32)], axis=1)
 
@@ -201,7 +201,7 @@ class Inputs(Remembered):
         self.x = np.concatenate([self.x, self.network.embed(ids, *trigrams(words))])
 
     def codes_of(self, strings: pa.Array) -> np.ndarray:
-        if len(self.known) > 300_000:  # an input is larger than a number of tokens
+        if len(self.known) > 150_000:  # an input is larger than a number of tokens
             self.clear()
         return super().codes_of(strings)
 
@@ -248,9 +248,9 @@ def train(rows: list[tuple[str, int]], seed: int = SEED) -> Network | float:
     ids[common] = np.arange(len(common))
     text, first, many = windows(np.diff(offsets))
     steps = np.arange(WINDOW)
-    where = np.minimum(first[:, None] + steps, len(code) - 1)
+    held_words = code.astype(np.int32)[np.minimum(first[:, None] + steps, len(code) - 1)]
     mask = (steps < many[:, None]).astype(np.float32)
-    # Log odds of words and trigrams over texts; a window starts with the best mean of a word's.
+    # Log odds of words and trigrams over texts choose the first windows; the network never sees them.
     toxic = y_text == 1
     share = toxic.mean()
     odds = lambda n1, n0: np.log((n1 + share) / (n0 + 1 - share)) - np.log(share / (1 - share))
@@ -262,11 +262,8 @@ def train(rows: list[tuple[str, int]], seed: int = SEED) -> Network | float:
     hot = toxic[gram_pairs // TRIGRAMS]
     by_gram = odds(np.bincount(gram_pairs[hot] % TRIGRAMS, minlength=TRIGRAMS), np.bincount(gram_pairs[~hot] % TRIGRAMS, minlength=TRIGRAMS))
     sums = np.concatenate([[0], np.cumsum(by_gram[grams])])
-    # What is known from the counts is where the embeddings start.
-    network.p["word"][:-1, 0], network.p["word"][-1, 0] = by_word[common] / 2, 0
-    network.p["char"][:, 0] = by_gram
     telling = np.where(texts_with >= 3, by_word, 0) + (sums[gram_at[1:]] - sums[gram_at[:-1]]) / np.maximum(np.diff(gram_at), 1)
-    value = np.where(mask > 0, telling[code[where]], -9.0).max(1)
+    value = np.where(mask > 0, telling.astype(np.float32)[held_words], np.float32(-9.0)).max(1).astype(np.float64)
     held = rng.random(len(rows)) < 0.25 if toxic.sum() >= 24 else np.zeros(len(rows), bool)
     for round_, (epochs, negatives) in enumerate(ROUNDS):
         best = np.full(len(rows), -np.inf)
@@ -277,8 +274,8 @@ def train(rows: list[tuple[str, int]], seed: int = SEED) -> Network | float:
         hard = clean[np.argsort(-value[clean], kind="stable")[: 2 * len(positive)]]
         negative = np.concatenate([rng.choice(clean, min(len(clean), negatives * len(positive) + 1000), replace=False), hard])
         some, label = np.concatenate([positive, negative]), np.concatenate([np.ones(len(positive), np.float32), np.zeros(len(negative), np.float32)])
-        _fit(network, some, label, code[where], mask, ids, grams, gram_at, epochs, rng, round_)
-        value = _all_logits(network, code[where], mask, ids, grams, gram_at)
+        _fit(network, some, label, held_words, mask, ids, grams, gram_at, epochs, rng, round_)
+        value = _all_logits(network, held_words, mask, ids, grams, gram_at)
     best = np.full(len(rows), -np.inf)
     np.maximum.at(best, text, value)
     some = held if held.any() and len(set(y_text[held].tolist())) == 2 else np.ones(len(rows), bool)
@@ -333,26 +330,29 @@ def _fit(network: Network, some: np.ndarray, label: np.ndarray, words: np.ndarra
                 network.p[name] -= (rate * (m[name] / (np.sqrt(v[name]) + 1e-8) + decay)).astype(np.float32)
 
 
-def score_toxicity(df: DataFrame, network: Network | float, id_col: str = "doc_id", text_col: str = "text", others: bool = False) -> DataFrame:
-    """Per row: _id (and with ``others`` all columns as ``_all``), score. Null counts as empty, which is one window of one empty word."""
+def _scores(inputs: Inputs | None, network: Network | float, texts: pa.Array) -> np.ndarray:
+    if inputs is None:
+        return np.full(len(texts), network)
+    a, b = inputs.network.calibration
+    return sigmoid(a * text_logits(inputs, texts) + b)
+
+
+def score_toxicity(df: DataFrame, network: Network | float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: _id, score. Null counts as empty, which is one window of one empty word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inputs = None if isinstance(network, float) else Inputs(network)
         for batch in batches:
-            if inputs is None:
-                score = np.full(batch.num_rows, network)
-            else:
-                a, b = inputs.network.calibration
-                score = sigmoid(a * text_logits(inputs, batch.column(1)) + b)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:1], *batch.columns[2:], pa.array(score, pa.float64())], [*batch.schema.names[:1], *batch.schema.names[2:], "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scores(inputs, network, batch.column(1)), pa.float64())], ["_id", "score"])
 
-    rows = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"), *([whole_row(df).alias("_all")] if others else []))
-    fields = [f for f in rows.schema.fields if f.name != "_text"]
-    return rows.mapInArrow(run, T.StructType([*fields, T.StructField("score", T.DoubleType())]))
+    rows = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
+    return rows.mapInArrow(trimmed(run), T.StructType([rows.schema["_id"], T.StructField("score", T.DoubleType())]))
 
 
 def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Network | float:
-    return train(labelled(docs, labels, "toxic", MODULUS, HELD, MOST, id_col, text_col))
+    network = train(labelled(docs, labels, "toxic", MODULUS, HELD, MOST, id_col, text_col))
+    give_back()  # the driver's Python lives on beside its JVM
+    return network
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -374,8 +374,17 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     Odd rows are scored as in :func:`toxicity`; without labels of both kinds, or of toxic ones, all rows stay
     if the share of toxic labels is below the threshold.
     """
-    out = score_toxicity(docs, fitted(docs, labels, id_col, text_col), id_col, text_col, others=True)
-    return unpacked(out.filter(F.col("score") < THRESHOLD), docs.columns)
+    network, at = fitted(docs, labels, id_col, text_col), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inputs = None if isinstance(network, float) else Inputs(network)
+        for batch in batches:
+            # Whole rows come as one struct, so that a text crosses to Python once.
+            texts = batch.column(0).field(at)
+            yield batch.filter(pa.array(_scores(inputs, network, texts.cast(pa.string())) < THRESHOLD))
+
+    rows = docs.select(whole_row(docs).alias("_all"))
+    return unpacked(rows.mapInArrow(trimmed(run), rows.schema), docs.columns)
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:
