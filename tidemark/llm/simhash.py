@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import MOST_BROADCAST, as_often, cut, dealt_join, documents, drop_table, kept_as_table, row_hash
+from tidemark.llm.common import MOST_BROADCAST, as_often, cut, dealt_join, documents, drop_table, kept_as_table, row_hash, trimmed
 from tidemark.llm.components import components
 
 #: The contract's fixed values.
@@ -102,7 +102,7 @@ def with_fingerprint(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[:, k]) for k in range(lanes))], ["_id", *(f"f{k}" for k in range(lanes))])
 
     rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
-    return rows.mapInArrow(run, ", ".join(["_id bigint", *(f"f{k} bigint" for k in range(lanes))]))
+    return rows.mapInArrow(trimmed(run), ", ".join(["_id bigint", *(f"f{k} bigint" for k in range(lanes))]))
 
 
 def segments(bits: int, radius: int) -> list[tuple[int, int]]:
@@ -308,12 +308,12 @@ def links_of(classes: DataFrame, bits: int = BITS, radius: int = RADIUS, heavy:
     def dealt(keys: DataFrame) -> DataFrame:
         return keys.repartition("key").sortWithinPartitions("key", "node")
 
-    keys = classes.select("node", *lanes).mapInArrow(index, f"key bigint, node bigint, {longs}")
-    found = cut(dealt(keys).mapInArrow(compare(heavy), f"u bigint, v bigint, {longs}"))
+    keys = classes.select("node", *lanes).mapInArrow(trimmed(index), f"key bigint, node bigint, {longs}")
+    found = cut(dealt(keys).mapInArrow(trimmed(compare(heavy)), f"u bigint, v bigint, {longs}"))
     links, large = found.filter("f0 IS NULL").select("u", "v"), found.filter("f0 IS NOT NULL").select(F.col("v").alias("key"), F.col("u").alias("node"), *lanes)
     if large.isEmpty():
         return links
-    again = dealt(large.mapInArrow(index_again, f"key bigint, node bigint, {longs}")).mapInArrow(compare(None), f"u bigint, v bigint, {longs}")
+    again = dealt(large.mapInArrow(trimmed(index_again), f"key bigint, node bigint, {longs}")).mapInArrow(trimmed(compare(None)), f"u bigint, v bigint, {longs}")
     return links.unionByName(again.select("u", "v"))
 
 
@@ -365,6 +365,11 @@ def odd_difference(a: bytes, b: bytes) -> int:
     return int(_popcount(x ^ y).sum(dtype=np.int64))
 
 
+def most_apart(sizes: np.ndarray) -> np.ndarray:
+    """In how many shingles sets that are alike differ at most, by the sum of their sizes."""
+    return sizes * (ALIKE[1] - ALIKE[0]) // (ALIKE[1] + ALIKE[0])
+
+
 def alike(x: np.ndarray, y: np.ndarray) -> bool:
     """Whether two sets of shingles share ``ALIKE`` of their union or more; two empty sets do."""
     common = len(np.intersect1d(x, y, assume_unique=True))
@@ -385,31 +390,76 @@ def prefix(h: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return h[np.argsort(late, kind="stable")[:n]]
 
 
-def _near_in_size(n: np.ndarray, i: int) -> np.ndarray:
-    """Which of the sets of sizes ``n`` are large and small enough to be alike to set ``i``."""
+def packed(n: int, places: int) -> np.ndarray:
+    """A set's size and a place in it, for its first ``places`` places."""
+    return n << 32 | np.arange(places)
+
+
+def _near_in_size(held: np.ndarray, i: int) -> np.ndarray:
+    """Which sets are large and small enough to be alike to set ``i``."""
+    n = held >> 32
     return np.minimum(n, n[i]) * ALIKE[1] >= np.maximum(n, n[i]) * ALIKE[0]
 
 
-def star_pairs(nodes: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def _may(held: np.ndarray, i: int) -> np.ndarray:
+    """Which sets may be alike to set ``i``, if none of its shingles before its place in the bucket is in theirs.
+
+    They are near in size, and what stands from the bucket's shingle on is as much as they have to share.
+    A pair that shares an earlier shingle is looked at in that one's bucket.
+    """
+    n, rest = held >> 32, (held >> 32) - (held & 0xFFFFFFFF)
+    return _near_in_size(held, i) & (np.minimum(rest, rest[i]) * (ALIKE[0] + ALIKE[1]) >= (n + n[i]) * ALIKE[0])
+
+
+def star_pairs(nodes: np.ndarray, held: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Leaders of a bucket, each with others near in size; every row has a leader in each of the orders."""
     for order in LEADERS:
         key, left = nodes.view(np.uint64) * order, np.ones(len(nodes), bool)
         while left.any():
             i = int(np.flatnonzero(left)[key[left].argmin()])
-            near = left & _near_in_size(n, i)
+            near = left & _near_in_size(held, i)
             left &= ~near
             near[i] = False
             yield i, np.flatnonzero(near)
 
 
-def open_pairs(group: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each row of a bucket with the later ones near in size that are not of its group yet."""
-    for i in range(len(n) - 1):
-        other = _near_in_size(n, i) & (group != group[i])
+def open_pairs(group: np.ndarray, held: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of a bucket with the later ones that may be alike and are not of its group yet."""
+    for i in range(len(held) - 1):
+        other = _may(held, i) & (group != group[i])
         other[: i + 1] = False
         yield i, np.flatnonzero(other)
 
 
+class Sketches:
+    """The odd sketches of a bucket as a matrix for each length, and each folded once."""
+
+    def __init__(self, odd: list[bytes]) -> None:
+        self.length = np.fromiter((len(x) // 8 for x in odd), np.int64, len(odd))
+        self.row, self.by = np.zeros(len(odd), np.int64), {}
+        for n in np.unique(self.length).tolist():
+            mine = np.flatnonzero(self.length == n)
+            self.row[mine] = np.arange(len(mine))
+            self.by[n] = np.frombuffer(b"".join(odd[k] for k in mine.tolist()), np.uint64).reshape(-1, n)
+        self.folded = {n: m[:, : n // 2] ^ m[:, n // 2 :] for n, m in self.by.items() if n > 1}
+
+    def apart(self, i: int, others: np.ndarray) -> np.ndarray:
+        """In how many bits the rows ``others`` differ from row ``i`` at least; sets near in size differ in length by a factor of two at most."""
+        out, n = np.zeros(len(others), np.int64), int(self.length[i])
+        for many, own, matrix in ((n, self.by[n], self.by[n]), (2 * n, self.by[n], self.folded.get(2 * n)), (n // 2, self.folded.get(n), self.by.get(n // 2))):
+            at = np.flatnonzero(self.length[others] == many)
+            if len(at) and own is not None and matrix is not None:
+                out[at] = _popcount(matrix[self.row[others[at]]] ^ own[self.row[i]]).sum(1, dtype=np.int64)
+        return out
+
+
+def sifted_pairs(group: np.ndarray, held: np.ndarray, odd: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    """The open pairs of a bucket that their sketches don't rule out."""
+    sketches, n = Sketches(odd), held >> 32
+    for i, others in open_pairs(group, held):
+        yield i, others[sketches.apart(i, others) <= most_apart(n[others] + n[i])]
+
+
 def _pairs(found: Iterator[tuple[np.ndarray, Iterator[tuple[int, np.ndarray]]]]) -> Iterator[pa.RecordBatch]:
     """Distinct pairs of nodes as batches of u > v; repeats are spared only as far as is remembered."""
     seen: set[tuple[int, int]] = set()
@@ -442,8 +492,7 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     shingles. Texts of equal sets are one class. Each class is indexed under its first shingles in an
     order of all shingles (see ``prefix``), so that every linked pair shares a bucket; common shingles
     come last in that order, which is read from a sample and changes the size of buckets only. In each
-    bucket all are compared with a few leaders, then all pairs that the groups found so far leave
-    open. Every decision is made on the whole sets, but for pairs that a bound rules out. Null ids count
+    bucket all are compared with a few leaders, then all pairs that the groups found so far leave open; but for pairs that can't share enough from the bucket's shingle on. Every decision is made on the whole sets, but for pairs that a bound rules out. Null ids count
     as larger than all others; of rows with the id that stays the one with the smallest hash of the whole
     row stays, and of wholly equal rows any one. Null, empty and blank texts are alike. Texts of any
     length count whole. All columns pass through, whatever their names and kinds. An empty table gives
@@ -465,8 +514,7 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             apart = np.fromiter((odd_difference(a, b) for a, b in zip(batch.column(3).to_pylist(), batch.column(5).to_pylist(), strict=True)), np.int64, batch.num_rows)
-            # Sets that are alike differ in at most this share of their sizes' sum, so no link is lost.
-            most = (batch.column(2).to_numpy() + batch.column(4).to_numpy()) * (ALIKE[1] - ALIKE[0]) // (ALIKE[1] + ALIKE[0])
+            most = most_apart(batch.column(2).to_numpy() + batch.column(4).to_numpy())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(apart <= most))
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -476,14 +524,16 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], ["node", "held"])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_set(t.as_py()).tobytes() for t in part.column(1)], pa.binary())], ["node", "held"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sure = [alike(np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)) for a, b in zip(batch.column(2), batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(sure, pa.bool_()))
 
-    sample = rows.filter(F.pmod(F.xxhash64("_id", "_row"), F.lit(SAMPLED)) == 0).mapInArrow(hashes, "key bigint")
+    sample = rows.filter(F.pmod(F.xxhash64("_id", "_row"), F.lit(SAMPLED)) == 0).mapInArrow(trimmed(hashes), "key bigint")
     often = sample.groupBy("key").count().filter(F.col("count") >= COMMON).orderBy(F.desc("count"), "key").limit(MOST_COMMON).collect()
     common, rank = np.array([r["key"] for r in often], np.int64).view(np.uint64), np.array([r["count"] for r in often], np.int64)
     common, rank = common[np.argsort(common)], rank[np.argsort(common)]
@@ -494,11 +544,12 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
                 held = [shingle_set(t.as_py()) for t in batch.column(2).slice(at, 256)]
                 keys = [prefix(h, common, rank) for h in held]
                 many = [len(k) for k in keys]
-                nodes, sizes = np.repeat([node_of(h) for h in held], many), np.repeat([len(h) for h in held], many)
+                nodes, sizes = np.repeat([node_of(h) for h in held], many), np.concatenate([packed(len(h), k) for h, k in zip(held, many, strict=True)])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())], ["key", "node", "n"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
+        # Buckets of the same classes are one: that of their first common shingle, whose places are the least.
+        seen: dict[bytes, int] = {}
         for key, ids, n, _ in _buckets(batches):
             new = np.concatenate([[True], (np.diff(key) != 0) | (np.diff(ids) != 0)])  # copies of a class are next to each other
             key, ids, n = key[new], ids[new], n[new, 0].view(np.int64)
@@ -507,9 +558,9 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
             out = []
             for a, b in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
                 mark = xxhash.xxh3_128_digest(ids[a:b].tobytes())
-                if mark not in seen:
+                if int(n[a]) < seen.get(mark, 1 << 62):
                     if len(seen) < 100_000:
-                        seen.add(mark)
+                        seen[mark] = int(n[a])
                     out.append((ids[a:b], n[a:b]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.list_(pa.int64())), pa.array([x for _, x in out], pa.list_(pa.int64()))], ["nodes", "sizes"])
@@ -519,35 +570,38 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         return _pairs((x, star_pairs(x, y)) for x, y in lists)
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = ([x.values.field(k).to_numpy() for k in range(3)] for b in batches for x in b.column(0))
-        return _pairs((nodes, open_pairs(group, n)) for group, nodes, n in lists)
+        lists = ((*(x.values.field(k).to_numpy() for k in range(3)), x.values.field(3).to_pylist()) for b in batches for x in b.column(0))
+        return _pairs((nodes, sifted_pairs(group, n, odd)) for group, nodes, n, odd in lists)
 
     order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
-    marks = cut(rows.mapInArrow(mark, f"_id {kind}, _row bigint, node bigint, proof bigint, n bigint, odd binary"))
+    marks = cut(rows.mapInArrow(trimmed(mark), f"_id {kind}, _row bigint, node bigint, proof bigint, n bigint, odd binary"))
     one = F.when((F.min("proof") == F.max("proof")) & (F.min("n") == F.max("n")), F.first("n")).otherwise(F.raise_error(F.lit("two sets of shingles share their number")).cast("bigint"))
     classes = cut(marks.groupBy("node").agg(F.min(order).alias("first"), one.alias("n"), F.first("odd").alias("odd")))
-    dealt = rows.mapInArrow(index, "key bigint, node bigint, n bigint").repartition("key").sortWithinPartitions("key", "node")
-    buckets = cut(dealt.mapInArrow(gather, "nodes array<bigint>, sizes array<bigint>").dropDuplicates(["nodes"]))
+    dealt = rows.mapInArrow(trimmed(index), "key bigint, node bigint, n bigint").repartition("key").sortWithinPartitions("key", "node")
+    buckets = cut(dealt.mapInArrow(trimmed(gather), "nodes array<bigint>, sizes array<bigint>").groupBy("nodes").agg(F.min("sizes").alias("sizes")))
 
     def linked(pairs: DataFrame) -> DataFrame:
         brief = classes.select("node", "n", "odd")
-        near = cut(pairs.join(brief.toDF("u", "na", "a"), "u").join(brief.toDF("v", "nb", "b"), "v").select("u", "v", "na", "a", "nb", "b").mapInArrow(sift, "u bigint, v bigint"))
+        near = cut(pairs.join(brief.toDF("u", "na", "a"), "u").join(brief.toDF("v", "nb", "b"), "v").select("u", "v", "na", "a", "nb", "b").mapInArrow(trimmed(sift), "u bigint, v bigint"))
         # The whole sets, from one row of each class.
         wanted = kept_as_table(near.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(classes, "node").select("node", F.col("first.id").alias("_id"), F.col("first.row").alias("_row")))
         few = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
         mine = rows.join(few, rows["_id"].eqNullSafe(wanted["_id"]) & (rows["_row"] == wanted["_row"])).select("node", "_text")
-        held = cut(mine.mapInArrow(whole, "node bigint, held binary").dropDuplicates(["node"]))
+        held = cut(mine.mapInArrow(trimmed(whole), "node bigint, held binary").dropDuplicates(["node"]))
         drop_table(wanted)
         both = near.join(held.toDF("u", "a"), "u").join(held.toDF("v", "b"), "v").select("u", "v", "a", "b")
-        return cut(both.mapInArrow(compare, "u bigint, v bigint"))
+        return cut(both.mapInArrow(trimmed(compare), "u bigint, v bigint"))
+
+    # Buckets of two are settled by the first round; of the others those that hold several groups are open.
+    several = buckets.filter(F.size("nodes") > 2).select(F.xxhash64("nodes").alias("bucket"), F.explode(F.arrays_zip("nodes", "sizes")).alias("x")).select("bucket", F.col("x.nodes").alias("node"), F.col("x.sizes").alias("n"))
 
-    tried = cut(buckets.mapInArrow(stars, "u bigint, v bigint").distinct())
+    tried = cut(buckets.mapInArrow(trimmed(stars), "u bigint, v bigint").distinct())
     links = linked(tried)
-    groups = components(links)
-    # Buckets of two are settled; in the others the pairs that no group joins are still open.
-    of = buckets.filter(F.size("nodes") > 2).select(F.xxhash64("nodes").alias("bucket"), F.explode(F.arrays_zip("nodes", "sizes")).alias("x")).select("bucket", F.col("x.nodes").alias("node"), F.col("x.sizes").alias("n"))
-    of = of.join(groups, "node", "left").groupBy("bucket").agg(F.collect_list(F.struct(F.coalesce("component", "node").alias("group"), "node", "n")).alias("x"))
-    left = of.filter(F.size(F.array_distinct("x.group")) > 1).select("x").mapInArrow(rest, "u bigint, v bigint").distinct().join(tried, ["u", "v"], "left_anti")
+    of = several.join(components(links), "node", "left").groupBy("bucket").agg(F.collect_list(F.struct(F.coalesce("component", "node").alias("group"), "node", "n")).alias("x"))
+    of = of.filter(F.size(F.array_distinct("x.group")) > 1).select("bucket", F.explode("x").alias("y")).select("bucket", "y.*")
+    # Their sketches go with them, so that only pairs leave a bucket that may be links.
+    of = of.join(classes.select("node", "odd"), "node").groupBy("bucket").agg(F.collect_list(F.struct("group", "node", "n", "odd")).alias("x"))
+    left = of.select("x").mapInArrow(trimmed(rest), "u bigint, v bigint").distinct().join(tried, ["u", "v"], "left_anti")
     reach = components(links.unionByName(linked(left)))
     group = F.coalesce("component", "node").alias("group")
     stays = classes.join(reach, "node", "left").groupBy(group).agg(F.min("first").alias("kept"))
