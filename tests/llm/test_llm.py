@@ -288,6 +288,36 @@ def test_near_copies_by_whole_texts(spark):
     assert near_left(spark, texts) == sorted(set(grouped(links, texts).values()))
 
 
+def test_near_copies_around_a_shared_passage(spark):
+    """Many texts that hold one long passage beside a few words of their own: most are not alike, some are."""
+    rng, texts = random.Random(21), {}
+    passage = [f"p{rng.randint(0, 3000)}" for _ in range(70)]
+    for k in range(120):
+        own = [f"w{rng.randint(0, 9000)}" for _ in range(rng.randint(4, 30))]
+        cut_ = rng.randrange(len(own) + 1)
+        texts[k] = " ".join(own[:cut_] + passage + own[cut_:])
+    sims = brute_alike(texts)
+    links = [p for p, s in sims.items() if s >= 0.8]
+    assert 20 < len(links) < len(sims) / 2
+    assert near_left(spark, texts) == sorted(set(grouped(links, texts).values()))
+
+
+def test_pairs_that_a_place_rules_out_are_no_links():
+    """Pairs are kept in the bucket of their first common shingle if they are alike; sets of all kinds against each other."""
+    rng = np.random.default_rng(3)
+    none = np.zeros(0, np.uint64)
+    for _ in range(300):
+        base = np.unique(rng.integers(0, 2**62, rng.integers(5, 60)).astype(np.uint64))
+        x, y = (np.unique(np.concatenate([base[rng.random(len(base)) > rng.choice([0.0, 0.1, 0.2])], rng.integers(0, 2**62, rng.integers(0, 6)).astype(np.uint64)])) for _ in range(2))
+        px, py = simhash.prefix(x, none, none), simhash.prefix(y, none, none)
+        shared = [h for h in px.tolist() if h in set(py.tolist())]
+        if not simhash.alike(x, y):
+            continue
+        held = np.array([simhash.packed(len(x), len(px))[px.tolist().index(shared[0])], simhash.packed(len(y), len(py))[py.tolist().index(shared[0])]])
+        assert [len(o) for _, o in simhash.open_pairs(np.array([0, 1]), held)] == [1]
+        assert simhash.odd_difference(simhash.odd_sketch(x), simhash.odd_sketch(y)) <= (len(x) + len(y)) // 9
+
+
 # ---------------------------------------------------------------- tokens
 
 
@@ -484,6 +514,45 @@ def test_lines_and_tabs_end_words():
     assert np.allclose(logits, logits[0], atol=1e-6)
 
 
+def test_scores_by_hand():
+    """Logits of whole texts by a loop over windows and words, one gate at a time."""
+    rng = np.random.default_rng(4)
+    net = toxicity.Network.new(["ab", "cd", "ef"], rng)
+    q, h = {k: v.astype(np.float64) for k, v in net.p.items()}, toxicity.HIDDEN
+    squash = lambda v: 1 / (1 + np.exp(-v))
+
+    def given(word):
+        plain = toxicity.plain(pa.array([word]))[0].as_py()
+        data = f"<{plain}>".encode()
+        grams = [((data[i] * 31 + data[i + 1]) * 131 + data[i + 2]) * 2654435761 % 2**32 // 4096 % toxicity.TRIGRAMS for i in range(len(data) - 2)]
+        at = net.vocabulary.index(plain) if plain in net.vocabulary else len(net.vocabulary)
+        return np.concatenate([q["word"][at], np.mean([q["char"][g] for g in grams], axis=0) if grams else np.zeros(toxicity.CHAR_DIM)])
+
+    def direction(xs, side):
+        s, out = np.zeros(h), []
+        for x in xs:
+            a, g = x @ q["w" + side] + q["c" + side], s @ q["u" + side]
+            z, r = squash(a[:h] + g[:h]), squash(a[h : 2 * h] + g[h : 2 * h])
+            s = z * s + (1 - z) * np.tanh(a[2 * h :] + r * g[2 * h :])
+            out.append(s)
+        return out
+
+    def logit(words_):
+        xs = [given(w) for w in words_]
+        states = [np.concatenate(p) for p in zip(direction(xs, "f"), direction(xs[::-1], "b")[::-1], strict=True)]
+        e = np.exp([np.tanh(s @ q["att"] + q["ca"]) @ q["v"] for s in states])
+        return float(sum(w * s for w, s in zip(e / e.sum(), states, strict=True)) @ q["out"] + q["bias"][0])
+
+    pick = random.Random(2)
+    texts = [" ".join(pick.choice(("ab", "Cd,", "ef", "gh", "ünï", "!!")) for _ in range(n)) for n in (1, 3, 12, 13, 18, 19, 40)]
+    want = []
+    for t in texts:
+        words_ = t.split(" ")
+        starts = range(0, max(1, -(-(len(words_) - toxicity.WINDOW) // toxicity.STRIDE) * toxicity.STRIDE + 1), toxicity.STRIDE)
+        want.append(max(logit(words_[a : a + toxicity.WINDOW]) for a in starts))
+    assert np.allclose(toxicity.text_logits(toxicity.Inputs(net), pa.array(texts)), want, atol=1e-4)
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     net = toxicity.Network.new(["a"], rng)
@@ -699,3 +768,20 @@ def test_pipeline(spark):
     out = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert {r["doc_id"] for r in out.collect()} == {r["doc_id"] for r in docs.collect()}
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_stages_on_odd_and_empty_tables(spark, odd, empty):
+    """Every stage on nulls, blanks, copies, repeated rows, a very long text and clashing names, and on no rows."""
+    import corpus_pipeline
+
+    given = {str(r) for r in odd.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, SF)
+        assert out.columns == odd.columns and {str(r) for r in out.collect()} <= given, name
+        assert stage(spark, empty, SF).count() == 0, name
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, odd, SF).select("doc_id").filter("doc_id IS NOT NULL").distinct().count() == odd.select("doc_id").filter("doc_id IS NOT NULL").distinct().count()
+    assert last(spark, empty, SF).count() == 0
+    # A blank text, a null and an empty one are one near copy; the text and its copies are one.
+    left = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, odd, SF).collect()}
+    assert {1, 3, 6, 9} <= left and not left & {2, 4, 5, 7, 8}

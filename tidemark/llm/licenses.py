@@ -70,7 +70,7 @@ SHORT = {"MIT": "mit", "ISC": "isc"}
 #: Sentences about a licence that give none.
 TALK = ("The {} fee is due.", "They talked about the {} at length.", "A course on the {} begins today.", "He compared the {} with the others.", "Is the {} a good one?", "The history of the {} is long.")
 #: Words that tell little wherever they stand.
-FREQUENT = ("are", "as", "be", "do", "from", "in", "is", "it", "may", "no", "not", "that", "to", "under", "v", "above", "all", "can", "either", "file", "form", "into", "part", "person", "shall", "what", "written", "you", "and", "any", "available", "by", "charge", "copies", "except", "following", "free", "general", "hereby", "included", "notice", "of", "only", "or", "later", "program", "public", "published", "the", "this", "want", "with", "without")
+FREQUENT = ("are", "as", "be", "do", "from", "in", "is", "it", "may", "no", "not", "that", "to", "under", "v", "above", "all", "can", "either", "file", "form", "into", "part", "person", "shall", "what", "written", "you", "and", "any", "available", "by", "charge", "copies", "except", "following", "free", "general", "hereby", "included", "notice", "of", "only", "or", "later", "nc", "program", "public", "published", "sa", "the", "this", "want", "with", "without")
 WORDS = r"[a-z0-9]+"
 UNKNOWN = "unknown"
 #: A bare reservation of rights also opens many open licences; with these words it is more than that.
@@ -165,7 +165,8 @@ def gate_words() -> tuple[str, ...]:
     common = {*FREQUENT, *(w for t in (*OTHER, *TALK, *FRAMES) for w in _words(t))}
     for _, grams, own in sorted(templates(), key=lambda t: (len(t[1]), sorted(t[1]))):
         words = sorted({w for g in grams for w in g.split()}, key=lambda w: (not w[:1].isalpha(), w in common, -sum(c.isalpha() for c in w), w))
-        items = [*(sorted(own) if len(own) <= 2 else ()), *words]
+        rare = [w for w in words if w[:1].isalpha() and w not in common]
+        items = [*(sorted(own) if len(own) <= 2 else ()), *rare, *sorted((g for g in own if " " in g), key=lambda g: (-len(g), g)), *words]
         without = lambda part: [g for g in part if g not in chosen and not chosen & set(g.split())]
         while len(without(grams)) >= COVERAGE * len(grams) and len(without(own)) >= OWN * len(own):
             chosen.add(next(w for w in items if w not in chosen))
@@ -184,34 +185,34 @@ def _weights(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(g, *map(float, v), [j for j, t in enumerate(held) if g in t[1]], [j for j, t in enumerate(held) if g in t[2]]) for g, v in weights.items()], schema)
 
 
-def classify_paragraphs(paragraphs: DataFrame, col: str = "paragraph") -> DataFrame:
-    """Per distinct paragraph: family, probability, p_unknown, coverage, confirmed.
+def _classified(paragraphs: DataFrame, carried: list[str]) -> DataFrame:
+    """``carried`` (which begins with a key) of rows with a ``paragraph``, with family, probability, p_unknown, coverage and confirmed.
 
-    coverage is the greatest of the family's templates of whose own n-grams enough are there.
+    Only keys and the n-grams that the notices know leave the row; a paragraph may be a whole document.
     """
-    names, _, intercept = model()
+    names, weights, intercept = model()
     held = templates()
-    words = F.regexp_extract_all(F.lower(F.col(col)), F.lit(WORDS), F.lit(0))
+    words = F.regexp_extract_all(F.lower("paragraph"), F.lit(WORDS), F.lit(0))
     pairs = F.zip_with(F.slice("_words", F.lit(1), F.greatest(F.size("_words") - 1, F.lit(0))), F.slice("_words", F.lit(2), F.greatest(F.size("_words") - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-    grams = paragraphs.select(F.col(col)).distinct().withColumn("_words", words).select(col, F.explode_outer(F.array_distinct(F.concat("_words", pairs))).alias("gram"))
+    known = F.array_intersect(F.concat("_words", pairs), F.array(*map(F.lit, sorted(weights))))
+    grams = paragraphs.select(*carried, words.alias("_words")).select(*carried, F.explode_outer(known).alias("gram"))
     none = F.array().cast("array<int>")
-    # The n-grams of a paragraph that no notice has weigh nothing; the rest are at most as many as the notices have.
     sums = (
         grams.join(F.broadcast(_weights(paragraphs.sparkSession)), "gram", "left")
-        .groupBy(col)
+        .groupBy(*carried)
         .agg(*[F.coalesce(F.sum(f"w{i}"), F.lit(0.0)).alias(f"w{i}") for i in range(len(names))], F.flatten(F.collect_list(F.coalesce("held", none))).alias("_held"), F.flatten(F.collect_list(F.coalesce("own", none))).alias("_own"))
     )
     logits = [F.col(f"w{i}") + float(intercept[i]) for i in range(len(names))]
     times = lambda c, j: F.size(F.filter(c, lambda x: x == j))
     share = F.array(*[F.when(times("_own", j) >= OWN * len(own), times("_held", j) / len(t)).otherwise(0.0) for j, (_, t, own) in enumerate(held)])
-    sums = sums.select(col, F.array(*logits).alias("_z"), share.alias("_share"))
+    sums = sums.select(*carried, F.array(*logits).alias("_z"), share.alias("_share"))
     top = F.array_max("_z")
     total = F.aggregate(F.transform("_z", lambda z: F.exp(z - top)), F.lit(0.0), lambda a, b: a + b)
     best = F.array_position("_z", top).cast("int") - 1
     family = F.get(F.array(*map(F.lit, names)), best)
     of = F.array(*[F.lit(k) for k, _, _ in held])
     return sums.select(
-        col,
+        *carried,
         family.alias("family"),
         (F.lit(1.0) / total).alias("probability"),
         (F.exp(F.get("_z", len(names) - 1) - top) / total).alias("p_unknown"),
@@ -219,6 +220,15 @@ def classify_paragraphs(paragraphs: DataFrame, col: str = "paragraph") -> DataFr
     ).withColumn("confirmed", (F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST) & (F.col("coverage") >= COVERAGE))
 
 
+def classify_paragraphs(paragraphs: DataFrame, col: str = "paragraph") -> DataFrame:
+    """Per distinct paragraph: family, probability, p_unknown, coverage, confirmed.
+
+    coverage is the greatest of the family's templates of whose own n-grams enough are there.
+    """
+    rows = paragraphs.select(F.md5(col).alias("_key"), F.col(col).alias("paragraph")).groupBy("_key").agg(F.first("paragraph").alias("paragraph"))
+    return rows.join(_classified(rows, ["_key"]), "_key").drop("_key").withColumnRenamed("paragraph", col)
+
+
 def candidates(text: Column) -> Column:
     """The lines, and the paragraphs of several lines, that hold a gate word; as structs of paragraph and ``line``, whether it is one line."""
     gate = _gate()
@@ -241,9 +251,10 @@ def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = df.select(F.col(f"`{id_col}`").alias("_id"), F.explode_outer(candidates(text_or_empty(text_col))).alias("_found"))
     rows = rows.select("_id", F.col("_found.paragraph").alias("paragraph"), F.col("_found.line").alias("line"))
     # Tasks keep one of each line that they hold, so a line that stands in very many documents is one row of each.
-    found = classify_paragraphs(rows.filter(F.col("paragraph").isNotNull())).filter("confirmed")
-    bare = (F.col("family") == "proprietary") & F.col("paragraph").rlike(RESERVED) & ~F.col("paragraph").rlike(CLOSED)
-    sure = cut(found.select(F.md5("paragraph").alias("_key"), "family", "probability", bare.alias("bare")))
+    once = rows.filter(F.col("paragraph").isNotNull()).groupBy(F.md5("paragraph").alias("_key")).agg(F.first("paragraph").alias("paragraph"))
+    bare = F.col("paragraph").rlike(RESERVED) & ~F.col("paragraph").rlike(CLOSED)
+    found = _classified(once.withColumn("_bare", bare), ["_key", "_bare"]).filter("confirmed")
+    sure = cut(found.select("_key", "family", "probability", ((F.col("family") == "proprietary") & F.col("_bare")).alias("bare")))
     keyed = rows.select("_id", "line", F.md5("paragraph").alias("_key"))
     if sure.count() <= MOST_BROADCAST:
         rows = keyed.join(F.broadcast(sure), "_key", "left")
