@@ -9,7 +9,7 @@ from tidemark.operators import evidence, matching, merge, proposals
 from tidemark.plans.base import LAYERS_SQL, ORDERS_SQL, editions, layers, query, table
 from tidemark.plans.reports import VERDICT_SQL, _lines
 from tidemark.plans.texts import ZONE_SQL, _zone
-from tidemark.sources import records
+from tidemark.sources import records, versions
 
 
 @query(
@@ -94,6 +94,42 @@ def refiled(spark, sf_dir):
     return o.groupBy("year", "place").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("stored") != F.col("year")).alias("refiled"))
 
 
+#: Orders by year as a table's first run has them, and as a second one does: moved to another year, left out, or without a year.
+RUNS_SQL = f"""{ORDERS_SQL}, a AS (SELECT k, place, CAST(year(day) AS INTEGER) AS year FROM o),
+    b AS (SELECT k, place, CAST(CASE WHEN year(day) = 1993 AND month(day) = 12 THEN 1994 WHEN year(day) = 1996 AND status = 'O' THEN NULL ELSE year(day) END AS INTEGER) AS year
+          FROM o WHERE year(day) <> 1992 AND NOT (year(day) = 1997 AND place = '5-LOW'))"""
+
+
+def _two_runs(spark, sf_dir) -> str:
+    """The folder of a table that both runs, and a third one without a difference, have written."""
+    o, year, path = editions(spark, sf_dir), F.year("day"), versions.scratch(spark)
+    second = F.when((year == 1993) & (F.month("day") == 12), 1994).when((year == 1996) & (F.col("status") == "O"), None).otherwise(year)
+    before = o.select("k", "place", year.alias("year"))
+    after = o.filter((year != 1992) & ~((year == 1997) & (F.col("place") == "5-LOW"))).select("k", "place", second.cast("int").alias("year"))
+    for run in (before, after, after):
+        versions.write_version(run, path, ["year"])
+    return path
+
+
+@query(f"WITH {RUNS_SQL} SELECT k, place, year FROM b")
+def versioned_table(spark, sf_dir):
+    """A table after two runs that move, leave out and null records."""
+    return versions.read_version(spark, _two_runs(spark, sf_dir))
+
+
+@query(
+    f"""
+    WITH {RUNS_SQL}, y AS (SELECT DISTINCT year FROM (SELECT year FROM a UNION ALL SELECT year FROM b)),
+    n AS (SELECT y.year, (SELECT count(*) FROM a WHERE a.year IS NOT DISTINCT FROM y.year) AS before, (SELECT count(*) FROM b WHERE b.year IS NOT DISTINCT FROM y.year) AS n,
+                 (SELECT count(*) FROM a WHERE a.year IS NOT DISTINCT FROM y.year AND EXISTS (SELECT 1 FROM b WHERE b.k = a.k AND b.year IS NOT DISTINCT FROM a.year)) AS same FROM y)
+    SELECT year, n, CASE WHEN before = 0 THEN 'created' WHEN n = 0 THEN 'removed' WHEN n = same AND before = same THEN 'kept' ELSE 'updated' END AS state FROM n
+    """
+)
+def version_changes(spark, sf_dir):
+    """What the second run has done to each partition."""
+    return versions.changes(spark, _two_runs(spark, sf_dir))
+
+
 @query("SELECT 'orders' AS name, TRUE AS ok, count(*) AS n FROM orders UNION ALL SELECT 'pages', TRUE, count(*) FROM pages UNION ALL SELECT 'nowhere', FALSE, 0")
 def scan_report(spark, sf_dir):
     """Sources of which one can't be read: the others are used, and the failure is told."""

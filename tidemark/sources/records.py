@@ -1,4 +1,4 @@
-"""Sources: tagged unions, partial failures, nested feeds to candidates; sinks: JSON, indexes, changed partitions."""
+"""Sources: tagged unions, partial failures, nested feeds to candidates; sinks: JSON and indexes (see ``versions`` for tables that change)."""
 
 from __future__ import annotations
 
@@ -11,10 +11,6 @@ from pyspark.sql.utils import AnalysisException
 from tidemark.functions.text import escape_html, truncated_words
 
 
-#: Partitions that one write may change; each is a folder.
-MOST_PARTITIONS = 100_000
-
-
 def tagged_union(parts: list[tuple[str, int, DataFrame]]) -> DataFrame:
     """All rows of all sources, each with its source's name and priority; columns that one lacks are null."""
     tagged = [df.withColumn("source", F.lit(name)).withColumn("priority", F.lit(p)) for name, p, df in parts]
@@ -115,29 +111,6 @@ def json_lines(df: DataFrame, keep_nulls: bool = False) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": str(not keep_nulls).lower()}).alias("value"))
 
 
-def write_if_changed(df: DataFrame, path: str, partitions: list[str]) -> list[tuple]:
-    """Overwrites those partitions of a Parquet folder whose rows differ; returns their values.
-
-    The comparison is a count and an order-free checksum per partition, computed on either side. The
-    list that comes to the driver has a row per partition.
-    """
-    spark = df.sparkSession
-    digest = lambda d: d.groupBy(*partitions).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.xxhash64(*sorted(d.columns)).cast("decimal(38,0)")).alias("_s"))
-    new = digest(df)
-    try:
-        old = digest(spark.read.schema(df.schema).parquet(path))
-        changed = new.join(old, [*partitions, "_n", "_s"], "left_anti")
-    except AnalysisException:
-        changed = new
-    values = [tuple(r[p] for p in partitions) for r in changed.select(*partitions).limit(MOST_PARTITIONS + 1).collect()]
-    if len(values) > MOST_PARTITIONS:
-        raise ValueError(f"more than {MOST_PARTITIONS} partitions change")
-    if values:
-        rows = df.join(F.broadcast(spark.createDataFrame(values, df.select(*partitions).schema)), partitions, "left_semi")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
-    return values
-
-
 def checked_overrides(df: DataFrame, titles: DataFrame, title: str, year: str, order: str) -> DataFrame:
     """Overrides with a reason: unknown title, no year, or repeated key; the first of a key has none."""
     known = titles.select(F.col(title).alias("_title")).distinct()

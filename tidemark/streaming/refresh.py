@@ -7,36 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from tidemark.operators.merge import layered_merge
-from tidemark.sources.records import write_if_changed
+from tidemark.sources.versions import read_version, version_at, write_version
 
 
 def newest(batch: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The newest candidate per key of a batch."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))
+    """The newest candidate per key of a batch; of equally new ones that of the greatest values, nulls last."""
+    rest = [F.desc_nulls_last(c) for c in sorted(batch.columns) if c not in (*keys, order)]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order), *rest))
     return batch.withColumn("_n", rank).filter("_n = 1").drop("_n")
 
 
 def merge_batch(path: str, overrides: Callable[[], DataFrame], keys: list[str], fields: list[str], order: str, partition: str) -> Callable[[DataFrame, int], None]:
-    """What to do with each batch: merge it with what is stored, and write the partitions that change.
+    """What to do with each batch: merge it with what is stored in its partitions, and write those that change.
 
-    ``partition`` is one of the keys. A batch that is seen again changes nothing, so a query that
-    restarts after a failure ends where it would have ended without one.
+    ``partition`` is one of the keys. Only the partitions of the batch and of the overrides are read and
+    compared. A batch is a run of its own name, so one that is seen again finds its version and changes nothing:
+    a query that restarts after a failure ends where it would have ended without one.
     """
 
-    def run(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        columns = [*keys, *fields]
-        found = newest(batch, keys, order).select(*columns)
-        try:
-            stored = spark.read.schema(found.schema).parquet(path).select(*columns)
-        except AnalysisException:  # the first batch
+    def run(batch: DataFrame, number: int) -> None:
+        spark, columns = batch.sparkSession, [*keys, *fields]
+        found, over = newest(batch, keys, order).select(*columns), overrides()
+        touched = found.select(partition).unionByName(over.select(partition)).distinct()
+        if version_at(spark, path):
+            wanted = touched.select(F.col(partition).alias("_wanted"))
+            stored = read_version(spark, path).join(wanted, F.col(partition).eqNullSafe(F.col("_wanted")), "left_semi").select(*columns)
+        else:  # the first batch
             stored = found.limit(0)
-        merged = layered_merge(stored, found, overrides(), keys, fields).select(*columns)
-        # Partitions are overwritten while they are read, so the rows are put down first.
-        write_if_changed(merged.checkpoint(), path, [partition])
+        merged = layered_merge(stored, found, over, keys, fields).select(*columns)
+        write_version(merged, path, [partition], run=f"batch-{number}", touched=touched if version_at(spark, path) else None)
 
     return run
 
