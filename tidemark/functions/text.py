@@ -69,6 +69,20 @@ def escape_html(c: Column) -> Column:
     return out
 
 
+def _without(c: Column, begins: str, pattern: str) -> Column:
+    """``c`` less what a pattern with a search for an end finds; it runs only over texts that hold a beginning."""
+    return F.get(F.transform(F.array(c), lambda t: F.when(t.rlike(begins), F.regexp_replace(t, pattern, " ")).otherwise(t)), F.lit(0))
+
+
+def _pair(tags: Iterable[str], rest: str) -> tuple[str, str]:
+    return rf"(?i)<({'|'.join(tags)})\b", rf"(?is)<({'|'.join(tags)})\b{rest}.*?</\1>"
+
+
+def without_silent(c: Column) -> Column:
+    """Markup less its comments, which go first so that what they hide never comes back, and its silent elements."""
+    return _without(_without(F.coalesce(c, F.lit("")), "(?s)<!--", r"(?s)<!--.*?-->"), *_pair(SILENT, ""))
+
+
 def strip_markup(c: Column) -> Column:
     """Readable text of HTML, entities left as they are.
 
@@ -76,13 +90,7 @@ def strip_markup(c: Column) -> Column:
     all they hold, struck by style too. Block ends and breaks become line ends, inline tags vanish,
     every other tag becomes a space.
     """
-    pair = lambda tags, rest: rf"(?is)<({'|'.join(tags)})\b{rest}.*?</\1>"
-    # A pattern with a search for an end runs only over texts that hold a beginning.
-    guarded = [("(?s)<!--", r"(?s)<!--.*?-->"), (rf"(?i)<({'|'.join(SILENT)})\b", pair(SILENT, "")), (rf"(?i)<({'|'.join(STRUCK)})\b", pair(STRUCK, "[^>]*>")), ("(?i)line-through|strikethrough", STRUCK_STYLE)]
-    out = F.coalesce(c, F.lit(""))
-    without = lambda begins, pattern: lambda t: F.when(t.rlike(begins), F.regexp_replace(t, pattern, " ")).otherwise(t)
-    for begins, pattern in guarded:
-        out = F.get(F.transform(F.array(out), without(begins, pattern)), F.lit(0))
+    out = _without(_without(without_silent(c), *_pair(STRUCK, "[^>]*>")), "(?i)line-through|strikethrough", STRUCK_STYLE)
     for pattern, new in ((BREAKS, "\n"), (LINE_ENDS, "\n"), (INLINE, ""), (r"<[^>]+>", " ")):
         out = F.regexp_replace(out, pattern, new)
     return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, text
-from tidemark.operators import clusters, evidence, matching, quality
+from tidemark.operators import clusters, evidence, matching, pairing, quality
 from tidemark.plans.base import ORDERS_SQL, SOURCES_SQL, TODAY, TODAY_SQL, editions, query, sources, table
 
 #: Zones by the order's priority and status, each with its offset in SQL; names come with what DuckDB's own zone table says.
@@ -227,3 +227,53 @@ def lcs_coverage(spark, sf_dir):
 )
 def date_surface_forms(spark, sf_dir):
     return editions(spark, sf_dir).select("k", F.array_join(dates.date_forms(F.col("day")), "|").alias("forms"))
+
+
+#: Pages with dates in a table, in lists with and without separators, and in flowing text, by their number; d0 to d22 are days.
+DATED_SQL = """d AS (SELECT page_id, page_id % 6 AS layout, DATE '2026-01-01' + CAST(page_id % 300 AS INTEGER) AS d0 FROM pages)"""
+
+
+def _dated_pages(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", "html", F.date_add(F.lit("2026-01-01").cast("date"), (F.col("page_id") % 300).cast("int")).alias("d0"))
+    day = lambda n: F.date_format(F.date_add("d0", n), "MMMM d, yyyy")
+    head = "<h2>Dates</h2><table><tr><th>Event<th>Date<th>Track</tr><tr><td>Paper submission deadline<td>"
+    layouts = [
+        (head, 0, "<td>main</tr><tr><td>Notification<td>", 9, "<td>late</tr></table>"),
+        ("<ul><li>", 0, ": Paper submission deadline</li><li><b>Abstract</b>: <s>", 0, "</s> ", 5, "</li></ul>"),
+        ("<ol><li>", 0, " camera ready<li>", 3, " papers due</ol>"),
+        ("<ol><li>", 0, " camera ready<li>papers due ", 3, "</ol>"),
+        ("<p>The papers due date of this year is ", 0, ".</p><p>Conference dates: ", 20, " to ", 22, ".</p>"),
+        ("<p>The abstract, as we have said so often in the past years, is due on ", 0, "</p>"),
+    ]
+    said = F.lit("")
+    for i, parts in enumerate(layouts):
+        said = F.when(F.col("page_id") % len(layouts) == i, F.concat(*[day(x) if isinstance(x, int) else F.lit(x) for x in parts])).otherwise(said)
+    return p.select("page_id", "d0", F.replace("html", F.lit("</article>"), F.concat(said, F.lit("</article>"))).alias("html"))
+
+
+@query(
+    f"""
+    WITH {DATED_SQL}, r(layout, rule, field, scope, n, until, outcome, reason) AS (VALUES
+        (0, 'A', 'deadline', 'track=main', 0, NULL, 'paired', ''), (0, 'A', 'other', 'track=late', 9, NULL, 'paired', ''),
+        (1, 'B', 'deadline', '', 0, NULL, 'paired', ''), (1, 'B', 'abstract_deadline', '', 5, NULL, 'paired', ''), (1, '', 'abstract_deadline', '', 0, NULL, 'superseded', ''),
+        (2, 'C', 'other', '', 0, NULL, 'paired', ''), (2, 'C', 'deadline', '', 3, NULL, 'paired', ''), (3, 'C', 'other', '', 0, NULL, 'refused', 'no order'), (3, 'C', 'deadline', '', 3, NULL, 'refused', 'no order'),
+        (4, 'D', 'deadline', '', 0, NULL, 'paired', ''), (4, 'D', 'date', '', 20, 22, 'paired', ''), (5, 'D', 'abstract_deadline', '', 0, NULL, 'refused', 'too far'))
+    SELECT page_id, rule, field, scope, d0 + n AS day, d0 + until AS until, outcome, reason FROM d JOIN r USING (layout)
+    """
+)
+def date_pairing(spark, sf_dir):
+    """Labels and dates of pages, paired or refused by the structure around them."""
+    return pairing.paired(_dated_pages(spark, sf_dir)).select("page_id", "rule", "field", "scope", "day", "until", "outcome", "reason")
+
+
+@query(
+    f"""
+    WITH {DATED_SQL}, f(field, good) AS (VALUES ('deadline', 1), ('abstract_deadline', -1))
+    SELECT page_id, field, d0 AS day, CASE WHEN field = 'deadline' AND layout IN (1, 4) THEN 'VERIFIED' WHEN field = 'abstract_deadline' AND layout = 1 THEN 'REFUTED' ELSE 'UNCONFIRMED' END AS status FROM d, f
+    """
+)
+def pairing_verdicts(spark, sf_dir):
+    """Claims on the fields of a page against its pairs: struck dates refute."""
+    pages = _dated_pages(spark, sf_dir)
+    claims = pages.select("page_id", F.explode(F.array(F.lit("deadline"), F.lit("abstract_deadline"))).alias("field"), F.col("d0").alias("day"), F.lit(None).cast("string").alias("scope"))
+    return pairing.proposal_pairing(claims, pairing.paired(pages)).drop("scope")
