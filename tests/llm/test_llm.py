@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -13,7 +14,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
-from tidemark.llm import exact_dedup, licenses, mixing, neighbours, packing, quality, registry, secrets, simhash, token_counts, toxicity
+from tidemark.llm import exact_dedup, inner_products, licenses, mixing, neighbours, packing, quality, registry, secrets, simhash, token_counts, toxicity, training
 from tidemark.llm.components import components
 from tidemark.llm.vocabulary import ByteEncoder, PieceCounter, byte_bpe, sentence_model, tokenizer_path
 
@@ -417,21 +418,46 @@ def test_neighbours_read_fewer_files_as_tables_grow():
 
 
 def test_neighbours_of_a_larger_table(spark):
-    """The ten thousand near-isotropic vectors of which a query meets a part only."""
-    sf = "/root/testdata/check_s"
-    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()
-    ids, v = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], np.float64)
+    """Ten thousand isotropic vectors, of which a query meets a part only."""
+    v = np.random.default_rng(12).normal(size=(10_000, 64))
+    v /= np.sqrt((v**2).sum(1))[:, None]
+    out = neighbours.nearest(spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "vec_id long, embedding array<double>")).collect()
     hits = 0
-    out = neighbours.op4_neighbours(spark, sf).collect()
-    for q in ids[ids % 100 == 0]:
-        d = np.sqrt(((v - v[ids == q]) ** 2).sum(1))
-        best = sorted(zip(d[ids != q].tolist(), ids[ids != q].tolist(), strict=True))[:10]
-        got = sorted((r["rank"], r["vec_id"], r["score"]) for r in out if r["query_id"] == q)
+    for q in range(0, 10_000, 100):
+        d = np.sqrt(((v - v[q]) ** 2).sum(1))
+        d[q] = np.inf
+        got = sorted((r["rank"], r["vec_id"]) for r in out if r["query_id"] == q)
         assert [r[0] for r in got] == list(range(1, 11))
-        hits += len({i for _, i in best} & {r[1] for r in got})
+        hits += len(set(np.argsort(d, kind="stable")[:10].tolist()) & {r[1] for r in got})
     assert hits / len(out) >= 0.93
 
 
+def test_ids_that_are_texts(spark):
+    """Ids of any type, and more rows of an id than a fit takes."""
+    rows = [(f"id {i % 40}", t) for i, t in enumerate([f"w{i} " * 12 + "some words that all of them have in them" for i in range(40)] + ["other text of the same id"] * 90)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    labels = spark.createDataFrame([(f"id {i}", i % 2, i % 2) for i in range(40)], "doc_id string, quality int, toxic int")
+    most = {0: 9, 1: 9}
+    fits = [training.labelled(df.repartition(n, "text"), labels, "quality", 5, 0, most) for n in (1, 7)]
+    assert fits[0] == fits[1] and len(fits[0]) == 18
+    assert quality.quality(df, labels).count() == toxicity.toxicity(df, labels).count() == len(rows)
+    out = simhash.simhash_groups(df).collect()
+    same = {r["doc_id"]: r["component_id"] for r in simhash.simhash_groups(df.filter("text LIKE 'other%'")).collect()}
+    assert len(out) == len(rows) and set(same.values()) == {"id 0"}
+    numbers = spark.createDataFrame([("100", [1.0, 0.0]), ("101", [0.0, 1.0]), ("x", [1.0, 1.0])], "vec_id string, embedding array<double>")
+    assert [(r["query_id"], r["vec_id"]) for r in neighbours.nearest(numbers).collect()] == [(100, 101)]
+    assert [(r["query_id"], r["vec_id"]) for r in inner_products.top_products(numbers).collect()] == [(100, 101)]
+    dotted = token_counts.token_counts(df.withColumnRenamed("doc_id", "a.b"), tokenizer_path(PIECES), id_col="a.b")
+    assert dotted.columns == ["a.b", "n_bytes", "n_tokens", "over_limit"] and dotted.count() == len(rows)
+
+
+def test_budgets_of_many_leaves():
+    leaves = {("web", f"l{i % 100}", f"s{i}"): i % 17 for i in range(100_000)}
+    began = time.time()
+    out = mixing.budgets(leaves, sum(leaves.values()) // 2, 2, {"lang": {"l1": 4.0}}, ("domain", "lang", "source"))
+    assert sum(out.values()) == sum(leaves.values()) // 2 and time.time() - began < 20
+
+
 # ---------------------------------------------------------------- classifiers
 
 

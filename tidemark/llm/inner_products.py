@@ -263,14 +263,14 @@ def top_products(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int
     """Per query (ids divisible by ``every``) the ``k`` vectors of the largest inner products: query_id, rank, vec_id, score.
 
     Components become floor(scale * x), at most 2^25 either way. Ties go to the smaller id. Vectors that are null or
-    hold a null or non-finite component, rows without an id, and vectors of another length than the most common one
+    hold a null or non-finite component, rows without an id that is a whole number, and vectors of another length than the most common one
     (the longest of these) take no part. A query with fewer candidates gets them all. Rows that repeat an id with an
     equal vector count once; an id with several vectors stands for each of them, as a query and as a candidate, at
     its best. Vectors of zeros take part. Other columns play no part, whatever their names. An empty table gives an
     empty result.
     """
     spark, most = vectors.sparkSession, k + 1
-    rows = vectors.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"), whole_numbers(vec_col, scale, MOST).alias("_v")).filter("_id IS NOT NULL AND _v IS NOT NULL")
+    rows = vectors.select(F.col(f"`{id_col}`").try_cast("bigint").alias("_id"), whole_numbers(vec_col, scale, MOST).alias("_v")).filter("_id IS NOT NULL AND _v IS NOT NULL")
     rows = kept_as_table(rows)
     sizes = rows.groupBy(F.size("_v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).limit(1).collect()
     asked = rows.filter(F.pmod("_id", F.lit(every)) == 0).select(F.col("_id").alias("query_id"), "_v").distinct()

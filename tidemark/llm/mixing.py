@@ -79,13 +79,14 @@ def budgets(leaves: dict[tuple, int], total: int, max_epochs: int, weights: dict
     def down(paths: dict[tuple, int], depth: int, amount: int) -> dict[tuple, int]:
         if depth == len(levels):
             return dict.fromkeys(paths, amount)
-        room: dict = {}
+        below: dict = {}
         for p, n in paths.items():
-            room[p[depth]] = room.get(p[depth], 0) + n * max_epochs
+            below.setdefault(p[depth], {})[p] = n
+        room = {k: max_epochs * sum(own.values()) for k, own in below.items()}
         shares = split_budget(amount, room, lambda k: float(weights.get(levels[depth], {}).get(k, 1.0)))
         out: dict[tuple, int] = {}
         for k, part in shares.items():
-            out |= down({p: n for p, n in paths.items() if p[depth] == k}, depth + 1, part)
+            out.update(down(below[k], depth + 1, part))
         return out
 
     return down(leaves, 0, total)

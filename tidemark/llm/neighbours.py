@@ -35,9 +35,9 @@ SEED = 17
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """_id and _vec (array<double>) of the vectors that take part."""
-    v = F.col(vec_col).cast("array<double>")
+    v = F.col(f"`{vec_col}`").cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    return vectors.select(F.col(id_col).cast("bigint").alias("_id"), v.alias("_vec")).filter("_id IS NOT NULL AND _vec IS NOT NULL").filter(fine)
+    return vectors.select(F.col(f"`{id_col}`").try_cast("bigint").alias("_id"), v.alias("_vec")).filter("_id IS NOT NULL AND _vec IS NOT NULL").filter(fine)
 
 
 def prefixes(v: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
@@ -78,7 +78,7 @@ def nearest(
     """Per query (ids divisible by ``every``) its ``k`` nearest found: query_id, rank, vec_id, score.
 
     Score is the Euclidean distance in double precision; ties go to the smaller id. Vectors that are
-    null, zero, or hold null or non-finite components, rows without an id, and vectors of another
+    null, zero, or hold null or non-finite components, rows without an id that is a whole number, and vectors of another
     length than the most common one (the longest of these) take no part. A query with fewer
     candidates gets them all. Rows that repeat an id with an equal vector count once; an id with
     several vectors stands for each of them, as a query and as a candidate, at its nearest. Other

@@ -101,8 +101,9 @@ def with_fingerprint(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             found = np.array([fingerprint(t.as_py(), n_words, bits) for t in batch.column(1)], np.uint64).reshape(-1, lanes).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[:, k]) for k in range(lanes))], ["_id", *(f"f{k}" for k in range(lanes))])
 
-    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
-    return rows.mapInArrow(trimmed(run), ", ".join(["_id bigint", *(f"f{k} bigint" for k in range(lanes))]))
+    rows = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
+    kind = rows.schema["_id"].dataType.simpleString()
+    return rows.mapInArrow(trimmed(run), ", ".join([f"_id {kind}", *(f"f{k} bigint" for k in range(lanes))]))
 
 
 def segments(bits: int, radius: int) -> list[tuple[int, int]]:
@@ -321,15 +322,25 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per row: id, fingerprint (hex), component_id (the least id that its links reach, itself included).
 
     Null and empty texts, and texts of white space, have fingerprint zero, which links like any
-    other. Texts shorter than ``n_words`` words are one shingle. Rows with a null id form classes
-    like the rest, and take the component of the rows with an id, or null if there are none. Other
-    columns play no part. An empty table gives an empty result.
+    other. Texts shorter than ``n_words`` words are one shingle, texts of any length are read whole. Rows with a
+    null id form classes like the rest, and take the component of the rows with an id, or null if there are none.
+    Repeated rows have the same result each. Ids may be of any type that has an order. Other columns play no
+    part, whatever their names. An empty table gives an empty result.
     """
     lanes = [f"f{k}" for k in range(bits // 64)]
     marked = cut(with_fingerprint(df, id_col, text_col, n_words, bits))
-    classes = cut(marked.filter(F.col("_id").isNotNull()).groupBy(*lanes).agg(F.min("_id").alias("node")))
-    reach = components(links_of(classes, bits, radius))
-    found = classes.join(reach, "node", "left").select(*lanes, F.coalesce("component", "node").alias("component_id"))
+    kind = marked.schema["_id"].dataType.simpleString()
+    whole = kind in ("tinyint", "smallint", "int", "bigint")
+    # Classes are told apart by their least id, or by a number where ids are none.
+    number = F.col("first").cast("bigint") if whole else F.monotonically_increasing_id()
+    classes = cut(marked.filter(F.col("_id").isNotNull()).groupBy(*lanes).agg(F.min("_id").alias("first")).select("first", number.alias("node"), *lanes))
+    reach = components(links_of(classes.select("node", *lanes), bits, radius))
+    found = classes.join(reach, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    if whole:
+        found = found.select(*lanes, F.col("component").cast(kind).alias("component_id"))
+    else:
+        least = found.groupBy(F.col("component").alias("_of")).agg(F.min("first").alias("component_id"))
+        found = found.join(least, F.col("component") == F.col("_of")).select(*lanes, "component_id")
     shown = F.lower(F.concat(*[F.lpad(F.hex(x), 16, "0") for x in lanes]))
     return marked.join(found, lanes, "left").select(F.col("_id").alias(id_col), shown.alias("fingerprint"), "component_id")
 

@@ -31,7 +31,7 @@ def counter(path: str) -> PieceCounter:
 def token_counts(df: DataFrame, path: str, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_bytes (UTF-8), n_tokens, over_limit (more than ``limit`` tokens).
 
-    Null and empty texts have 0 bytes and 0 tokens. The id passes through, null included; other
+    Null and empty texts have 0 bytes and 0 tokens; texts of any length are counted whole, repeated rows each. The id passes through, null included; other
     columns play no part. An empty table gives an empty result.
     """
 
@@ -42,7 +42,7 @@ def token_counts(df: DataFrame, path: str, limit: int = LIMIT, id_col: str = "do
             yield pa.RecordBatch.from_arrays([batch.column(0), sizes, n, pc.greater(n, limit)], ["_id", "n_bytes", "n_tokens", "over_limit"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    rows = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
     return rows.mapInArrow(trimmed(run), f"_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean").withColumnRenamed("_id", id_col)
 
 
