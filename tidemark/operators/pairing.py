@@ -70,7 +70,7 @@ def pieces(pages: DataFrame, key: str, html: str, year: str | None = None) -> Da
         "section": F.sum(F.when(heading & opens, 1).otherwise(0)).over(on), "heading": F.coalesce(~F.last(F.when(heading, F.col("closing")), True).over(on), F.lit(False)),
     })
     # A struck element ends at the next end of its tag.
-    following = Window.partitionBy("_page", "tag").orderBy("i").rowsBetween(1, Window.unboundedFollowing)
+    following = Window.partitionBy("_page", "tag").orderBy(F.desc("i")).rowsBetween(Window.unboundedPreceding, -1)
     strikes = opens & (F.col("tag").isin(*text.STRUCK) | (~F.col("is_text") & F.col("piece").rlike("(?i)line-through|strikethrough")))
     rows = rows.withColumn("_end", F.when(strikes, F.min(F.when(F.col("closing"), F.col("i"))).over(following)))
     return rows.withColumn("struck", F.coalesce(F.max("_end").over(on) > F.col("i"), F.lit(False))).drop("_s", "_end")
