@@ -64,6 +64,12 @@ def proposal_errors(proposals: DataFrame, titles: DataFrame, as_of: date) -> Dat
     return rows.withColumn("errors", F.when(deletes | (F.coalesce(F.size("claims"), F.lit(0)) <= 0), own).otherwise(F.concat(own, of))).drop("_known")
 
 
+def judged(proposals: DataFrame, verdicts: DataFrame, key: str, status: str = "status", good: str = "VERIFIED") -> DataFrame:
+    """``proposals`` with ``accepted``, by one join; one without a good verdict is not."""
+    fine = verdicts.filter(F.col(status) == good).select(F.col(key).alias("_good")).distinct()
+    return proposals.join(fine, F.col(key) == F.col("_good"), "left").withColumn("accepted", F.col("_good").isNotNull()).drop("_good")
+
+
 def accepted(proposals: DataFrame, verdicts: DataFrame, key: str, status: str = "status", good: str = "VERIFIED") -> DataFrame:
     """Proposals with a good verdict; one without a verdict is not accepted."""
     return proposals.join(verdicts.filter(F.col(status) == good).select(key), key, "left_semi")

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import leading_date, zone_known
 from tidemark.functions.text import is_placeholder
 
+#: Fixed value: the note of a record that an audit has not reached.
+SEEDED = "Seeded before the audit; the auditor did not reach this record."
 #: The written forms of a date and time and of a zone; notes that stand for what isn't known yet; the reasons to watch a record, the most urgent first.
 STAMP = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$"
 ZONE = r"^(AoE|PST|PDT|UTC([+-]\d{1,2})?|[A-Za-z]+(/[A-Za-z0-9_+\-]+)+)$"
@@ -107,10 +109,16 @@ def watchlist(df: DataFrame, reasons: list[tuple[str, Column]], order: list[str]
 
 
 def effort(df: DataFrame, status: str, unchecked: str) -> DataFrame:
-    """Rows by status, with the share of the total that was examined at all."""
+    """Rows by status, with the total and how many of it were examined at all; the rows are read once, the totals are of the few statuses."""
     by = df.groupBy(F.col(status).alias("status")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col(status) != unchecked).alias("examined"))
-    return by.join(F.broadcast(total), F.lit(True))
+    all_ = Window.partitionBy()
+    return by.select("status", "n", F.sum("n").over(all_).alias("total"), F.coalesce(F.sum(F.when(F.col("status") != unchecked, F.col("n"))).over(all_), F.lit(0)).alias("examined"))
+
+
+def audit_seed(watchlist: DataFrame, title: str, year: str) -> DataFrame:
+    """A watchlist as the start of an audit: title, year, cause, attempted (none yet) and note. Nothing counts as checked before it was."""
+    none = F.array().cast("array<string>")
+    return watchlist.select(title, year, F.lit("not_checked").alias("cause"), none.alias("attempted"), F.lit(SEEDED).alias("note"))
 
 
 def health(df: DataFrame, severity: Column, key: str, message: Column) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import any_contains, clean
+from tidemark.sources.versions import scratch
 
 
 def board(df: DataFrame, year: str, days: str, category: str, name: str, categories: list[str], filters: list[Column]) -> DataFrame:
@@ -29,6 +30,24 @@ def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str = "n
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
+def numbered_over_ranges(df: DataFrame, order: list[Column], name: str = "nth") -> DataFrame:
+    """``df`` with the row's number in the order of all rows, from 1, without a task that has them all.
+
+    Rows are sorted over ranges, each range's rows are counted, and the few counts tell where each begins. Rows that
+    tie are in any order; ``order`` should leave none.
+    """
+    keys = {f"_o{i}": c for i, c in enumerate(order)}
+    rows = df.withColumns(keys).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # Both uses have to find the same rows in the same ranges.
+    scratch(df.sparkSession)
+    rows = rows.checkpoint().withColumn("_id", F.monotonically_increasing_id())
+    # The number holds the partition above its lower 33 bits, and the row's place in it below.
+    rows = rows.select(*df.columns, F.shiftright("_id", 33).alias("_part"), F.col("_id").bitwiseAND((1 << 33) - 1).alias("_nth"))
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    starts = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_start"))
+    return rows.join(F.broadcast(starts), "_part").select(*df.columns, (F.col("_start") + F.col("_nth") + 1).alias(name))
+
+
 def paginate(df: DataFrame, keys: list[str], order: list[Column], size: int = 9, span: int = 5) -> DataFrame:
     """``df`` with page and page_range, both from 1, within the keys."""
     rows = numbered(df, keys, order, "_n")

@@ -9,7 +9,7 @@ from tidemark.operators import evidence, matching, merge, proposals
 from tidemark.plans.base import LAYERS_SQL, ORDERS_SQL, editions, layers, query, table
 from tidemark.plans.reports import VERDICT_SQL, _lines
 from tidemark.plans.texts import ZONE_SQL, _zone
-from tidemark.sources import records, versions
+from tidemark.sources import landing, records, versions
 
 
 @query(
@@ -130,6 +130,34 @@ def version_changes(spark, sf_dir):
     return versions.changes(spark, _two_runs(spark, sf_dir))
 
 
+def _landed(spark, sf_dir):
+    """Orders landed twice by year, the second time with one file that breaks off: the records of that scan, and the table in versions."""
+    folder, store = versions.scratch(spark), versions.scratch(spark)
+    o = editions(spark, sf_dir).select("k", "place", F.year("day").alias("year"))
+    lines = lambda c: o.select(F.to_json(F.struct("k", c.alias("place"))).alias("value"), "year")
+    lines(F.col("place")).repartition("year").write.partitionBy("year").text(f"{folder}/1")
+    read = lambda n: landing.scanned_files(spark, f"{folder}/{n}", "k bigint, place string", ["k"])
+    landing.refreshed(read(1), store, ["year"])
+    changed = lines(F.concat("place", F.lit("!"))).filter("year <> 1992")
+    half = F.when((F.col("year") == 1995) & (F.get_json_object("value", "$.k").cast("bigint") % 100 == 7), F.left("value", F.lit(6))).otherwise(F.col("value"))
+    changed.withColumn("value", half).repartition("year").write.partitionBy("year").text(f"{folder}/2")
+    found = read(2)
+    landing.refreshed(found, store, ["year"])
+    return found, store
+
+
+@query(f"WITH {ORDERS_SQL} SELECT k, CASE WHEN year(day) = 1995 THEN place ELSE place || '!' END AS place, CAST(year(day) AS INTEGER) AS year FROM o WHERE year(day) <> 1992")
+def landed_table(spark, sf_dir):
+    """A refresh from landed files: the partition of the broken one keeps what was there."""
+    return versions.read_version(spark, _landed(spark, sf_dir)[1])
+
+
+@query(f"WITH {ORDERS_SQL} SELECT 1995 AS year, count(*) AS n_bad, 'unreadable record' AS reason FROM o WHERE year(day) = 1995 AND k % 100 = 7 HAVING count(*) > 0")
+def landed_broken(spark, sf_dir):
+    """The files that are set aside."""
+    return landing.broken_files(_landed(spark, sf_dir)[0]).select("year", "n_bad", "reason")
+
+
 @query("SELECT 'orders' AS name, TRUE AS ok, count(*) AS n FROM orders UNION ALL SELECT 'pages', TRUE, count(*) FROM pages UNION ALL SELECT 'nowhere', FALSE, 0")
 def scan_report(spark, sf_dir):
     """Sources of which one can't be read: the others are used, and the failure is told."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import day_label, days_left, displayed, urgency
 from tidemark.operators import clusters, merge, quality, report
 from tidemark.plans.base import LAYERS_SQL, ORDERS_SQL, SOURCES_SQL, TODAY, TODAY_SQL, editions, layers, query, sources, table
+from tidemark.streaming import sessions
 
 DAY = 86_400
 
@@ -26,6 +27,20 @@ def gap_clusters(spark, sf_dir):
     return rows.groupBy("user_id", "event_type", "cluster").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n"), F.min_by("value", "event_id").alias("first_value"))
 
 
+@query(
+    """
+    WITH g AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR epoch_us(ts) - epoch_us(lag(ts) OVER w) > 86400000000 THEN 1 ELSE 0 END AS fresh
+               FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id)),
+    c AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS cluster FROM g)
+    SELECT user_id, event_type, min(ts) AS first, max(ts) AS last, count(*) AS n FROM c GROUP BY user_id, event_type, cluster
+    """
+)
+def gap_sessions(spark, sf_dir):
+    """Gap clusters as sessions, in the form that a stream takes."""
+    out = sessions.gap_sessions(table(spark, sf_dir, "events"), ["user_id", "event_type"], "ts", DAY)
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first", "last")})
+
+
 @query(
     f"""
     WITH {ORDERS_SQL}, d AS (SELECT k, CASE WHEN status <> 'P' THEN date_diff('day', {TODAY_SQL}, day) END AS days FROM o)

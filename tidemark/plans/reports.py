@@ -212,8 +212,7 @@ def proposal_verdict_join(spark, sf_dir):
     """Proposals with a good verdict; those that the gate left unchecked have no verdict here."""
     given = editions(spark, sf_dir).select(F.col("k").alias("id"), "status")
     verdicts = _verdicts(spark, sf_dir).join(given.filter("status <> 'P'").select("id"), "id", "left_semi")
-    both = proposals.accepted(given, verdicts, "id").withColumn("accepted", F.lit(True)).unionByName(proposals.rejected(given, verdicts, "id").withColumn("accepted", F.lit(False)))
-    return both.select(F.col("id").alias("k"), "accepted")
+    return proposals.judged(given, verdicts, "id").select(F.col("id").alias("k"), "accepted")
 
 
 @query(f"""WITH {VERDICT_SQL} SELECT '{{"id":' || k || ',"status":"' || CASE WHEN status = 'VERIFIED' THEN 'accepted' ELSE 'rejected' END || '","gate":"' || status || '","detail":{{"n_grounded":' || CASE WHEN status = 'VERIFIED' AND place <> '5-LOW' THEN 1 ELSE 0 END || ',"n_refuted":' || CASE WHEN status = 'UNCONFIRMED' THEN 1 ELSE 0 END || '}}}}' AS value FROM v""")
@@ -523,10 +522,51 @@ def readings_by_year(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_seen"), F.count_distinct("o_custkey").alias("speakers"))
 
 
-@query("SELECT key, row_number() OVER (ORDER BY CAST(key AS BIGINT)) AS place FROM (SELECT CAST(n_nationkey AS VARCHAR) AS key FROM nation)")
+@query("SELECT key, row_number() OVER (ORDER BY CAST(key AS BIGINT)) AS place FROM (SELECT CAST(o_orderkey AS VARCHAR) AS key FROM orders)")
 def numeric_keys(spark, sf_dir):
-    rows = report.by_number(table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("key")), "key")
-    return rows.withColumn("_one", F.lit(1)).transform(lambda d: report.numbered(d, ["_one"], [F.col("key").cast("bigint")], "place")).select("key", F.col("place").cast("bigint").alias("place"))
+    """Keys that are texts in the order of their numbers, numbered over all partitions."""
+    keys = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("key"))
+    return report.numbered_over_ranges(keys, [F.col("key").cast("bigint"), F.col("key")], "place").select("key", "place")
+
+
+@query(
+    """
+    SELECT p_partkey, wanted FROM part, (SELECT unnest(['all', 'PROMO', 'ECONOMY']) AS wanted)
+    WHERE wanted = 'all' OR (p_size > 5 AND contains(p_type, wanted))
+    """
+)
+def section_filter(spark, sf_dir):
+    """The rows of each section: featured ones stand in "all" alone."""
+    p = table(spark, sf_dir, "part").withColumn("highlight", F.when(F.col("p_size") <= 5, 1))
+    parts = [p.filter(report.section(F.col("highlight"), F.col("p_type"), w)).select("p_partkey", F.lit(w).alias("wanted")) for w in ("all", "PROMO", "ECONOMY")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    f"""
+    WITH {WATCH_SQL}, a AS (SELECT 'o' || k AS title, year FROM r WHERE len(reasons) > 0 UNION ALL SELECT 'c' || c_custkey, 1999 FROM g)
+    SELECT '{{"title":"' || title || '","year":' || year || ',"cause":"not_checked","attempted":[],"note":"{quality.SEEDED}"}}' AS value FROM a
+    """
+)
+def audit_skeleton(spark, sf_dir):
+    """The watchlist as the skeleton of an audit, in its file's form."""
+    return records.json_lines(quality.audit_seed(_watched(spark, sf_dir), "title", "year"))
+
+
+@query(
+    f"""
+    WITH {ORDERS_SQL} SELECT k, CASE WHEN status = 'F' THEN CAST(0.857 AS DOUBLE) END AS coverage, CASE WHEN status = 'F' THEN '' ELSE 'no label,other label' END AS reason FROM o
+    """
+)
+def near_quotes(spark, sf_dir):
+    """Quotes with one word that the page doesn't have: six tokens of seven in order are cover enough."""
+    lines = _lines(spark, sf_dir).select(F.col("cust").alias("_cust"), F.array_join("lines", "\n").alias("_page"))
+    pages = evidence.with_tokens(lines, "_page", "p").select("_cust", F.col("p_tokens").alias("page"))
+    label = F.coalesce(*[F.when(F.col("status") == k, v) for k, v in LABELS.items()])
+    quotes = editions(spark, sf_dir).select("k", "cust", F.lit("deadline").alias("field"), F.concat(F.lit("Our "), label, F.lit(": "), _said(F.col("day"))).alias("quote"), evidence.value_forms(F.lit("deadline"), F.col("day").cast("string")).alias("forms"))
+    rows = evidence.with_tokens(quotes, "quote", "q").join(pages, F.col("cust") == F.col("_cust"))
+    out = evidence.grounded(rows, "page", "q", "forms", "field")
+    return out.select("k", "coverage", F.array_join("reasons", ",").alias("reason"))
 
 
 @query("SELECT c_custkey, split_part(c_name, '#', 1) AS name, split_part(c_name, '#', 2) || c_mktsegment AS affiliation FROM customer WHERE c_acctbal > 0 UNION ALL SELECT c_custkey, c_name, '' FROM customer WHERE c_acctbal <= 0")

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 #: Times that a run tries to commit on another's version.
 ATTEMPTS = 8
@@ -151,7 +151,7 @@ def read_version(spark: SparkSession, path: str, number: int | None = None, wher
     live = manifest(spark, path, version).filter("state <> 'removed'")
     live = (live if where is None else live.filter(where)).select(F.col("run").alias("_run"), F.col("part").alias("_part"))
     try:
-        stored = spark.read.schema(StructType(version.schema.fields).add("run", StringType()).add("part", StringType())).parquet(f"{path}/data")
+        stored = spark.read.schema(StructType([*version.schema.fields, StructField("run", StringType()), StructField("part", StringType())])).parquet(f"{path}/data")
     except Exception as e:  # a table that never had a row has no data
         if "PATH_NOT_FOUND" not in str(e):
             raise
