@@ -7,7 +7,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from tidemark.operators import hysteresis, quarantine, tiers
+from tidemark.operators import hysteresis, policy, quarantine, tiers
 from tidemark.plans import policies
 from tidemark.streaming.quarantine import STORE, decided_stream
 
@@ -105,3 +105,51 @@ def test_brakes_on_the_events_as_a_stream(spark, tmp_path):
     got = sorted((r["event_id"], r["decision"]) for r in spark.read.parquet(out).filter("user_id <> -1").collect())
     assert got == sorted((r["event_id"], r["decision"]) for r in policies.change_brakes(spark, sf).collect())
     assert isinstance(policies.BRAKES, quarantine.Brakes)
+
+
+def test_the_most_specific_rule_decides(spark):
+    """Every cell of the matrix, and a rule more without code."""
+    import itertools
+
+    values = [("VERIFIED", "UNCONFIRMED", "UNREACHABLE", "REJECTED_SOURCE", "ODD", None), ("CONFIRMED", "UNSURE", "REFUTED", None), ("R0", "R1", "R2", "R3", "R4"), ("safe", "risk", "extension"), ("agrees", "differs"), ("grounded", None)]
+    cells = list(itertools.product(*values))
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cells)], "i int, " + ", ".join(f"{c} string" for c in policy.LOOKS))
+
+    def plainly(rules):
+        out = {}
+        for i, cell in enumerate(cells):
+            fits = [(r.count("*"), n, r[-1]) for n, r in enumerate(rules) if all(x in ("*", v) for x, v in zip(r, cell, strict=False))]
+            out[i] = min(fits)[1:] if fits else (None, None)
+        return out
+
+    more = (*policy.MATRIX, ("*", "*", "R4", "*", "*", "*", "DISCARD"), ("ODD", "*", "*", "*", "*", "*", "APPLY"), ("ODD", "*", "*", "*", "*", "*", "HOLD"))
+    for rules in (policy.MATRIX, more, policy.MATRIX[:3], ()):
+        out = policy.decide(df, policy.rules_table(spark, rules))
+        assert {r["i"]: (r["rule"], r["decision"]) for r in out.collect()} == plainly(rules)
+
+
+def test_directions_and_risks(spark):
+    at = lambda n: START + datetime.timedelta(days=n)
+    rows = [(at(0), at(0), None, 50), (at(0), at(-3), None, 50), (None, at(3), None, 50), (None, None, None, None), (at(0), at(30), True, 50), (at(0), at(31), True, 50), (at(0), at(5), False, 45), (at(0), None, True, 60), (at(0), at(30) + datetime.timedelta(minutes=1), True, 10)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a timestamp, b timestamp, token boolean, days int")
+    a, b = F.col("a"), F.col("b")
+    out = df.select("i", policy.direction(a, b, F.col("token")).alias("d"), policy.risk_tier(a, b, ~a.eqNullSafe(b), a.isNotNull() & b.isNull(), F.col("days")).alias("t")).orderBy("i").collect()
+    assert [r["d"] for r in out] == ["safe", "safe", "safe", "safe", "extension", "risk", "risk", "risk", "risk"]
+    assert [r["t"] for r in out] == ["R1", "R2", "R0", "R1", "R2", "R2", "R3", "R4", "R3"]
+
+
+def test_rates_of_no_and_of_much_history(spark):
+    """A venue without editions has its group's rate, one with very many its own."""
+    rng = random.Random(4)
+    rows = [(f"v{i}", "g", rng.random() < 0.3 + 0.4 * (i % 2)) for i in range(60) for _ in range(6)] + [("long", "g", i % 10 == 0) for i in range(20_000)] + [("none", "g", None), (None, "g", True)]
+    rows += [("never", "n", False)] * 5 + [("other", "n", False)] * 2 + [("one", "s", True), ("alone", None, True), ("alone", None, False)]
+    out = {r["venue"]: r for r in policy.shrunk_rates(spark.createDataFrame(rows, "venue string, grp string, has boolean"), "venue", "grp", "has").collect()}
+    means = [r["a"] / r["n"] for r in out.values() if r["grp"] == "g" and r["n"]]
+    assert abs(out["none"]["rate"] - sum(means) / len(means)) < 1e-9 and out["none"]["n"] == 0 and out["none"]["prior"] == "NEUTRAL"
+    assert abs(out["long"]["rate"] - 0.1) < 1e-3 and out["long"]["prior"] == "NEUTRAL"
+    for r in out.values():
+        if r["n"]:
+            low, high = sorted((r["a"] / r["n"], sum(means) / len(means) if r["grp"] == "g" else r["a"] / r["n"]))
+            assert low - 1e-9 <= r["rate"] <= high + 1e-9 or r["grp"] != "g"
+    assert out["never"]["rate"] == 0 and out["never"]["prior"] == "SUPPORTS" and out["other"]["prior"] == "NEUTRAL" and out["one"]["prior"] == "OPPOSES" and None not in out
+    assert out["alone"]["prior"] == "OPPOSES"

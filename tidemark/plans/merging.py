@@ -225,7 +225,7 @@ def enforce_dimension(spark, sf_dir):
     f"""
     WITH {LAYERS_SQL}, n AS (SELECT e.k, CASE e.place WHEN '1-URGENT' THEN 'CFP not announced yet' WHEN '2-HIGH' THEN 'bring a poster' WHEN '3-MEDIUM' THEN 'dates not yet available' END AS note, e.status <> 'P' AS had,
                                     coalesce(d.status, e.status) <> 'P' AS has FROM e LEFT JOIN (SELECT k, 'O' AS status FROM o WHERE month(day) <= 6) d ON e.k = d.k)
-    SELECT k, CASE WHEN NOT had AND has AND regexp_matches(coalesce(note, ''), 'not (yet |publicly )?(available|announced)|announced yet|not yet available', 'i') THEN NULL ELSE note END AS note FROM n
+    SELECT k, CASE WHEN NOT had AND has AND regexp_matches(coalesce(note, ''), '{quality.STALE}') THEN NULL ELSE note END AS note FROM n
     """
 )
 def stale_note(spark, sf_dir):

@@ -427,7 +427,7 @@ def several_editions(spark, sf_dir):
     s = sources(spark, sf_dir).withColumn("year", F.year("ship"))
     step = F.struct("pos", F.col("ship").cast("string").alias("deadline"), F.when(F.col("line") == "F", F.col("ship").cast("string")).alias("abstract"), F.when(F.col("flag") == "R", "camera-ready").otherwise("paper").alias("comment"))
     feed = s.groupBy("k", "year").agg(F.array_sort(F.collect_list(step)).alias("timeline")).groupBy("k").agg(F.collect_list(F.struct("year", "timeline")).alias("entries"))
-    rows = records.several_editions(feed, "k", "entries", 1996, 1999, r"(?i)abstract|registration|notification|camera[ -]?ready|workshop")
+    rows = records.several_editions(feed, "k", "entries", 1996, 1999, records.NO_CYCLE)
     return rows.select("k", "year", F.array_join("deadlines", ",").alias("deadlines"), F.array_join("abstracts", ",", "-").alias("abstracts"))
 
 

@@ -277,3 +277,17 @@ def pairing_verdicts(spark, sf_dir):
     pages = _dated_pages(spark, sf_dir)
     claims = pages.select("page_id", F.explode(F.array(F.lit("deadline"), F.lit("abstract_deadline"))).alias("field"), F.col("d0").alias("day"), F.lit(None).cast("string").alias("scope"))
     return pairing.proposal_pairing(claims, pairing.paired(pages)).drop("scope")
+
+
+@query(
+    r"""
+    WITH t AS (SELECT doc_id, trim(regexp_replace(lower(regexp_replace(coalesce(text, ''), '[^\x00-\x7F]+', ' ', 'g')), '\s+', ' ', 'g')) AS plain FROM documents),
+    f AS (SELECT doc_id, trim(regexp_replace(regexp_replace(plain, '(\d)(st|nd|rd|th)\b', '\1', 'g'), '[^a-z0-9]+', ' ', 'g')) AS flat FROM t)
+    SELECT doc_id, md5(flat) AS digest, len(regexp_extract_all(flat, '[a-z]+|\d+')) AS n_tokens FROM f
+    """
+)
+def plain_tokens(spark, sf_dir):
+    """Normal form, flat form and tokens of the part of a text that folding leaves alone."""
+    plain = F.regexp_replace(F.coalesce("text", F.lit("")), r"[^\x00-\x7F]+", " ")
+    rows = table(spark, sf_dir, "documents").select("doc_id", text.flat(text.normalise(plain)).alias("flat"))
+    return rows.select("doc_id", F.md5("flat").alias("digest"), F.size(text.tokens(F.col("flat"))).cast("bigint").alias("n_tokens"))

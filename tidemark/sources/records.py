@@ -10,6 +10,9 @@ from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions.text import escape_html, truncated_words
 
+#: Fixed value: comments of timeline entries that are no paper cycle.
+NO_CYCLE = r"(?i)abstract|registration|notification|camera[ -]?ready|workshop"
+
 
 def tagged_union(parts: list[tuple[str, int, DataFrame]]) -> DataFrame:
     """All rows of all sources, each with its source's name and priority; columns that one lacks are null."""
