@@ -16,22 +16,24 @@ OFFICIAL, SECONDARY, TRACKER = ("T0", "T1"), ("T2", "T3"), ("T4",)
 def connected(links: DataFrame) -> DataFrame:
     """Per node of ``links`` (u, v) the least node that it is linked to over any number of links: node, group.
 
-    Each round a node takes the least group among its neighbours, and then the group of its group, so that chains shorten by
-    half; lineage is cut by checkpoints. Null ends are nothing.
+    Larger neighbours are linked to the least of a neighbourhood, and then smaller ones, in turn, until all links lead
+    to a group's least node; the rounds grow with the logarithm of the longest chain. Lineage is cut by checkpoints. Null ends are
+    nothing, and so is a link of a node to itself.
     """
     scratch(links.sparkSession)
-    both = links.filter("u IS NOT NULL AND v IS NOT NULL AND u <> v").select("u", "v")
-    both = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().checkpoint()
-    now = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("group")).checkpoint()
+    edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"), (F.col("u").isNull() | F.col("v").isNull()).alias("_none"))
+    edges, before = edges.filter("NOT _none AND u > v").select("u", "v").distinct().checkpoint(), None
     while True:
-        near = both.join(now, both["v"] == now["node"]).groupBy("u").agg(F.min("group").alias("_near"))
-        step = now.join(near, F.col("node") == F.col("u")).select("node", F.least("group", "_near").alias("group"))
-        up = step.select(F.col("node").alias("_of"), F.col("group").alias("_up"))
-        after = step.join(up, F.col("group") == F.col("_of"), "left").select("node", F.least("group", F.coalesce("_up", "group")).alias("group")).checkpoint()
-        moved = after.join(now.select(F.col("node").alias("_n"), F.col("group").alias("_g")), F.col("node") == F.col("_n")).filter("group <> _g")
-        now = after
-        if moved.isEmpty():
-            return now
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy(F.col("u").alias("_u")).agg(F.least(F.min("v"), F.first("u")).alias("_low"))
+        large = both.join(low, F.col("u") == F.col("_u")).filter("v > u AND v > _low").select(F.col("v").alias("u"), F.col("_low").alias("v")).distinct()
+        least = large.groupBy(F.col("u").alias("_u")).agg(F.min("v").alias("_low"))
+        ends = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("_low").alias("v")), F.struct(F.col("u").alias("u"), F.col("_low").alias("v"))))
+        edges = large.join(least, F.col("u") == F.col("_u")).select(ends.alias("e")).select("e.u", "e.v").filter("u > v").distinct().checkpoint()
+        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == before:
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("group")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("group")).distinct())
+        before = now
 
 
 def copied_from(statements: DataFrame, source: str, record: str, text: str, at: str, share: float = MIRRORED, least: int = LEAST_STATEMENTS) -> DataFrame:
