@@ -19,12 +19,13 @@ def newest(batch: DataFrame, keys: list[str], order: str) -> DataFrame:
     return batch.withColumn("_n", rank).filter("_n = 1").drop("_n")
 
 
-def merge_batch(path: str, overrides: Callable[[], DataFrame], keys: list[str], fields: list[str], order: str, partition: str) -> Callable[[DataFrame, int], None]:
+def merge_batch(path: str, overrides: Callable[[], DataFrame], keys: list[str], fields: list[str], order: str, partition: str, name: str = "batch") -> Callable[[DataFrame, int], None]:
     """What to do with each batch: merge it with what is stored in its partitions, and write those that change.
 
     ``partition`` is one of the keys. Only the partitions of the batch and of the overrides are read and
     compared. A batch is a run of its own name, so one that is seen again finds its version and changes nothing:
-    a query that restarts after a failure ends where it would have ended without one.
+    a query that restarts after a failure ends where it would have ended without one. A query that begins anew, with
+    a new checkpoint, counts its batches from 0 again and needs another ``name``.
     """
 
     def run(batch: DataFrame, number: int) -> None:
@@ -37,7 +38,7 @@ def merge_batch(path: str, overrides: Callable[[], DataFrame], keys: list[str],
         else:  # the first batch
             stored = found.limit(0)
         merged = layered_merge(stored, found, over, keys, fields).select(*columns)
-        write_version(merged, path, [partition], run=f"batch-{number}", touched=touched if version_at(spark, path) else None)
+        write_version(merged, path, [partition], run=f"{name}-{number}", touched=touched if version_at(spark, path) else None)
 
     return run
 
