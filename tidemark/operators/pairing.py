@@ -83,13 +83,13 @@ def tokens_of(c: Column) -> Column:
 
 
 def units(pages: DataFrame, key: str, html: str, year: str | None = None) -> DataFrame:
-    """A row per unit: its place, ``tokens`` (structs of t, cell and struck) and ``title``, the last heading before it or around it."""
+    """A row per unit: its place, ``tokens`` (structs of t, cell and struck), ``first``, its first piece, and ``title``, the last heading before it or around it."""
     said = pieces(pages, key, html, year).filter("is_text").withColumn("words", tokens_of(F.col("piece"))).filter(F.size("words") > 0)
     # Headings by section, carried to all that follows.
     of_section = Window.partitionBy("_page", "section")
     own = F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.col("heading"), F.struct("i", "words"))).over(of_section)), lambda x: x["words"])), " ")
     said = said.withColumn("title", own)
-    rows = said.groupBy(*UNIT).agg(F.first("kind").alias("kind"), F.first("_year").alias("_year"), F.min(F.struct("i", "title"))["title"].alias("title"), F.array_sort(F.collect_list(F.struct("i", "cell", "struck", "words"))).alias("said"))
+    rows = said.groupBy(*UNIT).agg(F.first("kind").alias("kind"), F.first("_year").alias("_year"), F.min(F.struct("i", "title"))["title"].alias("title"), F.min("i").alias("first"), F.array_sort(F.collect_list(F.struct("i", "cell", "struck", "words"))).alias("said"))
     flat = F.flatten(F.transform("said", lambda p: F.transform(p["words"], lambda t: F.struct(t.alias("t"), p["cell"].alias("cell"), p["struck"].alias("struck")))))
     return rows.withColumn("tokens", flat).drop("said")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, text
-from tidemark.operators import clusters, evidence, matching, pairing, quality
+from tidemark.operators import clusters, enumerations, evidence, matching, pairing, quality
 from tidemark.plans.base import ORDERS_SQL, SOURCES_SQL, TODAY, TODAY_SQL, editions, query, sources, table
 
 #: Zones by the order's priority and status, each with its offset in SQL; names come with what DuckDB's own zone table says.
@@ -279,6 +279,38 @@ def pairing_verdicts(spark, sf_dir):
     return pairing.proposal_pairing(claims, pairing.paired(pages)).drop("scope")
 
 
+#: Lists of milestones after a page's own text, by the page's number, and why each doesn't show that there is no abstract deadline.
+LISTED_SQL = """d AS (SELECT page_id, page_id % 7 AS layout, DATE '2026-01-01' + CAST(page_id % 300 AS INTEGER) AS d0 FROM pages)"""
+NO_ABSTRACT = ("", "few milestones", "listed", "near a date", "no anchor", "out of range", "no list")
+
+
+def _listed_pages(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", "html", F.date_add(F.lit("2026-01-01").cast("date"), (F.col("page_id") % 300).cast("int")).alias("d0"))
+    paper, told, ready, abstract = ((f"<li>{x}: ", n, "</li>") for x, n in (("Paper submission", 0), ("Notification", 40), ("Camera ready", 70), ("Abstract", -7)))
+    layouts = [
+        ("<ul>", *paper, *told, *ready, "</ul>"), ("<ul>", *paper, *told, "<li>Opening: ", 70, "</li></ul>"), ("<ol>", *abstract, *paper, *told, *ready, "</ol>"), ("<ul>", *paper, *told, *ready, "</ul><p>An abstract is needed too.</p>"),
+        ("<ul><li>Papers: ", 0, "</li>", *told, *ready, "</ul>"), ("<ul>", *paper, *told, "<li>Poster: ", 400, "</li></ul>"), ("<ul>", *paper, *told, "</ul>"),
+    ]
+    day = lambda n: F.date_format(F.date_add("d0", n), "MMMM d, yyyy")
+    said = F.lit("")
+    for i, parts in enumerate(layouts):
+        said = F.when(F.col("page_id") % len(layouts) == i, F.concat(*[day(x) if isinstance(x, int) else F.lit(x) for x in parts])).otherwise(said)
+    return p.select("page_id", "d0", F.replace("html", F.lit("</article>"), F.concat(said, F.lit("</article>"))).alias("html"))
+
+
+@query(
+    f"""
+    WITH {LISTED_SQL}, r AS (SELECT page_id, d0, [{', '.join(map(repr, NO_ABSTRACT))}][1 + CAST(layout AS INTEGER)] AS reason FROM d)
+    SELECT page_id, d0 AS deadline, reason = '' AS supported, reason FROM r
+    """
+)
+def structural_absence(spark, sf_dir):
+    """Whether a page's list of milestones shows that it has no abstract deadline."""
+    pages = _listed_pages(spark, sf_dir)
+    claims = pages.select("page_id", F.lit("abstract_deadline").alias("field"), F.col("d0").alias("deadline"), F.date_add("d0", 120).alias("ends"))
+    return enumerations.structural_absence(claims, pages).select("page_id", "deadline", "supported", "reason")
+
+
 @query(
     r"""
     WITH t AS (SELECT doc_id, trim(regexp_replace(lower(regexp_replace(coalesce(text, ''), '[^\x00-\x7F]+', ' ', 'g')), '\s+', ' ', 'g')) AS plain FROM documents),
