@@ -4,10 +4,12 @@ Pivots are drawn from the vectors, as many as grow with the square root of their
 represented by its nearest pivots in order, and posted in the inverted files of the first few of
 them. A query is sent to the files of its own nearest pivots only, and meets them there by an
 equality shuffle on the file; a long file is dealt as several chunks. In a file the entries are
-ranked by the footrule distance between their prefixes and the query's, and the best share is ranked
-again by the exact distance. With n vectors there are about sqrt(n) pivots and a query reads about
+ranked by the footrule distance between their prefixes and the query's. The best share is ranked again,
+first in the file, by the distance of vectors rounded to a byte per component: how much rounding can change it
+is known, so only entries that can't be among the nearest are left out. The few of each query that remain meet
+their own vectors and are ranked by the exact distance. With n vectors there are about sqrt(n) pivots and a query reads about
 the square root of them, so the share of the vectors that it meets falls as the table grows. Equal
-vectors are one entry that carries its smallest ids, so that many copies of a vector neither
+vectors are one entry with its smallest ids, so that many copies of a vector neither
 lengthen a file nor push others out.
 """
 
@@ -29,8 +31,10 @@ PREFIX, POSTED, AGAIN = 64, 8, 0.3
 #: Files that a query reads per square root of the pivots, besides a few more than it asks for.
 READ = 2.0
 #: Pivots at least, per square root of the vectors, and at most; entries in a chunk of a file.
-LEAST_PIVOTS, PIVOTS, MOST_PIVOTS, CHUNK = 96, 4.0, 32768, 1024
+LEAST_PIVOTS, PIVOTS, MOST_PIVOTS, CHUNK = 96, 4.0, 32768, 8192
 SEED = 17
+#: A pivot's number in a code; MOST_PIVOTS of them fit.
+PLACES = np.uint16
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -103,70 +107,109 @@ def nearest(
     # Queries with equal vectors are looked up once.
     asked = rows.filter(F.pmod("_id", F.lit(every)) == 0).select(F.col("_id").alias("query_id"), "_vec").distinct()
     asked = cut(asked.join(entries.select("_vec", F.col("entry").alias("query")), "_vec").select("query_id", "query", "_vec"))
-    listed = _search(_placed(entries.select("entry", "_vec", "ids"), pivots, min(prefix, m)), asked.select("query", "_vec").distinct(), pivots, min(prefix, m), k, again)
+    heads = asked.select("query", "_vec").distinct()
+    near = _search(entries.select("entry", "_vec"), heads, pivots, min(prefix, m), k, again)
+    met = near.join(entries.select("entry", "_vec", "ids"), "entry").join(heads.select("query", F.col("_vec").alias("_head")), "query")
+    listed = _measured(met.select("query", "entry", "ids", "_vec", "_head")).withColumn("first", F.element_at("ids", 1))
     nth = F.row_number().over(Window.partitionBy("query").orderBy("score", "first", "entry"))
-    listed = listed.distinct().withColumn("_n", nth).filter(F.col("_n") <= k + 1).select("query", "score", F.explode("ids").alias("vec_id"))
+    listed = listed.withColumn("_n", nth).filter(F.col("_n") <= k + 1).select("query", "score", F.explode("ids").alias("vec_id"))
     pairs = asked.select("query_id", "query").join(listed, "query").filter("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return pairs.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _placed(entries: DataFrame, pivots: np.ndarray, length: int) -> DataFrame:
-    """``entries`` (its second column holds the vectors) with ``prefix``, the places of its nearest pivots among ``pivots``."""
+def coded(v: np.ndarray, pivots: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``length`` nearest pivots of each row, and its code as bytes: these in two bytes each, its components in one each, their unit, and how far rounding moved it."""
+    held = prefixes(v, pivots, length)
+    unit = np.abs(v).max(1) / 127
+    unit[unit == 0] = 1  # numbers too small to divide
+    whole = np.clip(np.rint(v / unit[:, None]), -127, 127).astype(np.int8)
+    with np.errstate(over="ignore"):
+        moved = np.sqrt(((v - whole * unit[:, None]) ** 2).sum(1)) * (1 + 1e-9)
+    return held, np.concatenate([held.astype(PLACES).view(np.uint8).reshape(len(v), -1), whole.view(np.uint8), np.stack([unit, moved], 1).view(np.uint8).reshape(len(v), -1)], 1)
+
+
+def decoded(code: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Prefixes, rounded vectors and how far each was moved, from codes."""
+    held = np.ascontiguousarray(code[:, : 2 * length]).view(PLACES).astype(np.int64)
+    unit, moved = np.ascontiguousarray(code[:, -16:]).view(np.float64).T
+    return held, np.ascontiguousarray(code[:, 2 * length : -16]).view(np.int8) * unit[:, None], moved
+
+
+def _matrix(a: pa.Array, n: int) -> np.ndarray:
+    return a.flatten().to_numpy().reshape(n, -1)
+
+
+def _coded(vectors: DataFrame, pivots: np.ndarray, length: int, files: int) -> DataFrame:
+    """id, code and the ``files`` nearest pivots of each of ``vectors`` (id, vector)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                v = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
-                held = prefixes(v, pivots, length).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.FixedSizeListArray.from_arrays(pa.array(held.ravel()), length).cast(pa.list_(pa.int32()))], [*part.schema.names, "prefix"])
+                v = _matrix(part.column(1), part.num_rows)
+                held, code = coded(v, pivots, length)
+                read = held[:, :files] if files <= length else prefixes(v, pivots, files)
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(read.astype(np.int32).ravel()), files).cast(pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([row.tobytes() for row in code], pa.binary()), lists], ["id", "code", "files"])
+
+    return vectors.mapInArrow(trimmed(run), "id bigint, code binary, files array<int>")
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in entries.schema.fields)
-    return entries.mapInArrow(trimmed(run), f"{fields}, prefix array<int>")
 
+def _measured(met: DataFrame) -> DataFrame:
+    """query, entry, ids and score, the exact distance, of rows that hold both vectors besides."""
 
-def _search(placed: DataFrame, heads: DataFrame, pivots: np.ndarray, length: int, k: int, again: float) -> DataFrame:
-    """Per query the best entries of each file that it reads: query, entry, first (its smallest id), ids, score."""
-    placed = cut(placed)
-    spark, read = placed.sparkSession, files_read(len(pivots), k)
-    posted = placed.withColumn("file", F.explode(F.slice("prefix", 1, min(POSTED, length))))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                with np.errstate(over="ignore"):
+                    d = np.sqrt(((_matrix(batch.column(3), batch.num_rows) - _matrix(batch.column(4), batch.num_rows)) ** 2).sum(1))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(d)], ["query", "entry", "ids", "score"])
+
+    return met.mapInArrow(trimmed(run), "query bigint, entry bigint, ids array<bigint>, score double")
+
+
+def _search(entries: DataFrame, heads: DataFrame, pivots: np.ndarray, length: int, k: int, again: float) -> DataFrame:
+    """query and entry, of all entries met by a query and ranked again but those that are farther than its ``k`` + 1 nearest for sure."""
+    spark, read = entries.sparkSession, files_read(len(pivots), k)
+    placed = cut(_coded(entries, pivots, length, min(POSTED, length)))
+    posted = placed.withColumn("file", F.explode("files"))
     # One row per pivot: how many chunks its file is dealt in.
     lengths = posted.groupBy("file").agg(F.count(F.lit(1)).alias("n")).select("file", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")).collect()
     chunks = F.broadcast(spark.createDataFrame(lengths, "file int, chunks int"))
-    none = F.lit(None)
-    kept = posted.join(chunks, "file").select("file", F.pmod(F.xxhash64("entry"), "chunks").cast("int").alias("chunk"), F.lit(0).alias("kind"), "entry", "_vec", "ids", "prefix")
-    queries = _placed(heads.select("query", "_vec"), pivots, max(length, read)).select(
-        F.explode(F.slice("prefix", 1, read)).alias("file"), F.lit(1).alias("kind"), F.col("query").alias("entry"), "_vec", none.cast("array<bigint>").alias("ids"), F.slice("prefix", 1, length).alias("prefix")
-    )
-    queries = queries.join(chunks, "file").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(*kept.columns)
+    kept = posted.join(chunks, "file").select("file", F.pmod(F.xxhash64("id"), "chunks").cast("int").alias("chunk"), F.lit(0).alias("kind"), "id", "code")
+    queries = _coded(heads, pivots, length, read).withColumn("file", F.explode("files")).join(chunks, "file")
+    queries = queries.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("file", "chunk", F.lit(1).alias("kind"), "id", "code")
     dealt = kept.unionByName(queries).repartition("file", "chunk").sortWithinPartitions("file", "chunk", "kind")
 
-    def look(files: Files, own: np.ndarray, v: np.ndarray, ids: pa.Array, query: np.ndarray, wanted: np.ndarray, prefix: np.ndarray) -> pa.RecordBatch:
+    def look(files: Files, own: np.ndarray, v: np.ndarray, moved: np.ndarray, place: dict[int, int], query: np.ndarray, code: np.ndarray) -> pa.RecordBatch:
         most = min(len(v), max(k + 1, int(np.ceil(again * len(v)))))
-        first, place = np.array([x[0].as_py() for x in ids], np.int64), {e: i for i, e in enumerate(own.tolist())}
-        who, at, score = [], [], []
-        for q, head in enumerate(wanted):
-            near = np.argpartition(-files.saved(prefix[q]), most - 1)[:most]
-            if (mine := place.get(int(query[q]))) is not None:  # its copies, whatever ties with them
-                near = np.union1d(near, [mine])
-            d = np.sqrt(((v[near] - head) ** 2).sum(1))
-            best = np.lexsort((first[near], d))[: k + 1]
-            who.append(np.full(len(best), q))
-            at.append(near[best])
-            score.append(d[best])
-        found = np.concatenate(at)
-        return pa.RecordBatch.from_arrays([pa.array(query[np.concatenate(who)]), pa.array(own[found]), pa.array(first[found]), ids.take(pa.array(found)), pa.array(np.concatenate(score))], ["query", "entry", "first", "ids", "score"])
-
-    def matrix(a: pa.Array, n: int) -> np.ndarray:
-        return a.flatten().to_numpy().reshape(n, -1)
+        who, at, low, high = [], [], [], []
+        with np.errstate(over="ignore", invalid="ignore"):
+            for q, (prefix, head, off) in enumerate(zip(*decoded(code, length), strict=True)):
+                near = np.argpartition(-files.saved(prefix), most - 1)[:most]
+                if (mine := place.get(int(query[q]))) is not None:  # its copies, whatever ties with them
+                    near = np.union1d(near, [mine])
+                d = np.sqrt(((v[near] - head) ** 2).sum(1))
+                slack = moved[near] + off + 1e-9 * d
+                least, top = d - slack, d + slack
+                least[~(least > 0)], top[np.isnan(top)] = 0, np.inf
+                fine = least <= (np.partition(top, k)[k] if len(top) > k else np.inf)
+                who.append(np.full(int(fine.sum()), query[q]))
+                at.append(near[fine])
+                low.append(least[fine])
+                high.append(top[fine])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(who)), pa.array(own[np.concatenate(at)]), pa.array(np.concatenate(low)), pa.array(np.concatenate(high))], ["query", "entry", "low", "high"])
+
+    def codes(part: pa.RecordBatch) -> np.ndarray:
+        return np.frombuffer(b"".join(part.column(4).to_pylist()), np.uint8).reshape(part.num_rows, -1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A stream sorted by file, chunk and kind: a chunk's entries are held while its queries pass."""
         at, held, ready = None, [], None
         for batch in batches:
             file, chunk, kind = (batch.column(i).to_numpy() for i in range(3))
-            edges = np.flatnonzero(np.diff(file) | np.diff(chunk) | np.diff(kind)) + 1
+            edges = np.flatnonzero((np.diff(file) != 0) | (np.diff(chunk) != 0) | (np.diff(kind) != 0)) + 1
             for low, high in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows], strict=True):
                 if low == high:
                     continue
@@ -179,11 +222,16 @@ def _search(placed: DataFrame, heads: DataFrame, pivots: np.ndarray, length: int
                 if not held:
                     continue
                 if ready is None:
-                    whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                    ready = (Files(matrix(whole.column(6), whole.num_rows)), whole.column(3).to_numpy(), matrix(whole.column(4), whole.num_rows), whole.column(5))
-                yield look(*ready, part.column(3).to_numpy(), matrix(part.column(4), part.num_rows), matrix(part.column(6), part.num_rows))
-
-    return dealt.mapInArrow(trimmed(run), "query bigint, entry bigint, first bigint, ids array<bigint>, score double")
+                    own = np.concatenate([x.column(3).to_numpy() for x in held])
+                    prefix, v, moved = decoded(np.concatenate([codes(x) for x in held]), length)
+                    ready = (Files(prefix), own, v, moved, {e: i for i, e in enumerate(own.tolist())})
+                yield look(*ready, part.column(3).to_numpy(), codes(part))
+
+    found = dealt.mapInArrow(trimmed(run), "query bigint, entry bigint, low double, high double").repartition("query")
+    found = found.groupBy("query", "entry").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    nth = F.row_number().over(Window.partitionBy("query").orderBy("high", "low", "entry"))
+    last = F.max(F.when(F.col("_n") <= k + 1, F.col("high"))).over(Window.partitionBy("query"))
+    return found.withColumn("_n", nth).withColumn("_last", last).filter(F.col("low") <= F.col("_last")).select("query", "entry")
 
 
 def op4_neighbours(spark, sf_dir: str) -> DataFrame:
