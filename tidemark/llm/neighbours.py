@@ -38,8 +38,9 @@ PLACES = np.uint16
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """_id and _vec (array<double>) of the vectors that take part."""
-    v = F.col(f"`{vec_col}`").cast("array<double>")
+    """_id and _vec (array<float> where it is one, else array<double>) of the vectors that take part."""
+    v = F.col(f"`{vec_col}`")
+    v = v if dict(vectors.dtypes)[vec_col] == "array<float>" else v.cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     return vectors.select(F.col(f"`{id_col}`").try_cast("bigint").alias("_id"), v.alias("_vec")).filter("_id IS NOT NULL AND _vec IS NOT NULL").filter(fine)
 
@@ -94,20 +95,24 @@ def nearest(
     if not sizes:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     rows = rows.filter(F.size("_vec") == sizes[0]["d"])
+    # Vectors are told apart by 128 bits of hash, so that only one of equal ones is moved; minus zero is zero.
+    plain = F.transform("_vec", lambda x: F.when(x == 0, F.lit(0)).otherwise(x).cast("double"))
+    rows = rows.withColumns({"_a": F.xxhash64(plain), "_b": F.xxhash64(F.lit(1), plain)})
     # Per distinct vector its smallest ids, one more than are asked for; salted, as a vector may have very many copies.
-    rank = F.row_number().over(Window.partitionBy("_vec", "_salt").orderBy("_id"))
-    few = rows.distinct().withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(64))).withColumn("_n", rank).filter(F.col("_n") <= k + 1)
-    entries = cut(few.groupBy("_vec").agg(F.slice(F.array_sort(F.collect_list("_id")), 1, k + 1).alias("ids")).withColumn("entry", F.element_at("ids", 1)))
+    rank = F.row_number().over(Window.partitionBy("_a", "_b", "_salt").orderBy("_id"))
+    few = rows.select("_id", "_a", "_b").distinct().withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(64))).withColumn("_n", rank).filter(F.col("_n") <= k + 1)
+    few = few.groupBy("_a", "_b").agg(F.slice(F.array_sort(F.collect_list("_id")), 1, k + 1).alias("ids"))
     # One id may stand for several vectors, so entries are numbered by a hash of the vector besides.
-    entries = entries.withColumn("entry", F.xxhash64("entry", "_vec"))
+    entries = rows.groupBy("_a", "_b").agg(F.first("_vec").alias("_vec")).join(few, ["_a", "_b"])
+    entries = cut(entries.withColumn("entry", F.xxhash64(F.element_at("ids", 1), "_a", "_b")))
     n = entries.count()
     m = int(min(n, max(LEAST_PIVOTS, min(MOST_PIVOTS, PIVOTS * n**0.5))))
     drawn = entries.orderBy(F.xxhash64(F.lit(seed), "entry"), "entry").limit(m).select("_vec").collect()
     pivots = np.array([r["_vec"] for r in drawn], np.float64)
     # Queries with equal vectors are looked up once.
-    asked = rows.filter(F.pmod("_id", F.lit(every)) == 0).select(F.col("_id").alias("query_id"), "_vec").distinct()
-    asked = cut(asked.join(entries.select("_vec", F.col("entry").alias("query")), "_vec").select("query_id", "query", "_vec"))
-    heads = asked.select("query", "_vec").distinct()
+    asked = rows.filter(F.pmod("_id", F.lit(every)) == 0).select(F.col("_id").alias("query_id"), "_a", "_b").distinct()
+    asked = cut(asked.join(entries.select("_a", "_b", F.col("entry").alias("query"), "_vec"), ["_a", "_b"]).select("query_id", "query", "_vec"))
+    heads = asked.groupBy("query").agg(F.first("_vec").alias("_vec"))
     near = _search(entries.select("entry", "_vec"), heads, pivots, min(prefix, m), k, again)
     met = near.join(entries.select("entry", "_vec", "ids"), "entry").join(heads.select("query", F.col("_vec").alias("_head")), "query")
     listed = _measured(met.select("query", "entry", "ids", "_vec", "_head")).withColumn("first", F.element_at("ids", 1))
@@ -123,7 +128,7 @@ def coded(v: np.ndarray, pivots: np.ndarray, length: int) -> tuple[np.ndarray, n
     held = prefixes(v, pivots, length)
     unit = np.abs(v).max(1) / 127
     unit[unit == 0] = 1  # numbers too small to divide
-    whole = np.clip(np.rint(v / unit[:, None]), -127, 127).astype(np.int8)
+    whole = np.rint(v / unit[:, None]).astype(np.int8)
     with np.errstate(over="ignore"):
         moved = np.sqrt(((v - whole * unit[:, None]) ** 2).sum(1)) * (1 + 1e-9)
     return held, np.concatenate([held.astype(PLACES).view(np.uint8).reshape(len(v), -1), whole.view(np.uint8), np.stack([unit, moved], 1).view(np.uint8).reshape(len(v), -1)], 1)
@@ -137,7 +142,7 @@ def decoded(code: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def _matrix(a: pa.Array, n: int) -> np.ndarray:
-    return a.flatten().to_numpy().reshape(n, -1)
+    return a.flatten().to_numpy().reshape(n, -1).astype(np.float64)
 
 
 def _coded(vectors: DataFrame, pivots: np.ndarray, length: int, files: int) -> DataFrame:
@@ -177,10 +182,12 @@ def _search(entries: DataFrame, heads: DataFrame, pivots: np.ndarray, length: in
     # One row per pivot: how many chunks its file is dealt in.
     lengths = posted.groupBy("file").agg(F.count(F.lit(1)).alias("n")).select("file", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")).collect()
     chunks = F.broadcast(spark.createDataFrame(lengths, "file int, chunks int"))
-    kept = posted.join(chunks, "file").select("file", F.pmod(F.xxhash64("id"), "chunks").cast("int").alias("chunk"), F.lit(0).alias("kind"), "id", "code")
+    # File, chunk, and entry or query in one number.
+    slot = lambda chunk, kind: (F.shiftleft(F.shiftleft(F.col("file").cast("bigint"), 32) + chunk, 1) + kind).alias("slot")
+    kept = posted.join(chunks, "file").select(slot(F.pmod(F.xxhash64("id"), "chunks"), 0), "id", "code")
     queries = _coded(heads, pivots, length, read).withColumn("file", F.explode("files")).join(chunks, "file")
-    queries = queries.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("file", "chunk", F.lit(1).alias("kind"), "id", "code")
-    dealt = kept.unionByName(queries).repartition("file", "chunk").sortWithinPartitions("file", "chunk", "kind")
+    queries = queries.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(slot(F.col("chunk"), 1), "id", "code")
+    dealt = kept.unionByName(queries).repartition(F.shiftright("slot", 1)).sortWithinPartitions("slot")
 
     def look(files: Files, own: np.ndarray, v: np.ndarray, moved: np.ndarray, place: dict[int, int], query: np.ndarray, code: np.ndarray) -> pa.RecordBatch:
         most = min(len(v), max(k + 1, int(np.ceil(again * len(v)))))
@@ -202,30 +209,30 @@ def _search(entries: DataFrame, heads: DataFrame, pivots: np.ndarray, length: in
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(who)), pa.array(own[np.concatenate(at)]), pa.array(np.concatenate(low)), pa.array(np.concatenate(high))], ["query", "entry", "low", "high"])
 
     def codes(part: pa.RecordBatch) -> np.ndarray:
-        return np.frombuffer(b"".join(part.column(4).to_pylist()), np.uint8).reshape(part.num_rows, -1)
+        return np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(part.num_rows, -1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A stream sorted by file, chunk and kind: a chunk's entries are held while its queries pass."""
+        """A stream sorted by slot: a chunk's entries are held while its queries pass."""
         at, held, ready = None, [], None
         for batch in batches:
-            file, chunk, kind = (batch.column(i).to_numpy() for i in range(3))
-            edges = np.flatnonzero((np.diff(file) != 0) | (np.diff(chunk) != 0) | (np.diff(kind) != 0)) + 1
+            slots = batch.column(0).to_numpy()
+            edges = np.flatnonzero(np.diff(slots)) + 1
             for low, high in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows], strict=True):
                 if low == high:
                     continue
-                part, key = batch.slice(low, high - low), (int(file[low]), int(chunk[low]))
+                part, (key, kind) = batch.slice(low, high - low), divmod(int(slots[low]), 2)
                 if key != at:
                     at, held, ready = key, [], None
-                if not kind[low]:
+                if not kind:
                     held.append(part)
                     continue
                 if not held:
                     continue
                 if ready is None:
-                    own = np.concatenate([x.column(3).to_numpy() for x in held])
+                    own = np.concatenate([x.column(1).to_numpy() for x in held])
                     prefix, v, moved = decoded(np.concatenate([codes(x) for x in held]), length)
                     ready = (Files(prefix), own, v, moved, {e: i for i, e in enumerate(own.tolist())})
-                yield look(*ready, part.column(3).to_numpy(), codes(part))
+                yield look(*ready, part.column(1).to_numpy(), codes(part))
 
     found = dealt.mapInArrow(trimmed(run), "query bigint, entry bigint, low double, high double").repartition("query")
     found = found.groupBy("query", "entry").agg(F.min("low").alias("low"), F.max("high").alias("high"))
