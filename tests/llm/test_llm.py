@@ -660,6 +660,21 @@ def test_one_line_in_very_many_documents(spark):
     assert out.filter("licenses = 'apache-2.0' AND doc_id % 3 = 0 AND n_confirmed >= 1").count() == 1000 and out.filter("licenses = ''").count() == 2000
 
 
+def test_several_licenses_and_denials(spark):
+    """Names one after another, denials, names without a version, and the bodies of notices."""
+    said = [
+        ("Dual licensed under MIT and GPL-2.0-only.", "gpl-2.0,mit"), ("SPDX-License-Identifier: Apache-2.0 OR MIT", "apache-2.0,mit"), ("Licensed under either the Apache License, Version 2.0 or the MIT License.", "apache-2.0,mit"),
+        ("License: MPL-2.0, GPL-3.0-only and LGPL-2.1", "gpl-3.0,lgpl,mpl-2.0"), ("SPDX-License-Identifier: (MIT OR BSD-3-Clause)", "bsd,mit"),
+        ("Not licensed under the MIT License.", ""), ("This code is not released under the Apache License, Version 2.0. It is licensed under the MIT License.", "mit"), ("It is no longer available under GPLv3.", ""),
+        ("License: GPL", "gpl"), ("Released under the GNU General Public License.", "gpl"), ("The GPL fee", ""), ("License: BSD-4-Clause", "bsd"), ("This work is licensed under the CC BY-NC-SA 4.0.", "cc-by-nc-sa"),
+        ("1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.", "bsd"),
+        ("Neither the name of the copyright holder nor the names of its\ncontributors may be used to endorse or promote products derived from\nthis software without specific prior written permission.", "bsd"),
+        ("Bread and butter, licensed or not, under the table and over it", ""), ("not licensed " + "a.b" * 30_000, ""), ("licensed under " + "x and " * 20_000, ""),
+    ]
+    out = {r["doc_id"]: r["licenses"] for r in licenses.license_scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(said)], "doc_id int, text string")).collect()}
+    assert [(t[:80], out[i]) for i, (t, _) in enumerate(said)] == [(t[:80], k) for t, k in said]
+
+
 def test_license_scores_are_the_models(spark):
     names, weights, intercept = licenses.model()
     texts = ["Licensed under the Apache License, Version 2.0.", "All rights reserved.", "a license of the public"]

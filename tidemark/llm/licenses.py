@@ -1,7 +1,8 @@
 r"""Licence scans: a trained paragraph classifier over sparse word n-grams, confirmed by templates.
 
 A paragraph is what stands between blank lines, its lines joined by a space; each of its lines is a
-candidate besides. Its features are its distinct word 1- and 2-grams. A multinomial logistic
+candidate besides. Where several licences are named one after another, as in "under A or B", each name with what leads to it is
+one too; what a sentence denies is taken out before. A candidate's features are its distinct word 1- and 2-grams. A multinomial logistic
 regression, trained here on the driver from the notices below (a fixed, small set), gives each
 licence family and the class ``unknown`` a weight per n-gram; a temperature calibrates the
 probabilities, fitted on notices in frames and on other sentences that the fit has not seen. A
@@ -39,16 +40,22 @@ FAMILIES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
         ("GNU General Public License, version 3", "GPLv3", "GPL-3.0-only", "GPL-3.0-or-later", "GNU GPL version 3", "GNU General Public License v3.0"),
         ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version",),
     ),
+    "gpl": (("GNU General Public License", "GNU GPL"), ()),
     "lgpl": (("GNU Lesser General Public License", "LGPL", "LGPL-2.1", "LGPL-3.0", "GNU Lesser General Public License, version 2.1"), ()),
     "agpl-3.0": (("GNU Affero General Public License", "AGPL-3.0", "AGPLv3", "GNU Affero General Public License, version 3"), ()),
     "bsd": (
-        ("BSD 3-Clause License", "BSD 2-Clause License", "BSD license", "BSD-3-Clause", "BSD-2-Clause"),
-        ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",),
+        ("BSD 3-Clause License", "BSD 2-Clause License", "BSD license", "BSD-3-Clause", "BSD-2-Clause", "BSD 4-Clause License", "BSD-4-Clause"),
+        (
+            "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+            "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+            "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software",
+        ),
     ),
     "mpl-2.0": (("Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "MPL-2.0", "MPL 2.0"), ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",)),
     "cc-by": (("CC BY 4.0", "CC-BY-4.0", "Creative Commons Attribution 4.0", "Creative Commons Attribution 4.0 International License"), ()),
     "cc-by-sa": (("CC BY-SA 4.0", "CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"), ()),
     "cc-by-nc": (("CC BY-NC 4.0", "CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"), ()),
+    "cc-by-nc-sa": (("CC BY-NC-SA 4.0", "CC-BY-NC-SA-4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"), ()),
     "cc0": (("CC0 1.0", "CC0", "CC0 1.0 Universal", "Creative Commons Zero"), ("dedicated to the public domain under CC0",)),
     "isc": (("ISC License",), ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",)),
     "epl-2.0": (("Eclipse Public License 2.0", "Eclipse Public License, version 2.0", "EPL-2.0"), ()),
@@ -66,12 +73,20 @@ OTHER = (
     "the terms of the treaty", "This work is hard.", "released under pressure", "under the bridge", "The GNU is a large antelope.", "a source of income", "foundation of the house",
 )
 #: Identifiers that are words of their own besides; a frame has to lead to them.
-SHORT = {"MIT": "mit", "ISC": "isc"}
+SHORT = {"MIT": "mit", "ISC": "isc", "GPL": "gpl"}
+#: A family without a version, and those with one.
+VERSIONS = {"gpl": ("gpl-2.0", "gpl-3.0")}
 #: Sentences about a licence that give none.
 TALK = ("The {} fee is due.", "They talked about the {} at length.", "A course on the {} begins today.", "He compared the {} with the others.", "Is the {} a good one?", "The history of the {} is long.")
 #: Words that tell little wherever they stand.
 FREQUENT = ("are", "as", "be", "do", "from", "in", "is", "it", "may", "no", "not", "that", "to", "under", "v", "above", "all", "can", "either", "file", "form", "into", "part", "person", "shall", "what", "written", "you", "and", "any", "available", "by", "charge", "copies", "except", "following", "free", "general", "hereby", "included", "notice", "of", "only", "or", "later", "nc", "program", "public", "published", "sa", "the", "this", "want", "with", "without")
 WORDS = r"[a-z0-9]+"
+#: What leads to the names of several licences in a sentence, how a name begins, and what stands between them.
+LEAD = r"(?i)^(.*?(?:\b(?:licensed|released|available|distributed|offered)\b[^.]*?\bunder(?:\s+the)?(?:\s+terms\s+of)?(?:\s+(?:either|both))?(?:\s+the)?|license-identifier:|licen[sc]es?:))\s+([^.]*+(?:[.]\S[^.]*+){0,40})"
+NAME = r"^[\s(]*(?:the\s+)?[A-Z0-9]"
+BETWEEN = r"(?i)[\s)]+(?:and|or)[\s(]+(?:the\s+)?|\s*[/|&;]\s*|,\s*(?!\s*v(?:ersion|\.)?\s*\d)"
+#: A denial, to the end of its sentence.
+DENIED = r"(?i)\b(?:not|never|no\s+longer)\s+(?:\w+\s+){0,2}(?:licensed|released|distributed|available|offered)\b[^.;!?]*+(?:[.]\S[^.;!?]*+){0,40}"
 UNKNOWN = "unknown"
 #: A bare reservation of rights also opens many open licences; with these words it is more than that.
 RESERVED, CLOSED = r"(?i)rights\s+reserved", r"(?i)confidential|proprietary|unauthorized|no part|written permission"
@@ -229,22 +244,34 @@ def classify_paragraphs(paragraphs: DataFrame, col: str = "paragraph") -> DataFr
     return rows.join(_classified(rows, ["_key"]), "_key").drop("_key").withColumnRenamed("paragraph", col)
 
 
+def clauses(said: Column) -> Column:
+    """What leads to several names together with each of them: an array, empty where there are not several."""
+    lead = F.regexp_extract(said, LEAD, 1)
+    parts = F.filter(F.split(F.regexp_extract(said, LEAD, 2), BETWEEN), lambda p: p.rlike(NAME))
+    each = F.transform(parts, lambda p: F.concat(lead, F.lit(" "), p))
+    return F.when((lead != "") & (F.size(parts) > 1), each).otherwise(F.array().cast("array<string>"))
+
+
 def candidates(text: Column) -> Column:
-    """The lines, and the paragraphs of several lines, that hold a gate word; as structs of paragraph and ``line``, whether it is one line."""
+    """The lines, and the paragraphs of several lines, that hold a gate word, without what they deny, and the clauses of either; as structs of paragraph and ``line``, whether it is one line."""
     gate = _gate()
     blocks = F.split(text, r"\r?\n(?:[\x20\x09-\x0D]*\n)+")
     joined = F.transform(F.filter(blocks, lambda b: F.trim(b).contains("\n")), lambda b: F.struct(F.regexp_replace(F.trim(b), r"[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*", " ").alias("paragraph"), F.lit(False).alias("line")))
     lines = F.transform(F.split(text, r"\n+"), lambda p: F.struct(p.alias("paragraph"), F.lit(True).alias("line")))
-    held = F.filter(F.concat(lines, joined), lambda x: x["paragraph"].rlike(gate))
+    stated = lambda x: F.struct(F.regexp_replace(x["paragraph"], DENIED, " ").alias("paragraph"), x["line"].alias("line"))
+    held = F.transform(F.filter(F.concat(lines, joined), lambda x: x["paragraph"].rlike(gate)), stated)
+    several = F.flatten(F.transform(held, lambda x: F.transform(clauses(x["paragraph"]), lambda c: F.struct(c.alias("paragraph"), F.lit(False).alias("line")))))
+    held = F.concat(held, F.filter(several, lambda x: x["paragraph"].rlike(gate)))
     return F.when(text.rlike(gate), held).otherwise(F.array().cast("array<struct<paragraph:string,line:boolean>>"))
 
 
 def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per id: licenses (confirmed families, sorted, comma-joined), n_paragraphs, n_confirmed, score.
 
-    n_paragraphs counts the lines with a gate word, n_confirmed the confirmed lines and paragraphs of
-    several lines, score is the highest probability of a confirmed family (0 without one). A bare
-    "All rights reserved" is proprietary only where no other family is confirmed. Null and empty texts
+    n_paragraphs counts the lines with a gate word, n_confirmed the confirmed lines, paragraphs of
+    several lines and clauses of either, score is the highest probability of a confirmed family (0 without one). A bare
+    "All rights reserved" is proprietary only where no other family is confirmed, and a GPL without a version is one only
+    where none with a version is. Null and empty texts
     have none; texts of any length are read whole. Rows that share an id, null included, share one
     result row. Other columns play no part, whatever their names. An empty table gives an empty result.
     """
@@ -263,6 +290,8 @@ def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     plain, kept = F.col("family").isNotNull() & ~F.col("bare"), F.col("family").isNotNull() & F.col("bare")
     none = F.count(F.when(plain, F.lit(1))) == 0
     families = F.collect_set(F.when(plain, F.col("family")))
+    # A name without a version, as in a line of a wrapped notice, says no more than those with one.
+    families = F.when(F.arrays_overlap(families, F.array(*map(F.lit, VERSIONS["gpl"]))), F.array_remove(families, "gpl")).otherwise(families)
     return rows.groupBy(F.col("_id").alias(id_col)).agg(
         F.array_join(F.array_sort(F.when(none, F.collect_set(F.when(kept, F.col("family")))).otherwise(families)), ",").alias("licenses"),
         F.count(F.when(F.col("line"), F.lit(1))).alias("n_paragraphs"),
