@@ -248,3 +248,11 @@ def test_years_and_claims(spark):
     claims = [(1, "deadline", day(2, 10), None), (1, "deadline", day(2, 10), "track=main"), (1, "abstract_deadline", day(2, 1), None), (1, "abstract_deadline", day(2, 8), None), (1, "deadline", day(3, 1), None), (2, "deadline", day(3, 1), None)]
     out = pairing.proposal_pairing(spark.createDataFrame(claims, "page_id long, field string, day date, scope string"), pairs).collect()
     assert {tuple(r)[:4]: r["status"] for r in out} == dict(zip(claims, ("UNCONFIRMED", "VERIFIED", "REFUTED", "VERIFIED", "VERIFIED", "UNCONFIRMED"), strict=True))
+
+
+def test_months_within_codes(spark):
+    """A month's name inside a hash or a key is no date; dates that are written in one word are."""
+    said = {1: "key e9feb9cda", 2: "ce5feb9337387b", 3: "1dec12345678", 4: "id 2026-01-012345", 5: "papers due 5march2026", 6: "papers due 5 march2026", 7: "papers due march5 2026", 8: "papers due 5thmarch"}
+    rows = spark.createDataFrame([(k, f"<p>{x}</p>") for k, x in said.items()], "page_id long, html string")
+    day = datetime.date(2026, 3, 5)
+    assert {(r["page_id"], r["day"]) for r in pairing.paired(rows).collect()} == {(5, day), (6, day), (7, day)}

@@ -35,8 +35,13 @@ JOINTS, SEPARATORS, NEAR, CLEARLY = ("to", "-", "–", "—"), (":", "–", "—
 FIELD_LABELS = {"deadline": LABELS["deadline"][0], "abstract_deadline": LABELS["abstract_deadline"][0], "date": ("conference dates", "conference date", "event dates"), "other": LABELS["deadline"][1]}
 PHRASES = sorted(((phrase, field) for field, phrases in FIELD_LABELS.items() for phrase in phrases), key=lambda x: (-len(x[0]), x[0]))
 LONGEST = max(len(p.split()) for p, _ in PHRASES)
+#: A month's name between digits or a digit and the word's end, and the words of letters and digits that are a date: 5march2026, march5, march2026. In any other word, as a
+#: hash or a key, a month is a part of it, so such a word is one token.
+_MONTH = f"(?:{'|'.join(sorted(MONTH_WORDS, key=len, reverse=True))})"
+_DATE_WORD = rf"(?:\d{{1,2}}{_MONTH}(?:\d{{4}})?|{_MONTH}(?:\d{{1,2}}|\d{{4}}))(?![a-z0-9])"
+_CODE = rf"(?<![a-z0-9])(?!{_DATE_WORD})(?=[a-z0-9]*?(?:\d{_MONTH}(?![a-z])|(?<![a-z]){_MONTH}\d))[a-z0-9]+"
 #: Dates, times, numbers, words, separators and joints of a folded text.
-TOKEN = r"(\d{4}-\d{1,2}-\d{1,2}|\d{1,2}:\d{2}(?::\d{2})?|\d+|[a-z]+|[:–—-])"
+TOKEN = rf"(\d{{4}}-\d{{1,2}}-\d{{1,2}}(?!\d)|\d{{1,2}}:\d{{2}}(?::\d{{2}})?|{_CODE}|\d+|[a-z]+|[:–—-])"
 ISO, DAY, YEAR = r"^\d{4}-\d{1,2}-\d{1,2}$", r"^([1-9]|0[1-9]|[12]\d|3[01])$", r"^\d{4}$"
 UNIT = ["_page", "level", "cont", "item", "flow"]
 
