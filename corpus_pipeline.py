@@ -12,7 +12,7 @@ from tidemark.llm.common import documents, drop_table, kept_as_table, table
 from tidemark.llm.exact_dedup import without_copies
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
-from tidemark.llm.simhash import without_near_copies
+from tidemark.llm.simhash import RADIUS, without_near_copies
 from tidemark.llm.toxicity import without_toxic
 from tidemark.llm.vocabulary import tokenizer_path
 
@@ -41,9 +41,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, that of the smallest doc_id.
 
+    Near copies are found by their SimHash fingerprints, through deletion variants as in ``op5_simhash``; texts that
+    are alike by their shingles, but further apart than its radius, are linked by an exact index and join the groups.
     Texts without a word are alike; a null id loses to any other; of rows of the id that stays, one.
     """
-    return without_near_copies(docs)
+    return without_near_copies(docs, radius=RADIUS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

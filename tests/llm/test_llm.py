@@ -826,3 +826,23 @@ def test_stages_on_odd_and_empty_tables(spark, odd, empty):
     # A blank text, a null and an empty one are one near copy; the text and its copies are one.
     left = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, odd, SF).collect()}
     assert {1, 3, 6, 9} <= left and not left & {2, 4, 5, 7, 8}
+
+
+def test_near_dedup_goes_by_fingerprints(spark):
+    """The stage links what op5 links, also where few shingles are shared, and what is alike beyond its radius, in one group."""
+    import corpus_pipeline
+
+    rng = random.Random(31)
+    own = lambda n: [f"w{rng.randint(0, 9000)}" for _ in range(n)]
+    line = own(9) * 40
+    first, second = line + own(20), line + own(20)
+    third = second + own(8)
+    other = own(300)
+    texts = {5: " ".join(first), 6: " ".join(second), 7: " ".join(other), 8: " ".join(other + own(70)), 9: " ".join(own(300)), 10: " ".join(third)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    near = {(a, b) for a in texts for b in texts if a < b and bin(brute_fingerprint(texts[a]) ^ brute_fingerprint(texts[b])).count("1") <= 4}
+    alike = {p for p, s in brute_alike(texts).items() if s >= 0.8}
+    assert (5, 6) in near - alike and (7, 8) in alike - near
+    left = sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, SF).collect())
+    assert left == sorted(set(grouped(list(near | alike), texts).values()))
+    assert left == [5, 7, 9]

@@ -496,11 +496,12 @@ def _pairs(found: Iterator[tuple[np.ndarray, Iterator[tuple[int, np.ndarray]]]])
         yield flushed()
 
 
-def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int | None = None) -> DataFrame:
     """The rows of ``df`` without near copies: one row of each group of linked texts, that of the smallest id.
 
     Texts are linked at a similarity of ``ALIKE`` or more over the sets of ``ALIKE_WORDS``-word
-    shingles. Texts of equal sets are one class. Each class is indexed under its first shingles in an
+    shingles; with ``radius``, texts whose fingerprints differ in that many bits or fewer are linked too, as in
+    :func:`simhash_groups`, and a group may hold links of both kinds. Texts of equal sets are one class. Each class is indexed under its first shingles in an
     order of all shingles (see ``prefix``), so that every linked pair shares a bucket; common shingles
     come last in that order, which is read from a sample and changes the size of buckets only. In each
     bucket all are compared with a few leaders, then all pairs that the groups found so far leave open; but for pairs that can't share enough from the bucket's shingle on. Every decision is made on the whole sets, but for pairs that a bound rules out. Null ids count
@@ -519,8 +520,9 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             found = [(node_of(h), int(np.bitwise_xor.reduce(h * PLACES[0])) if len(h) else 0, len(h), odd_sketch(h)) for h in (shingle_set(t.as_py()) for t in batch.column(2))]
             nodes, proof, n, odd = zip(*found, strict=True) if found else ((), (), (), ())
+            lane = pa.nulls(batch.num_rows, pa.int64()) if radius is None else pa.array(np.array([fingerprint(t.as_py())[0] for t in batch.column(2)], np.uint64).view(np.int64))
             proof_ = pa.array(np.array(proof, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), proof_, pa.array(n, pa.int64()), pa.array(odd, pa.binary())], ["_id", "_row", "node", "proof", "n", "odd"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), proof_, pa.array(n, pa.int64()), pa.array(odd, pa.binary()), lane], ["_id", "_row", "node", "proof", "n", "odd", "f0"])
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -585,7 +587,7 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         return _pairs((nodes, sifted_pairs(group, n, odd)) for group, nodes, n, odd in lists)
 
     order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
-    marks = cut(rows.mapInArrow(trimmed(mark), f"_id {kind}, _row bigint, node bigint, proof bigint, n bigint, odd binary"))
+    marks = cut(rows.mapInArrow(trimmed(mark), f"_id {kind}, _row bigint, node bigint, proof bigint, n bigint, odd binary, f0 bigint"))
     one = F.when((F.min("proof") == F.max("proof")) & (F.min("n") == F.max("n")), F.first("n")).otherwise(F.raise_error(F.lit("two sets of shingles share their number")).cast("bigint"))
     classes = cut(marks.groupBy("node").agg(F.min(order).alias("first"), one.alias("n"), F.first("odd").alias("odd")))
     dealt = rows.mapInArrow(trimmed(index), "key bigint, node bigint, n bigint").repartition("key").sortWithinPartitions("key", "node")
@@ -613,7 +615,15 @@ def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     # Their sketches go with them, so that only pairs leave a bucket that may be links.
     of = of.join(classes.select("node", "odd"), "node").groupBy("bucket").agg(F.collect_list(F.struct("group", "node", "n", "odd")).alias("x"))
     left = of.select("x").mapInArrow(trimmed(rest), "u bigint, v bigint").distinct().join(tried, ["u", "v"], "left_anti")
-    reach = components(links.unionByName(linked(left)))
+    links = links.unionByName(linked(left))
+    if radius is not None:
+        # A fingerprint is held by the least of its classes, to which the others are linked.
+        held = cut(marks.select("node", "f0").distinct())
+        least = cut(held.groupBy("f0").agg(F.min("node").alias("least")))
+        same = dealt_join(held, least, "f0").filter("node <> least").select(F.col("node").alias("u"), F.col("least").alias("v"))
+        near = links_of(least.select(F.col("least").alias("node"), "f0"), BITS, radius).filter("u <> v")
+        links = links.unionByName(same).unionByName(near)
+    reach = components(links)
     group = F.coalesce("component", "node").alias("group")
     stays = classes.join(reach, "node", "left").groupBy(group).agg(F.min("first").alias("kept"))
     kept = classes.select("node").join(reach, "node", "left").select("node", group).join(stays, "group").select("node", "kept")
