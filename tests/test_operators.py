@@ -317,3 +317,14 @@ def test_sources(spark, tmp_path):
     config = spark.createDataFrame([("a", None, {"x": "1"}), ("b", ["y", "x"], {"y": "2"})], "k string, priority array<string>, sources map<string,string>")
     assert {r["k"]: r["priority"] for r in records.with_defaults(config, ["x", "y"]).collect()} == {"a": ["x"], "b": ["y"]}
     assert one(spark, records.expand_year(F.lit("%Y-%y"), F.lit(2026))) == "2025-2026"
+
+
+def test_quotes_leave_the_page_behind(spark):
+    """What is multiplied by the runs of a page doesn't hold the page."""
+    import re
+
+    from tidemark.plans import registry
+
+    plan = registry.QUERIES["quote_grounding"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    (kept,) = re.findall(r"Generate .*\), \[([^\[\]]*)\], (?:true|false), \[", plan)
+    assert re.findall(r"[a-z_]+", kept) == ["doc_id"]

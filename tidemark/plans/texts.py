@@ -189,13 +189,17 @@ def quote_grounding(spark, sf_dir):
     """Benchmark passages as quotes without a value, and the documents that hold them from the quote's first three tokens on."""
     quotes = evidence.with_tokens(table(spark, sf_dir, "benchmark"), "text", "q").filter(F.size("q_tokens") >= evidence.LEAST_TOKENS)
     quotes = quotes.select("item_id", F.col("q_tokens").alias("quote"), F.array_join(F.slice("q_tokens", 1, 3), " ").alias("head"))
-    pages = evidence.with_tokens(table(spark, sf_dir, "documents"), "text", "p").select("doc_id", F.col("p_tokens").alias("page"))
-    # The runs of three tokens of a page meet the heads only; the page's tokens stay with them.
-    runs = F.transform(F.sequence(F.lit(1), F.size("page") - 2), lambda i: F.array_join(F.slice("page", i, 3), " "))
-    held = pages.filter(F.size("page") >= 3).select("doc_id", "page", F.posexplode(runs).alias("at", "head")).join(quotes, "head")
-    size = evidence.window_size(F.size("quote"))
-    hits = held.select("item_id", "doc_id", "at", evidence.first_window(F.col("page"), F.col("quote"), F.array("at"), size)["coverage"].alias("coverage")).filter("coverage IS NOT NULL")
-    return hits.groupBy("item_id", "doc_id").agg(F.round(F.min_by("coverage", "at"), 3).alias("coverage"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pages = evidence.with_tokens(documents, "text", "p").select("doc_id", F.col("p_tokens").alias("page"))
+    # The runs of three tokens of a page meet the heads without the page; only documents that hold a head are looked at whole.
+    starts = F.when(F.size("page") >= 3, F.sequence(F.lit(1), F.size("page") - 2))
+    runs = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("page", i, 3), " ")))
+    held = pages.select("doc_id", F.explode_outer(runs).alias("head")).join(quotes, "head").select("doc_id", "item_id", "head", "quote").distinct()
+    rows = evidence.with_tokens(documents.join(held, "doc_id"), "text", "p")
+    found = evidence.first_window(F.col("p_tokens"), F.col("quote"), evidence.places(F.col("p_tokens"), F.col("head")), evidence.window_size(F.size("quote")))
+    # What found nothing goes after the aggregation: Spark would push a condition on it below the tokens and compute them at each place.
+    by = rows.select("item_id", "doc_id", found.alias("hit")).groupBy("item_id", "doc_id").agg(F.round(F.min_by("hit.coverage", "hit.low"), 3).alias("coverage"))
+    return by.filter("coverage IS NOT NULL")
 
 
 @query(
