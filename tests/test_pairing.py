@@ -256,3 +256,15 @@ def test_months_within_codes(spark):
     rows = spark.createDataFrame([(k, f"<p>{x}</p>") for k, x in said.items()], "page_id long, html string")
     day = datetime.date(2026, 3, 5)
     assert {(r["page_id"], r["day"]) for r in pairing.paired(rows).collect()} == {(5, day), (6, day), (7, day)}
+
+
+def test_parts_grow_with_the_pages(spark, monkeypatch):
+    """A task holds so many pages however many there are, for pairs and for lists."""
+    from tidemark.operators import enumerations
+
+    monkeypatch.setattr(pairing, "PAGES", 5)
+    rows = spark.createDataFrame([(k, "<ul><li>Paper due: March 5, 2026</li></ul>") for k in range(100)], "page_id long, html string")
+    for df in (pairing.pieces(rows, "page_id", "html"), enumerations.placed_marks(rows, "page_id", "html")):
+        assert "REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString()
+    assert pairing.pieces(rows, "page_id", "html").rdd.getNumPartitions() == 20
+    assert pairing.paired(rows).count() == 100

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import text
 from tidemark.functions.dates import MONTHS
 from tidemark.operators.evidence import CYCLES, LABELS, MONTH_WORDS
+from tidemark.operators.partitions import in_parts
 
 #: Elements that hold items, and those that begin an item, a cell, or a block of flowing text.
 ITEM_OF = {"table": ("tr",), "ul": ("li",), "ol": ("li",), "dl": ("dt",)}
@@ -44,12 +45,15 @@ _CODE = rf"(?<![a-z0-9])(?!{_DATE_WORD})(?=[a-z0-9]*?(?:\d{_MONTH}(?![a-z])|(?<!
 TOKEN = rf"(\d{{4}}-\d{{1,2}}-\d{{1,2}}(?!\d)|\d{{1,2}}:\d{{2}}(?::\d{{2}})?|{_CODE}|\d+|[a-z]+|[:–—-])"
 ISO, DAY, YEAR = r"^\d{4}-\d{1,2}-\d{1,2}$", r"^([1-9]|0[1-9]|[12]\d|3[01])$", r"^\d{4}$"
 UNIT = ["_page", "level", "cont", "item", "flow"]
+#: Pages of a task: the windows over them hold some 200 kB each.
+PAGES = 500
 
 
 def pieces(pages: DataFrame, key: str, html: str, year: str | None = None) -> DataFrame:
     """A row per tag or text of a page's markup, with its place: level, cont and kind (the list or table around it), item, cell, head, flow, section, struck."""
     given = (F.col(year) if year else F.lit(None)).cast("int").alias("_year")
-    rows = pages.select(F.col(key).alias("_page"), given, F.posexplode(F.regexp_extract_all(text.without_silent(F.col(html)), F.lit(r"(<[^>]*>|[^<]+)"), F.lit(1))).alias("i", "piece"))
+    rows = in_parts(pages.select(F.col(key).alias("_page"), given, F.col(html).alias("_html")), "_page", rows=PAGES)
+    rows = rows.select("_page", "_year", F.posexplode(F.regexp_extract_all(text.without_silent(F.col("_html")), F.lit(r"(<[^>]*>|[^<]+)"), F.lit(1))).alias("i", "piece"))
     tag, closing = F.lower(F.regexp_extract("piece", r"^</?([a-zA-Z][a-zA-Z0-9]*)", 1)), F.startswith("piece", F.lit("</"))
     rows = rows.select("*", tag.alias("tag"), closing.alias("closing"), (~F.startswith("piece", F.lit("<"))).alias("is_text"))
     on = Window.partitionBy("_page").orderBy("i")
