@@ -328,3 +328,12 @@ def test_quotes_leave_the_page_behind(spark):
     plan = registry.QUERIES["quote_grounding"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
     (kept,) = re.findall(r"Generate .*\), \[([^\[\]]*)\], (?:true|false), \[", plan)
     assert re.findall(r"[a-z_]+", kept) == ["doc_id"]
+
+
+def test_parts_grow_with_the_line_items(spark, monkeypatch):
+    from tidemark.plans import base
+
+    monkeypatch.setattr(base, "ITEMS", 100)
+    sf = "/root/testdata/sf0.001"
+    n = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert base.sources(spark, sf).rdd.getNumPartitions() == -(-n // 100)

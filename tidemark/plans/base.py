@@ -8,12 +8,16 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.partitions import in_parts
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 #: The day that the queries take for today.
 TODAY = date(1998, 1, 1)
 TODAY_SQL = "DATE '1998-01-01'"
+#: Line items of a task: each window over them holds some 100 bytes of one.
+ITEMS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,7 +83,7 @@ SOURCES_SQL = """s AS (
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    rows = table(spark, sf_dir, "lineitem").withColumn("pos", F.row_number().over(order).cast("bigint"))
+    rows = in_parts(table(spark, sf_dir, "lineitem"), "l_orderkey", rows=ITEMS).withColumn("pos", F.row_number().over(order).cast("bigint"))
     return rows.select(
         F.col("l_orderkey").alias("k"), "pos", F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("line"), F.to_date("l_shipdate").alias("ship"), F.col("l_partkey").alias("part")
     )
