@@ -47,3 +47,14 @@ def test_states(spark):
         1: ("VERIFIED_OFFICIAL", 2, 0), 2: ("CORROBORATED_SECONDARY", 1, 0), 3: ("CORROBORATED_SECONDARY", 2, 0), 4: ("TRACKER_ONLY", 0, 0), 5: ("CONTRADICTED", 0, 1), 6: ("NO_SOURCE", 0, 0), 7: ("CONTRADICTED", 0, 1),
         8: ("NOT_APPLICABLE", 0, 0), 9: ("CONTRADICTED", 1, 1), 10: ("NO_SOURCE", 0, 0),
     }
+
+
+def test_parts_grow_with_the_statements(spark, monkeypatch):
+    from tidemark.operators import corroboration
+
+    monkeypatch.setattr(corroboration, "STATEMENTS", 10)
+    rows = spark.createDataFrame([(f"s{i % 3}", i // 3, "same", i % 3) for i in range(300)], "source string, k long, text string, at int")
+    mirrors = corroboration.copied_from(rows, "source", "k", "text", "at")
+    assert "REPARTITION_BY_NUM, [plan_id" in mirrors._jdf.queryExecution().executedPlan().toString()
+    assert ", 30), REPARTITION_BY_NUM" in mirrors._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, mirrors.collect())) == [("s1", "s0"), ("s2", "s0")]

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.partitions import in_parts
 from tidemark.sources.versions import scratch
 
 #: The share of its statements that a mirror has from another source. Sources of fewer statements are no mirrors.
 MIRRORED, LEAST_STATEMENTS = 0.9, 3
+#: Statements of a task.
+STATEMENTS = 500_000
 #: Tiers of official sources, of others that are evidence, and of trackers, which are none.
 OFFICIAL, SECONDARY, TRACKER = ("T0", "T1"), ("T2", "T3"), ("T4",)
 
@@ -45,9 +48,9 @@ def copied_from(statements: DataFrame, source: str, record: str, text: str, at:
     a record, a text or a time tell nothing.
     """
     rows = statements.select(F.col(source).alias("source"), F.col(record).alias("record"), F.col(text).alias("text"), F.col(at).alias("at")).dropna()
-    rows = rows.groupBy("record", "text", "source").agg(F.min("at").alias("at"))
-    first = rows.groupBy(F.col("record").alias("_r"), F.col("text").alias("_t")).agg(F.min(F.struct("at", "source"))["source"].alias("original"))
-    by = rows.join(first, (F.col("record") == F.col("_r")) & (F.col("text") == F.col("_t"))).groupBy("source", "original").agg(F.count(F.lit(1)).alias("n"))
+    rows = in_parts(rows, "record", "text", rows=STATEMENTS).groupBy("record", "text", "source").agg(F.min("at").alias("at"))
+    first = F.min(F.struct("at", "source")).over(Window.partitionBy("record", "text"))["source"]
+    by = rows.select("source", first.alias("original")).groupBy("source", "original").agg(F.count(F.lit(1)).alias("n"))
     total = by.groupBy(F.col("source").alias("_s")).agg(F.sum("n").alias("total"))
     by = by.join(total, F.col("source") == F.col("_s")).filter((F.col("source") != F.col("original")) & (F.col("total") >= least) & (F.col("n") >= share * F.col("total")))
     return by.select("source", "original")
@@ -71,7 +74,8 @@ def corroborated(records: DataFrame, statements: DataFrame, sources: DataFrame,
     CORROBORATED_SECONDARY, TRACKER_ONLY or NO_SOURCE by the best that states it. A group that states both counts for both.
     """
     who = sources.select(F.col(source).alias("_source"), F.col(tier).alias("_tier")).join(groups.select(F.col(source).alias("_s"), "group"), F.col("_source") == F.col("_s")).select("_source", "_tier", "group")
-    said = statements.select(F.col(source).alias("_from"), F.col(key).alias("_key"), F.col(value).alias("_said")).dropna().distinct()
+    said = statements.select(F.col(source).alias("_from"), F.col(key).alias("_key"), F.col(value).alias("_said")).dropna()
+    said = in_parts(said, "_key", rows=STATEMENTS).distinct()
     said = said.join(who, F.col("_from") == F.col("_source"))
     rows = records.select(F.col(key).alias("key"), F.col(value).alias("value")).join(said, F.col("key") == F.col("_key"), "left")
     same, evidence = F.col("_said") == F.col("value"), F.col("_tier").isin(*OFFICIAL, *SECONDARY)
