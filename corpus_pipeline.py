@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import documents, drop_table, kept_as_table, table
+from tidemark.llm.common import bounded_batches, documents, drop_table, kept_as_table, table
 from tidemark.llm.exact_dedup import without_copies
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
@@ -45,7 +45,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     are alike by their shingles, but further apart than its radius, are linked by an exact index and join the groups.
     Texts without a word are alike; a null id loses to any other; of rows of the id that stays, one.
     """
-    return without_near_copies(docs, radius=RADIUS)
+    with bounded_batches(spark):
+        return without_near_copies(docs, radius=RADIUS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

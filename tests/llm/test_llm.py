@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
-from tidemark.llm import exact_dedup, inner_products, licenses, mixing, neighbours, packing, quality, registry, secrets, simhash, token_counts, toxicity, training
+from tidemark.llm import common, exact_dedup, inner_products, licenses, mixing, neighbours, packing, quality, registry, secrets, simhash, token_counts, toxicity, training
 from tidemark.llm.components import components
 from tidemark.llm.vocabulary import ByteEncoder, PieceCounter, byte_bpe, sentence_model, tokenizer_path
 
@@ -342,6 +342,44 @@ def test_token_counts(spark, odd, empty):
     assert token_counts.token_counts(empty, tokenizer_path(PIECES)).count() == 0
 
 
+def test_packing_takes_texts_in_bounded_batches(spark, tmp_path, monkeypatch):
+    key, df = "spark.sql.execution.arrow.maxBytesPerBatch", spark.range(0, 600, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some text "), 2_000).alias("text"))
+
+    def watched(run):
+        def whole(batches):
+            def seen():
+                for batch in batches:
+                    with open(f"{tmp_path}/bytes", "a") as f:
+                        print(batch.nbytes, file=f)
+                    yield batch
+
+            yield from run(seen())
+
+        return whole
+
+    monkeypatch.setattr(packing, "trimmed", watched)
+    out = packing.pack(df, tokenizer_path(BYTE), tokenizer_path(RANKS))
+    sizes = [int(x) for x in (tmp_path / "bytes").read_text().split()]
+    assert sum(sizes) >= 600 * 20_000 and max(sizes) <= common.BATCH_BYTES + 30_000
+    assert spark.conf.get(key, None) is None  # the session's bound is as it was
+    assert out.select("doc_id").distinct().count() == 600
+    spark.conf.set(key, "1m")
+    try:
+        with common.bounded_batches(spark):
+            assert spark.conf.get(key) == "1m"  # a bound of the session's own stays
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_leaf_table_starts_no_python_worker(spark):
+    rows = [("web", "en", "src1", 5, 9, 2), ("books", "", "é", 2**40, 0, 1)]
+    out = mixing.leaf_table(spark, rows)
+    assert [tuple(r) for r in out.collect()] == rows and mixing.leaf_table(spark, []).collect() == []
+    assert out.dtypes == [("domain", "string"), ("lang", "string"), ("source", "string"), ("leaf_budget", "bigint"), ("_there", "bigint"), ("_buckets", "int")]
+    assert "PythonRDD" not in out._jdf.javaRDD().toDebugString()
+
+
 def test_packing(spark, odd, empty):
     whole = byte_bpe(tokenizer_path(BYTE))
     out = packing.pack(odd, tokenizer_path(BYTE), tokenizer_path(RANKS)).collect()

@@ -19,6 +19,8 @@ SPACES = r"[\x20\x09-\x0D]"
 MOST_BROADCAST = 500_000
 #: Copies of a row that are made at a time.
 AT_ONCE = 4096
+#: Bytes of an Arrow batch of texts, which is there in the JVM and in the Python worker at once; Spark's own bound is by rows.
+BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +82,20 @@ def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
     return whole
 
 
+@contextlib.contextmanager
+def bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside send Python Arrow batches of ``BATCH_BYTES`` and one row at most, unless the session has a bound of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def crc_remainder(id_col: str, modulus: int):
     """crc32 of the id as text, modulo ``modulus``."""
     return F.crc32(F.col(id_col).cast("string")) % F.lit(modulus)

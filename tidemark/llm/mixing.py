@@ -12,7 +12,8 @@ so copies of a row fill no bucket, and the result is the same under any partitio
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import as_often, copied, cut, documents, row_hash, text_or_empty
@@ -92,6 +93,12 @@ def budgets(leaves: dict[tuple, int], total: int, max_epochs: int, weights: dict
     return down(leaves, 0, total)
 
 
+def leaf_table(spark: SparkSession, leaves: list[tuple]) -> DataFrame:
+    """Rows of domain, lang, source, leaf_budget, _there, _buckets; from Arrow, as a list of tuples would start Python workers that stay beside those of the next stage."""
+    kinds = {"domain": pa.string(), "lang": pa.string(), "source": pa.string(), "leaf_budget": pa.int64(), "_there": pa.int64(), "_buckets": pa.int32()}
+    return spark.createDataFrame(pa.table([pa.array([x[k] for x in leaves], kind) for k, kind in enumerate(kinds.values())], names=list(kinds)))
+
+
 def mix(
     df: DataFrame, share: float = SHARE, max_epochs: int = MAX_EPOCHS, weights: dict[str, dict] | None = None, id_col: str = "doc_id", text_col: str = "text",
     lang_col: str = "lang", source_col: str = "source", token_col: str | None = None, seed: int = SEED, carry: bool = False,
@@ -122,8 +129,7 @@ def mix(
     leaves = {(r["domain"], r["lang"], r["source"]): int(r["n"]) for r in stats}
     plan = budgets(leaves, int(share * sum(leaves.values())), max_epochs, weights, levels)
     table = [(*k, int(plan[k]), leaves[k], max(1, int(r["rows"]) // BUCKET_ROWS)) for r in stats for k in [(r["domain"], r["lang"], r["source"])]]
-    spark = df.sparkSession
-    given = F.broadcast(spark.createDataFrame(table, "domain string, lang string, source string, leaf_budget bigint, _there bigint, _buckets int"))
+    given = F.broadcast(leaf_table(df.sparkSession, table))
     epochs = F.when(F.col("_there") > 0, F.ceil(F.col("leaf_budget") / F.col("_there"))).otherwise(F.lit(0)).cast("int")
     placed = rows.join(given, list(levels)).filter(F.col("leaf_budget") > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.greatest(epochs - 1, F.lit(0)))))
     placed = placed.withColumn("_order", F.xxhash64(F.lit(seed), "epoch", F.coalesce(F.col("_id").cast("string"), F.lit("")), "_row"))

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, documents, trimmed
+from tidemark.llm.common import bounded_batches, cut, documents, trimmed
 from tidemark.llm.vocabulary import ByteEncoder, tokenizer_path
 
 CAPACITY, END = 2048, 0
@@ -118,7 +118,8 @@ def pack(df: DataFrame, path: str, ranks_path: str, capacity: int = CAPACITY, id
     passes through, null and repeated ones included; other columns play no part. An empty table
     gives an empty result.
     """
-    pieces = cut(pieces_of(df, path, ranks_path, capacity, id_col, text_col))
+    with bounded_batches(df.sparkSession):
+        pieces = cut(pieces_of(df, path, ranks_path, capacity, id_col, text_col))
     counts = pieces.groupBy("_part", "length").agg(F.count(F.lit(1)).alias("_n"))
     histogram = {int(r["length"]): int(r["n"]) for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     table = places(best_two_fit(histogram, capacity))
